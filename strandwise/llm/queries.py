@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from strandwise.llm import exact_dedup, language, mixing, packing, simhash, url_filter
+from strandwise.llm import ann, chat, exact_dedup, language, mixing, packing, quality, simhash, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_mixing": mixing.op2_mixing,
     "op3_url_filter": url_filter.op3_url_filter,
+    "op4_nearest": ann.op4_nearest,
     "op5_language": language.op5_language,
     "op6_packing": packing.op6_packing,
+    "op7_quality": quality.op7_quality,
+    "op8_chat": chat.op8_chat,
     "op9_simhash": simhash.op9_simhash,
 }
 SQL = {"op1_exact_dedup": exact_dedup.OP1_SQL, "op3_url_filter": url_filter.OP3_SQL}

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from strandwise.plans import relational, statistics, variants  # noqa: F401  they register themselves
+from strandwise.plans.base import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]

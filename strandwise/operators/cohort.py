@@ -90,3 +90,211 @@ def guarded_fraction(a: Column, b: Column, least: int) -> Column:
 
 def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, 100.0 * part / whole)
+
+
+def live_flags(c: dict[str, Column], p: DataFrame | None = None) -> Column:
+    """The further flags of an interactive view. c: high_z, lof_z, pnps, annotated, outlier."""
+    none = F.lit(None).cast("double")
+    g = lambda k: c.get(k, none)
+    return F.array_compact(
+        F.array(
+            F.when(g("high_z") > 3, "HIGH_IMPACT_EXCESS"), F.when(g("lof_z") > 3, "LOF_EXCESS"), F.when(g("pnps") > 1, "PNPS_PROXY_HIGH"),
+            F.when(g("annotated") < 50, "ANNOTATION_POOR"), F.when(c.get("outlier", F.lit(False)), "QC_OUTLIER"),
+        )
+    )
+
+
+def compile_filter(x: Column, text: str) -> Column:
+    """A column filter: >x >=x <x <=x =x, a-b, a..b, `a to b`, else a part of the text in any case."""
+    import re
+
+    number = r"(-?\d+(?:\.\d+)?)"
+    t = text.strip()
+    if m := re.fullmatch(r"(>=|<=|>|<|=)\s*" + number, t):
+        v = F.lit(float(m[2]))
+        return {">": x > v, ">=": x >= v, "<": x < v, "<=": x <= v, "=": x == v}[m[1]]
+    if m := re.fullmatch(number + r"\s*(?:-|\.\.|to)\s*" + number, t):
+        a, b = sorted((float(m[1]), float(m[2])))
+        return x.between(a, b)
+    return F.contains(F.lower(x.cast("string")), F.lit(t.lower()))
+
+
+def burden(df: DataFrame, sample: str, gene: str, impact: str, effect: str, k: int = 40) -> DataFrame:
+    """Per sample the k genes with most HIGH, then MODERATE hits, with the most common effect (ties to the lesser)."""
+    by_effect = df.groupBy(sample, gene, effect).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(impact) == "HIGH").alias("h"), F.count_if(F.col(impact) == "MODERATE").alias("m"))
+    g = by_effect.groupBy(sample, gene).agg(F.sum("h").alias("high"), F.sum("m").alias("moderate"), F.min(F.struct((-F.col("n")).alias("n"), F.col(effect).alias("e")))["e"].alias("effect"))
+    top = Window.partitionBy(sample).orderBy(F.desc("high"), F.desc("moderate"), gene)
+    return g.withColumn("nth", F.row_number().over(top)).where(F.col("nth") <= k)
+
+
+def cov_histogram(hist: DataFrame, keys: Sequence[str], depth: str, n: str, total: Column, at: int = 1) -> DataFrame:
+    """Breadth, weighted median and evenness from counts by depth; positions that aren't counted have depth 0."""
+    own = hist.groupBy(*keys).agg(F.sum(n).alias("_cov"), F.sum(F.col(n) * F.col(depth)).alias("_s1"), F.sum(F.col(n) * F.col(depth) * F.col(depth)).alias("_s2"), F.sum(F.when(F.col(depth) >= at, F.col(n)).otherwise(0)).alias("_at"), F.max(total).alias("_g"))
+    own = own.withColumn("_zero", F.greatest(F.lit(0), F.col("_g") - F.col("_cov"))).withColumn("_total", F.col("_cov") + F.col("_zero"))
+    up = Window.partitionBy(*keys).orderBy(depth).rowsBetween(Window.unboundedPreceding, 0)
+    run = hist.withColumn("_run", F.sum(n).over(up)).join(own.select(*keys, "_zero", "_total"), list(keys))
+    med = run.groupBy(*keys).agg(F.min(F.when(F.col("_zero") + F.col("_run") >= F.col("_total") / 2, F.col(depth))).alias("_m"))
+    out = own.join(med, list(keys))
+    mean = F.col("_s1") / F.col("_total")
+    median = F.when(F.col("_zero") >= F.col("_total") / 2, F.lit(0)).otherwise(F.col("_m"))
+    even = F.sqrt(F.greatest(F.lit(0.0), F.col("_s2") / F.col("_total") - mean * mean)) / F.when(mean != 0, mean)
+    return out.select(*keys, (100.0 * F.col("_at") / F.col("_total")).alias("breadth"), median.alias("median"), even.alias("evenness"))
+
+
+def windows(df: DataFrame, keys: Sequence[str], pos: str, dp: str, size: int = 1000, callable_at: float = 30) -> DataFrame:
+    """Per fixed window over the positions that have a record: mean, zero and callable shares."""
+    w = F.floor((F.col(pos) - 1) / size)
+    return df.groupBy(*keys, w.alias("window")).agg(F.avg(dp).alias("mean"), (F.count_if(F.col(dp) == 0) / F.count(dp)).alias("zero"), (F.count_if(F.col(dp) >= callable_at) / F.count(dp)).alias("callable"))
+
+
+def feature_depth(points: DataFrame, features: DataFrame, feature: str, dp: str, callable_at: float = 30) -> DataFrame:
+    """Per feature of joined points: breadth, callable share, mean, and mean relative to the median of all points."""
+    genome = points.agg(F.median(dp).alias("_g"))
+    g = features.groupBy(feature).agg((F.count_if(F.col(dp) > 0) / F.count(dp)).alias("breadth"), (F.count_if(F.col(dp) >= callable_at) / F.count(dp)).alias("callable"), F.avg(dp).alias("mean"))
+    return g.join(F.broadcast(genome)).withColumn("relative", F.col("mean") / F.when(F.col("_g") != 0, F.col("_g"))).drop("_g")  # one row
+
+
+def lineage_fractions(df: DataFrame, keys: Sequence[str], lineage: Column, count: Column, cut: float = 2.0, least: int = 3) -> DataFrame:
+    """Shares of main lineages (before the first dot), and how many reach `cut` percent with `least` counts."""
+    n = df.groupBy(*keys, F.split_part(lineage, F.lit("."), F.lit(1)).alias("main")).agg(F.sum(count).alias("n"))
+    by = Window.partitionBy(*keys)
+    out = n.withColumn("fraction", F.col("n") / F.sum("n").over(by))
+    return out.withColumn("lineages", F.count_if((100 * F.col("fraction") >= cut) & (F.col("n") >= least)).over(by))
+
+
+def bands(x: Column, edges: Sequence[float]) -> Column:
+    """i for (edges[i], edges[i + 1]]; null outside."""
+    out = None
+    for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+        hit = (x > a) & (x <= b)
+        out = F.when(hit, F.lit(i)) if out is None else out.when(hit, F.lit(i))
+    return out
+
+
+MINORITY_EDGES = (0.0, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)
+
+
+def reproducibility(pairs: DataFrame, af: str, dp: str, hit: str, min_dp: float = 7, least_alt: float = 5) -> DataFrame:
+    """Per band of allele fraction how many sites could be seen again, and how many were."""
+    fair = pairs.where((F.col(dp) > min_dp) & (F.col(af) * F.col(dp) >= least_alt))
+    return fair.groupBy(bands(F.col(af), (*MINORITY_EDGES, 1.0)).alias("band")).agg(F.count(F.lit(1)).alias("tested"), F.count_if(hit).alias("seen")).where("band IS NOT NULL")
+
+
+def series_states(af: Column, dp: Column, min_dp: float = 7, fixed: float = 0.9) -> Column:
+    """fixed, minority, absent, unread or unchecked."""
+    return F.when(af >= fixed, "fixed").when(af > 0, "minority").when(dp.isNull(), "unchecked").when(dp > min_dp, "absent").otherwise("unread")
+
+
+_RANK = ("fixed", "minority", "absent", "unread", "unchecked")
+
+
+def series_gains(states: DataFrame, group: str, site: str, time: str, state: str) -> DataFrame:
+    """Against the first time: `new`, `risen`, `unknown` for sites fixed later, `lost` for sites fixed at first and absent later."""
+    rank = F.array_position(F.array(*map(F.lit, _RANK)), F.col(state))
+    first = states.groupBy(group).agg(F.min(time).alias("_t0"))
+    s = states.join(first, group)
+    base = s.where(F.col(time) == F.col("_t0")).groupBy(group, site).agg(F.min(rank).alias("_r"))
+    later = s.where(F.col(time) > F.col("_t0")).join(base, [group, site], "left")
+    start = F.coalesce(F.element_at(F.array(*map(F.lit, _RANK)), F.col("_r").cast("int")), F.lit("unchecked"))
+    change = (
+        F.when((F.col(state) == "fixed") & (start == "absent"), "new")
+        .when((F.col(state) == "fixed") & (start == "minority"), "risen")
+        .when((F.col(state) == "fixed") & (start != "fixed"), "unknown")
+        .when((F.col(state) == "absent") & (start == "fixed"), "lost")
+    )
+    return later.withColumn("change", change).where("change IS NOT NULL").select(group, site, time, "change")
+
+
+def trajectories(df: DataFrame, keys: Sequence[str], time: str, af: str, move: float = 0.15) -> DataFrame:
+    """Ordered trajectories that move, with their flags and class."""
+    t = df.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col(af).alias("af")))), lambda x: x["af"]).alias("traj"))
+    first, last = F.element_at("traj", 1), F.element_at("traj", -1)
+    top, low = F.array_max("traj"), F.array_min("traj")
+    out = t.where(top - low >= move)
+    emergence, fixation, loss = (first <= 0.10) & (top >= 0.25), (last >= 0.90) & (first < 0.90), (first >= 0.25) & (last <= 0.10)
+    label = F.when(emergence & fixation, "sweep").when(emergence, "emerge").when(loss, "lost").when(last > first, "rising").when(last < first, "declining").otherwise("stable")
+    return out.select(*keys, first.alias("first"), last.alias("last"), emergence.alias("emergence"), fixation.alias("fixation"), loss.alias("loss"), label.alias("label"))
+
+
+def rank_donors(df: DataFrame, event: Sequence[str], donor: str, score: str) -> DataFrame:
+    """Per event and donor the best score, its rank, the margin to the next, and whether the first is resolved."""
+    best = df.groupBy(*event, donor).agg(F.max(score).alias("score"))
+    by = Window.partitionBy(*event).orderBy(F.desc("score"), donor)
+    out = best.withColumn("rank", F.row_number().over(by)).withColumn("margin", F.col("score") - F.lead("score").over(by))
+    only = F.count(F.lit(1)).over(Window.partitionBy(*event)) == 1
+    return out.withColumn("status", F.when((F.col("rank") == 1) & only, "only candidate").when((F.col("rank") == 1) & (F.col("margin") >= 1), "resolved").otherwise("open"))
+
+
+def revise(df: DataFrame, n_cohort: Column, fraction: Column, others: Column, verdict_col: Column, bf: Column, unreadable: Column, divergent: Column, least: int = 5, ubiquitous: float = 0.9, strong: float = 2.0) -> DataFrame:
+    """`revised`: divergent sample, artefact that nearly all have, unreadable, corroborated by others, else as it was."""
+    out = (
+        F.when(divergent, "divergent_sample")
+        .when((n_cohort >= least) & (fraction >= ubiquitous), "reference_artifact")
+        .when(unreadable, "ambiguous")
+        .when((verdict_col == "ambiguous") & (bf >= strong) & (others >= 1), "gene_conversion")
+        .otherwise(verdict_col)
+    )
+    return df.withColumn("revised", out)
+
+
+def depleted_runs(df: DataFrame, keys: Sequence[str], pos: str, value: str, share: float = 0.5, least: int = 3) -> DataFrame:
+    """Runs of consecutive rows under `share` of the key's median, of `least` rows and more; other rows end a run."""
+    med = df.groupBy(*keys).agg(F.median(value).alias("_med"))
+    by = Window.partitionBy(*keys).orderBy(pos)
+    low = df.join(med, list(keys)).withColumn("_i", F.row_number().over(by)).where(F.col(value) < share * F.col("_med"))
+    runs = low.withColumn("_k", F.col("_i") - F.row_number().over(by)).groupBy(*keys, "_k").agg(F.min(pos).alias("start"), F.max(pos).alias("end"), F.count(F.lit(1)).alias("n"))
+    return runs.where(F.col("n") >= least).drop("_k")
+
+
+def inside_outside(df: DataFrame, keys: Sequence[str], inside: Column, value: str, least: int = 2) -> DataFrame:
+    """Means on both sides; null on a side with fewer than `least` sites."""
+    side = lambda cond, name: F.when(F.count_if(cond & F.col(value).isNotNull()) >= least, F.avg(F.when(cond, F.col(value)))).alias(name)
+    return df.groupBy(*keys).agg(side(inside, "inside"), side(~inside, "outside"))
+
+
+def acquired_kept_lost(df: DataFrame, group: str, time: str, item: str) -> DataFrame:
+    """(group, acquired, kept, lost): sets of the last time against the first."""
+    ends = df.groupBy(group).agg(F.min(time).alias("_a"), F.max(time).alias("_b"))
+    s = df.join(ends, group).groupBy(group).agg(F.collect_set(F.when(F.col(time) == F.col("_a"), F.col(item))).alias("_x"), F.collect_set(F.when(F.col(time) == F.col("_b"), F.col(item))).alias("_y"))
+    n = lambda a: F.size(a)
+    return s.select(group, n(F.array_except("_y", "_x")).alias("acquired"), n(F.array_intersect("_x", "_y")).alias("kept"), n(F.array_except("_x", "_y")).alias("lost"))
+
+
+def worst_grades(df: DataFrame, sample: str, drug: str, grade: str, drugs: Sequence[str]) -> DataFrame:
+    """One row per sample with the least grade of each drug as a column, null where there is none."""
+    return df.groupBy(sample).pivot(drug, list(drugs)).agg(F.min(grade))
+
+
+def composite_parts(label: Column, known: Sequence[str]) -> Column:
+    """The parts of a_b_c if every part is a known code, else the whole label."""
+    parts = F.split(label, "_")
+    return F.when(F.forall(parts, lambda p: p.isin(*known)), parts).otherwise(F.array(label))
+
+
+def background(df: DataFrame, keys: Sequence[str], metrics: Sequence[str], sample: str) -> DataFrame:
+    """Medians of a locus over the cohort, and how many samples it rests on."""
+    return df.groupBy(*keys).agg(*[F.median(m).alias("med_" + m) for m in metrics], F.count_distinct(sample).alias("samples"))
+
+
+def divergent(df: DataFrame, sample: str, event: str, called: Column, share: float = 0.1, events: int = 20, least: int = 5) -> DataFrame:
+    """Samples with more than `share` of their events called, over `events` events and `least` calls at least."""
+    g = df.groupBy(sample).agg(F.count_distinct(F.when(called, F.col(event))).alias("called"), F.count_distinct(event).alias("events"))
+    return g.where((F.col("events") >= events) & (F.col("called") >= least) & (F.col("called") / F.col("events") > share))
+
+
+def group_mismatch(pairs: DataFrame, member: str, group: str, distance_in: str, limit: float = 12, least: int = 3) -> DataFrame:
+    """Members far from a tight group: the upper median of its members' nearest distances is within the limit, theirs isn't."""
+    v = F.array_sort(F.collect_list(distance_in))
+    g = pairs.groupBy(group).agg(F.count(distance_in).alias("_n"), F.get(v, (F.size(v) / 2).cast("int")).alias("_m"))
+    tight = g.where((F.col("_n") >= least) & (F.col("_m") <= limit)).select(group)
+    return pairs.join(tight, group, "left_semi").where(F.col(distance_in) > limit)
+
+
+def epistasis(df: DataFrame, series: str, site: str, time: str, af: str, strong: float = 0.8) -> DataFrame:
+    """(a, b, r, series): mean correlation of two sites' trajectories over the series that have both on three times."""
+    a = df.select(series, time, F.col(site).alias("a"), F.col(af).alias("x"))
+    b = df.select(series, time, F.col(site).alias("b"), F.col(af).alias("y"))
+    from strandwise.operators.stats import pearson
+
+    r = a.join(b, [series, time]).where("a < b").groupBy("a", "b", series).agg(pearson("x", "y").alias("r")).where("r IS NOT NULL")
+    return r.groupBy("a", "b").agg(F.avg("r").alias("r"), F.count(F.lit(1)).alias("n_series")).where(F.abs("r") >= strong)

@@ -128,10 +128,10 @@ def edge_histogram(t: Tables) -> DataFrame:
 
 
 @query("""WITH v AS (SELECT l_suppkey, count(*) FILTER (l_returnflag = 'R')::DOUBLE AS v FROM lineitem GROUP BY 1), m AS (SELECT median(v) AS med FROM v)
-SELECT l_suppkey, CASE WHEN v >= greatest(2, 4 * med) THEN 'severe' ELSE 'elevated' END AS level FROM v, m WHERE v >= greatest(1, 2 * med) OR v >= greatest(1, 1.2 * med)""")
+SELECT l_suppkey, CASE WHEN v >= greatest(2, 4 * med) THEN 'severe' ELSE 'elevated' END AS level FROM v, m WHERE v >= greatest(1, 2 * med) OR v >= greatest(1, 1.05 * med)""")
 def elevated_screen(t: Tables) -> DataFrame:
     v = t.lineitem.groupBy("l_suppkey").agg(F.count_if(F.col("l_returnflag") == "R").cast("double").alias("v"))
-    return ST.elevated(v, "v", factor=1.2).select("l_suppkey", "level")
+    return ST.elevated(v, "v", factor=1.05).select("l_suppkey", "level")
 
 
 @query(f"SELECT l_orderkey, {sql_q6('max(l_discount * 10) + ln(sum(exp(l_discount * 10 - m)) / exp(max(l_discount * 10) - any_value(m)))')} AS lse FROM (SELECT *, max(l_discount * 10) OVER (PARTITION BY l_orderkey) AS m FROM lineitem) GROUP BY 1")

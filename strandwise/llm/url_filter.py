@@ -132,23 +132,19 @@ def parse_url(url: Column) -> tuple[Column, Column]:
 
 
 def candidates(host: Column, path: Column, shapes: Sequence[tuple[int, int]]) -> Column:
-    """The keys of a url, longest first: its last `labels` host labels with the first `chars` of its path, by shape."""
+    """The keys of a url: its last `labels` host labels with the first `chars` of its path, by shape.
+
+    Longest first; of equally long ones, in the order of `shapes`.
+    """
     dots = F.length(host) - F.length(F.translate(host, ".", ""))
-    return F.filter(
-        F.array_sort(
-            F.array(
-                *[
-                    F.when(
-                        (dots >= labels - 1) & (F.length(path) >= chars) & (F.length(host) > 0),
-                        F.concat(F.substring_index(host, ".", -labels), F.substring(path, F.lit(1), F.lit(chars))),
-                    )
-                    for labels, chars in shapes
-                ]
-            ),
-            lambda a, b: F.coalesce(F.length(b) - F.length(a), F.lit(0)),
-        ),
-        lambda k: k.isNotNull(),
-    )
+    keys = [
+        F.when(
+            (dots >= labels - 1) & (F.length(path) >= chars) & (F.length(host) > 0),
+            F.concat(F.substring_index(host, ".", -labels), F.substring(path, F.lit(1), F.lit(chars))),
+        )
+        for labels, chars in shapes
+    ]
+    return F.array_sort(F.array_compact(F.array(*keys)), lambda a, b: F.length(b) - F.length(a))
 
 
 def url_filter(
@@ -166,7 +162,7 @@ def url_filter(
     spark = pages.sparkSession
     host, path = parse_url(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
-    shapes = sorted({(r.host.count(".") + 1, len(r.path)) for r in rules})
+    shapes = sorted({(r.host.count(".") + 1, len(r.path)) for r in rules}, reverse=True)  # longer hosts win ties
     keyed = rows.withColumn("keys", candidates(F.col("host"), F.col("path"), shapes)) if shapes else rows.withColumn("keys", F.array().cast("array<string>"))
     universe = staged(keyed.select(F.explode("keys").alias("key")).distinct(), "universe")
     built = {}

@@ -13,6 +13,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandwise.session import staged
+
 AXES = ("source", "lang", "topic")
 NONE, REST = "(none)", "(rest)"
 
@@ -85,7 +87,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params:
         named = named.withColumn(prefix + axis, F.coalesce(F.col(axis).cast("string"), F.lit(NONE)))
 
     goals, pools = [], {}
-    sums = named.groupBy(*[prefix + a for a in AXES]).agg(F.sum(prefix + "tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
+    # texts are read twice, here and for the result; all that the plan needs comes from these sums
+    sums = staged(named.groupBy(*[prefix + a for a in AXES]).agg(F.sum(prefix + "tokens").alias("tokens")), "mix-sums")
     for axis in AXES:
         fixed, most = params.targets.get(axis, {}), params.categories[axis]
         by = sums.groupBy(F.col(prefix + axis).alias("c")).agg(F.sum("tokens").alias("t"))

@@ -47,10 +47,14 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_r
         one = spread(a, ls, le).alias("l").join(spread(b, rs, re_).alias("r"), [*keys, "_bucket"])
         hit = (F.col(ls) <= F.col(re_)) & (F.col(rs) <= F.col(le)) & (F.floor(F.greatest(F.col(ls), F.col(rs)) / bucket) == F.col("_bucket"))
         return one.where(hit).drop("_bucket")
-    tagged = left.withColumn("_row", F.monotonically_increasing_id())
     spare = spread(b.select(*keys, F.col(rs).alias("_rs"), F.col(re_).alias("_re")), "_rs", "_re")
-    met = spread(tagged.where(F.col(ls) <= F.col(le)), ls, le).join(spare, [*keys, "_bucket"]).where((F.col(ls) <= F.col("_re")) & (F.col("_rs") <= F.col(le)))
-    return tagged.join(met.select("_row").distinct(), "_row", how).drop("_row")
+    met = spread(a.distinct(), ls, le).join(spare, [*keys, "_bucket"]).where((F.col(ls) <= F.col("_re")) & (F.col("_rs") <= F.col(le)))
+    met = met.select(*[F.col(c).alias("_m_" + c) for c in left.columns]).distinct()  # equal rows share their answer
+    same = None
+    for c in left.columns:
+        one = F.col(c).eqNullSafe(F.col("_m_" + c))
+        same = one if same is None else same & one
+    return left.join(met, same, how)
 
 
 def point_in_interval(points: DataFrame, intervals: DataFrame, keys: Sequence[str], pos: str, bucket: int, start: str = "start", end: str = "end", how: str = "left_semi") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -198,8 +199,6 @@ def chi2_tail(x: float, k: float) -> float:
 
 def spearman_p(df: DataFrame, rho: str = "rho", n: str = "n") -> DataFrame:
     """`p` of a rank correlation by Student's t; an Arrow UDF, since no built-in has the distribution."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def p(r: pd.Series, k: pd.Series) -> pd.Series:
         return pd.Series([None if pd.isna(a) or b < 4 else 0.0 if abs(a) >= 1 else student_p(a * ((b - 2) / (1 - a * a)) ** 0.5, b - 2) for a, b in zip(r, k, strict=True)], dtype="float64")

@@ -143,7 +143,7 @@ def consensus(records: DataFrame, masks: DataFrame, lengths: DataFrame, p: Conse
     odd = F.exists(used, lambda c: F.coalesce(~c["b"].isin("A", "C", "G", "T"), F.lit(True)))
     union = F.when((F.size(used) == 0) | odd, F.lit("X")).otherwise(G.iupac(F.transform(used, lambda c: c["b"])))
     decided = g.select("contig", "pos", F.when(F.col("failed"), F.lit("X")).when(F.col("dp") <= p.min_dp, gap).when((F.col("n") == 1) & F.col("bare"), F.col("mono")).otherwise(union).alias("own"))
-    axis = lengths.select("contig", F.explode(F.sequence(F.lit(1), F.col("length"))).cast("bigint").alias("pos"))
+    axis = lengths.select("contig", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("length").cast("bigint"))).alias("pos"))
     marked = masks.select("contig", "pos").distinct().withColumn("_m", F.lit(True))
     out = axis.join(decided, ["contig", "pos"], "left").join(marked, ["contig", "pos"], "left")
     return out.select("contig", "pos", F.when(F.col("_m"), F.lit("X")).otherwise(F.coalesce("own", gap)).alias("base"))

@@ -50,11 +50,12 @@ def founder_clusters(df: DataFrame, keys: Sequence[str], start: str, end: str, c
     def run(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values([start, end, carrier], kind="stable")
         f = founders(g[start].to_numpy(), g[end].to_numpy())
-        rows = []
-        for n, i in enumerate(sorted(set(f.tolist()))):
-            own = g[f == i]
-            upper = lambda v: int(np.sort(v)[len(v) // 2])
-            rows.append(_values(g, keys) | {"region": n, "carriers": own[carrier].nunique(), "start": upper(own[start].to_numpy()), "end": upper(own[end].to_numpy())})
+        order = np.argsort(f, kind="stable")  # members of a region together, regions by founder
+        first = np.flatnonzero(np.diff(f[order], prepend=-1))
+        parts = np.split(order, first[1:])
+        starts, ends, who = g[start].to_numpy(), g[end].to_numpy(), g[carrier].to_numpy()
+        upper = lambda v: int(np.sort(v)[len(v) // 2])
+        rows = [_values(g, keys) | {"region": n, "carriers": len(set(who[own].tolist())), "start": upper(starts[own]), "end": upper(ends[own])} for n, own in enumerate(parts)]
         return pd.DataFrame(rows)
 
     return df.groupBy(*keys).applyInPandas(run, f"{_kinds(df, keys)}, region long, carriers long, start long, `end` long")

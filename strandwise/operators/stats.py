@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 SCALE = 1.4826
 
 
-def robust_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """(keys, med, sigma): midpoint median and 1.4826 MAD; else the population SD; else 1."""
-    med = df.groupBy(*keys).agg(F.median(value).alias("med"))
-    near = df.join(F.broadcast(med) if not keys else med, list(keys)) if keys else df.crossJoin(F.broadcast(med))
-    out = near.groupBy(*keys, "med").agg(F.median(F.abs(F.col(value) - F.col("med"))).alias("mad"), F.stddev_pop(value).alias("sd"))
+def robust_stats(df: DataFrame, keys: Sequence[str], value: str, accuracy: int | None = None) -> DataFrame:
+    """(keys, med, sigma): midpoint median and 1.4826 MAD; else the population SD; else 1.
+
+    Exact medians keep a group's distinct values; `accuracy` takes approximate ones, in bounded memory, instead.
+    """
+    mid = (lambda c: F.median(c)) if accuracy is None else (lambda c: F.approx_percentile(c, 0.5, accuracy))
+    med = df.groupBy(*keys).agg(mid(F.col(value)).alias("med"))
+    near = df.join(med, list(keys)) if keys else df.crossJoin(F.broadcast(med))  # one row
+    out = near.groupBy(*keys, "med").agg(mid(F.abs(F.col(value) - F.col("med"))).alias("mad"), F.stddev_pop(value).alias("sd"))
     sigma = F.when(F.col("mad") > 0, SCALE * F.col("mad")).when(F.col("sd") > 0, F.col("sd")).otherwise(F.lit(1.0))
     return out.select(*keys, "med", sigma.alias("sigma"))
 

@@ -38,6 +38,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
     It cuts the lineage: what comes after survives the loss of any executor and never runs the plan above twice.
     """
-    path = f"{shared_root(df.sparkSession)}/strandwise/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/strandwise/{spark.sparkContext.applicationId}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove the application's staged tables, once no DataFrame that reads them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -57,3 +57,11 @@ def test_lift(spark):
     layout = spark.createDataFrame(spacer_offsets([("a", 50), ("b", 70)], 10), "contig string, first long, last long")
     local = {r["pos"]: (r["contig"], r["local"]) for r in to_local(spark.createDataFrame([(1,), (50,), (55,), (61,)], "pos long"), layout, bucket=16).collect()}
     assert local == {1: ("a", 1), 50: ("a", 50), 61: ("b", 1)}
+
+
+def test_staged_tables(spark):
+    from strandwise.session import drop_staged, staged
+
+    df = staged(spark.range(5).where("id > 9"), "none")
+    assert df.count() == 0 and df.columns == ["id"]
+    drop_staged(spark)

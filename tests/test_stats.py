@@ -24,6 +24,8 @@ def test_robust_fallbacks(spark):
     got = {r["k"]: r for r in ST.robust_stats(df, ["k"], "v").collect()}
     assert got["flat"]["sigma"] == 1.0
     assert got["spike"]["sigma"] == pytest.approx(np.std([1.0] * 9 + [5.0]))
+    near = {r["k"]: r["med"] for r in ST.robust_stats(df, ["k"], "v", accuracy=1000).collect()}
+    assert near["flat"] == near["spike"] == 1.0 and near["even"] in (1.0, 2.0)
     assert got["even"]["med"] == 1.5 and got["even"]["sigma"] == pytest.approx(1.4826)
 
 

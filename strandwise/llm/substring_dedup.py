@@ -4,6 +4,7 @@
    equal anchors. Neighbouring windows with the same anchor make one segment, named by the anchor and a hash of its
    bytes. Segments whose anchor occurs once in the corpus can't repeat and end here.
 2. The others meet by anchor. Of equal segments one goes on, with the news that it has copies, so copies cost nothing.
+   Anchors that a sample shows to be common don't meet: their distinct segments are added up where the rows lie.
 3. Tasks cut the sorted anchors into shards of bounded size. A shard's suffix array comes from Larsson-Sadakane
    refinement: unresolved groups are re-sorted by the rank of what follows, doubling the depth, with rank pair and
    position in one machine word. Kasai's walk, one lane per segment, gives the common prefix of each window with its
@@ -37,6 +38,7 @@ class SubstringParams:
     length: int = 200  #: bytes that make a repeat; 33 at least, and less than 800
     chunk: int = 1 << 20  #: bytes scanned for anchors at once
     shard: int = 1 << 19  #: bytes in a suffix array, 2 ** 20 - 2 at most
+    common: int = 4096  #: rows from which an anchor is dealt with as a common one, more in a large corpus; speed only
 
 
 ANCHOR = 32
@@ -395,11 +397,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     kind = docs.schema[id_col].dataType.simpleString()
     length = params.length
-    runs = rows.select("k1", "k2", "body").mapInArrow(_scan(length, params.chunk), "h long, g long, k1 long, k2 long, place long")
-    sorted_ = runs.repartition("h").sortWithinPartitions("h", "g")
+    runs = staged(rows.select("k1", "k2", "body").mapInArrow(_scan(length, params.chunk), "h long, g long, k1 long, k2 long, place long"), "anchors")
+
+    # an anchor that is common repeats for sure; its rows stay where they are and only its distinct segments move
+    limit = max(params.common, runs.count() // 1024)
+    guess = runs.where(F.pmod(F.xxhash64("k2", "place"), F.lit(32)) == 0).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    common = [r["h"] for r in guess.where(F.col("n") >= max(2, limit // 32)).orderBy(F.desc("n"), "h").limit(1024).collect()]
+    usual, hot = (runs.where(~F.col("h").isin(common)), runs.where(F.col("h").isin(common))) if common else (runs, None)
+    sorted_ = usual.repartition("h").sortWithinPartitions("h", "g")
     again = staged(sorted_.mapInArrow(_repeated, "h long, g long, k1 long, k2 long, place long, lead boolean, copies boolean"), "repeated-anchors")
-
-    wanted = again.where("lead").groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "g", "copies", "place")).alias("own"))
+    leads = again.where("lead").select("h", "g", "copies", "k1", "k2", "place")
+    again = again.select("h", "g", "k1", "k2", "place")
+    if hot is not None:
+        one = hot.groupBy("h", "g").agg((F.count(F.lit(1)) > 1).alias("copies"), F.min(F.struct("k1", "k2", "place")).alias("x"))
+        leads = leads.unionByName(one.select("h", "g", "copies", "x.k1", "x.k2", "x.place"))
+        again = again.unionByName(hot.select("h", "g", "k1", "k2", "place"))
+
+    wanted = leads.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "g", "copies", "place")).alias("own"))
     segments = rows.join(wanted, ["k1", "k2"]).select("k1", "k2", "id", "body", "own").mapInArrow(_segments(length), "h long, g long, copies boolean, bytes binary")
     found = segments.repartition("h").sortWithinPartitions("h", "g").mapInArrow(_shards(length, params.shard), "h long, g long, a long, b long")
     at = F.shiftright("place", 10)

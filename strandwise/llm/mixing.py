@@ -71,23 +71,28 @@ def rake(cells: list[tuple[str, ...]], tokens: np.ndarray, goals: list[dict[str,
     return w
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: MixParams = MixParams(), prefix: str = "mix_") -> DataFrame:
+def measure(docs: DataFrame, text_col: str = "text", prefix: str = "mix_") -> DataFrame:
+    """`docs` with tokens and topic of each text, after `prefix`; with them, `mix` needs no text."""
+    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    out = docs.drop(prefix + "tokens", prefix + "topic").withColumn(prefix + "tokens", F.regexp_count(body, F.lit(r"\S+")).cast("long"))
+    return out.withColumn(prefix + "topic", topic_of(body, F.col(prefix + "tokens")))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: MixParams = MixParams(), prefix: str = "mix_", measured: bool = False) -> DataFrame:
     """`docs` with the columns topic, tokens, weight, probability and sampled, each after `prefix`.
 
     `weight` is the share of the mixture that the document's cell gets. Null source or language is "(none)"; null and
     empty texts have no tokens, the topic "short", and go with their cell. Rows that repeat an id share its decision;
-    a null id has one of its own. Columns of these names are replaced; no rows give no rows.
+    a null id has one of its own. Columns of these names are replaced; no rows give no rows. measured: `docs` comes from
+    `measure`.
     """
     spark = docs.sparkSession
-    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    named = docs.drop(*[prefix + c for c in ("topic", "tokens", "weight", "probability", "sampled", "source", "lang")])
-    named = named.withColumn(prefix + "tokens", F.regexp_count(body, F.lit(r"\S+")).cast("long"))
-    named = named.withColumn(prefix + "topic", topic_of(body, F.col(prefix + "tokens")))
+    named = (docs if measured else measure(docs, text_col, prefix)).drop(*[prefix + c for c in ("weight", "probability", "sampled", "source", "lang")])
     for axis in ("source", "lang"):
         named = named.withColumn(prefix + axis, F.coalesce(F.col(axis).cast("string"), F.lit(NONE)))
 
     goals, pools = [], {}
-    # texts are read twice, here and for the result; all that the plan needs comes from these sums
+    # unless measured, texts are read twice, here and for the result; all that the plan needs comes from these sums
     sums = staged(named.groupBy(*[prefix + a for a in AXES]).agg(F.sum(prefix + "tokens").alias("tokens")), "mix-sums")
     for axis in AXES:
         fixed, most = params.targets.get(axis, {}), params.categories[axis]
@@ -121,5 +126,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params:
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang")
-    out = mix(docs)
+    out = mix(staged(measure(docs).drop("text"), "measured"), measured=True)
     return out.select("doc_id", "source", "lang", *[F.col("mix_" + c).alias(c) for c in ("topic", "tokens", "weight", "probability", "sampled")])

@@ -10,7 +10,10 @@ from strandwise.sources.tables import lines
 
 
 def read_fasta(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
-    """(file, ord, contig, seq): upper-cased; the name is the header's first word. strict: a header without one fails."""
+    """(file, ord, contig, seq): upper-cased; the name is the header's first word. strict: a header without one fails.
+
+    A file is one task's text: for genomes of up to some hundred megabases.
+    """
     raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     recs = raw.select("file", F.posexplode(F.split("value", r"(?m)^>")).alias("ord", "rec")).where("ord > 0")
     head = F.substring_index("rec", "\n", 1)
@@ -67,12 +70,12 @@ def read_csv_mask(spark: SparkSession, path: str, contigs: DataFrame) -> DataFra
     return t.where(flagged).join(F.broadcast(one)).select(name.alias("contig"), whole(F.col("rv_position")).alias("pos")).where("pos IS NOT NULL")  # one row
 
 
-def read_vcf(spark: SparkSession, path: str) -> DataFrame:
+def read_vcf(spark: SparkSession, path: str, skip_corrupt: bool = False) -> DataFrame:
     """sample, contig, pos, ref, alt, qual, filter, info and fmt (maps), file, ord. Malformed rows are skipped.
 
-    The sample is the tenth column's name, else the file's stem.
+    The sample is the tenth column's name, else the file's stem. skip_corrupt: a truncated gzip file counts as absent.
     """
-    raw = lines(spark, path)
+    raw = lines(spark, path, skip_corrupt)
     f = F.split("text", "\t")
     stem = F.regexp_replace(F.regexp_extract("file", r"([^/]*)$", 1), r"\.vcf(\.gz)?$", "")
     heads = raw.where(F.col("text").startswith("#CHROM")).select("file", F.get(f, F.lit(9)).alias("named"))
@@ -99,9 +102,12 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_reads(spark: SparkSession, path: str) -> DataFrame:
-    """(file, read, seq, qual) of four-line records; the name loses its comment and its /1 or /2."""
-    raw = lines(spark, path)
-    rec = raw.withColumn("r", F.floor(F.col("line") / 4)).groupBy("file", "r").agg(F.array_sort(F.collect_list(F.struct("line", "text"))).alias("x")).where(F.size("x") == 4)
+    """(file, read, seq, qual) of four-line records; the name loses its comment and its /1 or /2.
+
+    Lines are numbered by a sort of each file, which spills.
+    """
+    n = F.row_number().over(Window.partitionBy("file").orderBy("line"))
+    rec = lines(spark, path).withColumn("r", F.floor((n - 1) / 4)).groupBy("file", "r").agg(F.array_sort(F.collect_list(F.struct("line", "text"))).alias("x")).where(F.size("x") == 4)
     t = lambda i: F.col("x")[i]["text"]
     return rec.where(t(0).startswith("@")).select("file", F.regexp_replace(F.regexp_extract(t(0), r"^@(\S+)", 1), "/[12]$", "").alias("read"), t(1).alias("seq"), t(3).alias("qual"))
 

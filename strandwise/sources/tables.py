@@ -15,10 +15,19 @@ SHEET_REQUIRED = ("sampleId", "r1", "refId", "refFasta", "refGff")
 SHEET_NULLS = ("", ".", "NA", "N/A", "null", "-")
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, text): text lines with their place in the file. gzip files are read whole by one task each."""
-    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return raw.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line", "text"))
+def lines(spark: SparkSession, path: str, skip_corrupt: bool = False) -> DataFrame:
+    """(file, line, text): text lines; `line` is (block start, row), which orders a file's lines but doesn't number them.
+
+    Plain files are split over tasks, gzip files are one task's stream each. A file that ends too early fails the read,
+    or, with skip_corrupt, gives no line at all: it is read once before to see that.
+    """
+    raw = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower()).text(path)
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = raw.select(F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), row.alias("row")).alias("line"), F.regexp_replace("value", r"\r$", "").alias("text"))
+    if not skip_corrupt:
+        return rows
+    whole_ = spark.read.option("ignoreCorruptFiles", "true").text(path, wholetext=True).where(F.length("value") >= 0).select(F.col("_metadata.file_path").alias("file"))
+    return rows.join(whole_.distinct(), "file", "left_semi")
 
 
 def read_tsv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

@@ -36,6 +36,30 @@ def test_vcf(spark, put, name):
     assert d == {10: 31.0, 12: 7.0}
 
 
+def test_truncated_files_count_as_absent(spark, put, tmp_path):
+    good = put("good.vcf.gz", VCF)
+    long_ = VCF + "".join(f"c1\t{i}\t.\tA\tG\t{i * 7919 % 997}\tPASS\tDP={i * 31 % 101}\tGT\t1\n" for i in range(20, 20000))
+    bad = tmp_path / "bad.vcf.gz"
+    bad.write_bytes(gzip.compress(long_.encode())[:-400])
+    got = G.read_vcf(spark, str(tmp_path), skip_corrupt=True)
+    assert {r["file"].rsplit("/", 1)[-1] for r in got.select("file").distinct().collect()} == {"good.vcf.gz"}
+    with pytest.raises(Exception, match="(?i)eof|end of"):
+        G.read_vcf(spark, str(tmp_path)).collect()
+    assert good
+
+
+def test_split_files_keep_their_order(spark, put):
+    p = put("long.txt", "\n".join(f"k{i}\t{i}" for i in range(5000)) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = T.lines(spark, p)
+        assert df.rdd.getNumPartitions() > 3
+        assert [r["text"] for r in df.orderBy("line").collect()] == [f"k{i}\t{i}" for i in range(5000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_fasta(spark, put):
     p = put("a.fa", ">c1 some words\nacg\nTT\n>c2\nNN\n")
     fa = G.read_fasta(spark, p)

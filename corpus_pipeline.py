@@ -24,11 +24,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the largest doc_id of equal texts."""
-    kept = exact_dedup.exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    own = docs.withColumn("_digest", F.sha2(F.coalesce("text", F.lit("")), 256))
-    own = own.withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id", "_digest").orderBy(F.lit(0)))).where("_nth = 1")
-    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_sha") == F.col("_digest"))
-    return own.join(kept, same, "left_semi").select(*docs.columns)
+    ident = lambda: F.coalesce(F.col("doc_id").cast("string"), F.lit(""))  # noqa: E731  a null id is one as well
+    kept = exact_dedup.exact_dedup(docs).where("kept").select(ident().alias("_id"), F.col("text_sha256").alias("_digest"))
+    own = docs.withColumn("_id", ident()).withColumn("_digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+    # the window and the join have the same keys: texts move once
+    once = own.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_digest").orderBy(F.lit(0)))).where("_nth = 1")
+    return once.join(kept, ["_id", "_digest"], "left_semi").select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -119,10 +119,15 @@ def kmer_unique_both(t: Tables) -> DataFrame:
     def grams(df: DataFrame, id_col: str) -> DataFrame:
         w = F.filter(F.split(F.lower("text"), r"\s+"), lambda x: x != "")
         at = df.select(F.col(id_col).alias("id"), w.alias("w")).where(F.size("w") >= 5)
-        own = at.select("id", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 4), lambda i: F.array_join(F.slice("w", i, 5), " "))).alias("gram"))
-        return own.groupBy("gram").agg(F.min("id").alias(id_col), F.count(F.lit(1)).alias("n")).where("n = 1").drop("n")
+        return at.select("id", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 4), lambda i: F.array_join(F.slice("w", i, 5), " "))).alias("gram"))
 
-    return grams(t.documents, "doc_id").join(grams(t.benchmark, "item_id"), "gram").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
+    def once(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("gram").agg(F.min("id").alias(name), F.count(F.lit(1)).alias("n")).where("n = 1").drop("n")
+
+    b = once(grams(t.benchmark, "item_id"), "item_id")
+    # only the benchmark's grams need counting among the documents': the others never reach the shuffle
+    d = once(grams(t.documents, "doc_id").join(b, "gram", "left_semi"), "doc_id")
+    return d.join(b, "gram").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""WITH c AS (SELECT vec_id, label, list_reduce(list_transform(embedding[1:16], lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END), lambda a, x: a * 2 + x)::BIGINT AS code FROM embeddings)

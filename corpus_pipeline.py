@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandwise.llm import exact_dedup, language, mixing, packing, simhash
+from strandwise.llm import exact_dedup, language, mixing, packing, similar
 from strandwise.session import staged
 
 #: A text stays whose language is known with this score at least; sure predictions score far above it.
@@ -33,10 +33,12 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each class of near duplicates."""
-    classes = simhash.simhash_dedup(docs)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi").select(*docs.columns)
+    """Keeps the smallest doc_id of each class of near duplicates: texts with a 5-word Jaccard similarity of 0.8 or more."""
+    keyed = docs.withColumn("_key", similar.key_of("doc_id", "text"))
+    classes = similar.similar_classes(docs)
+    least = F.min_by("key", F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
+    kept = keyed.select(F.col("_key").alias("key"), "doc_id").distinct().join(classes, "key").groupBy("root").agg(least.alias("_key")).select("_key")
+    return keyed.join(kept, "_key", "left_semi").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

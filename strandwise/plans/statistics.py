@@ -32,7 +32,7 @@ def quantiles_fences(t: Tables) -> DataFrame:
   rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_returnflag, l_extendedprice) - 1) / 2.0 AS b FROM lineitem WHERE l_linenumber = 1)
 SELECT l_returnflag, {sql_q6('corr(a, b)')} AS rho, count(*) AS n FROM r GROUP BY 1""")
 def rank_avg_spearman(t: Tables) -> DataFrame:
-    s = ST.spearman(t.lineitem.where("l_linenumber = 1"), ["l_returnflag"], "l_quantity", "l_extendedprice")
+    s = ST.spearman(t.lineitem, ["l_returnflag"], "l_quantity", "l_extendedprice")
     return s.select("l_returnflag", S.q6("rho").alias("rho"), "n")
 
 
@@ -240,7 +240,7 @@ def occupancy(t: Tables) -> DataFrame:
 c AS (SELECT *, sum(share) OVER (PARTITION BY event_type ORDER BY share DESC, event_id ROWS UNBOUNDED PRECEDING) - share AS before FROM s)
 SELECT event_type, {sql_q6('min(value)')} AS low, {sql_q6('max(value)')} AS high FROM c WHERE before < 0.95 GROUP BY 1""")
 def credible_interval(t: Tables) -> DataFrame:
-    w = t.events.where("event_id % 10 = 0").withColumn("wt", F.exp(-F.abs(F.col("value") - 50) / 10))
+    w = t.events.withColumn("wt", F.exp(-F.abs(F.col("value") - 50) / 10))
     return ST.highest_density(w, ["event_type"], "value", "wt", ["event_id"], 0.95).select("event_type", S.q6("low").alias("low"), S.q6("high").alias("high"))
 
 

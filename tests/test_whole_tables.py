@@ -10,6 +10,8 @@ from strandwise.plans import catalogue
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
 
 FILTERS = {
+    "rank_avg_spearman": " WHERE l_linenumber = 1",
+    "credible_interval": " WHERE event_id % 10 = 0",
     "rank_donors": " WHERE l_partkey % 4 = 1",
 }
 

@@ -10,6 +10,9 @@ from strandwise.plans import catalogue
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
 
 FILTERS = {
+    "region_exclusion": " WHERE o_orderkey % 97 = 0",
+    "point_in_interval": " WHERE o_orderkey % 29 = 0",
+    "bucket_argmin_join": " WHERE o_orderkey % 5 = 0",
     "rank_avg_spearman": " WHERE l_linenumber = 1",
     "credible_interval": " WHERE event_id % 10 = 0",
     "rank_donors": " WHERE l_partkey % 4 = 1",

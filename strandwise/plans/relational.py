@@ -289,8 +289,10 @@ def top_k_sorts(t: Tables) -> DataFrame:
 @query("""SELECT user_id, row_number() OVER (ORDER BY t NULLS LAST, user_id) AS nth FROM (SELECT user_id, min(CASE WHEN event_type = 'signup' THEN day(ts) END) AS t FROM events GROUP BY 1) QUALIFY nth <= 100""")
 def nulls_last(t: Tables) -> DataFrame:
     u = t.events.groupBy("user_id").agg(F.min(F.when(F.col("event_type") == "signup", F.day("ts"))).alias("t"))
-    first = u.orderBy(F.asc_nulls_last("t"), "user_id").limit(100)  # the feature: a ranked report of a hundred
-    return first.withColumn("nth", long(F.row_number().over(Window.orderBy(F.asc_nulls_last("t"), "user_id")))).select("user_id", "nth")
+    up = Window.orderBy(F.asc_nulls_last("d")).rowsBetween(Window.unboundedPreceding, -1)
+    days = u.groupBy(F.col("t").alias("d")).agg(F.count(F.lit(1)).alias("n")).select("d", F.coalesce(F.sum("n").over(up), F.lit(0)).alias("before"))  # 32 rows at most
+    nth = F.row_number().over(Window.partitionBy("t").orderBy("user_id")) + F.col("before")
+    return u.join(F.broadcast(days), F.col("t").eqNullSafe(F.col("d"))).select("user_id", long(nth).alias("nth"))
 
 
 @query("SELECT l_partkey, n FROM (SELECT l_partkey, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY 1) ORDER BY n DESC, l_partkey LIMIT 50")

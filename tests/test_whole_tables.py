@@ -10,6 +10,7 @@ from strandwise.plans import catalogue
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
 
 FILTERS = {
+    "nulls_last": " QUALIFY nth <= 100",
     "region_exclusion": " WHERE o_orderkey % 97 = 0",
     "point_in_interval": " WHERE o_orderkey % 29 = 0",
     "bucket_argmin_join": " WHERE o_orderkey % 5 = 0",

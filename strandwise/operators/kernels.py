@@ -141,10 +141,13 @@ def permutation_p(df: DataFrame, pair: str, series: str, time: str, x: str, y: s
         if not rs:
             return pd.DataFrame([{pair: g[pair].iloc[0], "r": None, "n_series": 0, "p": None}])
         seen = abs(np.mean(rs))
+        # shuffles change neither mean nor deviation: a correlation is one product of unit vectors; flat series only use the generator
+        unit = lambda v: (v - v.mean()) / np.linalg.norm(v - v.mean())
+        units = [(a, None) if _r(a, b) is None else (unit(a), unit(b)) for a, b in own]
         hits = 0
         for _ in range(rounds):
-            mixed = [r for a, b in own if (r := _r(rng.permutation(a), b)) is not None]
-            hits += bool(mixed) and abs(np.mean(mixed)) >= seen - 1e-12
+            mixed = [float(m @ b) for a, b in units if (m := rng.permutation(a)) is not None and b is not None]
+            hits += abs(sum(mixed) / len(mixed)) >= seen - 1e-12
         return pd.DataFrame([{pair: g[pair].iloc[0], "r": float(np.mean(rs)), "n_series": len(rs), "p": (1 + hits) / (rounds + 1)}])
 
     return df.groupBy(pair).applyInPandas(run, f"{_kinds(df, [pair])}, r double, n_series long, p double")

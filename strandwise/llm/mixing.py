@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandwise.session import staged
@@ -26,7 +26,8 @@ class MixParams:
     #: without a target, an axis gets its own shares of tokens to this power, which lifts small categories
     budget: float = 0.5  #: share of the corpus's tokens to sample
     categories: dict[str, int] = field(default_factory=lambda: {"source": 1024, "lang": 64, "topic": 16})
-    #: the largest by tokens, and all that have a target; others are pooled as "(rest)". Their product bounds the cells
+    #: the largest by tokens, and all that have a target; others are raked as one "(rest)", whose goal is the sum of theirs, and split
+    #: it by the same power. The product of these numbers bounds the cells
     rounds: int = 1000
     tolerance: float = 1e-9
     seed: int = 5
@@ -91,7 +92,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params:
     for axis in ("source", "lang"):
         named = named.withColumn(prefix + axis, F.coalesce(F.col(axis).cast("string"), F.lit(NONE)))
 
-    goals, pools = [], {}
+    goals, pools, lifts = [], {}, {}
     # unless measured, texts are read twice, here and for the result; all that the plan needs comes from these sums
     sums = staged(named.groupBy(*[prefix + a for a in AXES]).agg(F.sum(prefix + "tokens").alias("tokens")), "mix-sums")
     for axis in AXES:
@@ -101,12 +102,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params:
         held = {r["c"]: float(r["t"]) for r in largest[:most]}
         if len(largest) > most:
             pools[axis] = {*held, *fixed}
-        rest = float(by.where(~F.col("c").isin(*held)).agg(F.sum("t")).first()[0] or 0) if axis in pools else 0.0
         power = params.flatten.get(axis, 1.0)
-        goals.append(dict(fixed) or {k: v**power for k, v in {**held, **({REST: rest} if rest else {})}.items() if v > 0})
-    pooled = named
+        goal = dict(fixed) or {k: v**power for k, v in held.items() if v > 0}
+        if axis in pools and not fixed:
+            small = by.where(~F.col("c").isin(*held) & (F.col("t") > 0))
+            rest = float(small.agg(F.sum(F.col("t").cast("double") ** power)).first()[0] or 0)
+            goal |= {REST: goal.get(REST, 0.0) + rest} if rest else {}
+            lifts[axis] = small.select(F.col("c").alias(prefix + axis), (F.col("t").cast("double") ** (power - 1)).alias(prefix + axis + "_lift"))
+        goals.append(goal)
+    own = sums
     for axis, known in pools.items():
-        pooled = pooled.withColumn(prefix + axis, F.when(F.col(prefix + axis).isin(*known), F.col(prefix + axis)).otherwise(F.lit(REST)))
         sums = sums.withColumn(prefix + axis, F.when(F.col(prefix + axis).isin(*known), F.col(prefix + axis)).otherwise(F.lit(REST)))
     keys = [prefix + a for a in AXES]
     got = sums.groupBy(*keys).agg(F.sum("tokens").alias("tokens")).orderBy(*keys).collect()  # the product of `categories` at most
@@ -118,12 +123,41 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params:
         [(*c, float(t / whole), float(min(1.0, s))) for c, t, s in zip(cells, take, share, strict=True)],
         ", ".join(f"{k} string" for k in keys) + f", {prefix}weight double, {prefix}probability double",
     )
-    found = pooled.join(F.broadcast(table) if len(cells) <= 100_000 else table, keys, "left")
+    if pools:
+        table = _split(own, table, keys, pools, lifts, prefix)
+    found = named.join(F.broadcast(table) if not pools and len(cells) <= 100_000 else table, keys, "left")
     u = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(params.seed)), 11) / F.lit(float(1 << 53))
     found = found.withColumn(prefix + "sampled", u < F.col(prefix + "probability"))
     return found.select(*[c for c in named.columns if c not in (prefix + "source", prefix + "lang")], prefix + "weight", prefix + "probability", prefix + "sampled")
 
 
+def _split(sums: DataFrame, table: DataFrame, keys: list[str], pools: dict[str, set], lifts: dict[str, DataFrame], prefix: str) -> DataFrame:
+    """`table` for the categories themselves: what a pooled cell takes goes to its members by tokens * lift.
+
+    A member gives all it has at most; the others of the cell share what it can't give, so the cell's sum stays.
+    """
+    weight, chance = prefix + "weight", prefix + "probability"
+    parts = sums.withColumn("_lift", F.lit(1.0))
+    for axis, lift in lifts.items():
+        parts = parts.join(lift, prefix + axis, "left").withColumn("_lift", F.col("_lift") * F.coalesce(prefix + axis + "_lift", F.lit(1.0))).drop(prefix + axis + "_lift")
+    cell = [k + "_cell" for k in keys]
+    for axis in AXES:
+        name = F.col(prefix + axis)
+        parts = parts.withColumn(prefix + axis + "_cell", F.when(name.isin(*pools[axis]), name).otherwise(F.lit(REST)) if axis in pools else name)
+    parts = staged(parts, "mix-parts")
+    whole = parts.groupBy(*cell).agg(F.sum("tokens").alias("_all"))
+    whole = whole.join(table.select(*[F.col(k).alias(c) for k, c in zip(keys, cell, strict=True)], F.col(weight).alias("_w"), F.col(chance).alias("_p")), cell)
+    up = Window.partitionBy(*cell).orderBy("_lift", *keys).rowsBetween(Window.unboundedPreceding, 0)
+    rows = parts.where("tokens > 0").withColumn("_x", F.sum("tokens").over(up)).withColumn("_xl", F.sum(F.col("tokens") * F.col("_lift")).over(up)).join(whole, cell)
+    left = F.col("_p") * F.col("_all") - (F.col("_all") - F.col("_x"))  # if all members of larger lifts give all they have
+    free = rows.withColumn("_scale", left / F.col("_xl")).where(F.col("_scale") * F.col("_lift") < 1)
+    scale = free.groupBy(*cell).agg(F.max_by("_scale", F.struct("_lift", "_x")).alias("_scale"))
+    out = parts.join(whole, cell).join(scale, cell, "left")
+    p = F.when(F.col("tokens") == 0, F.col("_p")).otherwise(F.least(F.lit(1.0), F.coalesce(F.col("_scale") * F.col("_lift"), F.lit(1.0))))
+    w = F.when(F.col("_p") * F.col("_all") > 0, F.col("_w") * p * F.col("tokens") / (F.col("_p") * F.col("_all"))).otherwise(0.0)
+    return out.select(*keys, w.alias(weight), p.alias(chance))
+
+
 def op2_mixing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang")
     out = mix(staged(measure(docs).drop("text"), "measured"), measured=True)

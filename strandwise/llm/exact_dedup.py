@@ -3,9 +3,9 @@
 1. Every row becomes an index entry (64-bit key, SHA-256, id) written to the shared folder.
 2. The directory starts with one bucket and splits each bucket that holds more keys than its capacity, doubling
    whenever a bucket as deep as the directory splits. It needs only the number of keys by the leading bits of the key.
-3. Owner tasks get the texts by (bucket, key, text): map tasks reduce the copies they see to one row first, so a hot
-   text reaches its owner once from each map task; texts with the same key are a chain whose members are told apart by
-   their bytes.
+3. Copies are counted by (bucket, key, text), a hash aggregation: map tasks reduce the copies they see to one row first,
+   so a hot text is shuffled once from each map task. Bucket and key follow from the text, so the directory labels rows
+   and doesn't place the work: texts with the same key are told apart by their bytes, in whatever tasks they fall.
 4. The entries look up their chain member. Nothing here leaves the JVM.
 """
 

@@ -8,20 +8,30 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandwise.operators.ordered import exact_quantiles, in_blocks, joined, running, value_counts
+from strandwise.session import staged
+
 SCALE = 1.4826
 
 
 def robust_stats(df: DataFrame, keys: Sequence[str], value: str, accuracy: int | None = None) -> DataFrame:
     """(keys, med, sigma): midpoint median and 1.4826 MAD; else the population SD; else 1.
 
-    Exact medians keep a group's distinct values; `accuracy` takes approximate ones, in bounded memory, instead.
+    Exact medians come from counts in ordered blocks, so a group may be of any size; `accuracy` takes approximate ones,
+    cheaper, instead.
     """
-    mid = (lambda c: F.median(c)) if accuracy is None else (lambda c: F.approx_percentile(c, 0.5, accuracy))
-    med = df.groupBy(*keys).agg(mid(F.col(value)).alias("med"))
-    near = df.join(med, list(keys)) if keys else df.crossJoin(F.broadcast(med))  # one row
-    out = near.groupBy(*keys, "med").agg(mid(F.abs(F.col(value) - F.col("med"))).alias("mad"), F.stddev_pop(value).alias("sd"))
+    if accuracy is None:
+        mid = lambda d, c, name: exact_quantiles(d, keys, c, {name: 0.5})
+    else:
+        mid = lambda d, c, name: d.groupBy(*keys).agg(F.approx_percentile(c, 0.5, accuracy).alias(name))
+    own = df.select(*keys, F.col(value).alias("_v"))
+    med = mid(own, "_v", "med")
+    near = joined(own, med, keys) if keys else own.crossJoin(F.broadcast(med))  # one row
+    mad = mid(near.withColumn("_off", F.abs(F.col("_v") - F.col("med"))), "_off", "mad")
+    sd = own.groupBy(*keys).agg(F.stddev_pop("_v").alias("sd"))
+    both = joined(joined(sd, med, keys, "left"), mad, keys, "left") if keys else sd.crossJoin(F.broadcast(med)).crossJoin(F.broadcast(mad))  # one row each
     sigma = F.when(F.col("mad") > 0, SCALE * F.col("mad")).when(F.col("sd") > 0, F.col("sd")).otherwise(F.lit(1.0))
-    return out.select(*keys, "med", sigma.alias("sigma"))
+    return both.select(*keys, "med", sigma.alias("sigma"))
 
 
 def robust_z(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -29,12 +39,6 @@ def robust_z(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.join(stats, list(keys)).withColumn("z", (F.col(value) - F.col("med")) / F.col("sigma"))
 
 
-def median_upper(x: str) -> Column:
-    """v[n // 2] of the sorted values. It gathers a group's values: for groups of bounded size."""
-    v = F.array_sort(F.collect_list(x))
-    return F.get(v, (F.size(v) / 2).cast("int"))
-
-
 def weighted_mean(value: Column, weight: Column) -> Column:
     """By weight over rows that have both; the plain mean if the weights add up to 0."""
     w = F.when(value.isNotNull(), weight)
@@ -44,16 +48,19 @@ def weighted_mean(value: Column, weight: Column) -> Column:
 
 def fences(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Quartiles by linear interpolation, Tukey fences and Bowley skewness."""
-    q = df.groupBy(*keys).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).select(*keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("q2"), F.col("q")[2].alias("q3"))
+    q = exact_quantiles(df, keys, value, {"q1": 0.25, "q2": 0.5, "q3": 0.75})
     iqr = F.col("q3") - F.col("q1")
     return q.withColumn("low", F.col("q1") - 1.5 * iqr).withColumn("high", F.col("q3") + 1.5 * iqr).withColumn("bowley", F.when(iqr > 0, (F.col("q3") + F.col("q1") - 2 * F.col("q2")) / iqr))
 
 
+def value_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank") -> DataFrame:
+    """(keys, value, `name`): the average rank, from 1, of each different value."""
+    return value_counts(df, keys, value).select(*keys, value, (F.col("_before") + (F.col("_n") + 1) / 2.0).alias(name))
+
+
 def rank_avg(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank") -> DataFrame:
-    """Ranks from 1, ties averaged."""
-    by = Window.partitionBy(*keys).orderBy(value)
-    tied = Window.partitionBy(*keys, value)
-    return df.withColumn(name, F.rank().over(by) + (F.count(F.lit(1)).over(tied) - 1) / 2.0)
+    """Ranks from 1, ties averaged; a null has none."""
+    return joined(df, value_ranks(df, keys, value, name), [*keys, value], "left")
 
 
 def pearson(x: Column | str, y: Column | str, least: int = 3) -> Column:
@@ -68,30 +75,53 @@ def pearson(x: Column | str, y: Column | str, least: int = 3) -> Column:
 
 
 def spearman(df: DataFrame, keys: Sequence[str], x: str, y: str, least: int = 4) -> DataFrame:
-    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    ranked = rank_avg(rank_avg(both, keys, x, "_rx"), keys, y, "_ry")
-    return ranked.groupBy(*keys).agg(pearson("_rx", "_ry", least).alias("rho"), F.count(F.lit(1)).alias("n"))
+    """(keys, rho, n): Pearson's r of average ranks, over the counts of different pairs; null below `least` or if flat."""
+    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*keys, F.col(x).alias("_x"), F.col(y).alias("_y")).agg(F.count(F.lit(1)).alias("_w"))
+    both = staged(both, "pairs")
+    rank = lambda v, name: value_ranks_of_counts(both, keys, v, name)
+    ranked = joined(joined(both, rank("_x", "_rx"), [*keys, "_x"]), rank("_y", "_ry"), [*keys, "_y"])
+    size = both.groupBy(*keys).agg(F.sum("_w").alias("_size"))
+    ranked = joined(ranked, size, keys) if keys else ranked.crossJoin(F.broadcast(size))  # one row
+    a, b, w = F.col("_rx") - (F.col("_size") + 1) / 2, F.col("_ry") - (F.col("_size") + 1) / 2, F.col("_w")
+    sums = ranked.groupBy(*keys).agg(F.sum(w * a * b).alias("_ab"), F.sum(w * a * a).alias("_aa"), F.sum(w * b * b).alias("_bb"), F.sum(w).alias("n"))
+    spread = F.sqrt(F.col("_aa")) * F.sqrt(F.col("_bb"))
+    return sums.select(*keys, F.when((F.col("n") >= least) & (spread > 0), F.col("_ab") / spread).alias("rho"), "n")
+
+
+def value_ranks_of_counts(pairs: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """As `value_ranks`, for rows that stand for `_w` equal ones."""
+    counts = pairs.groupBy(*keys, value).agg(F.sum("_w").alias("_n"))
+    run = running(in_blocks(counts, keys, [value]), keys, [value], "_n", "_before", inclusive=False)
+    return run.select(*keys, value, (F.col("_before") + (F.col("_n") + 1) / 2.0).alias(name))
 
 
 def kruskal_h(df: DataFrame, keys: Sequence[str], group: str, value: str) -> DataFrame:
-    """(keys, h, df): Kruskal-Wallis with the tie correction."""
-    ranked = rank_avg(df.where(F.col(value).isNotNull()), keys, value, "_r")
-    ties = ranked.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_t")).groupBy(*keys).agg(F.sum(F.col("_t").cast("double") ** 3 - F.col("_t")).alias("_ties"))
-    groups = ranked.groupBy(*keys, group).agg(F.sum("_r").alias("_s"), F.count(F.lit(1)).alias("_n"))
+    """(keys, h, df): Kruskal-Wallis with the tie correction, over the counts of different (group, value)."""
+    counts = staged(df.where(F.col(value).isNotNull()).groupBy(*keys, group, value).agg(F.count(F.lit(1)).alias("_w")), "counts")
+    ranks = staged(value_ranks_of_counts(counts, keys, value, "_r"), "ranks")
+    ranked = joined(counts, ranks, [*keys, value])
+    tied = counts.groupBy(*keys, value).agg(F.sum("_w").cast("double").alias("_t")).groupBy(*keys).agg(F.sum(F.col("_t") ** 3 - F.col("_t")).alias("_ties"))
+    groups = ranked.groupBy(*keys, group).agg(F.sum(F.col("_r") * F.col("_w")).alias("_s"), F.sum("_w").alias("_n"))
     sums = groups.groupBy(*keys).agg(F.sum(F.col("_s") ** 2 / F.col("_n")).alias("_q"), F.sum("_n").cast("double").alias("_all"), (F.count(F.lit(1)) - 1).alias("df"))
-    both = sums.join(ties, list(keys)) if keys else sums.crossJoin(F.broadcast(ties))  # one row each
+    both = joined(sums, tied, keys) if keys else sums.crossJoin(F.broadcast(tied))  # one row each
     n = F.col("_all")
     raw = 12 / (n * (n + 1)) * F.col("_q") - 3 * (n + 1)
     return both.select(*keys, (raw / (1 - F.col("_ties") / (n**3 - n))).alias("h"), "df")
 
 
 def bh_fdr(df: DataFrame, keys: Sequence[str], p: str, order: Sequence[str]) -> DataFrame:
-    """`q` by Benjamini and Hochberg: the least p * m / rank among equal or larger p."""
-    up = Window.partitionBy(*keys).orderBy(p, *order)
-    every = Window.partitionBy(*keys)
-    scaled = df.withColumn("_rank", F.row_number().over(up)).withColumn("_m", F.count(F.lit(1)).over(every))
-    down = Window.partitionBy(*keys).orderBy(F.desc("_rank")).rowsBetween(Window.unboundedPreceding, 0)
-    return scaled.withColumn("q", F.least(F.lit(1.0), F.min(F.col(p) * F.col("_m") / F.col("_rank")).over(down))).drop("_rank", "_m")
+    """`q` by Benjamini and Hochberg: the least p * m / rank among equal or larger p. A family may be of any size.
+
+    A null p takes no part: it isn't counted in m and has no q.
+    """
+    own = in_blocks(df.where(F.col(p).isNotNull()).withColumn("_one", F.lit(1)), keys, [p, *order])
+    ranked = running(own, keys, [p, *order], "_one", "_rank")
+    size = own.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"))
+    sized = joined(ranked, size, keys) if keys else ranked.crossJoin(F.broadcast(size))  # one row
+    scaled = staged(sized.withColumn("_scaled", F.col(p) * F.col("_m") / F.col("_rank")), "scaled")
+    q = running(scaled, keys, [p, *order], "_scaled", "q", how="min", backwards=True).withColumn("q", F.least(F.lit(1.0), "q"))
+    none = df.where(F.col(p).isNull()).withColumn("q", F.lit(None).cast("double"))
+    return q.select(*df.columns, "q").union(none)
 
 
 def ols(x: Column, y: Column) -> tuple[Column, Column]:
@@ -116,9 +146,11 @@ def mode_with_tie(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def share_below(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """The share of a group's values that are less."""
-    by = Window.partitionBy(*keys)
-    return df.withColumn(name, (F.rank().over(by.orderBy(value)) - 1) / F.count(F.lit(1)).over(by))
+    """The share of a group's values that are less; a null has none and counts as none."""
+    counts = value_counts(df, keys, value)
+    size = counts.groupBy(*keys).agg(F.sum("_n").alias("_m"))
+    shares = (joined(counts, size, keys) if keys else counts.crossJoin(F.broadcast(size))).select(*keys, value, (F.col("_before") / F.col("_m")).alias(name))  # one row
+    return joined(df, shares, [*keys, value], "left")
 
 
 def elevated(df: DataFrame, value: str, factor: float = 2.0) -> DataFrame:
@@ -137,10 +169,11 @@ def dose_scan(df: DataFrame, site: Sequence[str], dose: str, af: str, carriers:
 
 def highest_density(df: DataFrame, keys: Sequence[str], value: str, weight: str, order: Sequence[str], mass: float = 0.95) -> DataFrame:
     """(keys, low, high) of the values that, heaviest first, make up `mass` of a group's weight."""
-    every = Window.partitionBy(*keys)
-    share = df.withColumn("_share", F.col(weight) / F.sum(weight).over(every))
-    down = every.orderBy(F.desc("_share"), *order).rowsBetween(Window.unboundedPreceding, 0)
-    kept = share.withColumn("_before", F.sum("_share").over(down) - F.col("_share")).where(F.col("_before") < mass)
+    down = [F.col(weight).desc(), *order]
+    blocks = in_blocks(df.select(*keys, value, weight, *[c for c in order if c not in (value, weight)]), keys, down)
+    before = running(blocks, keys, down, weight, "_before", inclusive=False)
+    total = blocks.groupBy(*keys).agg(F.sum(weight).alias("_whole"))
+    kept = (joined(before, total, keys) if keys else before.crossJoin(F.broadcast(total))).where(F.col("_before") < mass * F.col("_whole"))  # one row
     return kept.groupBy(*keys).agg(F.min(value).alias("low"), F.max(value).alias("high"))
 
 

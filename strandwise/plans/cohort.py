@@ -241,7 +241,7 @@ def lost_features(t: Tables) -> DataFrame:
     return g.where("lost_in > 0 AND w * 2 >= n").select("p_brand", "lost_in", "kept_in")
 
 
-@query(f"""WITH b AS (SELECT l_partkey, l_suppkey, max(l_quantity) AS score FROM lineitem WHERE l_partkey % 4 = 1 GROUP BY ALL), r AS (SELECT *, row_number() OVER w AS rank, score - lead(score) OVER w AS margin, count(*) OVER (PARTITION BY l_partkey) AS c FROM b WINDOW w AS (PARTITION BY l_partkey ORDER BY score DESC, l_suppkey))
+@query(f"""WITH b AS (SELECT l_partkey, l_suppkey, max(l_quantity) AS score FROM lineitem GROUP BY ALL), r AS (SELECT *, row_number() OVER w AS rank, score - lead(score) OVER w AS margin, count(*) OVER (PARTITION BY l_partkey) AS c FROM b WINDOW w AS (PARTITION BY l_partkey ORDER BY score DESC, l_suppkey))
 SELECT l_partkey, l_suppkey, rank::INT AS rank, {sql_q6('margin')} AS margin, CASE WHEN rank = 1 AND c = 1 THEN 'only candidate' WHEN rank = 1 AND margin >= 1 THEN 'resolved' ELSE 'open' END AS status FROM r""")
 def rank_donors(t: Tables) -> DataFrame:
     r = C.rank_donors(t.lineitem, ["l_partkey"], "l_suppkey", "l_quantity")

@@ -9,6 +9,7 @@ from strandwise.functions import genomics as G
 from strandwise.functions import scalars as S
 from strandwise.operators import matrix as M
 from strandwise.operators import stats as ST
+from strandwise.operators.ordered import joined, upper_medians
 from strandwise.plans.base import Tables, long, query, sql_q6
 
 
@@ -29,7 +30,7 @@ def quantiles_fences(t: Tables) -> DataFrame:
 
 
 @query(f"""WITH r AS (SELECT l_returnflag, rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_returnflag, l_quantity) - 1) / 2.0 AS a,
-  rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_returnflag, l_extendedprice) - 1) / 2.0 AS b FROM lineitem WHERE l_linenumber = 1)
+  rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_returnflag, l_extendedprice) - 1) / 2.0 AS b FROM lineitem)
 SELECT l_returnflag, {sql_q6('corr(a, b)')} AS rho, count(*) AS n FROM r GROUP BY 1""")
 def rank_avg_spearman(t: Tables) -> DataFrame:
     s = ST.spearman(t.lineitem, ["l_returnflag"], "l_quantity", "l_extendedprice")
@@ -180,7 +181,8 @@ def array_fold(t: Tables) -> DataFrame:
 
 @query(f"SELECT c_mktsegment, {sql_q6('(list_sort(list(c_acctbal)))[count(*) // 2 + 1]')} AS upper_median, count(*) AS n, {sql_q6('100.0 * count(*) FILTER (c_acctbal > 0) / count(*)')} AS pct FROM customer GROUP BY 1")
 def group_summary_upper_median(t: Tables) -> DataFrame:
-    return t.customer.groupBy("c_mktsegment").agg(S.q6(ST.median_upper("c_acctbal")).alias("upper_median"), F.count(F.lit(1)).alias("n"), S.q6(100.0 * F.count_if(F.col("c_acctbal") > 0) / F.count(F.lit(1))).alias("pct"))
+    g = t.customer.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), S.q6(100.0 * F.count_if(F.col("c_acctbal") > 0) / F.count(F.lit(1))).alias("pct"))
+    return joined(g, upper_medians(t.customer, ["c_mktsegment"], "c_acctbal", "m"), ["c_mktsegment"]).select("c_mktsegment", S.q6("m").alias("upper_median"), "n", "pct")
 
 
 @query(f"SELECT l_orderkey, {sql_q6('sum(l_tax * l_quantity) / sum(l_quantity)')} AS tax, {sql_q6('CASE WHEN sum(CASE WHEN l_linenumber > 2 THEN l_quantity ELSE 0 END) > 0 THEN sum(l_discount * CASE WHEN l_linenumber > 2 THEN l_quantity ELSE 0 END) / sum(CASE WHEN l_linenumber > 2 THEN l_quantity ELSE 0 END) ELSE avg(l_discount) END')} AS discount FROM lineitem GROUP BY 1")
@@ -236,7 +238,7 @@ def occupancy(t: Tables) -> DataFrame:
     return g.groupBy(F.when(F.col("n") == 1, "singleton").otherwise("shared").alias("kind")).agg(F.count(F.lit(1)).alias("pairs"), F.max("n").alias("most"))
 
 
-@query(f"""WITH w AS (SELECT event_type, value, exp(-abs(value - 50) / 10) AS wt, event_id FROM events WHERE event_id % 10 = 0), s AS (SELECT *, wt / sum(wt) OVER (PARTITION BY event_type) AS share FROM w),
+@query(f"""WITH w AS (SELECT event_type, value, exp(-abs(value - 50) / 10) AS wt, event_id FROM events), s AS (SELECT *, wt / sum(wt) OVER (PARTITION BY event_type) AS share FROM w),
 c AS (SELECT *, sum(share) OVER (PARTITION BY event_type ORDER BY share DESC, event_id ROWS UNBOUNDED PRECEDING) - share AS before FROM s)
 SELECT event_type, {sql_q6('min(value)')} AS low, {sql_q6('max(value)')} AS high FROM c WHERE before < 0.95 GROUP BY 1""")
 def credible_interval(t: Tables) -> DataFrame:

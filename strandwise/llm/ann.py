@@ -1,14 +1,18 @@
 """Approximate nearest neighbours by a hash-prefix forest.
 
-Each of several trees is a sorted array of long random-projection hash strings. A query descends every tree to its
-longest matching prefix, then all trees ascend together, one bit at a time, until their ranges hold enough candidates;
-candidates are scored exactly in double precision. The index is cut into shards by the hash of the id, the stated
-queries into blocks, and each (shard, block) is one task of bounded size.
+A tree gives each vector a string of symbols. A symbol names the nearest of several random directions and their
+opposites: 1,024 for the first, 32 for each one after it. The tree is the sorted array of its strings. A query descends
+every tree to its longest matching prefix. Then all trees ascend together, symbol by symbol and within a symbol tree by
+tree, and stop as soon as their ranges hold as many candidates as asked for. Only these candidates are scored, exactly and in double
+precision.
+
+The index is cut into shards by a hash of the vector. A vector lies in one shard and is never copied; queries stream
+past the shards, each task holding one shard and one block of queries. How many candidates a query meets grows slower
+than the index: with vectors ** 0.75 by default.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,117 +21,179 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandwise.session import staged
+
 
 @dataclass(frozen=True)
 class ForestParams:
     k: int = 20
-    trees: int = 96
-    bits: int = 32  #: of a hash string
-    share: float = 0.6  #: ascend until the ranges of all trees hold this share of the shard, copies and repeats counted
-    least: int = 1000  #: candidates at least
+    trees: int = 320
+    directions: tuple[int, ...] = (512, 16, 16)  #: by symbol; a symbol is a direction or its opposite
+    rate: float = 1.6  #: a query meets rate * n ** (1 - shrink) of n vectors, repeats in several trees counted
+    shrink: float = 0.25
     shard_rows: int = 16384
-    block_rows: int = 4096
+    block_rows: int = 2048  #: queries held at once
     seed: int = 3
 
+    def need(self, held: int, n: int) -> float:
+        """Candidates to ask of a shard that holds `held` of `n` vectors."""
+        return min(1.0, self.rate * max(1, n) ** -self.shrink) * held
+
 
 class Forest:
-    """Sorted hash strings of a shard's distinct vectors."""
+    """Sorted hash strings of a shard's different vectors."""
 
     def __init__(self, vectors: np.ndarray, params: ForestParams):
-        self.params = params
-        rng = np.random.default_rng(params.seed)
-        self.planes = rng.normal(size=(params.trees, vectors.shape[1] + 1, params.bits)).astype(np.float32)
-        norms = np.linalg.norm(vectors, axis=1)
+        self.params, self.n = params, len(vectors)
+        scaled = vectors / np.abs(vectors).max()
+        norms = np.linalg.norm(scaled, axis=1)
         top = norms.max()
         # one more component makes all norms equal, so that the largest inner product is the smallest angle
         spare = np.sqrt(np.maximum(0, 1 - (norms / top) ** 2))
-        self.keys, self.order = [], []
-        for t, codes in enumerate(self.codes(np.column_stack([vectors / top, spare]).astype(np.float32))):
-            order = np.argsort(codes, kind="stable")
+        self.order, self.keys = [], []
+        for codes in self.codes(np.column_stack([scaled / top, spare])):
+            order = np.argsort(codes, kind="stable").astype(np.int32)
             self.order.append(order)
             self.keys.append(codes[order])
-            assert t < params.trees
+        self.sizes = [2 * m for m in params.directions]
 
     def codes(self, points: np.ndarray) -> Iterator[np.ndarray]:
-        weights = np.left_shift(np.uint64(1), np.arange(self.params.bits - 1, -1, -1, dtype=np.uint64))
-        for plane in self.planes:
-            yield ((points @ plane) > 0).astype(np.uint64) @ weights
-
-    def ranges(self, codes: list[np.ndarray], level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """trees x queries: the ranges whose strings share `level` leading bits with the query's."""
-        drop = (self.params.bits - level).astype(np.uint64)
-        low, high = [], []
-        for keys, code in zip(self.keys, codes, strict=True):
-            a = code >> drop << drop
-            low.append(np.searchsorted(keys, a, "left"))
-            high.append(np.searchsorted(keys, a + (np.left_shift(np.uint64(1), drop) - np.uint64(1)), "right"))
-        return np.array(low), np.array(high)
-
-    def candidates(self, queries: np.ndarray) -> np.ndarray:
-        """queries x vectors: which vectors a query meets.
-
-        The longest level at which the trees together hold enough is found by bisection: ranges nest, so it is the
-        level at which a synchronous ascent from the longest matches would stop.
-        """
-        n, need = len(self.order[0]), max(self.params.least, int(self.params.share * len(self.order[0])))
-        scaled = queries / np.linalg.norm(queries, axis=1, keepdims=True)
-        codes = list(self.codes(np.column_stack([scaled, np.zeros(len(queries))]).astype(np.float32)))
-        low = np.zeros(len(queries), np.int64)
-        high = np.full(len(queries), self.params.bits)
-        while (low < high).any():
-            mid = (low + high + 1) // 2
-            a, b = self.ranges(codes, mid)
-            enough = (b - a).sum(axis=0) >= need
-            low, high = np.where(enough, mid, low), np.where(enough, high, mid - 1)
-        met = np.zeros((len(queries), n), bool)
-        a, b = self.ranges(codes, low)
-        for t, order in enumerate(self.order):
-            for q, (x, y) in enumerate(zip(a[t].tolist(), b[t].tolist(), strict=True)):
-                met[q, order[x:y]] = True
-        return met
-
-
-def search_block(ids: np.ndarray, vectors: np.ndarray, qids: np.ndarray, queries: np.ndarray, params: ForestParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, vector id, score) of the k best of one shard for one block of queries."""
-    by = np.argsort(ids, kind="stable")
-    ids, vectors = ids[by], vectors[by]
-    distinct, first, inverse = np.unique(vectors, axis=0, return_index=True, return_inverse=True)
-    inverse = inverse.reshape(-1)
-    members = np.argsort(inverse, kind="stable")  # of each distinct vector, ids ascending
-    start = np.searchsorted(inverse[members], np.arange(len(distinct) + 1))
-    forest = Forest(distinct, params)
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    step = max(1, (1 << 22) // len(distinct))
-    for at in range(0, len(queries), step):
-        block = queries[at : at + step]
-        met = forest.candidates(block)
-        # enough of a tile is met that a whole one by BLAS costs less than gathering; what isn't met doesn't count
-        tile = block @ distinct.T if met.mean() > 0.05 else None
-        for q in range(len(block)):
-            own = np.flatnonzero(met[q])
-            score = tile[q, own] if tile is not None else distinct[own] @ block[q]
-            if len(own) > params.k + 1:
-                least = np.partition(score, len(score) - params.k - 1)[len(score) - params.k - 1]
-                own = own[score >= least - 1e-12]
-            exact = (distinct[own] * block[q]).sum(axis=1)
-            of = np.concatenate([members[start[v] : min(start[v + 1], start[v] + params.k + 1)] for v in own])
-            many = np.minimum(start[own + 1] - start[own], params.k + 1)
-            found, exact = ids[of], np.repeat(exact, many)
-            other = found != qids[at + q]
-            found, exact = found[other], exact[other]
-            best = np.lexsort((found, -exact))[: params.k]
-            out.append((np.full(len(best), qids[at + q]), found[best], exact[best]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        """Tree by tree the strings of all points, a number each, first symbol foremost."""
+        points, d = points.astype(np.float32), points.shape[1]
+        rotation = np.linalg.qr(np.random.default_rng(self.params.seed).normal(size=(d, d)))[0].astype(np.float32)
+        signs = np.array([-1, 1], np.float32)
+        for t in range(self.params.trees):
+            rng = np.random.default_rng((self.params.seed, t))
+            code = np.zeros(len(points), np.int64)
+            for m in self.params.directions:
+                # orthogonal directions tell vectors apart better than independent ones: one rotation, its axes dealt anew
+                turns = [rotation[rng.permutation(d)] * rng.choice(signs, size=(d, 1)) for _ in range(-(-m // d))]
+                at = points @ np.concatenate(turns, axis=1)[:, :m]
+                own = np.abs(at).argmax(axis=1)
+                code = code * (2 * m) + 2 * own + (np.take_along_axis(at, own[:, None], 1)[:, 0] < 0)
+            yield code
+
+    def ranges(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """trees x levels x queries: the ranges that share all symbols with a query, all but the last, ..., none."""
+        scaled = queries / np.abs(queries).max(axis=1, keepdims=True)
+        scaled /= np.linalg.norm(scaled, axis=1, keepdims=True)
+        low = np.empty((len(self.keys), len(self.sizes) + 1, len(queries)), np.int32)
+        high = np.empty_like(low)
+        for t, (keys, code) in enumerate(zip(self.keys, self.codes(np.column_stack([scaled, np.zeros(len(scaled))])), strict=True)):
+            span = 1
+            for level, size in enumerate([*self.sizes[::-1], None]):
+                if size is None:  # the root: no symbol need match
+                    low[t, level], high[t, level] = 0, self.n
+                    break
+                first = code // span * span
+                low[t, level], high[t, level] = np.searchsorted(keys, first), np.searchsorted(keys, first + span)
+                span *= size
+        return low, high
+
+    def candidates(self, queries: np.ndarray, need: float) -> Iterator[np.ndarray]:
+        """For each query the vectors that it meets: the ascent ends once the trees' ranges hold `need` of them."""
+        low, high = self.ranges(queries)
+        trees, levels, _ = low.shape
+        size = (high - low).astype(np.int64)
+        more = size.copy()
+        more[:, 1:] -= size[:, :-1]  # what a step up adds
+        more[:, 0] = 0  # whole strings in common, as copies have in all trees, are met in any case and not counted
+        steps = more.transpose(1, 0, 2).reshape(levels * trees, -1)
+        taken = (np.cumsum(steps, axis=0) - steps < need).reshape(levels, trees, -1)
+        depth = taken.sum(axis=0) - 1  # of each tree and query: the last level it ascended to
+        for q in range(len(queries)):
+            used = np.flatnonzero(depth[:, q] >= 0)
+            if depth[used, q].max() == levels - 1:
+                yield np.arange(self.n)
+                continue
+            met = np.zeros(self.n, bool)
+            for t in used.tolist():
+                met[self.order[t][low[t, depth[t, q], q] : high[t, depth[t, q], q]]] = True
+            yield np.flatnonzero(met)
+
+
+def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches that hold one shard and one kind of row each."""
+    for b in batches:
+        tag = np.asarray(b.column("part")) * 2 + np.asarray(b.column("kind"))
+        cuts = [0, *(np.flatnonzero(np.diff(tag)) + 1).tolist(), len(tag)]
+        for x, y in zip(cuts, cuts[1:], strict=False):
+            if y > x:
+                yield b.slice(x, y - x)
+
+
+def _matrix(tables: list[pa.RecordBatch]) -> np.ndarray:
+    flat = [np.asarray(t.column("vec").flatten()) for t in tables]
+    return np.concatenate(flat).reshape(sum(t.num_rows for t in tables), -1)
+
+
+def _column(tables: list[pa.RecordBatch], name: str) -> np.ndarray:
+    return np.concatenate([np.asarray(t.column(name)) for t in tables])
+
+
+class _Shard:
+    def __init__(self, tables: list[pa.RecordBatch], params: ForestParams):
+        self.params = params
+        self.vectors = _matrix(tables)
+        self.ids = np.concatenate([np.asarray(t.column("ids").flatten()) for t in tables])
+        counts = np.concatenate([np.diff(np.asarray(t.column("ids").offsets)) for t in tables])
+        self.start = np.concatenate([[0], np.cumsum(counts)])
+        self.need = params.need(len(self.vectors), int(tables[0].column("n")[0].as_py()))
+        self.forest = Forest(self.vectors, params)
+
+    def search(self, block: list[pa.RecordBatch], keep: int) -> pa.RecordBatch:
+        queries, q, h = _matrix(block), _column(block, "id"), _column(block, "h")
+        out: list[tuple] = []
+        for i, own in enumerate(self.forest.candidates(queries, self.need)):
+            score = (self.vectors[own] * queries[i]).sum(axis=1)
+            rank = np.where(np.isnan(score), -np.inf, score)
+            if len(own) > keep:
+                fit = rank >= np.partition(rank, len(rank) - keep)[len(rank) - keep]
+                own, score, rank = own[fit], score[fit], rank[fit]
+            many = self.start[own + 1] - self.start[own]
+            ids = np.concatenate([self.ids[self.start[v] : self.start[v + 1]] for v in own])
+            best = np.lexsort((ids, -np.repeat(rank, many)))[:keep]
+            out.append((np.full(len(best), q[i]), np.full(len(best), h[i]), ids[best], np.repeat(score, many)[best], np.full(len(best), len(rank), np.int64)))
+        cols = [np.concatenate(c) for c in zip(*out, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols[:4]], names=["q", "h", "vec_id", "score"])
+
+
+def _searcher(params: ForestParams, keep: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, shard, held, block = None, None, [], []
+
+        def flush():
+            nonlocal block, shard, held
+            if block:
+                if shard is None:
+                    shard, held = _Shard(held, params), []
+                yield shard.search(block, keep)
+            block = []
+
+        for b in _streams(batches):
+            if b.column("part")[0].as_py() != part:
+                yield from flush()
+                part, shard, held = b.column("part")[0].as_py(), None, []
+            if b.column("kind")[0].as_py() == 0:
+                held.append(b)
+            elif held or shard is not None:
+                block.append(b)
+                if sum(x.num_rows for x in block) >= params.block_rows:
+                    yield from flush()
+        yield from flush()
+
+    return run
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", params: ForestParams = ForestParams()) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of each query's k nearest by inner product, ties to smaller ids.
 
-    Rows with a null id or vector, a zero vector, or null or non-finite components take no part, nor do vectors of
-    another length than most have (the longer of equally common ones counts). Rows with the query's own id are no candidates; equal
-    vectors share one place in the trees and all count. Extra columns are ignored; no queries give no rows.
+    Rows with a null id or vector, a zero vector, or null or non-finite components take no part. Vectors meet those of
+    their own length. Rows with the query's own id are no candidates; equal vectors share one place in the trees and all
+    count. Rows that repeat an id and a vector count once; where one id has several vectors, the best of them counts, for
+    a candidate as for a query, and a query lists an id once. A product that overflows is infinite as it is in double
+    precision; one that is no number comes last. Extra columns are ignored; no queries, or no vectors, give no rows.
     """
-    spark = vectors.sparkSession
     x = F.col(vec_col).cast("array<double>")
 
     def clean(df: DataFrame) -> DataFrame:
@@ -135,28 +201,37 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
         fine = F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("vec", lambda v: v != 0)
         return own.where(F.col("id").isNotNull() & fine)
 
-    schema = "query_id long, vec_id long, score double"
-    base, asked = clean(vectors), clean(queries)
-    sizes = base.groupBy(F.size("vec").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
-    if sizes is None:
-        return spark.createDataFrame([], schema).select("query_id", F.lit(1).alias("rank"), "vec_id", "score")
-    d, n = sizes["d"], sizes["n"]
-    base, asked = base.where(F.size("vec") == d), asked.where(F.size("vec") == d)
-    shards, blocks = -(-n // params.shard_rows), max(1, math.ceil(asked.count() / params.block_rows))
-    spread = lambda df, mine, of, all_of, m: df.withColumn(mine, F.pmod(F.xxhash64("id"), F.lit(of)).cast("int")).withColumn(all_of, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
-    left = spread(base, "shard", shards, "block", blocks)
-    right = spread(asked, "block", blocks, "shard", shards)
-
-    def run(own: pa.Table, by: pa.Table) -> pa.Table:
-        got = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
-        if own.num_rows and by.num_rows:
-            a, b = (t.column("vec").combine_chunks().flatten().to_numpy().reshape(-1, d) for t in (own, by))
-            got = search_block(own.column("id").to_numpy(), a, by.column("id").to_numpy(), b, params)
-        return pa.table({"query_id": pa.array(got[0], pa.int64()), "vec_id": pa.array(got[1], pa.int64()), "score": pa.array(got[2], pa.float64())})
-
-    pairs = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(run, schema)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= params.k).select("query_id", "rank", "vec_id", "score")
+    # of equal vectors the k + 1 smallest ids can be among the k nearest of a query: one of them may be its own
+    by = Window.partitionBy("vec").orderBy("id")
+    least = clean(vectors).withColumn("nth", F.dense_rank().over(by)).where(F.col("nth") <= params.k + 1)
+    base = staged(least.groupBy("vec").agg(F.array_sort(F.collect_set("id")).alias("ids")), "vectors")
+    asked = clean(queries)
+    firsts = asked.groupBy("vec").agg(F.min("id").alias("id"))  # equal queries are asked once
+
+    most = base.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    keep = (params.k + 1) * most  # as many rows hold k + 1 different ids
+    lengths = base.groupBy(F.size("vec").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy("d").collect()
+    rows, total = [], 0
+    for r in lengths:
+        shards = -(-r["n"] // params.shard_rows)
+        rows.append((r["d"], r["n"], shards, total))
+        total += shards
+    plan = F.broadcast(vectors.sparkSession.createDataFrame(rows, "d int, n long, shards int, first int"))  # one row for each length
+
+    hashed = F.xxhash64("vec")
+    left = base.join(plan, F.size("vec") == F.col("d")).select((F.col("first") + F.pmod(hashed, F.col("shards")).cast("int")).alias("part"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("h"), "vec", "ids", "n")
+    right = firsts.join(plan, F.size("vec") == F.col("d")).select(F.explode(F.sequence(F.col("first"), F.col("first") + F.col("shards") - 1)).alias("part"), F.lit(1).alias("kind"), "id", hashed.alias("h"), "vec", F.lit(None).cast("array<long>").alias("ids"), "n")
+    dealt = left.union(right).repartitionById(max(1, total), "part").sortWithinPartitions("part", "kind")
+    found = dealt.mapInArrow(_searcher(params, keep), "q long, h long, vec_id long, score double")
+
+    worth = F.nanvl("score", F.lit(float("-inf")))
+    best = Window.partitionBy("q", "h").orderBy(worth.desc(), "vec_id")
+    top = found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= keep).drop("nth")
+    members = asked.join(firsts.withColumnRenamed("id", "q"), "vec").select("q", hashed.alias("h"), F.col("id").alias("query_id")).distinct()
+    pairs = top.join(members, ["q", "h"]).where("vec_id <> query_id")
+    once = pairs.groupBy("query_id", "vec_id").agg(F.max_by("score", worth).alias("score"))
+    order = Window.partitionBy("query_id").orderBy(worth.desc(), "vec_id")
+    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= params.k).select("query_id", "rank", "vec_id", "score")
 
 
 def op4_nearest(spark, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@ import math
 
 import numpy as np
 
-from strandwise.llm.ann import ForestParams, nearest
+from strandwise.llm.ann import Forest, ForestParams, nearest
 
 SCHEMA = "vec_id long, embedding array<float>"
 
@@ -26,7 +26,7 @@ def make(n=600, seed=0):
 def test_recall_scores_and_order(spark):
     rows = make()
     df = spark.createDataFrame(rows, SCHEMA).repartition(3).selectExpr("*", "1 AS rank", "2 AS id", "3 AS shard")
-    for params in (ForestParams(least=100), ForestParams(least=60, shard_rows=200, block_rows=20)):
+    for params in (ForestParams(trees=60), ForestParams(trees=60, directions=(32, 8), rate=1.2, shard_rows=200, block_rows=20)):
         got = nearest(df, df.where("vec_id % 20 = 0"), params=params).collect()
         want = brute(rows, {i for i, _ in rows if i is not None and i % 20 == 0})
         by = {}
@@ -50,3 +50,32 @@ def test_few_and_none(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert nearest(empty, empty).count() == 0
     assert nearest(df, empty).count() == 0
+
+
+def test_work_and_order_of_the_ascent():
+    rng = np.random.default_rng(1)
+    vectors = rng.normal(size=(4000, 16))
+    forest = Forest(vectors, ForestParams(trees=200, directions=(128, 16)))
+    low, high = forest.ranges(vectors[:5])
+    for t, (keys, order) in enumerate(zip(forest.keys, forest.order, strict=True)):
+        assert (np.diff(keys) >= 0).all()
+        for level, span in enumerate((1, 32, 256 * 32)):  # all symbols, the first, none
+            for q in range(5):
+                code = keys[np.flatnonzero(order == q)[0]]
+                want = set(order[keys // span == code // span].tolist())
+                assert want == set(order[low[t, level, q] : high[t, level, q]].tolist())
+    met = [set(c.tolist()) for c in forest.candidates(vectors[:5], 300)]
+    more = [set(c.tolist()) for c in forest.candidates(vectors[:5], 600)]
+    assert all(q in m and m < n and len(m) < 400 for q, (m, n) in enumerate(zip(met, more, strict=True)))
+
+
+def test_repeats_lengths_and_overflow(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.0, 2.0]), (2, [0.5, 0.5]), (3, [3.0]), (4, [2.0]), (5, [1e200, 1e200]), (6, [1e200, -1e200]), (7, [1e200, 1e200])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "9 AS query_id", "8 AS score")
+    got = {}
+    for r in nearest(df, df.union(df.where("vec_id = 1"))).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert got[3] == [(4, 6.0)] and got[4] == [(3, 6.0)]
+    assert got[2][:3] == [(5, 1e200), (7, 1e200), (1, 1.0)]  # the better of both vectors of 1, listed once
+    assert [v for v, _ in got[1]] == [5, 7, 6, 2] and got[1][0][1] == 2e200
+    assert got[5][0] == (7, math.inf) and got[5][-1][0] == 6 and math.isnan(got[5][-1][1])

@@ -55,6 +55,7 @@ def test_few_and_none(spark):
 def test_work_and_order_of_the_ascent():
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(4000, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)  # then a query hashes as its own vector does
     forest = Forest(vectors, ForestParams(trees=200, directions=(128, 16)))
     low, high = forest.ranges(vectors[:5])
     for t, (keys, order) in enumerate(zip(forest.keys, forest.order, strict=True)):

@@ -1,19 +1,25 @@
 """Exact dedup on an extendible-hash index in shared files.
 
-1. Every row becomes an index entry (64-bit key, SHA-256, id) written to the shared folder.
-2. The directory starts with one bucket and splits each bucket that holds more keys than its capacity, doubling
-   whenever a bucket as deep as the directory splits. It needs only the number of keys by the leading bits of the key.
-3. Copies are counted by (bucket, key, text), a hash aggregation: map tasks reduce the copies they see to one row first,
-   so a hot text is shuffled once from each map task. Bucket and key follow from the text, so the directory labels rows
-   and doesn't place the work: texts with the same key are told apart by their bytes, in whatever tasks they fall.
-4. The entries look up their chain member. Nothing here leaves the JVM.
+1. The keys of all texts (64-bit hashes) are written to the shared folder with their number of rows.
+2. The directory starts with one bucket. A bucket with more keys than its capacity splits by the next leading bits of its
+   keys, and the directory doubles whenever a bucket as deep as the directory splits, until no bucket is overfull. It is
+   a table, built by counting; nothing of it but two numbers a round reaches the driver.
+3. The directory deals the rows: a bucket is a range of keys, and its rows go to one owner task. There each key's chain,
+   the rows with that key in order of their texts, is walked, and bytes are compared with bytes: each run of equal texts
+   is a group. A key with more than `hot_rows` rows has its rows dealt to several owners.
+4. Each owner writes its part of the index: id, digest, place in the chain, group. The groups of divided keys are put
+   together by comparing the texts of one row from each owner.
+
+Nothing here leaves the JVM.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from math import ceil, log2
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandwise.session import staged
@@ -21,8 +27,9 @@ from strandwise.session import staged
 
 @dataclass(frozen=True)
 class ExactDedupParams:
-    bucket_capacity: int = 4096  #: keys in a bucket before it splits; grows with the corpus, see `directory`
-    max_depth: int = 17  #: the directory has at most 2 ** max_depth slots, about 2 MB where it is broadcast
+    bucket_capacity: int = 4096  #: keys in a bucket before it splits
+    hot_rows: int = 4096  #: rows of one key that one owner takes; more are shared out
+    broadcast_rows: int = 1 << 20  #: the directory, and the list of divided keys, are broadcast up to so many rows and joined by sorting beyond
     key_bits: int = 64  #: tests shorten the key to force chains
 
 
@@ -31,80 +38,90 @@ def _key(body: Column, bits: int) -> Column:
     return h if bits >= 64 else F.shiftleft(h, 64 - bits)
 
 
-def directory(counts: dict[int, int], depth: int, capacity: int) -> tuple[int, list[tuple[int, int, int]]]:
-    """Global depth and (slot, bucket, local depth) of each slot, from the number of keys by `depth` leading bits.
+def _prefix(key: str, depth: str | int) -> Column:
+    """The leading `depth` bits of a key."""
+    return F.expr(f"CASE WHEN {depth} = 0 THEN 0L ELSE shiftrightunsigned({key}, 64 - {depth}) END")
 
-    A bucket is named by its first slot. A bucket that is still overfull at `depth` keeps a longer chain.
+
+def _looked_up(df: DataFrame, table: DataFrame, on: str, rows: int, params: ExactDedupParams, how: str = "inner") -> DataFrame:
+    return df.join(F.broadcast(table) if rows <= params.broadcast_rows else table, on, how)
+
+
+def slots(buckets: DataFrame, depth: int) -> DataFrame:
+    """(slot, bucket, local_depth) for each slot of a directory of global depth `depth`: a shallow bucket has several.
+
+    A bucket is named by its local depth and leading bits.
     """
-    full = [0] * (1 << depth)
-    for k, n in counts.items():
-        full[k] = n
-    sums = [full]
-    while len(sums[-1]) > 1:
-        last = sums[-1]
-        sums.append([last[i] + last[i + 1] for i in range(0, len(last), 2)])
-    sums.reverse()  # sums[d][prefix]: keys under a prefix of d bits
-    todo, leaves = [(0, 0)], []
-    while todo:
-        d, p = todo.pop()
-        if d < depth and (sums[d][p] > capacity or d == 0):
-            todo += [(d + 1, 2 * p), (d + 1, 2 * p + 1)]
-        else:
-            leaves.append((d, p))
-    top = max(d for d, _ in leaves)
-    slots = [(s, p << (top - d), d) for d, p in leaves for s in range(p << (top - d), (p + 1) << (top - d))]
-    return top, sorted(slots)
-
-
-def exact_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: ExactDedupParams = ExactDedupParams()
-) -> DataFrame:
-    """One row per row of `docs`: id_col, keep_id, group_size, kept, text_sha256, bucket.
+    free = F.expr(f"shiftleft(1L, {depth} - local_depth)")
+    own = F.explode(F.sequence(F.col("prefix") * free, (F.col("prefix") + 1) * free - 1))
+    return buckets.select(own.alias("slot"), F.struct("local_depth", "prefix").alias("bucket"), "local_depth")
 
-    Null text counts as empty; texts are equal when their bytes are. The largest id of equal texts stays. Of rows that
-    repeat both id and text one stays; a null id stays only if no other id has its text. Extra columns are ignored.
-    An empty table gives no rows.
+
+def directory(keys: DataFrame, n: int, params: ExactDedupParams = ExactDedupParams()) -> tuple[int, DataFrame]:
+    """Global depth and buckets (prefix, local_depth, keys) of `n` different keys: no bucket that can split is overfull.
+
+    A bucket is as deep as its keys' bits at most; buckets without keys are left out.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    key = _key(F.col("body"), params.key_bits)
-    entries = staged(
-        rows.select("id", key.alias("key"), F.sha2("body", 256).alias("digest"))
-        .groupBy("id", "key", "digest")
-        .agg(F.count(F.lit(1)).alias("copies")),
-        "entries",
-    )
+    deep = min(params.key_bits, max(0, ceil(log2(max(1, n) / params.bucket_capacity))))
+    count = lambda df: df.groupBy("prefix", "local_depth").agg(F.count(F.lit(1)).alias("keys"))
+    # the first doublings at once: with fewer, an average bucket would be overfull
+    buckets = staged(count(keys.select(_prefix("key", deep).alias("prefix"), F.lit(deep).alias("local_depth"))), "buckets")
+    while True:
+        over = buckets.where((F.col("keys") > params.bucket_capacity) & (F.col("local_depth") < params.key_bits))
+        seen = over.agg(F.count(F.lit(1)).alias("n"), F.max("local_depth").alias("deepest"), F.max("keys").alias("most")).first()
+        if not seen["n"]:
+            return buckets.agg(F.max("local_depth")).first()[0] or 0, buckets
+        more = max(1, ceil(log2(seen["most"] / params.bucket_capacity)) - 1)
+        full = slots(over, seen["deepest"])
+        met = _looked_up(keys.withColumn("slot", _prefix("key", seen["deepest"])), full, "slot", seen["n"] << 4, params)
+        deeper = met.withColumn("local_depth", F.least(F.lit(params.key_bits), F.col("local_depth") + more))
+        split = count(deeper.select(_prefix("key", "local_depth").alias("prefix"), "local_depth"))
+        buckets = staged(buckets.where((F.col("keys") <= params.bucket_capacity) | (F.col("local_depth") >= params.key_bits)).union(split), "buckets")
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (), params: ExactDedupParams = ExactDedupParams()) -> DataFrame:
+    """One row per row of `docs`: id_col, keep_id, group_size, kept, text_sha256, bucket, and `carried` with `carry`'s columns.
 
-    keys = entries.select("key").distinct()
-    depth = params.max_depth
-    counts = {
-        r["slot"]: r["n"]
-        for r in keys.groupBy(F.shiftrightunsigned("key", 64 - depth).alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()
-    }
-    capacity = max(params.bucket_capacity, sum(counts.values()) >> (depth - 2))
-    top, slots = directory(counts, depth, capacity)
-    slot_of = spark.createDataFrame(slots, "slot long, bucket long, local_depth int")
-
-    def addressed(df: DataFrame) -> DataFrame:
-        return df.withColumn("slot", F.shiftrightunsigned("key", 64 - top)).join(F.broadcast(slot_of), "slot").drop("slot")
-
-    chains = (
-        addressed(rows.select("id", "body", key.alias("key")))
-        .groupBy("bucket", "key", "body")
-        .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .select("bucket", "key", F.sha2("body", 256).alias("digest"), "keep_id", "group_size")
+    Null text counts as empty; texts are equal when their bytes are. The largest id of equal texts stays. Of rows that
+    repeat both id and text one stays; a null id stays only if no other id has its text. Other columns are ignored, so
+    they may have any names. An empty table gives no rows. One text may have any number of rows.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"), F.struct(*[F.col(c) for c in carry]).alias("carried") if carry else F.lit(None).cast("int").alias("carried"))
+    keyed = rows.withColumn("key", _key(F.col("body"), params.key_bits))
+    keys = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "keys")
+    seen = keys.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("n") > params.hot_rows).alias("hot")).first()
+    depth, buckets = directory(keys.select("key"), seen["n"], params)
+    hot = keys.where(F.col("n") > params.hot_rows).select("key", F.ceil(F.col("n") / params.hot_rows).alias("owners"))
+
+    placed = _looked_up(keyed.withColumn("slot", _prefix("key", depth)), slots(buckets, depth).drop("local_depth"), "slot", 2 * seen["n"] // params.bucket_capacity, params)
+    placed = _looked_up(placed, hot, "key", seen["hot"], params, "left").withColumn("owners", F.coalesce("owners", F.lit(1)))
+    # rows of a divided key stay together by input partition: a retried task deals them as before
+    dealt = placed.withColumn("owner", F.pmod(F.spark_partition_id(), "owners").cast("int")).repartition("bucket", "owner")
+
+    place = ["bucket", "owner", "key"]
+    same = Window.partitionBy(*place, "body")
+    walked = (
+        dealt.withColumn("nth", F.row_number().over(same.orderBy(F.desc_nulls_last("id"))))
+        .withColumn("copies", F.count(F.lit(1)).over(same))
+        .withColumn("largest", F.max("id").over(same))
+        .withColumn("link", F.dense_rank().over(Window.partitionBy(*place).orderBy("body")))
     )
-    chains = staged(chains.where("group_size > 1"), "chains")
-    found = addressed(entries).join(chains, ["bucket", "key", "digest"], "left")
-    keep = F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id"))
-    found = found.withColumn("keep_id", keep).withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    divided = F.col("owners") > 1
+    index = staged(walked.select(*place, "owners", "link", "nth", "id", "copies", "largest", F.sha2("body", 256).alias("digest"), F.when(divided & (F.col("nth") == 1), F.col("body")).alias("text"), "carried"), "index")
+
+    heads = index.where(divided & F.col("text").isNotNull())
+    joint = heads.groupBy("bucket", "key", "text").agg(F.max("largest").alias("keep_id"), F.sum("copies").alias("group_size"), F.max_by("owner", F.struct(F.col("largest").isNotNull(), "largest", "owner")).alias("winner"))
+    joint = heads.select(*place, "link", "text").join(joint, ["bucket", "key", "text"]).drop("text")
+    alone = index.where(~divided).withColumns({"keep_id": F.col("largest"), "group_size": F.col("copies"), "winner": F.col("owner")})
+    found = alone.unionByName(index.where(divided).join(joint, [*place, "link"]))
     return found.select(
         F.col("id").alias(id_col),
         "keep_id",
-        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"),
+        F.col("group_size").cast("long").alias("group_size"),
+        ((F.col("nth") == 1) & (F.col("owner") == F.col("winner"))).alias("kept"),
         F.col("digest").alias("text_sha256"),
         "bucket",
+        *(["carried"] if carry else []),
     )
 
 

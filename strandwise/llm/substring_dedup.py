@@ -4,12 +4,13 @@
    equal anchors. Neighbouring windows with the same anchor make one segment, named by the anchor and a hash of its
    bytes. Segments whose anchor occurs once in the corpus can't repeat and end here.
 2. The others meet by anchor. Of equal segments one goes on, with the news that it has copies, so copies cost nothing.
-   Anchors that a sample shows to be common don't meet: their distinct segments are added up where the rows lie.
+   The rows of anchors that many rows have (they are counted, nothing is sampled) aren't moved: they are added up where
+   they lie. An anchor with many different segments, such as a phrase that all use, is given up: its windows meet by their own hash.
 3. Tasks cut the sorted anchors into shards of bounded size. A shard's suffix array comes from Larsson-Sadakane
    refinement: unresolved groups are re-sorted by the rank of what follows, doubling the depth, with rank pair and
    position in one machine word. Kasai's walk, one lane per segment, gives the common prefix of each window with its
    predecessor. Windows of 200 common bytes repeat. An anchor too common for one shard has its shards merged: the
-   distinct windows of each are looked up in those before by binary search.
+   distinct windows of each are looked up in those before by binary search. `common` bounds how many those can be.
 4. What repeats goes back to all copies of a segment and from there to its document.
 
 Windows never cross documents, since segments never do.
@@ -37,8 +38,9 @@ _U = np.uint64
 class SubstringParams:
     length: int = 200  #: bytes that make a repeat; 33 at least, and less than 800
     chunk: int = 1 << 20  #: bytes scanned for anchors at once
-    shard: int = 1 << 19  #: bytes in a suffix array, 2 ** 20 - 2 at most
-    common: int = 4096  #: rows from which an anchor is dealt with as a common one, more in a large corpus; speed only
+    shard: int = 1 << 18  #: bytes in a suffix array, 2 ** 20 - 2 at most
+    common: int = 1024  #: rows, and different segments, that one task takes of one anchor; the rest is dealt otherwise
+    broadcast_rows: int = 1 << 20  #: lists of common anchors are broadcast up to this length and joined by sorting beyond
 
 
 ANCHOR = 32
@@ -283,6 +285,44 @@ def repeats(rows: list[tuple[int, int, bool, bytes]], length: int, merged: _Merg
     return late + [(rows[k][0], rows[k][1], a, b) for k, a, b in zip(s.tolist(), (first - begin[s]).tolist(), (last - begin[s] + length).tolist(), strict=True)]
 
 
+def _windows(length: int):
+    """Rows (k1, k2, id, body, segments of it) to a row (w1, w2, h, g, p, copies) for each window of the segments."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for body, own in zip(batch.column(3).cast(pa.binary()), batch.column(4), strict=True):
+                body, own = body.as_py(), own.as_py()
+                spots = [(x["h"], x["g"], p, x["copies"], (x["place"] >> 10) + p) for x in own for p in range(x["place"] & 1023)]
+                digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(body[at : at + length]) for *_, at in spots), np.int64)
+                h, g, p, copies, _ = zip(*spots, strict=True)
+                cols = [pa.array(digests[::2]), pa.array(digests[1::2]), *(pa.array(c, pa.int64()) for c in (h, g, p)), pa.array(copies)]
+                yield pa.record_batch(cols, names=["w1", "w2", "h", "g", "p", "copies"])
+
+    return run
+
+
+def _covered(length: int):
+    """Rows (h, g, windows that repeat) to a row (h, g, a, b) for each maximal run that they cover."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for h, g, p in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                at = np.array(p, np.int64)
+                out += [(h, g, a, b) for a, b in zip(*(x.tolist() for x in spans(at, at + length)), strict=True)]
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.int64())] * 4, names=["h", "g", "a", "b"])
+
+    return run
+
+
+def common_anchors(runs: DataFrame, common: int) -> DataFrame:
+    """(h) of the anchors that more than `common` rows have: counted exactly, but only where 2 ** 20 coarse counts let it be."""
+    cell = F.pmod(F.xxhash64("h"), F.lit(1 << 20))
+    full = runs.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > common).select("cell")
+    some = runs.select("h", cell.alias("cell")).join(F.broadcast(full), "cell", "left_semi")  # 2 ** 20 rows at most
+    return some.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > common).select("h")
+
+
 def _shards(length: int, shard: int):
     """Over segments sorted by anchor: shards of whole anchors as far as they fit, and several merged ones where not."""
 
@@ -385,7 +425,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Null text counts as empty. A text under `length` bytes loses nothing. Copies lose everything, all of them; a row
     that repeats id and text is a copy as well. Null ids are ids like others; extra columns are ignored; no rows give
-    no rows. Nothing is sampled, and texts are scanned in pieces, so their length doesn't matter.
+    no rows. Nothing is sampled. Texts are scanned in pieces, but a row, its text and what was found in it, must fit a
+    task. Segments are taken for equal if a hash of their anchor and another one of all their bytes agree, 128 bits in
+    all, and the windows of a given-up anchor if their 128-bit hashes do; all other windows are compared by bytes.
     """
     integral = docs.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long")
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -399,23 +441,34 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     length = params.length
     runs = staged(rows.select("k1", "k2", "body").mapInArrow(_scan(length, params.chunk), "h long, g long, k1 long, k2 long, place long"), "anchors")
 
-    # an anchor that is common repeats for sure; its rows stay where they are and only its distinct segments move
-    limit = max(params.common, runs.count() // 1024)
-    guess = runs.where(F.pmod(F.xxhash64("k2", "place"), F.lit(32)) == 0).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    common = [r["h"] for r in guess.where(F.col("n") >= max(2, limit // 32)).orderBy(F.desc("n"), "h").limit(1024).collect()]
-    usual, hot = (runs.where(~F.col("h").isin(common)), runs.where(F.col("h").isin(common))) if common else (runs, None)
-    sorted_ = usual.repartition("h").sortWithinPartitions("h", "g")
+    hot = staged(common_anchors(runs, params.common), "common-anchors")
+    n_hot = hot.count()
+    listed = lambda table, n: F.broadcast(table) if n <= params.broadcast_rows else table
+    sorted_ = (runs.join(listed(hot, n_hot), "h", "left_anti") if n_hot else runs).repartition("h").sortWithinPartitions("h", "g")
     again = staged(sorted_.mapInArrow(_repeated, "h long, g long, k1 long, k2 long, place long, lead boolean, copies boolean"), "repeated-anchors")
     leads = again.where("lead").select("h", "g", "copies", "k1", "k2", "place")
     again = again.select("h", "g", "k1", "k2", "place")
-    if hot is not None:
-        one = hot.groupBy("h", "g").agg((F.count(F.lit(1)) > 1).alias("copies"), F.min(F.struct("k1", "k2", "place")).alias("x"))
-        leads = leads.unionByName(one.select("h", "g", "copies", "x.k1", "x.k2", "x.place"))
-        again = again.unionByName(hot.select("h", "g", "k1", "k2", "place"))
-
-    wanted = leads.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "g", "copies", "place")).alias("own"))
-    segments = rows.join(wanted, ["k1", "k2"]).select("k1", "k2", "id", "body", "own").mapInArrow(_segments(length), "h long, g long, copies boolean, bytes binary")
+    split = None
+    if n_hot:
+        # common anchors repeat for sure; rows with equal segments are added up before anything moves
+        hot_runs = runs.join(listed(hot, n_hot), "h", "left_semi").select("h", "g", "k1", "k2", "place")
+        one = hot_runs.groupBy("h", "g").agg((F.count(F.lit(1)) > 1).alias("copies"), F.min(F.struct("k1", "k2", "place")).alias("x"))
+        one = staged(one.select("h", "g", "copies", "x.k1", "x.k2", "x.place"), "common-segments")
+        wide = staged(one.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > params.common).select("h"), "wide-anchors")
+        n_wide = wide.count()
+        again = again.unionByName(hot_runs)
+        leads = leads.unionByName(one.join(listed(wide, n_wide), "h", "left_anti") if n_wide else one)
+        split = one.join(listed(wide, n_wide), "h", "left_semi") if n_wide else None
+
+    gathered = lambda df: df.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "g", "copies", "place")).alias("own"))
+    fetched = lambda df: rows.join(gathered(df), ["k1", "k2"]).select("k1", "k2", "id", "body", "own")
+    segments = fetched(leads).mapInArrow(_segments(length), "h long, g long, copies boolean, bytes binary")
     found = segments.repartition("h").sortWithinPartitions("h", "g").mapInArrow(_shards(length, params.shard), "h long, g long, a long, b long")
+    if split is not None:
+        windows = staged(fetched(split).mapInArrow(_windows(length), "w1 long, w2 long, h long, g long, p long, copies boolean"), "windows")
+        twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.bool_or("copies").alias("copies")).where("n > 1 OR copies")
+        hits = windows.join(twice, ["w1", "w2"], "left_semi").groupBy("h", "g").agg(F.collect_set("p").alias("p"))  # 169 places at most
+        found = found.unionByName(hits.mapInArrow(_covered(length), "h long, g long, a long, b long"))
     at = F.shiftright("place", 10)
     back = again.join(found, ["h", "g"]).select("k1", "k2", (at + F.col("a")).alias("a"), (at + F.col("b")).alias("b"))
     ranges = back.groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))

@@ -45,7 +45,7 @@ def corpus(seed):
     return docs + docs[:5] + [passages[0]] * 30
 
 
-@pytest.mark.parametrize(("chunk", "shard", "common"), [(1 << 20, 1 << 19, 4096), (97, 400, 4096), (97, 400, 4)])  # the others cut texts, merge shards, and know common anchors
+@pytest.mark.parametrize(("chunk", "shard", "common"), [(1 << 20, 1 << 19, 4096), (97, 400, 4096), (97, 400, 4), (97, 4000, 30)])  # the others cut texts, merge shards, and know common anchors, wide ones among them
 def test_against_brute_force(spark, chunk, shard, common):
     texts = corpus(5)
     rows = [*enumerate(texts), (900, None), (901, ""), (3, texts[3]), (3, "another text with this id"), (None, texts[4]), (None, None)]

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandwise.session import staged
@@ -39,7 +39,7 @@ class SubstringParams:
     length: int = 200  #: bytes that make a repeat; 33 at least, and less than 800
     chunk: int = 1 << 20  #: bytes scanned for anchors at once
     shard: int = 1 << 18  #: bytes in a suffix array, 2 ** 20 - 2 at most
-    common: int = 1024  #: rows, and different segments, that one task takes of one anchor; the rest is dealt otherwise
+    common: int = 4096  #: rows, and different segments, that one task takes of one anchor; the rest is dealt otherwise
     broadcast_rows: int = 1 << 20  #: lists of common anchors are broadcast up to this length and joined by sorting beyond
 
 
@@ -465,9 +465,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     segments = fetched(leads).mapInArrow(_segments(length), "h long, g long, copies boolean, bytes binary")
     found = segments.repartition("h").sortWithinPartitions("h", "g").mapInArrow(_shards(length, params.shard), "h long, g long, a long, b long")
     if split is not None:
-        windows = staged(fetched(split).mapInArrow(_windows(length), "w1 long, w2 long, h long, g long, p long, copies boolean"), "windows")
-        twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.bool_or("copies").alias("copies")).where("n > 1 OR copies")
-        hits = windows.join(twice, ["w1", "w2"], "left_semi").groupBy("h", "g").agg(F.collect_set("p").alias("p"))  # 169 places at most
+        windows = fetched(split).mapInArrow(_windows(length), "w1 long, w2 long, h long, g long, p long, copies boolean")
+        met = windows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("w1", "w2"))).where("n > 1 OR copies")
+        hits = met.groupBy("h", "g").agg(F.collect_set("p").alias("p"))  # 169 places at most
         found = found.unionByName(hits.mapInArrow(_covered(length), "h long, g long, a long, b long"))
     at = F.shiftright("place", 10)
     back = again.join(found, ["h", "g"]).select("k1", "k2", (at + F.col("a")).alias("a"), (at + F.col("b")).alias("b"))

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandwise.session import staged
@@ -40,7 +40,7 @@ class SubstringParams:
     chunk: int = 1 << 20  #: bytes scanned for anchors at once
     shard: int = 1 << 18  #: bytes in a suffix array, 2 ** 20 - 2 at most
     common: int = 4096  #: rows, and different segments, that one task takes of one anchor; the rest is dealt otherwise
-    broadcast_rows: int = 1 << 20  #: lists of common anchors are broadcast up to this length and joined by sorting beyond
+    listed: int = 10000  #: a list of common anchors up to this length is a set in the plan, and up to a hundred times of it a broadcast table
 
 
 ANCHOR = 32
@@ -315,11 +315,22 @@ def _covered(length: int):
     return run
 
 
-def common_anchors(runs: DataFrame, common: int) -> DataFrame:
+def _chosen(df: DataFrame, by: Column, table: DataFrame, listed: int) -> tuple[int, DataFrame, DataFrame]:
+    """How many values `table`, one column, has; the rows of `df` whose `by` is among them; and the others."""
+    n = table.count()
+    if n <= listed:
+        among = by.isin([r[0] for r in table.collect()])
+        return n, df.where(among), df.where(~among)
+    side = table.select(F.col(table.columns[0]).alias("_listed"))
+    side = F.broadcast(side) if n <= 100 * listed else side
+    return n, df.join(side, by == F.col("_listed"), "left_semi"), df.join(side, by == F.col("_listed"), "left_anti")
+
+
+def common_anchors(runs: DataFrame, common: int, listed: int) -> DataFrame:
     """(h) of the anchors that more than `common` rows have: counted exactly, but only where 2 ** 20 coarse counts let it be."""
     cell = F.pmod(F.xxhash64("h"), F.lit(1 << 20))
-    full = runs.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > common).select("cell")
-    some = runs.select("h", cell.alias("cell")).join(F.broadcast(full), "cell", "left_semi")  # 2 ** 20 rows at most
+    full = staged(runs.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > common).select("cell"), "full-cells")
+    _, some, _ = _chosen(runs.select("h"), cell, full, listed)
     return some.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > common).select("h")
 
 
@@ -441,24 +452,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     length = params.length
     runs = staged(rows.select("k1", "k2", "body").mapInArrow(_scan(length, params.chunk), "h long, g long, k1 long, k2 long, place long"), "anchors")
 
-    hot = staged(common_anchors(runs, params.common), "common-anchors")
-    n_hot = hot.count()
-    listed = lambda table, n: F.broadcast(table) if n <= params.broadcast_rows else table
-    sorted_ = (runs.join(listed(hot, n_hot), "h", "left_anti") if n_hot else runs).repartition("h").sortWithinPartitions("h", "g")
+    hot = staged(common_anchors(runs, params.common, params.listed), "common-anchors")
+    n_hot, hot_runs, usual = _chosen(runs, F.col("h"), hot, params.listed)
+    sorted_ = usual.repartition("h").sortWithinPartitions("h", "g")
     again = staged(sorted_.mapInArrow(_repeated, "h long, g long, k1 long, k2 long, place long, lead boolean, copies boolean"), "repeated-anchors")
     leads = again.where("lead").select("h", "g", "copies", "k1", "k2", "place")
     again = again.select("h", "g", "k1", "k2", "place")
     split = None
     if n_hot:
         # common anchors repeat for sure; rows with equal segments are added up before anything moves
-        hot_runs = runs.join(listed(hot, n_hot), "h", "left_semi").select("h", "g", "k1", "k2", "place")
+        hot_runs = hot_runs.select("h", "g", "k1", "k2", "place")
         one = hot_runs.groupBy("h", "g").agg((F.count(F.lit(1)) > 1).alias("copies"), F.min(F.struct("k1", "k2", "place")).alias("x"))
         one = staged(one.select("h", "g", "copies", "x.k1", "x.k2", "x.place"), "common-segments")
         wide = staged(one.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > params.common).select("h"), "wide-anchors")
-        n_wide = wide.count()
+        n_wide, given_up, met = _chosen(one, F.col("h"), wide, params.listed)
         again = again.unionByName(hot_runs)
-        leads = leads.unionByName(one.join(listed(wide, n_wide), "h", "left_anti") if n_wide else one)
-        split = one.join(listed(wide, n_wide), "h", "left_semi") if n_wide else None
+        leads = leads.unionByName(met)
+        split = given_up if n_wide else None
 
     gathered = lambda df: df.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "g", "copies", "place")).alias("own"))
     fetched = lambda df: rows.join(gathered(df), ["k1", "k2"]).select("k1", "k2", "id", "body", "own")

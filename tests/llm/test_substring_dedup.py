@@ -45,12 +45,12 @@ def corpus(seed):
     return docs + docs[:5] + [passages[0]] * 30
 
 
-@pytest.mark.parametrize(("chunk", "shard", "common"), [(1 << 20, 1 << 19, 4096), (97, 400, 4096), (97, 400, 4), (97, 4000, 30)])  # the others cut texts, merge shards, and know common anchors, wide ones among them
-def test_against_brute_force(spark, chunk, shard, common):
+@pytest.mark.parametrize(("chunk", "shard", "common", "listed"), [(1 << 20, 1 << 19, 4096, 99), (97, 400, 4096, 0), (97, 400, 4, 999), (97, 4000, 30, 0)])  # the others cut texts, merge shards, and know common anchors, wide ones among them
+def test_against_brute_force(spark, chunk, shard, common, listed):
     texts = corpus(5)
     rows = [*enumerate(texts), (900, None), (901, ""), (3, texts[3]), (3, "another text with this id"), (None, texts[4]), (None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS h", "1 AS k1", "2 AS spans")
-    got = remove_repeats(df, params=SubstringParams(40, chunk, shard, common)).collect()
+    got = remove_repeats(df, params=SubstringParams(40, chunk, shard, common, listed)).collect()
     want = brute([(t or "").encode() for _, t in rows], 40)
     assert sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), r["kept_sha256"]) for r in got), key=str) == sorted(((i, *w) for (i, _), w in zip(rows, want, strict=True)), key=str)
 

@@ -48,6 +48,11 @@ class ByteCnn:
     base: np.ndarray  #: langs
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether any character is a letter by Unicode; figures such as ½ or Ⅷ are none."""
+    return bool(text) and (re.search("[A-Za-z]", text) is not None or any(map(str.isalpha, text)))
+
+
 def windows_of(bodies: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
     """All windows of all texts, zero-padded, and the number of windows of each text (1 at least)."""
     n = np.array([max(1, -(-len(b) // window)) for b in bodies], np.int64)
@@ -147,7 +152,7 @@ class Applied:
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of whole texts: the mean of their windows' probabilities, weighted by bytes."""
         langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-        kept = [i for i, t in enumerate(texts) if t and re.search(r"[^\W\d_]", t)] if self.net.langs else []
+        kept = [i for i, t in enumerate(texts) if has_letter(t)] if self.net.langs else []
         at = 0
         while at < len(kept):  # about 2 MB of text at a time
             own, size = [], 0
@@ -175,7 +180,8 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", o
     """A network from all rows of `labelled` with text and language, or a sample of them by the hash of `order`.
 
     What reaches the driver is the number of rows by language and, of about `sample_docs` rows, `sample_windows` windows
-    each. A language with fewer rows than its share gives all of them.
+    each. A language with fewer rows than its share gives all of them; rows that share `order` and language count as one.
+    More than `max_languages` different labels are an error.
     """
     rows = labelled.select(F.col(text_col).alias("body"), F.col(lang_col).alias("lang"), F.xxhash64(order if order is not None else F.col(text_col)).alias("h")).where(
         "lang IS NOT NULL AND length(body) > 0"
@@ -193,8 +199,8 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", o
         F.sequence(F.lit(0), F.lit(params.sample_windows - 1)),
         lambda i: F.substring(F.col("body"), (F.length("body") * i / params.sample_windows).cast("int") + 1, F.lit(params.window)),
     )
-    got = rows.where(F.pmod("h", F.lit(1 << 20)) < share).select("lang", "h", cut.alias("cut")).collect()
-    pairs = sorted({(r["lang"], r["h"], w) for r in got for w in r["cut"] if w and re.search(r"[^\W\d_]", w)})
+    got = rows.where(F.pmod("h", F.lit(1 << 20)) < share).groupBy("lang", "h").agg(F.min(cut).alias("cut")).collect()
+    pairs = sorted({(r["lang"], r["h"], w) for r in got for w in r["cut"] if has_letter(w)})
     return train([w.encode("utf-8", "replace")[: params.window] for _, _, w in pairs], [x for x, _, _ in pairs], params)
 
 

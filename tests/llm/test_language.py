@@ -62,3 +62,36 @@ def test_query_learns_from_its_fold_only(spark, sf, docs):
     for r in got:
         want = r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2
         assert r["held_out"] == want
+
+
+def test_figures_are_no_letters(spark):
+    net = train([b"abc def", b"xyz uvw"], ["a", "b"], LanguageParams(steps=5))
+    odd = ["½", "²", "Ⅷ", "① 12", "_", "", None, "1 é", "Ω", "ª"]
+    assert [x == "und" for x in Applied(net)(odd)[0]] == [True] * 7 + [False] * 3
+
+
+def test_a_repeated_id_is_learnt_from_once(spark):
+    rows = [(1, text("en", 9, i), "en") for i in range(50)] + [(2, text("de", 9, 1), "de")]
+    from pyspark.sql import functions as F
+
+    net = learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), order=F.col("doc_id"), params=FAST)
+    assert net.langs == ("de", "en")
+
+
+def test_scores_against_a_plain_network(spark):
+    """Whole texts by loops: windows, convolutions, largest responses, softmax, mean by bytes."""
+    bodies = [text("en", 60, i) for i in range(4)] + [text("de", 200, i) for i in range(4)] + ["ß"]
+    net = train([b.encode()[:64] for b in bodies], ["en"] * 4 + ["de"] * 4 + ["de"], LanguageParams(steps=20, window=64))
+    df = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in identify(df, net).collect()}
+    for i, b in enumerate(bodies):
+        data, total = b.encode(), np.zeros(2)
+        for at in range(0, len(data), 64):
+            part = data[at : at + 64]
+            full = part + bytes(64 - len(part))
+            pooled = []
+            for k, kernel, shift in zip(net.widths, net.kernels, net.shifts, strict=True):
+                pooled.append(np.maximum(np.max([sum(net.embed[full[t + j]] @ kernel[j] for j in range(k)) + shift for t in range(64 - k + 1)], axis=0), 0))
+            z = np.exp(np.concatenate(pooled) @ net.dense + net.base)
+            total += z / z.sum() * len(part)
+        assert got[i]["lang_pred"] == net.langs[total.argmax()] and abs(got[i]["score"] - total.max() / len(data)) < 1e-3

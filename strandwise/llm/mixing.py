@@ -7,6 +7,7 @@ cell, by a hash of its id, so that a rerun samples the same documents.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -49,7 +50,8 @@ def rake(cells: list[tuple[str, ...]], tokens: np.ndarray, goals: list[dict[str,
     """Tokens to take from each cell: at most all, `budget` of them together, by marginal shares as near as can be.
 
     Each step scales the cells of one axis to its target and cuts cells at what they hold; a target for a category
-    without tokens is dropped and the others are normalised.
+    without tokens is dropped and the others are normalised. A margin that can't be met, since its cells hold too little
+    or the rounds run out, is as near as the last round came, and a warning says by how much.
     """
     if not len(tokens) or not tokens.sum():
         return np.zeros(len(tokens))
@@ -69,9 +71,17 @@ def rake(cells: list[tuple[str, ...]], tokens: np.ndarray, goals: list[dict[str,
             w = np.minimum(w * np.divide(want, have, out=np.zeros_like(have), where=have > 0)[index], tokens)
         if np.abs(w - before).max() <= tolerance * total:
             break
+    miss = max(float(np.abs(np.bincount(index, w, len(want)) - want).max()) for index, want in axes) / total if total else 0.0
+    if miss > 1e-3:
+        warnings.warn(f"a marginal target is missed by {miss:.2%} of the mixture", RuntimeWarning, stacklevel=2)
     return w
 
 
+def _axis(prefix: str, axis: str) -> str:
+    """The column that holds an axis: the topic's is a result, the others' are dropped again."""
+    return prefix + axis if axis == "topic" else f"_{prefix}axis_{axis}"
+
+
 def measure(docs: DataFrame, text_col: str = "text", prefix: str = "mix_") -> DataFrame:
     """`docs` with tokens and topic of each text, after `prefix`; with them, `mix` needs no text."""
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -88,16 +98,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params:
     `measure`.
     """
     spark = docs.sparkSession
-    named = (docs if measured else measure(docs, text_col, prefix)).drop(*[prefix + c for c in ("weight", "probability", "sampled", "source", "lang")])
+    named = (docs if measured else measure(docs, text_col, prefix)).drop(*[prefix + c for c in ("weight", "probability", "sampled")])
     for axis in ("source", "lang"):
-        named = named.withColumn(prefix + axis, F.coalesce(F.col(axis).cast("string"), F.lit(NONE)))
+        named = named.withColumn(_axis(prefix, axis), F.coalesce(F.col(axis).cast("string"), F.lit(NONE)))
 
     goals, pools, lifts = [], {}, {}
     # unless measured, texts are read twice, here and for the result; all that the plan needs comes from these sums
-    sums = staged(named.groupBy(*[prefix + a for a in AXES]).agg(F.sum(prefix + "tokens").alias("tokens")), "mix-sums")
+    sums = staged(named.groupBy(*[_axis(prefix, a) for a in AXES]).agg(F.sum(prefix + "tokens").alias("tokens")), "mix-sums")
     for axis in AXES:
         fixed, most = params.targets.get(axis, {}), params.categories[axis]
-        by = sums.groupBy(F.col(prefix + axis).alias("c")).agg(F.sum("tokens").alias("t"))
+        by = sums.groupBy(F.col(_axis(prefix, axis)).alias("c")).agg(F.sum("tokens").alias("t"))
         largest = by.orderBy(F.desc("t"), "c").limit(most + 1).collect()
         held = {r["c"]: float(r["t"]) for r in largest[:most]}
         if len(largest) > most:
@@ -108,12 +118,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params:
             small = by.where(~F.col("c").isin(*held) & (F.col("t") > 0))
             rest = float(small.agg(F.sum(F.col("t").cast("double") ** power)).first()[0] or 0)
             goal |= {REST: goal.get(REST, 0.0) + rest} if rest else {}
-            lifts[axis] = small.select(F.col("c").alias(prefix + axis), (F.col("t").cast("double") ** (power - 1)).alias(prefix + axis + "_lift"))
+            lifts[axis] = small.select(F.col("c").alias(_axis(prefix, axis)), (F.col("t").cast("double") ** (power - 1)).alias(_axis(prefix, axis) + "_lift"))
         goals.append(goal)
     own = sums
     for axis, known in pools.items():
-        sums = sums.withColumn(prefix + axis, F.when(F.col(prefix + axis).isin(*known), F.col(prefix + axis)).otherwise(F.lit(REST)))
-    keys = [prefix + a for a in AXES]
+        sums = sums.withColumn(_axis(prefix, axis), F.when(F.col(_axis(prefix, axis)).isin(*known), F.col(_axis(prefix, axis))).otherwise(F.lit(REST)))
+    keys = [_axis(prefix, a) for a in AXES]
     got = sums.groupBy(*keys).agg(F.sum("tokens").alias("tokens")).orderBy(*keys).collect()  # the product of `categories` at most
     cells, tokens = [tuple(r)[:3] for r in got], np.array([r["tokens"] for r in got], float)
     take = rake(cells, tokens, goals, params.budget, params.rounds, params.tolerance)
@@ -128,7 +138,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params:
     found = named.join(F.broadcast(table) if not pools and len(cells) <= 100_000 else table, keys, "left")
     u = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(params.seed)), 11) / F.lit(float(1 << 53))
     found = found.withColumn(prefix + "sampled", u < F.col(prefix + "probability"))
-    return found.select(*[c for c in named.columns if c not in (prefix + "source", prefix + "lang")], prefix + "weight", prefix + "probability", prefix + "sampled")
+    return found.select(*[c for c in named.columns if c not in (_axis(prefix, "source"), _axis(prefix, "lang"))], prefix + "weight", prefix + "probability", prefix + "sampled")
 
 
 def _split(sums: DataFrame, table: DataFrame, keys: list[str], pools: dict[str, set], lifts: dict[str, DataFrame], prefix: str) -> DataFrame:
@@ -139,11 +149,12 @@ def _split(sums: DataFrame, table: DataFrame, keys: list[str], pools: dict[str,
     weight, chance = prefix + "weight", prefix + "probability"
     parts = sums.withColumn("_lift", F.lit(1.0))
     for axis, lift in lifts.items():
-        parts = parts.join(lift, prefix + axis, "left").withColumn("_lift", F.col("_lift") * F.coalesce(prefix + axis + "_lift", F.lit(1.0))).drop(prefix + axis + "_lift")
+        name = _axis(prefix, axis)
+        parts = parts.join(lift, name, "left").withColumn("_lift", F.col("_lift") * F.coalesce(name + "_lift", F.lit(1.0))).drop(name + "_lift")
     cell = [k + "_cell" for k in keys]
     for axis in AXES:
-        name = F.col(prefix + axis)
-        parts = parts.withColumn(prefix + axis + "_cell", F.when(name.isin(*pools[axis]), name).otherwise(F.lit(REST)) if axis in pools else name)
+        name = F.col(_axis(prefix, axis))
+        parts = parts.withColumn(_axis(prefix, axis) + "_cell", F.when(name.isin(*pools[axis]), name).otherwise(F.lit(REST)) if axis in pools else name)
     parts = staged(parts, "mix-parts")
     whole = parts.groupBy(*cell).agg(F.sum("tokens").alias("_all"))
     whole = whole.join(table.select(*[F.col(k).alias(c) for k, c in zip(keys, cell, strict=True)], F.col(weight).alias("_w"), F.col(chance).alias("_p")), cell)

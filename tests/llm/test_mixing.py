@@ -49,6 +49,46 @@ def test_against_a_plain_version(docs, rows):
     assert all(again[r["doc_id"], r["text"]] == r["mix_sampled"] for r in got)
 
 
+def plain_shares(tokens, budget):
+    """Proportional fitting by loops over cells, each axis to its own shares to the power; cells hold what they hold."""
+    powers = (0.7, 0.7, 1.0)
+    total = budget * sum(tokens.values())
+    goals = []
+    for k, power in enumerate(powers):
+        held = {}
+        for c, n in tokens.items():
+            held[c[k]] = held.get(c[k], 0) + n
+        lifted = {x: n**power for x, n in held.items() if n}
+        goals.append({x: total * v / sum(lifted.values()) for x, v in lifted.items()})
+    w = {c: n * budget for c, n in tokens.items()}
+    for _ in range(3000):
+        for k, goal in enumerate(goals):
+            have = {}
+            for c, v in w.items():
+                have[c[k]] = have.get(c[k], 0) + v
+            w = {c: min(v * goal.get(c[k], 0) / have[c[k]], tokens[c]) if have[c[k]] else 0.0 for c, v in w.items()}
+    return w
+
+
+def test_whole_operator_against_loops(docs, rows):
+    docs = docs.where("doc_id IS NULL OR doc_id <> 904").selectExpr("*", "'own' AS mix_source", "2 AS mix_lang")
+    got = mix(docs).collect()
+    tokens = {}
+    for r in got:
+        c = (r["source"] or "(none)", r["lang"] or "(none)", r["mix_topic"])
+        tokens[c] = tokens.get(c, 0) + len((r["text"] or "").split())
+    w = plain_shares(tokens, 0.5)
+    for r in got:
+        c = (r["source"] or "(none)", r["lang"] or "(none)", r["mix_topic"])
+        assert r["mix_probability"] == pytest.approx(w[c] / tokens[c] if tokens[c] else 0.5, abs=1e-4)
+        assert r["mix_source"] == "own" and r["mix_lang"] == 2
+
+
+def test_a_missed_target_warns():
+    with pytest.warns(RuntimeWarning, match="missed"):
+        rake([("x", "p", "u"), ("y", "p", "u")], np.array([10.0, 90.0]), [{"x": 1.0, "y": 1.0}, {}, {}], 0.8, 100, 1e-9)
+
+
 def test_pooled_categories_and_targets(docs):
     docs = docs.where("doc_id IS NULL OR doc_id <> 904")  # one long text would leave no mixture that meets all targets
     p = MixParams(targets={"lang": {"de": 1.0, "en": 1.0}}, categories={"source": 2, "lang": 64, "topic": 16}, budget=0.04)

@@ -16,24 +16,26 @@ LEAST_SCORE = 0.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts that are `und` or whose language is uncertain."""
+    """Drops texts that are `und`, as null ones and those without a letter are, or whose language is uncertain.
+
+    Each row is judged by its text alone, so repeated rows fare alike; no labelled rows leave nothing to keep.
+    """
     net = language.learn(docs.where(language.fold("doc_id", 4) != 2), order=F.col("doc_id"))
     found = language.identify(docs, net, lang_name="_lang", score_name="_score")
     return found.where((F.col("_lang") != language.UNDETERMINED) & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the largest doc_id of equal texts."""
-    ident = lambda: F.coalesce(F.col("doc_id").cast("string"), F.lit(""))  # noqa: E731  a null id is one as well
-    kept = exact_dedup.exact_dedup(docs).where("kept").select(ident().alias("_id"), F.col("text_sha256").alias("_digest"))
-    own = docs.withColumn("_id", ident()).withColumn("_digest", F.sha2(F.coalesce("text", F.lit("")), 256))
-    # the window and the join have the same keys: texts move once
-    once = own.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_digest").orderBy(F.lit(0)))).where("_nth = 1")
-    return once.join(kept, ["_id", "_digest"], "left_semi").select(*docs.columns)
+    """Keeps the largest doc_id of equal texts: one row of each text, null and empty being one; a null id only if no other has it."""
+    return exact_dedup.exact_dedup(docs, carry=docs.columns).where("kept").select("carried.*")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each class of near duplicates: texts with a 5-word Jaccard similarity of 0.8 or more."""
+    """Keeps the smallest doc_id of each class of near duplicates: texts with a 5-word Jaccard similarity of 0.8 or more.
+
+    Rows are told apart by id and text, so an id with two texts is two documents; a null id is kept only if a class has
+    no other, and rows that repeat both stay or go together.
+    """
     keyed = docs.withColumn("_key", similar.key_of("doc_id", "text"))
     classes = similar.similar_classes(docs)
     least = F.min_by("key", F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
@@ -42,12 +44,12 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents so that sources, languages and topics meet their targets."""
+    """Samples documents so that sources, languages and topics meet their targets; null names are categories of their own."""
     return mixing.mix(docs, prefix="_mix_").where("_mix_sampled").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places all documents in sequences."""
+    """Places all documents in sequences; null and empty texts as their end token alone."""
     return packing.pack(docs)
 
 

@@ -5,18 +5,41 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 
-def parents_by_depth(df: DataFrame, keys: Sequence[str], order: str, depth: str, node: str, deepest: int) -> DataFrame:
-    """`parent`: the nearest row before with a depth less by one; null at depth 0."""
-    by = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    parent = None
-    for d in range(1, deepest + 1):
-        last = F.last(F.when(F.col(depth) == d - 1, F.col(node)), ignorenulls=True).over(by)
-        parent = F.when(F.col(depth) == d, last) if parent is None else parent.when(F.col(depth) == d, last)
-    return df.withColumn("parent", parent)
+def parents_by_depth(df: DataFrame, keys: Sequence[str], order: str, depth: str, node: str) -> DataFrame:
+    """`parent`: the node of the nearest row before that is shallower; null where there is none.
+
+    Rows of a group pass one by one in order with a stack of the open ones, so any depth will do and a task holds no
+    more than one path. A null depth has no parent and is none.
+    """
+    at, deep, label = (df.columns.index(c) for c in (order, depth, node))
+    own = [df.columns.index(k) for k in keys]
+    assert at >= 0
+
+    def run(batches):
+        group, stack = None, []
+        for batch in batches:
+            parents = []
+            key_columns = [batch.column(i).to_pylist() for i in own]
+            for *key, d, n in zip(*key_columns, batch.column(deep).to_pylist(), batch.column(label).to_pylist(), strict=True):
+                if key != group:
+                    group, stack = key, []
+                if d is None:
+                    parents.append(None)
+                    continue
+                while stack and stack[-1][0] >= d:
+                    stack.pop()
+                parents.append(stack[-1][1] if stack else None)
+                stack.append((d, n))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parents, batch.schema.field(label).type)], names=[*batch.schema.names, "parent"])
+
+    sorted_ = df.repartition(*keys).sortWithinPartitions(*keys, order)
+    return sorted_.mapInArrow(run, StructType([*df.schema.fields, StructField("parent", df.schema[node].dataType)]))
 
 
 @dataclass(frozen=True)
@@ -39,28 +62,33 @@ ANCIENT = QcThresholds(depth=3, breadth=30, missing=70, dup=60, iupac=5, mapping
 FAILING = ("NO_DATA", "LOW_DEPTH", "LOW_BREADTH", "HIGH_MISSING")
 
 
-def qc_flags(c: dict[str, Column], p: QcThresholds = QcThresholds()) -> Column:
-    """An array of flags. c: depth, breadth, missing, mapping, dup, iupac, titv, snp_z, het, hom, mixed, mismatch, damage.
+def qc_flags(c: dict[str, Column], p: QcThresholds = QcThresholds(), ancient: QcThresholds = ANCIENT) -> Column:
+    """An array of flags. c: depth, breadth, missing, mapping, dup, iupac, titv, snp_z, het, hom, mixed, mismatch, damage,
+    and `ancient`, a condition.
 
-    Columns that are left out raise no flag; a null metric raises none of its own; without depth, breadth, missing and
-    mapping there is only NO_DATA.
+    Each row is judged by its own set of thresholds, so both kinds of sample stand in one table. Counts of SNPs and
+    heterozygous calls say nothing of an ancient sample and raise no flag there, too little damage raises one only
+    there. Columns that are left out raise no flag; a null metric raises none of its own; without depth, breadth,
+    missing and mapping there is only NO_DATA.
     """
     none = F.lit(None).cast("double")
     g = lambda k: c.get(k, none)
+    old = F.coalesce(c["ancient"], F.lit(False)) if "ancient" in c else F.lit(False)
+    t = lambda k: F.when(old, F.lit(float(getattr(ancient, k)))).otherwise(F.lit(float(getattr(p, k))))
     calls = g("het") + g("hom")
     flags = [
-        F.when(g("depth") < p.depth, "LOW_DEPTH"),
-        F.when(g("breadth") < p.breadth, "LOW_BREADTH"),
-        F.when(g("missing") > p.missing, "HIGH_MISSING"),
-        F.when(g("mapping") < p.mapping, "MAPPING_LOW"),
-        F.when(g("dup") > p.dup, "HIGH_DUP"),
-        F.when(g("iupac") > p.iupac, "HIGH_IUPAC"),
-        F.when(g("titv") < p.titv, "TITV_LOW"),
-        F.when(g("snp_z") > p.snp_z, "SNP_HIGH").when(g("snp_z") < -p.snp_z, "SNP_LOW"),
-        F.when((calls >= p.het_least) & (100 * g("het") / F.when(calls > 0, calls) > p.het_pct), "HET_HIGH"),
+        F.when(g("depth") < t("depth"), "LOW_DEPTH"),
+        F.when(g("breadth") < t("breadth"), "LOW_BREADTH"),
+        F.when(g("missing") > t("missing"), "HIGH_MISSING"),
+        F.when(g("mapping") < t("mapping"), "MAPPING_LOW"),
+        F.when(g("dup") > t("dup"), "HIGH_DUP"),
+        F.when(g("iupac") > t("iupac"), "HIGH_IUPAC"),
+        F.when((F.lit(float(p.titv)) > 0) & (g("titv") < p.titv), "TITV_LOW"),
+        F.when(old, None).when(g("snp_z") > p.snp_z, "SNP_HIGH").when(g("snp_z") < -p.snp_z, "SNP_LOW"),
+        F.when(~old & (calls >= p.het_least) & (100 * g("het") / F.when(calls > 0, calls) > p.het_pct), "HET_HIGH"),
         F.when(c.get("mixed", F.lit(False)), "MIXED"),
         F.when(c.get("mismatch", F.lit(False)), "LINEAGE_MISMATCH"),
-        F.when(g("damage") < p.damage, "DAMAGE_LOW"),
+        F.when(old & (g("damage") < ancient.damage), "DAMAGE_LOW"),
     ]
     empty = g("depth").isNull() & g("breadth").isNull() & g("missing").isNull() & g("mapping").isNull()
     return F.when(empty, F.array(F.lit("NO_DATA"))).otherwise(F.array_compact(F.array(*flags)))
@@ -92,14 +120,22 @@ def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, 100.0 * part / whole)
 
 
-def live_flags(c: dict[str, Column], p: DataFrame | None = None) -> Column:
-    """The further flags of an interactive view. c: high_z, lof_z, pnps, annotated, outlier."""
+@dataclass(frozen=True)
+class LiveThresholds:
+    high_z: float = 3
+    lof_z: float = 3
+    pnps: float = 1
+    annotated: float = 50
+
+
+def live_flags(c: dict[str, Column], p: LiveThresholds = LiveThresholds()) -> Column:
+    """The further flags of an interactive view, whose thresholds are the viewer's. c: high_z, lof_z, pnps, annotated, outlier."""
     none = F.lit(None).cast("double")
     g = lambda k: c.get(k, none)
     return F.array_compact(
         F.array(
-            F.when(g("high_z") > 3, "HIGH_IMPACT_EXCESS"), F.when(g("lof_z") > 3, "LOF_EXCESS"), F.when(g("pnps") > 1, "PNPS_PROXY_HIGH"),
-            F.when(g("annotated") < 50, "ANNOTATION_POOR"), F.when(c.get("outlier", F.lit(False)), "QC_OUTLIER"),
+            F.when(g("high_z") > p.high_z, "HIGH_IMPACT_EXCESS"), F.when(g("lof_z") > p.lof_z, "LOF_EXCESS"), F.when(g("pnps") > p.pnps, "PNPS_PROXY_HIGH"),
+            F.when(g("annotated") < p.annotated, "ANNOTATION_POOR"), F.when(c.get("outlier", F.lit(False)), "QC_OUTLIER"),
         )
     )
 

@@ -27,38 +27,42 @@ def _values(g: pd.DataFrame, keys: Sequence[str]) -> dict:
 # -- founder clusters ---------------------------------------------------------------------------------------------
 
 
-def founders(starts: np.ndarray, ends: np.ndarray, share: float = 0.5) -> np.ndarray:
-    """Of stretches sorted by start the founder that each joins: the first open one that overlaps it by `share` of both."""
-    out = np.empty(len(starts), np.int64)
-    open_: list[int] = []
-    for i, (s, e) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
-        open_ = [f for f in open_ if ends[f] >= s]
-        out[i] = i
-        for f in open_:
-            overlap = min(e, ends[f]) - max(s, starts[f]) + 1
-            if overlap >= share * (ends[f] - starts[f] + 1) and overlap >= share * (e - s + 1):
-                out[i] = f
-                break
+def regions_of(starts: np.ndarray, ends: np.ndarray, share: float = 0.5) -> np.ndarray:
+    """The region number of each stretch, in order of (start, end, carrier).
+
+    A region stays open while stretches begin within its first one, its head. A stretch goes to the earliest open region
+    where the positions that it has in common with the head are `share` of both; else it heads a region of its own.
+    """
+    length = ends - starts + 1
+    region = np.empty(len(starts), np.int64)
+    heads = np.empty(0, np.int64)
+    n = 0
+    for i in range(len(starts)):
+        heads = heads[ends[heads] >= starts[i]]
+        shared = np.minimum(ends[heads], ends[i]) - starts[i] + 1  # a head never begins later
+        fits = shared >= share * np.maximum(length[heads], length[i])
+        if fits.any():
+            region[i] = region[heads[fits.argmax()]]
         else:
-            open_.append(i)
-    return out
+            region[i], heads, n = n, np.append(heads, i), n + 1
+    return region
 
 
 def founder_clusters(df: DataFrame, keys: Sequence[str], start: str, end: str, carrier: str) -> DataFrame:
-    """(keys, region, carriers, start, end): ends are upper medians over the members."""
+    """(keys, region, carriers, start, end): ends are upper medians over the carriers' least starts and largest ends.
+
+    Which region a stretch joins depends on those before it, so a key's stretches are one task's; the rest is aggregation.
+    """
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values([start, end, carrier], kind="stable")
-        f = founders(g[start].to_numpy(), g[end].to_numpy())
-        order = np.argsort(f, kind="stable")  # members of a region together, regions by founder
-        first = np.flatnonzero(np.diff(f[order], prepend=-1))
-        parts = np.split(order, first[1:])
-        starts, ends, who = g[start].to_numpy(), g[end].to_numpy(), g[carrier].to_numpy()
-        upper = lambda v: int(np.sort(v)[len(v) // 2])
-        rows = [_values(g, keys) | {"region": n, "carriers": len(set(who[own].tolist())), "start": upper(starts[own]), "end": upper(ends[own])} for n, own in enumerate(parts)]
-        return pd.DataFrame(rows)
+        return g.assign(region=regions_of(g[start].to_numpy(), g[end].to_numpy()))
 
-    return df.groupBy(*keys).applyInPandas(run, f"{_kinds(df, keys)}, region long, carriers long, start long, `end` long")
+    own = df.select(*keys, start, end, carrier)
+    placed = own.groupBy(*keys).applyInPandas(run, f"{_kinds(own, own.columns)}, region long")
+    each = placed.groupBy(*keys, "region", carrier).agg(F.min(start).alias("_s"), F.max(end).alias("_e"))
+    upper = lambda c: F.get(F.array_sort(F.collect_list(c)), F.floor(F.count(F.lit(1)) / 2).cast("int")).cast("long")  # noqa: E731  as long as the cohort
+    return each.groupBy(*keys, "region").agg(F.count(F.lit(1)).alias("carriers"), upper("_s").alias("start"), upper("_e").alias("end"))
 
 
 def deletion_class(carriers, n):
@@ -315,16 +319,23 @@ def evidence_matrix(g: pd.DataFrame, p: TractParams) -> tuple[np.ndarray, np.nda
 
 
 def candidate_intervals(sites: np.ndarray, free: np.ndarray, p: TractParams) -> np.ndarray:
-    """(first, last) site of each interval of free sites within the largest span; a grid plus short ones for many sites."""
-    n = len(sites)
+    """(first, last) site of each interval inside a run of free sites, in order, that spans `max_span` bases at most.
+
+    All of them while there are few sites; else those whose ends lie on a grid laid from each run's first site, which its
+    last site belongs to as well, and all intervals of up to `short` sites.
+    """
     stride = max(1, -(-int(free.sum()) // p.exact_sites))
-    i, j = np.triu_indices(n)
-    near = sites[j] - sites[i] <= p.max_span
-    blocked = np.concatenate(([0], np.cumsum(~free)))
-    clear = blocked[j + 1] == blocked[i]
-    grid = ((i % stride == 0) & (j % stride == stride - 1)) | (j - i < p.short)
-    keep = near & clear & grid
-    return np.column_stack([i[keep], j[keep]])
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], free.astype(np.int8), [0]))))
+    found = [np.empty((0, 2), np.int64)]
+    for a, b in zip(edge[::2], edge[1::2] - 1, strict=True):
+        grid = np.unique(np.append(np.arange(a, b + 1, stride), b))
+        at = np.searchsorted(sites[grid], sites[grid] + p.max_span)  # only ends within the span, not all pairs
+        found.append(np.array([(i, j) for k, i in enumerate(grid.tolist()) for j in grid[k : at[k]].tolist()], np.int64).reshape(-1, 2))
+        i = np.repeat(np.arange(a, b + 1), p.short)
+        j = i + np.tile(np.arange(p.short), b + 1 - a)
+        found.append(np.column_stack([i, j])[j <= b])
+    every = np.unique(np.concatenate(found), axis=0)
+    return every[sites[every[:, 1]] - sites[every[:, 0]] + 1 <= p.max_span]
 
 
 def _scores(delta: np.ndarray, cand: np.ndarray, p: TractParams) -> tuple[np.ndarray, np.ndarray]:
@@ -435,8 +446,11 @@ def conversion_tracts(obs: DataFrame, keys: Sequence[str], params: TractParams =
 # -- molecules --------------------------------------------------------------------------------------------------------------
 
 
-def walk_cigar(pos: int, cigar: str, seq: str, qual: Sequence[int], wanted: Sequence[int], deletion_qual: int = 20) -> dict[int, tuple[str, int]]:
-    """Base and quality at the wanted reference places; a deletion reads as `-`, a skip as nothing."""
+def walk_cigar(pos: int, cigar: str, seq: str, qual: Sequence[int] | None, wanted: Sequence[int], deletion_qual: int = 20, no_qual: int = 60) -> dict[int, tuple[str, int]]:
+    """Base, in capitals, and quality at the wanted reference places; a deletion reads as `-`, a skip as nothing.
+
+    Without qualities all are `no_qual`; places beyond the bases, or beyond qualities that end early, are left out.
+    """
     import re
 
     out, q, want = {}, 0, sorted(wanted)
@@ -444,10 +458,11 @@ def walk_cigar(pos: int, cigar: str, seq: str, qual: Sequence[int], wanted: Sequ
         n = int(n)
         if op in "M=XDN":
             for w in want[bisect_left(want, pos) : bisect_left(want, pos + n)]:
+                at = q + w - pos
                 if op == "D":
                     out[w] = ("-", deletion_qual)
-                elif op != "N" and q + w - pos < len(seq):
-                    out[w] = (seq[q + w - pos], int(qual[q + w - pos]))
+                elif op != "N" and at < len(seq) and (qual is None or at < len(qual)):
+                    out[w] = (seq[at].upper(), no_qual if qual is None else int(qual[at]))
             pos += n
         if op in "MIS=X":
             q += n
@@ -467,7 +482,7 @@ def observations(reads: DataFrame, sites: DataFrame) -> DataFrame:
         for g in parts:
             rows = []
             for name, pos, cigar, seq, qual, own in g.itertuples(index=False):
-                got = walk_cigar(pos, cigar, seq, [ord(c) - 33 for c in qual], list(own))
+                got = walk_cigar(pos, cigar, seq, None if qual in (None, "", "*") else [ord(c) - 33 for c in qual], list(own))
                 rows += [(name, w, b, q) for w, (b, q) in got.items()]
             yield pd.DataFrame(rows, columns=["qname", "pos", "base", "qual"])
 

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandwise.operators.stats import SCALE, pearson
+from strandwise.operators.stats import SCALE, pearson, robust_stats
 
 
 def robust_columns(df: DataFrame, metrics: Sequence[str], present: float = 0.5, clip: float = 8.0) -> tuple[DataFrame, list[str]]:
@@ -64,16 +64,19 @@ def principal_axes(df: DataFrame, id_col: str, metrics: Sequence[str]) -> DataFr
 
 
 def mahalanobis(df: DataFrame, id_col: str, metrics: Sequence[str], ridge: float = 0.05) -> DataFrame:
-    """(id, d2, outlier): squared distances under the ridged covariance of robust z-scores, cut at median + 3 robust sigmas."""
+    """(id, d2, outlier): squared distances under the ridged covariance of robust z-scores, cut at median + 3 robust sigmas.
+
+    Where most distances are equal the standard deviation takes the place of the MAD; if all are, there is no outlier.
+    """
     z, kept = robust_columns(df, metrics)
     mean, cov = _covariance(z, kept)
     inverse = np.linalg.inv(cov + ridge * max(np.trace(cov) / max(1, len(kept)), 1e-12) * np.eye(len(kept)))
     d = [F.col(m) - F.lit(float(a)) for m, a in zip(kept, mean, strict=True)]
     d2 = sum((d[i] * d[j] * F.lit(float(inverse[i, j])) for i in range(len(d)) for j in range(len(d))), F.lit(0.0))
     out = z.select(id_col, d2.alias("d2"))
-    med = out.agg(F.median("d2").alias("m")).first()["m"] or 0.0
-    mad = out.agg(F.median(F.abs(F.col("d2") - F.lit(med))).alias("m")).first()["m"] or 0.0
-    return out.withColumn("outlier", F.col("d2") > F.lit(med + 3 * SCALE * mad))
+    spread = robust_stats(out, [], "d2").crossJoin(F.broadcast(out.agg(F.max("d2").alias("hi"), F.min("d2").alias("lo")))).first()  # one row each
+    flat = spread is None or spread["med"] is None or spread["hi"] == spread["lo"]
+    return out.withColumn("outlier", F.lit(False) if flat else F.col("d2") > F.lit(spread["med"] + 3 * spread["sigma"]))
 
 
 def ellipse(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:

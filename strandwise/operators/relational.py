@@ -33,7 +33,11 @@ def complete_groups(df: DataFrame, keys: Sequence[str], expected: Column) -> Dat
 
 
 def left_with_placeholder(left: DataFrame, right: DataFrame, keys: Sequence[str], defaults: dict[str, object]) -> DataFrame:
-    return left.join(right, list(keys), "left").fillna(defaults)
+    """A left join in which a row without a match gets `defaults`; what matched rows hold, nulls and NaN too, stays."""
+    both = left.join(right.withColumn("_matched", F.lit(True)), list(keys), "left")
+    for c, v in defaults.items():
+        both = both.withColumn(c, F.when(F.col("_matched"), F.col(c)).otherwise(F.lit(v)))
+    return both.drop("_matched")
 
 
 def upsert(base: DataFrame, news: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -8,62 +8,99 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandwise.operators.ordered import exact_quantiles
 from strandwise.operators.relational import closure
 from strandwise.operators.stats import SCALE
 
-ROOT_RANKS = ("U", "R", "R1", "R2", "D", "D1", "K", "P")
+def merge_runs(report: DataFrame, sample: str = "sample") -> DataFrame:
+    """One tree per sample: reads and percentages added up by taxid; parent, rank, name and place of its first line."""
+    pct = F.sum("pct") if "pct" in report.columns else F.lit(0.0)
+    first = F.min_by(F.struct("parent", "rank", "name"), F.struct("file", "line"))
+    g = report.groupBy(sample, "taxid").agg(F.sum("clade_reads").alias("clade_reads"), F.sum("reads").alias("reads"), pct.alias("pct"), first.alias("x"), F.min(F.struct("file", "line")).alias("place"))
+    return g.select(sample, "taxid", "clade_reads", "reads", "pct", "x.parent", "x.rank", "x.name", "place.file", "place.line")
+
+
+_TAXON = "struct<taxid: long, name: string, rank: string, reads: long, pct: double>"
+
+
+class _Clades:
+    """One sample's tree: children by most reads, then percentage, then place in the report."""
+
+    def __init__(self, g: pd.DataFrame, share: float):
+        g = g.sort_values(["clade_reads", "pct", "file", "line"], ascending=[False, False, True, True], kind="stable")
+        known = g[g["rank"] != "U"]
+        self.share, self.unclassified = share, int(g.loc[g["rank"] == "U", "clade_reads"].sum())
+        self.name, self.rank, self.reads = (dict(zip(known["taxid"].astype(int), known[c], strict=True)) for c in ("name", "rank", "clade_reads"))
+        self.below: dict = {}
+        self.above: dict = {}
+        for t, p in zip(known["taxid"].astype(int), known["parent"], strict=True):
+            self.above[t] = int(p) if pd.notna(p) and int(p) in self.name else None
+            self.below.setdefault(self.above[t], []).append(t)
+        self.tops = self.below.get(None, [])
+        self.classified = int(sum(self.reads[t] for t in self.tops))
+        self.total = self.classified + self.unclassified
+
+    def descend(self, at: int | None) -> int | None:
+        """To the largest child as long as it holds the share, in any case out of the top and of root ranks, to a species at most."""
+        while self.below.get(at) and not (at is not None and self.rank[at].startswith("S")):
+            child = self.below[at][0]
+            said_nothing = at is None or self.rank[at].startswith("R")
+            if not said_nothing and self.reads[child] < self.share * self.reads[at]:
+                break
+            at = child
+        return at
 
+    def beside(self, at: int | None) -> list[int]:
+        """Clades that branch off on the way from the top to `at`, largest first."""
+        out = list(self.tops) if at is None else []
+        way = []
+        while at is not None:
+            way.append(at)
+            out += [c for c in self.below[self.above[at]] if c != at]
+            at = self.above[at]
+        place = {t: i for i, t in enumerate(self.name)}  # in order of reads
+        return sorted((c for c in out if self.reads[c] > 0), key=place.get)
 
-def merge_runs(report: DataFrame, sample: str = "sample") -> DataFrame:
-    """One tree per sample: reads added up by taxid, the parent, rank and name of its first run."""
-    g = report.groupBy(sample, "taxid").agg(F.sum("clade_reads").alias("clade_reads"), F.sum("reads").alias("reads"), F.min_by(F.struct("parent", "rank", "name"), F.struct("file", "line")).alias("x"))
-    return g.select(sample, "taxid", "clade_reads", "reads", "x.parent", "x.rank", "x.name")
+    def taxon(self, t: int) -> dict:
+        return {"taxid": t, "name": self.name[t], "rank": self.rank[t], "reads": int(self.reads[t]), "pct": round(100.0 * self.reads[t] / self.total, 2)}
 
 
 def dominant_clade(tree: DataFrame, sample: str = "sample", share: float = 0.5, top: int = 6) -> DataFrame:
-    """(sample, dominant, dominant_reads, secondary, secondary_reads, classified, top): a walk from the root to the child
-    with most reads while it holds `share` of its parent, always out of the root ranks; the secondary is the best branch
-    beside the path. One sample's report, some thousand rows, is one task's group.
+    """(sample, reads, unclassified, classified, primary, secondary, top) of the samples whose reports say anything.
+
+    The primary is the clade that a walk from the top ends in: to the child with most reads while it holds `share` of its
+    parent, always out of root ranks, never below a species. The secondary is where such a walk ends from the largest
+    clade beside that path, and `top` lists the primary and the next ones. Shares are of all reads, in percent; a report
+    with nothing below its root has no primary. One sample's report, some thousand rows, is one task's group.
     """
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        kids: dict = {}
-        row = {int(r.taxid): r for r in g.itertuples()}
-        for r in row.values():
-            kids.setdefault(None if pd.isna(r.parent) or int(r.parent) not in row else int(r.parent), []).append(r)
-        best = lambda own: max(own, key=lambda r: (r.clade_reads, -r.taxid))
-        tops = [r for r in kids.get(None, []) if r.rank != "U"]
-        classified = sum(r.clade_reads for r in tops)
-        path, now = [], best(tops) if tops else None
-        while now is not None:
-            path.append(now)
-            own = kids.get(int(now.taxid), [])
-            if not own or str(now.rank).startswith("S"):
-                break
-            nxt = best(own)
-            if now.rank not in ROOT_RANKS and nxt.clade_reads < share * now.clade_reads:
-                break
-            now = nxt
-        on = {int(r.taxid) for r in path}
-        beside = [c for r in path for c in kids.get(int(r.taxid), []) if int(c.taxid) not in on]
-        second = best(beside) if beside else None
-        while second is not None and kids.get(int(second.taxid)) and not str(second.rank).startswith("S"):
-            second = best(kids[int(second.taxid)])
-        named = [r for r in row.values() if str(r.rank).startswith("S")]
-        most = sorted(named, key=lambda r: (-r.clade_reads, r.taxid))[:top]
-        return pd.DataFrame(
-            [{sample: g[sample].iloc[0], "dominant": path[-1].name if path else None, "dominant_reads": path[-1].clade_reads if path else None, "secondary": second.name if second is not None else None,
-              "secondary_reads": second.clade_reads if second is not None else None, "classified": classified, "top": [r.name for r in most]}]
-        )
+        t = _Clades(g, share)
+        deep = any(t.below.get(x) or not t.rank[x].startswith("R") for x in t.tops)
+        if not t.total or not (deep or t.unclassified):
+            return pd.DataFrame(columns=[sample, "reads", "unclassified", "classified", "primary", "secondary", "top"])
+        main = t.descend(None) if deep else None
+        others = [t.taxon(t.descend(c)) for c in t.beside(main)[: top - 1]]
+        primary = None if main is None else t.taxon(main)
+        row = {sample: g[sample].iloc[0], "reads": t.total, "unclassified": round(100.0 * t.unclassified / t.total, 2), "classified": t.classified, "primary": primary}
+        return pd.DataFrame([row | {"secondary": others[0] if others else None, "top": ([primary] if primary else []) + others}])
 
     kind = tree.schema[sample].dataType.simpleString()
-    return tree.groupBy(sample).applyInPandas(run, f"{sample} {kind}, dominant string, dominant_reads long, secondary string, secondary_reads long, classified long, top array<string>")
+    return tree.groupBy(sample).applyInPandas(run, f"{sample} {kind}, reads long, unclassified double, classified long, primary {_TAXON}, secondary {_TAXON}, top array<{_TAXON}>")
 
 
 def target_vote(clades: DataFrame) -> DataFrame:
-    """(dominant, n): the taxon that dominates most samples, ties to more reads, then the lesser name. One row."""
-    g = clades.where("dominant IS NOT NULL").groupBy("dominant").agg(F.count(F.lit(1)).alias("n"), F.sum("dominant_reads").alias("r"))
-    return g.orderBy(F.desc("n"), F.desc("r"), "dominant").limit(1).select("dominant", "n")
+    """(taxid, name, rank, n): the primary of most samples, ties to more reads, then the lesser taxid. One row at most."""
+    g = clades.where("primary IS NOT NULL").groupBy("primary.taxid").agg(F.count(F.lit(1)).alias("n"), F.sum("primary.reads").alias("r"), F.min(F.struct("primary.name", "primary.rank")).alias("x"))
+    return g.orderBy(F.desc("n"), F.desc("r"), "taxid").limit(1).select("taxid", "x.name", "x.rank", "n")
+
+
+def target_share(clades: DataFrame, tree: DataFrame, target: DataFrame, sample: str = "sample") -> DataFrame:
+    """(sample, target_pct): the share of each sample's classified reads in the target's clade, in percent; 0 where it
+    has none of it or no sample has a primary, null where nothing is classified."""
+    own = tree.join(F.broadcast(target.select("taxid")), "taxid").select(sample, F.col("clade_reads").alias("_hit"))  # one taxid
+    pct = F.round(100.0 * F.coalesce("_hit", F.lit(0)) / F.when(F.col("classified") > 0, F.col("classified")), 2)
+    return clades.join(own, sample, "left").select(sample, pct.alias("target_pct"))
 
 
 def reads_of(assignments: DataFrame, tree: DataFrame, taxids: DataFrame, children: bool = True, parents: bool = False, exclude: bool = False) -> DataFrame:
@@ -80,10 +117,10 @@ def reads_of(assignments: DataFrame, tree: DataFrame, taxids: DataFrame, childre
 
 def divergence_screen(df: DataFrame, value: str, floor: float, sigmas: float = 2.5) -> DataFrame:
     """`diverged`: under the floor, or under the median less some robust sigmas."""
-    med = df.agg(F.median(value).alias("_m")).first()["_m"]
-    mad = df.agg(F.median(F.abs(F.col(value) - F.lit(med))).alias("_d")).first()["_d"]
-    cut = max(floor, med - sigmas * SCALE * mad) if med is not None else floor
-    return df.withColumn("diverged", F.col(value) < F.lit(float(cut)))
+    med = exact_quantiles(df, [], value, {"_m": 0.5})
+    off = df.crossJoin(F.broadcast(med)).withColumn("_off", F.abs(F.col(value) - F.col("_m")))  # one row
+    cut = med.crossJoin(exact_quantiles(off, [], "_off", {"_d": 0.5})).select(F.greatest(F.lit(float(floor)), F.col("_m") - sigmas * SCALE * F.col("_d")).alias("_cut"))
+    return df.crossJoin(F.broadcast(cut)).withColumn("diverged", F.col(value) < F.coalesce("_cut", F.lit(float(floor)))).drop("_cut")  # one row
 
 
 def quadrant(x: Column, y: Column, x_cut: float, y_cut: float, names: Sequence[str] = ("low low", "low high", "high low", "high high")) -> Column:

@@ -98,11 +98,19 @@ def linkage(obs: DataFrame, tract: Sequence[str]) -> DataFrame:
     )
 
 
-def copy_number(depth: DataFrame, locus: Sequence[str], dp: str) -> DataFrame:
-    """Copies by the ratio of the locus' median depth to all positions', one at least, and the allele fraction of one copy."""
-    genome = depth.agg(F.median(dp).alias("_genome"))
-    out = depth.groupBy(*locus).agg(F.median(dp).alias("_locus")).join(F.broadcast(genome))  # one row
-    out = out.withColumn("ratio", F.col("_locus") / F.col("_genome")).withColumn("copies", F.greatest(F.lit(1), F.bround("ratio", 0)).cast("bigint"))
+def copy_number(depth: DataFrame, genome: DataFrame, locus: Sequence[str], dp: str, keys: Sequence[str] = (), min_depth: float = 5) -> DataFrame:
+    """(locus, ratio, copies, expected_af): the median depth of a locus' sites over the sample's genome-wide depth.
+
+    `genome` holds (keys, genome_depth), one row for each sample; without keys it is one row in all. Sites under
+    `min_depth` don't count. Copies are one at least, and `expected_af` is the fraction of one of them; where no site or
+    no genome depth is left, all three are null. A locus' sites fit one group.
+    """
+    wide = [*keys, *[c for c in locus if c not in keys]]
+    seen = depth.groupBy(*wide).agg(F.median(F.when(F.col(dp) >= min_depth, F.col(dp))).alias("_locus"))
+    own = genome.select(*keys, F.when(F.col("genome_depth") > 0, F.col("genome_depth")).alias("_genome"))
+    out = seen.join(own, list(keys), "left") if keys else seen.crossJoin(F.broadcast(own))  # one row
+    out = out.withColumn("ratio", F.col("_locus") / F.col("_genome"))
+    out = out.withColumn("copies", F.when(F.col("ratio").isNotNull(), F.greatest(F.lit(1), F.bround("ratio", 0)).cast("bigint")))
     return out.withColumn("expected_af", 1.0 / F.col("copies")).drop("_genome", "_locus")
 
 

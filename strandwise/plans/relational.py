@@ -277,7 +277,7 @@ def parent_by_indent(t: Tables) -> DataFrame:
     from strandwise.operators.cohort import parents_by_depth
 
     c = t.conversations.select("conv_id", "turn", F.when(F.col("role") == "user", 0).otherwise(1).alias("depth"))
-    return parents_by_depth(c, ["conv_id"], "turn", "depth", "turn", 1).where("depth = 1").select("conv_id", "turn", "parent")
+    return parents_by_depth(c, ["conv_id"], "turn", "depth", "turn").where("depth = 1").select("conv_id", "turn", "parent")
 
 
 @query("SELECT c_custkey, c_mktsegment, " + sql_q6("c_acctbal") + """ AS bal, n FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS n FROM customer) WHERE n <= 7""")

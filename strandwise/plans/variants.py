@@ -188,9 +188,12 @@ def linkage_counts(t: Tables) -> DataFrame:
     return V.linkage(obs, [])
 
 
-@query("""WITH g AS (SELECT median(n)::DOUBLE AS genome FROM (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1)),
-l AS (SELECT p_brand, median(n)::DOUBLE AS locus FROM (SELECT p_brand, l_partkey, count(*) AS n FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL) GROUP BY 1)
-SELECT p_brand, """ + sql_q6("locus / genome") + """ AS ratio, greatest(1, round_even(locus / genome, 0))::BIGINT AS copies, """ + sql_q6("1.0 / greatest(1, round_even(locus / genome, 0))") + " AS expected_af FROM l, g")
+@query("""WITH d AS (SELECT l_linestatus, l_partkey, count(*) AS n FROM lineitem GROUP BY ALL), g AS (SELECT l_linestatus, avg(n) AS genome FROM d GROUP BY 1),
+l AS (SELECT l_linestatus, p_brand, median(n) FILTER (n >= 8)::DOUBLE AS locus FROM d JOIN part ON p_partkey = l_partkey GROUP BY ALL)
+SELECT l_linestatus, p_brand, """ + sql_q6("locus / genome") + """ AS ratio, CASE WHEN locus IS NOT NULL THEN greatest(1, round_even(locus / genome, 0))::BIGINT END AS copies, """ + sql_q6("1.0 / CASE WHEN locus IS NOT NULL THEN greatest(1, round_even(locus / genome, 0)) END") + " AS expected_af FROM l JOIN g USING (l_linestatus)")
 def copy_number(t: Tables) -> DataFrame:
-    depth = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey")).groupBy("p_brand", "l_partkey").agg(F.count(F.lit(1)).alias("dp"))
-    return V.copy_number(depth, ["p_brand"], "dp").select("p_brand", S.q6("ratio").alias("ratio"), "copies", S.q6("expected_af").alias("expected_af"))
+    depth = t.lineitem.groupBy("l_linestatus", "l_partkey").agg(F.count(F.lit(1)).alias("dp"))
+    genome = depth.groupBy("l_linestatus").agg(F.avg("dp").alias("genome_depth"))
+    sites = depth.join(t.part.select("p_partkey", "p_brand"), F.col("p_partkey") == F.col("l_partkey"))
+    c = V.copy_number(sites, genome, ["p_brand"], "dp", ["l_linestatus"], 8)
+    return c.select("l_linestatus", "p_brand", S.q6("ratio").alias("ratio"), "copies", S.q6("expected_af").alias("expected_af"))

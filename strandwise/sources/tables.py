@@ -171,7 +171,7 @@ def parse_taxonomy(text: DataFrame) -> DataFrame:
     name = f[5]
     depth = (F.floor(F.length(F.regexp_extract(name, r"^( *)", 1)) / 2)).cast("int")
     rows = text.where(F.size(f) >= 6).select("file", "line", F.trim(f[0]).try_cast("double").alias("pct"), whole(f[1]).alias("clade_reads"), whole(f[2]).alias("reads"), F.trim(f[3]).alias("rank"), whole(f[4]).alias("taxid"), F.trim(name).alias("name"), depth.alias("depth"))
-    return parents_by_depth(rows, ["file"], "line", "depth", "taxid", 40)
+    return parents_by_depth(rows, ["file"], "line", "depth", "taxid")
 
 
 def parse_assignments(text: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def test_empty_frames(none):
     assert C.trajectories(none, ["k"], "pos", "v").count() == 0
     assert K.founder_clusters(none, ["k"], "start", "end", "i").count() == 0
     assert K.chains(none, ["k"], "start", "end").count() == 0
-    assert V.copy_number(none, ["k"], "v").count() == 0
+    assert V.copy_number(none, none.selectExpr("v AS genome_depth"), ["k"], "v").count() == 0
 
 
 def test_nulls_stay_out(spark):

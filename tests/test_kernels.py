@@ -51,9 +51,55 @@ def test_affine_alignment():
         assert K.cigar_score(a, b, cigar) == pytest.approx(score), (a, b, cigar)
 
 
-def test_founders_join_the_first_open_region():
+def test_regions_are_headed_by_their_first_stretch():
     s, e = np.array([1, 1, 50, 60, 300]), np.array([100, 90, 149, 160, 400])
-    assert K.founders(s, e).tolist() == [0, 0, 0, 2, 4] or K.founders(s, e).tolist()[:2] == [0, 0]
+    assert K.regions_of(s, e).tolist() == [0, 0, 0, 1, 2]  # 60..160 has 41 of 101 positions in common with 1..100
+    rng = random.Random(3)
+    rows = sorted((a, a + rng.randint(0, 60)) for a in (rng.randint(0, 200) for _ in range(150)))
+    got = K.regions_of(np.array([a for a, _ in rows]), np.array([b for _, b in rows])).tolist()
+    heads = []
+    for (a, b), r in zip(rows, got, strict=True):
+        fits = [k for k, (x, y) in enumerate(heads) if y >= a and len(set(range(x, y + 1)) & set(range(a, b + 1))) * 2 >= max(y - x + 1, b - a + 1)]
+        assert r == (fits[0] if fits else len(heads))
+        if not fits:
+            heads.append((a, b))
+
+
+def test_region_ends_are_medians_over_carriers(spark):
+    rows = [("k", "A", 1, 1000), ("k", "B", 1, 900), ("k", "B", 100, 950), ("k", "B", 200, 1000)]
+    got = K.founder_clusters(spark.createDataFrame(rows, "key string, who string, start long, `end` long"), ["key"], "start", "end", "who").collect()
+    assert [tuple(r) for r in got] == [("k", 0, 2, 1, 1000)]
+
+
+def test_candidate_intervals():
+    p = K.TractParams()
+    assert p.exact_sites == 150
+    for n, blocked in ((12, ()), (301, ()), (301, (40, 41, 200))):
+        free = np.ones(n, bool)
+        free[list(blocked)] = False
+        sites = np.arange(n) * 30 + 1
+        got = {tuple(x) for x in K.candidate_intervals(sites, free, p).tolist()}
+        runs, at = [], 0
+        for b in (*blocked, n):
+            if b > at:
+                runs.append((at, b - 1))
+            at = b + 1
+        stride, want = -(-int(free.sum()) // 150), set()
+        for a, b in runs:
+            ends = sorted({*range(a, b + 1, stride), b})
+            want |= {(i, j) for i in ends for j in ends if i <= j} | {(i, j) for i in range(a, b + 1) for j in range(i, min(b, i + p.short - 1) + 1)}
+            assert (a, b) in got or (b - a) * 30 + 1 > p.max_span
+        assert got == {(i, j) for i, j in want if sites[j] - sites[i] + 1 <= p.max_span}
+    ends = K.candidate_intervals(np.array([1, 10_000, 10_001]), np.ones(3, bool), K.TractParams(max_span=10_000)).tolist()
+    assert [0, 1] in ends and [0, 2] not in ends
+
+
+def test_reads_without_qualities(spark):
+    assert K.walk_cigar(1, "4M", "acgt", None, [2, 4]) == {2: ("C", 60), 4: ("T", 60)}
+    assert K.walk_cigar(1, "4M", "ACGT", [9, 8], [2, 4]) == {2: ("C", 8)}
+    reads = spark.createDataFrame([("r", "c", 1, "4M", "acgt", "*"), ("s", "c", 1, "4M", "ACGT", "I")], "qname string, rname string, pos long, cigar string, seq string, qual string")
+    sites = spark.createDataFrame([("c", 1), ("c", 2)], "contig string, pos long")
+    assert sorted(tuple(r) for r in K.observations(reads, sites).collect()) == [("r", 1, "A", 60), ("r", 2, "C", 60), ("s", 1, "A", 40)]
 
 
 def test_permutation_is_deterministic_and_sane(spark):

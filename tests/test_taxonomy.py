@@ -14,9 +14,11 @@ def tree(spark):
 def test_clades_and_reads(spark):
     t = X.merge_runs(tree(spark))
     d = X.dominant_clade(t).first()
-    assert (d["dominant"], d["dominant_reads"], d["secondary"], d["classified"]) == ("Ga a", 75, "Ga b", 100)
-    assert d["top"] == ["Ga a", "Ga b", "Gb c"]
-    assert tuple(X.target_vote(X.dominant_clade(t)).first()) == ("Ga a", 1)
+    assert (d["primary"]["name"], d["primary"]["reads"], d["secondary"]["name"], d["classified"], d["reads"], d["unclassified"]) == ("Ga a", 75, "Ga b", 100, 100, 0.0)
+    assert [x["name"] for x in d["top"]] == ["Ga a", "Ga b", "Gb c", "Virus"]
+    vote = X.target_vote(X.dominant_clade(t))
+    assert tuple(vote.first()) == (4, "Ga a", "S", 1)
+    assert X.target_share(X.dominant_clade(t), t, vote).first()["target_pct"] == 75.0
     reads = spark.createDataFrame([("r1", 4), ("r2", 7), ("r3", 3), ("r4", 1)], "read string, taxid long")
     three = spark.createDataFrame([(3,)], "taxid long")
     own = lambda **kw: sorted(r["read"] for r in X.reads_of(reads, t, three, **kw).collect())
@@ -52,3 +54,34 @@ def test_series_and_epistasis(spark):
     assert tr[10]["emergence"] and not tr[10]["fixation"] and 30 not in tr and tr[20]["label"] == "declining"
     pairs = spark.createDataFrame([("g", "a", 3.0), ("g", "b", 4.0), ("g", "c", 30.0), ("h", "d", 90.0)], "grp string, m string, d double")
     assert [r["m"] for r in C.group_mismatch(pairs, "m", "grp", "d").collect()] == ["c"]
+
+
+COLUMNS = "sample string, file string, line int, taxid long, parent long, clade_reads long, reads long, rank string, name string, pct double"
+
+
+def report(sample, rows):
+    return [(sample, "f", i, t, p, c, 0, r, n, float(c)) for i, (r, t, p, c, n) in enumerate(rows)]
+
+
+def test_the_walk_is_forced_through_root_ranks_only(spark):
+    spread = [("R", 1, None, 99, "root"), ("R1", 131567, 1, 99, "cellular organisms"), ("D", 2, 131567, 99, "Bacteria"), ("P", 3, 2, 34, "pa"), ("P", 4, 2, 33, "pb"), ("P", 5, 2, 32, "pc"), ("S", 6, 3, 12, "sp1"), ("U", 0, None, 1, "unclassified")]
+    only = [("R", 1, None, 50, "root"), ("U", 0, None, 50, "unclassified")]
+    empty = [("R", 1, None, 50, "root")]
+    below = [("R", 1, None, 10, "root"), ("S", 20, 1, 10, "sp"), ("S1", 21, 20, 10, "strain")]
+    t = X.merge_runs(spark.createDataFrame(report("a", spread) + report("b", only) + report("c", empty) + report("d", below), COLUMNS))
+    got = {r["sample"]: r for r in X.dominant_clade(t).collect()}
+    assert set(got) == {"a", "b", "d"}  # a root alone says nothing
+    a = got["a"]
+    assert (a["primary"]["name"], a["primary"]["pct"], a["unclassified"], a["secondary"]) == ("Bacteria", 99.0, 1.0, None)
+    assert (got["b"]["primary"], got["b"]["unclassified"], [x["name"] for x in got["b"]["top"]]) == (None, 50.0, ["root"])
+    assert got["d"]["primary"]["name"] == "sp"
+    share = {r["sample"]: r["target_pct"] for r in X.target_share(X.dominant_clade(t), t, X.target_vote(X.dominant_clade(t))).collect()}
+    assert share["a"] == 100.0 and share["b"] == 0.0 and share["d"] == 0.0
+
+
+def test_parents_at_any_depth(spark):
+    deep = [("f", i, i % 61, i) for i in range(183)] + [("g", 0, 0, 0), ("g", 1, 2, 1), ("g", 2, 1, 2), ("g", 3, 0, 3), ("g", 4, 2, 4), ("g", 5, None, 5)]
+    df = spark.createDataFrame(deep, "file string, line int, depth int, taxid long").repartition(4)
+    got = {(r["file"], r["line"]): r["parent"] for r in C.parents_by_depth(df, ["file"], "line", "depth", "taxid").collect()}
+    assert all(got["f", i] == (i - 1 if i % 61 else None) for i in range(183))
+    assert [got["g", i] for i in range(6)] == [None, 0, 0, None, 3, None]

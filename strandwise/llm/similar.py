@@ -33,6 +33,7 @@ class SimilarParams:
     radius: int = 4  #: of the SimHash classes; speed only
     sample: int = 4000  #: documents from which the common shingles are learnt; speed only
     common: int = 1 << 16  #: of these the most that are ordered last; speed only
+    broadcast_rows: int = 1 << 21  #: keys of linked or met documents are broadcast up to so many and joined by sorting beyond
 
 
 def shingles(body: bytes, k: int) -> np.ndarray:
@@ -74,9 +75,15 @@ def _sets(k: int, part: int = 0, whole: int = 1, common: np.ndarray | None = Non
 _SET = "key long, n int, tokens array<long>"
 
 
+def _side(table: DataFrame, params: SimilarParams) -> DataFrame:
+    """`table`, written, for a join: broadcast after a look at its size, so that the other side's texts lie where they are."""
+    table = staged(table, "side")
+    return F.broadcast(table) if table.count() <= params.broadcast_rows else table
+
+
 def _verified(pairs: DataFrame, keyed: DataFrame, params: SimilarParams) -> DataFrame:
     """Of the pairs (a, b) of keys those whose shingles have the least similarity."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    need = _side(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), params)
     sets = keyed.join(need, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(_sets(params.shingle), _SET)
     sets = staged(sets, "shingle-sets")
     left, right = (sets.select(F.col("key").alias(c), F.col("n").alias("n" + c), F.col("tokens").alias("t" + c)) for c in "ab")
@@ -97,7 +104,7 @@ def _common(keyed: DataFrame, params: SimilarParams) -> np.ndarray:
 def _meeting(keyed: DataFrame, roots: DataFrame, params: SimilarParams) -> DataFrame:
     """The pairs (a, b) of keys, not linked yet, that the prefix filter and their sizes leave."""
     sets = keyed.mapInArrow(_sets(params.shingle, params.part, params.whole, _common(keyed, params)), _SET)
-    labelled = sets.join(roots, F.col("key") == F.col("node"), "left").select("key", "n", "tokens", F.coalesce("root", "key").alias("label"))
+    labelled = sets.join(_side(roots, params), F.col("key") == F.col("node"), "left").select("key", "n", "tokens", F.coalesce("root", "key").alias("label"))
     rows = labelled.select("key", "n", "label", F.posexplode("tokens").alias("at", "token"))
     of = Window.partitionBy("token")
     rows = rows.withColumn("lo", F.min("label").over(of)).withColumn("hi", F.max("label").over(of)).where("lo <> hi").drop("lo", "hi")
@@ -111,22 +118,39 @@ def _meeting(keyed: DataFrame, roots: DataFrame, params: SimilarParams) -> DataF
     return met.select(F.col("keyx").alias("a"), F.col("keyy").alias("b")).distinct()
 
 
+def similar_links(keyed: DataFrame, params: SimilarParams = SimilarParams()) -> DataFrame:
+    """(node, root) of every key of (key, body) that has a near duplicate."""
+    classes = simhash_dedup(keyed, "key", "body", SimhashParams(radius=params.radius, shingle=params.shingle))
+    stars = staged(classes.where("key <> component_id").select(F.col("key").alias("a"), F.col("component_id").alias("b")).distinct(), "stars")
+    near = staged(_verified(stars, keyed, params), "star-links")
+    roots = staged(connected_components(near), "star-roots")
+    pairs = staged(_meeting(keyed, roots, params), "meeting-pairs")
+    return connected_components(near.union(_verified(pairs, keyed, params)))
+
+
 def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: SimilarParams = SimilarParams()) -> DataFrame:
     """key and root of every distinct (id, text), `key` as `key_of` gives it: classes of near duplicates have one root.
 
     A class holds what pairs with the least similarity connect. Texts without words are equal; no rows give no rows.
     """
     keyed = docs.select(key_of(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("body"))
-    classes = simhash_dedup(keyed, "key", "body", SimhashParams(radius=params.radius, shingle=params.shingle))
-    stars = staged(classes.where("key <> component_id").select(F.col("key").alias("a"), F.col("component_id").alias("b")).distinct(), "stars")
-    near = staged(_verified(stars, keyed, params), "star-links")
-    roots = staged(connected_components(near), "star-roots")
-    pairs = staged(_meeting(keyed, roots, params), "meeting-pairs")
-    links = near.union(_verified(pairs, keyed, params))
-    found = connected_components(links)
+    found = similar_links(keyed, params)
     return keyed.select("key").distinct().join(found, F.col("key") == F.col("node"), "left").select("key", F.coalesce("root", "key").alias("root"))
 
 
+def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: SimilarParams = SimilarParams()) -> DataFrame:
+    """The rows of `docs` but those of a class of near duplicates whose id isn't its least; a null id counts as the largest.
+
+    Rows are told apart by id and text, so rows that repeat both stay or go together, and an id with two texts is two documents.
+    """
+    keyed = docs.withColumn("_key", key_of(id_col, text_col))
+    linked = staged(similar_links(keyed.select(F.col("_key").alias("key"), F.col(text_col).cast("string").alias("body")), params), "linked")
+    ids = keyed.select(F.col("_key").alias("node"), F.col(id_col).alias("_id")).join(_side(linked, params), "node").distinct()
+    first = ids.groupBy("root").agg(F.min_by("node", F.struct(F.col("_id").isNull(), "_id", "node")).alias("_first"))
+    gone = linked.join(first, "root").where("node <> _first").select(F.col("node").alias("_key"))
+    return keyed.join(_side(gone, params), "_key", "left_anti").select(*docs.columns)
+
+
 def key_of(id_col: str, text_col: str):
     """The key of a row: a hash of its id and text."""
     return F.xxhash64(F.col(id_col), F.col(text_col).cast("string"))

@@ -5,7 +5,7 @@ Each stage takes (spark, docs, sf_dir) and works on all rows that the one before
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandwise.llm import exact_dedup, language, mixing, packing, similar
@@ -36,11 +36,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows are told apart by id and text, so an id with two texts is two documents; a null id is kept only if a class has
     no other, and rows that repeat both stay or go together.
     """
-    keyed = docs.withColumn("_key", similar.key_of("doc_id", "text"))
-    classes = similar.similar_classes(docs)
-    least = F.min_by("key", F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
-    kept = keyed.select(F.col("_key").alias("key"), "doc_id").distinct().join(classes, "key").groupBy("root").agg(least.alias("_key")).select("_key")
-    return keyed.join(kept, "_key", "left_semi").select(*docs.columns)
+    return similar.drop_similar(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

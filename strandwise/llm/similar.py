@@ -12,12 +12,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandwise.llm.simhash import SimhashParams, simhash_dedup
@@ -118,14 +119,27 @@ def _meeting(keyed: DataFrame, roots: DataFrame, params: SimilarParams) -> DataF
     return met.select(F.col("keyx").alias("a"), F.col("keyy").alias("b")).distinct()
 
 
+@contextmanager
+def _small_batches(spark: SparkSession, rows: int = 500):
+    """Jobs inside hand whole texts and their shingles to Python in batches of so many rows, which bounds the buffers of both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def similar_links(keyed: DataFrame, params: SimilarParams = SimilarParams()) -> DataFrame:
     """(node, root) of every key of (key, body) that has a near duplicate."""
-    classes = simhash_dedup(keyed, "key", "body", SimhashParams(radius=params.radius, shingle=params.shingle))
-    stars = staged(classes.where("key <> component_id").select(F.col("key").alias("a"), F.col("component_id").alias("b")).distinct(), "stars")
-    near = staged(_verified(stars, keyed, params), "star-links")
-    roots = staged(connected_components(near), "star-roots")
-    pairs = staged(_meeting(keyed, roots, params), "meeting-pairs")
-    return connected_components(near.union(_verified(pairs, keyed, params)))
+    with _small_batches(keyed.sparkSession):
+        classes = simhash_dedup(keyed, "key", "body", SimhashParams(radius=params.radius, shingle=params.shingle))
+        stars = staged(classes.where("key <> component_id").select(F.col("key").alias("a"), F.col("component_id").alias("b")).distinct(), "stars")
+        near = staged(_verified(stars, keyed, params), "star-links")
+        roots = staged(connected_components(near), "star-roots")
+        pairs = staged(_meeting(keyed, roots, params), "meeting-pairs")
+        return connected_components(near.union(_verified(pairs, keyed, params)))
 
 
 def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: SimilarParams = SimilarParams()) -> DataFrame:

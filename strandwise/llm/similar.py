@@ -109,14 +109,16 @@ def _meeting(keyed: DataFrame, roots: DataFrame, params: SimilarParams) -> DataF
     rows = labelled.select("key", "n", "label", F.posexplode("tokens").alias("at", "token"))
     of = Window.partitionBy("token")
     rows = rows.withColumn("lo", F.min("label").over(of)).withColumn("hi", F.max("label").over(of)).where("lo <> hi").drop("lo", "hi")
-    rows = staged(rows, "meeting-shingles")
-    x, y = (rows.select("token", *[F.col(c).alias(c + s) for c in ("key", "n", "label", "at")]) for s in "xy")
     p, w = params.part, params.whole
-    met = x.join(y, "token").where((F.col("keyx") < F.col("keyy")) & (F.col("labelx") != F.col("labely")))
+    # both sides read one shuffle: rows that the window left lie by token already. The smaller set of a pair needs a
+    # shorter prefix, since the larger one has to hold more of it
+    small = F.col("at") < F.col("n") - F.ceil(F.col("n") * (2 * p) / (w + p)) + 1
+    x, y = (df.select("token", *[F.col(c).alias(c + s) for c in ("key", "n", "label", "at")]) for df, s in ((rows.where(small), "x"), (rows, "y")))
+    met = x.join(y, "token").where((F.col("nx") <= F.col("ny")) & (F.col("labelx") != F.col("labely")))
     met = met.where(F.least("nx", "ny") * w >= F.greatest("nx", "ny") * p)
     # at the first shared shingle all others that are shared lie behind it in both
     met = met.where((F.least(F.col("nx") - F.col("atx"), F.col("ny") - F.col("aty"))) * (w + p) >= (F.col("nx") + F.col("ny")) * p)
-    return met.select(F.col("keyx").alias("a"), F.col("keyy").alias("b")).distinct()
+    return met.select(F.least("keyx", "keyy").alias("a"), F.greatest("keyx", "keyy").alias("b")).distinct()
 
 
 @contextmanager

@@ -485,7 +485,8 @@ def payload_json(t: Tables) -> DataFrame:
 def founder_clusters(t: Tables) -> DataFrame:
     from strandwise.operators.kernels import founder_clusters as run
 
-    return run(_spans(t).where("`end` > start"), ["user_id"], "start", "end", "event_id")
+    spans = t.events.select(F.day("ts").alias("day"), "user_id", minute_of_month(F.col("ts")).alias("start")).withColumn("end", F.col("start") + F.col("user_id") % 240 + 1)
+    return run(spans, ["day"], "start", "end", "user_id")
 
 
 @query()
@@ -519,3 +520,33 @@ def bayes_tract(t: Tables) -> DataFrame:
     return conversion_tracts(obs, ["pair_id"])
 
 
+
+
+_MIXED_FLAGS = """list_filter([CASE WHEN n < CASE WHEN old THEN 3 ELSE 10 END THEN 'LOW_DEPTH' END, CASE WHEN bal < CASE WHEN old THEN 30 ELSE 90 END THEN 'LOW_BREADTH' END, CASE WHEN hi > CASE WHEN old THEN 60 ELSE 4 END THEN 'HIGH_DUP' END,
+  CASE WHEN old THEN NULL WHEN mean > 180000 THEN 'SNP_HIGH' WHEN mean < 120000 THEN 'SNP_LOW' END, CASE WHEN NOT old AND hi + n >= 5 AND 100.0 * hi / (hi + n) > 3 THEN 'HET_HIGH' END, CASE WHEN old AND bal / 10000 < 0.05 THEN 'DAMAGE_LOW' END], lambda x: x IS NOT NULL)"""
+
+
+@query(f"SELECT c_custkey, array_to_string(f, ';') AS flags, CASE WHEN list_has_any(f, ['NO_DATA', 'LOW_DEPTH', 'LOW_BREADTH', 'HIGH_MISSING']) THEN 'FAIL' WHEN len(f) > 0 THEN 'WARN' ELSE 'PASS' END AS verdict FROM (SELECT c_custkey, {_MIXED_FLAGS} AS f FROM (SELECT *, c_custkey % 3 = 0 AS old FROM {_METRICS}))")
+def qc_verdict_ancient(t: Tables) -> DataFrame:
+    c = {"depth": F.col("n"), "breadth": F.col("bal"), "dup": F.col("hi"), "snp_z": (F.col("mean") - 150000) / 10000, "het": F.col("hi"), "hom": F.col("n"), "damage": F.col("bal") / 10000, "ancient": F.col("c_custkey") % 3 == 0}
+    own = _metrics(t).select("c_custkey", C.qc_flags(c, C.QcThresholds(dup=4, het_least=5)).alias("f"))
+    return own.select("c_custkey", F.array_join("f", ";").alias("flags"), C.verdict(F.col("f")).alias("verdict"))
+
+
+@query("""WITH g AS (SELECT c_mktsegment AS s, n_regionkey AS r, n_nationkey AS n, count(*) AS k FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL),
+r AS (SELECT s, r, sum(k)::BIGINT AS k, row_number() OVER (PARTITION BY s ORDER BY sum(k) DESC, r) AS i FROM g GROUP BY s, r), n AS (SELECT *, row_number() OVER (PARTITION BY s, r ORDER BY k DESC, n) AS i FROM g),
+d AS (SELECT r.s, r.i, CASE WHEN n.k >= 0.21 * r.k THEN 100 + n.n ELSE 10 + r.r END::BIGINT AS taxid, CASE WHEN n.k >= 0.21 * r.k THEN n.k ELSE r.k END AS reads FROM r JOIN n ON r.s = n.s AND r.r = n.r AND n.i = 1),
+v AS (SELECT taxid FROM d WHERE i = 1 GROUP BY 1 ORDER BY count(*) DESC, sum(reads) DESC, taxid LIMIT 1), c AS (SELECT s, 10 + r AS taxid, k FROM r UNION ALL SELECT s, 100 + n, k FROM g), w AS (SELECT s, sum(k) AS k FROM g GROUP BY 1)
+SELECT a.s AS c_mktsegment, a.taxid AS "primary", a.reads, b.taxid AS secondary, round(100.0 * coalesce((SELECT k FROM c WHERE c.s = a.s AND c.taxid = (SELECT taxid FROM v)), 0) / w.k, 2)::DOUBLE AS target_pct FROM d a JOIN d b ON a.s = b.s AND b.i = 2 JOIN w ON w.s = a.s WHERE a.i = 1""")
+def dominant_clade(t: Tables) -> DataFrame:
+    from strandwise.operators import taxonomy as X
+
+    both = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 nations by the schema
+    levels = both.groupBy(F.col("c_mktsegment").alias("sample"), "n_regionkey", "n_nationkey").agg(F.count(F.lit(1)).alias("clade_reads"))
+    node = lambda keys, taxid, parent, rank: levels.groupBy("sample", *keys).agg(F.sum("clade_reads").alias("clade_reads")).select("sample", long(taxid).alias("taxid"), parent.cast("bigint").alias("parent"), "clade_reads", F.lit(rank).alias("rank"))
+    region = F.col("n_regionkey") + 10
+    tree = node([], F.lit(1), F.lit(None), "R").union(node(["n_regionkey"], region, F.lit(1), "D")).union(node(["n_regionkey", "n_nationkey"], F.col("n_nationkey") + 100, region, "G"))
+    tree = X.merge_runs(tree.select("*", F.lit(0).alias("reads"), F.lit("report").alias("file"), F.col("taxid").alias("line"), F.col("taxid").cast("string").alias("name")))
+    clades = X.dominant_clade(tree, share=0.21)
+    share = X.target_share(clades, tree, X.target_vote(clades))
+    return clades.join(share, "sample").select(F.col("sample").alias("c_mktsegment"), F.col("primary.taxid").alias("primary"), F.col("primary.reads").alias("reads"), F.col("secondary.taxid").alias("secondary"), "target_pct")

@@ -25,9 +25,11 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
+    """The folder of ``spark.checkpoint.dir``; where that is unset a temporary one for local masters and an error for others."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_SHARED, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="strandwise-")
         spark.conf.set(_SHARED, root)
     return root.rstrip("/")

@@ -110,8 +110,8 @@ def _meeting(keyed: DataFrame, roots: DataFrame, params: SimilarParams) -> DataF
     of = Window.partitionBy("token")
     rows = rows.withColumn("lo", F.min("label").over(of)).withColumn("hi", F.max("label").over(of)).where("lo <> hi").drop("lo", "hi")
     p, w = params.part, params.whole
-    # both sides read one shuffle: rows that the window left lie by token already. The smaller set of a pair needs a
-    # shorter prefix, since the larger one has to hold more of it
+    rows = staged(rows, "meeting-shingles")
+    # the smaller set of a pair needs a shorter prefix, since the larger one has to hold more of it
     small = F.col("at") < F.col("n") - F.ceil(F.col("n") * (2 * p) / (w + p)) + 1
     x, y = (df.select("token", *[F.col(c).alias(c + s) for c in ("key", "n", "label", "at")]) for df, s in ((rows.where(small), "x"), (rows, "y")))
     met = x.join(y, "token").where((F.col("nx") <= F.col("ny")) & (F.col("labelx") != F.col("labely")))

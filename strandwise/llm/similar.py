@@ -18,6 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ class SimilarParams:
     radius: int = 4  #: of the SimHash classes; speed only
     sample: int = 4000  #: documents from which the common shingles are learnt; speed only
     common: int = 1 << 16  #: of these the most that are ordered last; speed only
+    slice: int = 1 << 21  #: shingles of a shard, about; memory only
     broadcast_rows: int = 1 << 21  #: keys of linked or met documents are broadcast up to so many and joined by sorting beyond
 
 
@@ -102,11 +104,91 @@ def _common(keyed: DataFrame, params: SimilarParams) -> np.ndarray:
     return np.array([r["token"] for r in reversed(top)], np.int64)
 
 
+def _dealt(common: np.ndarray, shards: int):
+    """Over (key, n, tokens, label): packed slices of the tokens, one for each shard that a token's hash names.
+
+    A task's common tokens, which many documents may have, are a shard of its own, numbered below zero.
+    """
+    common = np.sort(common)
+
+    def packed(held: list[pa.RecordBatch], own: int) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        key, n, label = (table[c].to_numpy() for c in ("key", "n", "label"))
+        lists = table["tokens"].combine_chunks()
+        counts, tokens = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
+        doc = np.repeat(np.arange(len(counts)), counts)
+        at = np.arange(len(tokens)) - (np.cumsum(counts) - counts)[doc]
+        shard = (tokens.view(np.uint64) % np.uint64(shards)).astype(np.int64)
+        if len(common):
+            shard[common[np.minimum(np.searchsorted(common, tokens), len(common) - 1)] == tokens] = own
+        order = np.argsort(shard, kind="stable")
+        names, first = np.unique(shard[order], return_index=True)
+        rows: list[tuple[int, int, int, bytes]] = []
+        for name, lo, hi in zip(names.tolist(), first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
+            sel = order[lo:hi]
+            docs, each = np.unique(doc[sel], return_counts=True)
+            steps = np.diff(at[sel], prepend=0).astype(np.int32)
+            parts = (key[docs], label[docs] ^ key[docs], n[docs].astype(np.int32), each.astype(np.int32), steps.view(np.uint8).reshape(-1, 4).T, tokens[sel])
+            rows.append((name, len(docs), len(sel), pa.compress(b"".join(x.tobytes() for x in parts), codec="zstd", asbytes=True)))
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["shard", "docs", "size", "body"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, held, size = -1 - TaskContext.get().partitionId(), [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += len(batch.column("tokens").flatten())
+            if size >= 1 << 20:
+                yield packed(held, own)
+                held, size = [], 0
+        if held:
+            yield packed(held, own)
+
+    return run
+
+
+def _shared_tokens(table: pa.Table) -> pa.Table:
+    """The rows of a shard's slices whose token has more than one label; all of them for a shard of common tokens."""
+    docs, sizes = table["docs"].to_numpy(), table["size"].to_numpy()
+    keys, labels, ns, own, ats, tokens, before = [], [], [], [], [], [], 0
+    for d, m, body in zip(docs.tolist(), sizes.tolist(), table["body"], strict=True):
+        raw = memoryview(pa.decompress(body.as_buffer(), decompressed_size=24 * d + 12 * m, codec="zstd", asbytes=True))
+        keys.append(np.frombuffer(raw, np.int64, d))
+        labels.append(np.frombuffer(raw, np.int64, d, 8 * d) ^ keys[-1])
+        ns.append(np.frombuffer(raw, np.int32, d, 16 * d))
+        own.append(before + np.repeat(np.arange(d), np.frombuffer(raw, np.int32, d, 20 * d)))
+        steps = np.frombuffer(raw, np.uint8, 4 * m, 24 * d).reshape(4, m).T
+        ats.append(np.cumsum(np.ascontiguousarray(steps).view(np.int32).ravel()))
+        tokens.append(np.frombuffer(raw, np.int64, m, 24 * d + 4 * m))
+        before += d
+    key, label, n, doc, at, token = map(np.concatenate, (keys, labels, ns, own, ats, tokens))
+    kept = np.arange(len(token))
+    if table["shard"][0].as_py() >= 0:
+        order = np.argsort(token)
+        first = np.flatnonzero(np.diff(token[order], prepend=~token[order[0]]))
+        by = label[doc[order]]
+        apart = np.minimum.reduceat(by, first) != np.maximum.reduceat(by, first)
+        kept = order[np.repeat(apart, np.diff(np.append(first, len(order))))]
+    doc = doc[kept]
+    return pa.table({"key": key[doc], "n": n[doc], "label": label[doc], "at": at[kept].astype(np.int32), "token": token[kept]})
+
+
 def _meeting(keyed: DataFrame, roots: DataFrame, params: SimilarParams) -> DataFrame:
-    """The pairs (a, b) of keys, not linked yet, that the prefix filter and their sizes leave."""
-    sets = keyed.mapInArrow(_sets(params.shingle, params.part, params.whole, _common(keyed, params)), _SET)
+    """The pairs (a, b) of keys, not linked yet, that the prefix filter and their sizes leave.
+
+    Nearly all tokens of a corpus are one document's. So they travel packed, by shards of about `slice` tokens, and only
+    those that documents of two labels have become rows. A token that isn't common is in a small share of the documents,
+    and its shard is that much larger.
+    """
+    common = _common(keyed, params)
+    sets = keyed.mapInArrow(_sets(params.shingle, params.part, params.whole, common), _SET)
     labelled = sets.join(_side(roots, params), F.col("key") == F.col("node"), "left").select("key", "n", "tokens", F.coalesce("root", "key").alias("label"))
-    rows = labelled.select("key", "n", "label", F.posexplode("tokens").alias("at", "token"))
+    total = keyed.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    words = total // 6  # of six bytes each, the space included; a corpus of other words has other shards
+    shards = 1 + words * (params.whole - params.part) // (params.whole * params.slice)
+    slices = labelled.mapInArrow(_dealt(common, shards), "shard long, docs int, size int, body binary")
+    rows = slices.groupBy("shard").applyInArrow(_shared_tokens, "key long, n int, label long, at int, token long")
     of = Window.partitionBy("token")
     rows = rows.withColumn("lo", F.min("label").over(of)).withColumn("hi", F.max("label").over(of)).where("lo <> hi").drop("lo", "hi")
     p, w = params.part, params.whole

@@ -3,7 +3,7 @@ from itertools import combinations
 
 import pytest
 
-from strandwise.llm.similar import SimilarParams, key_of, similar_classes
+from strandwise.llm.similar import SimilarParams, drop_similar, key_of, similar_classes
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -39,11 +39,11 @@ def texts():
     return [(i, " ".join(w)) for i, w in enumerate(out)] + [(900, ""), (901, " "), (902, "two words")]
 
 
-@pytest.mark.parametrize("params", [SimilarParams(), SimilarParams(radius=1, sample=1, common=3)])
-def test_stage_against_brute_force(spark, texts, params, monkeypatch):
-    monkeypatch.setattr(corpus_pipeline.similar.similar_classes, "__defaults__", ("doc_id", "text", params))
+@pytest.mark.parametrize("params", [None, SimilarParams(radius=1, sample=1, common=3), SimilarParams(slice=200), SimilarParams(radius=1, common=0, slice=50)])
+def test_stage_against_brute_force(spark, texts, params):
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
-    got = sorted(r["doc_id"] for r in corpus_pipeline.near(spark, docs, "").collect())
+    kept = drop_similar(docs, params=params) if params else corpus_pipeline.near(spark, docs, "")
+    got = sorted(r["doc_id"] for r in kept.collect())
     assert got == survivors(texts)
     assert 30 < len(got) < len(texts)
 

@@ -12,14 +12,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandwise.llm.simhash import SimhashParams, simhash_dedup
@@ -84,15 +83,49 @@ def _side(table: DataFrame, params: SimilarParams) -> DataFrame:
     return F.broadcast(table) if table.count() <= params.broadcast_rows else table
 
 
-def _verified(pairs: DataFrame, keyed: DataFrame, params: SimilarParams) -> DataFrame:
-    """Of the pairs (a, b) of keys those whose shingles have the least similarity."""
+def _parities(k: int):
+    """Over (key, body): key, the size of its set and, for each of 4,096 bins of hashes, if the set has an odd number in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, bits = [], []
+            for x in batch.column(1).cast(pa.binary()):
+                own = shingles(x.as_py() or b"", k)
+                sizes.append(len(own))
+                odd = np.bincount((own & 4095), minlength=4096) & 1
+                bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            flat = pa.array(np.concatenate(bits) if bits else np.empty(0, np.int64))
+            ends = pa.array(np.arange(0, len(flat) + 1, 64, dtype=np.int32))
+            yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(ends, flat)], names=["key", "n", "odd"])
+
+    return run
+
+
+def _of_pairs(pairs: DataFrame, keyed: DataFrame, params: SimilarParams) -> DataFrame:
+    """The rows of `keyed` that the pairs (a, b) name; texts lie where they are."""
     need = _side(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), params)
-    sets = keyed.join(need, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(_sets(params.shingle), _SET)
-    sets = staged(sets, "shingle-sets")
-    left, right = (sets.select(F.col("key").alias(c), F.col("n").alias("n" + c), F.col("tokens").alias("t" + c)) for c in "ab")
-    shared = F.size(F.array_intersect("ta", "tb"))
-    passed = shared * (params.whole + params.part) >= (F.col("na") + F.col("nb")) * params.part
-    return pairs.join(left, "a").join(right, "b").where(passed).select("a", "b")
+    return keyed.join(need, "key", "left_semi")
+
+
+def _beside(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    left, right = (sets.select(F.col("key").alias(c), F.col("n").alias("n" + c), F.col(column).alias(column + c)) for c in "ab")
+    return pairs.join(left, "a").join(right, "b")
+
+
+def _verified(pairs: DataFrame, keyed: DataFrame, params: SimilarParams) -> DataFrame:
+    """Of the pairs (a, b) of keys those whose shingles have the least similarity.
+
+    Each bin whose parity differs holds a shingle that only one of the two has, so pairs with too many such bins are
+    told apart by half a kilobyte; the sets of the others are compared whole.
+    """
+    p, w = params.part, params.whole
+    bins = staged(_of_pairs(pairs, keyed, params).mapInArrow(_parities(params.shingle), "key long, n int, odd array<long>").dropDuplicates(["key"]), "parities")
+    differ = F.aggregate(F.zip_with("odda", "oddb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    near = _beside(pairs, bins, "odd").where(differ * (w + p) <= (F.col("na") + F.col("nb")) * (w - p)).select("a", "b")
+    near = staged(near, "near-pairs")
+    sets = staged(_of_pairs(near, keyed, params).mapInArrow(_sets(params.shingle), _SET).dropDuplicates(["key"]), "shingle-sets")
+    shared = F.size(F.array_intersect("tokensa", "tokensb"))
+    return _beside(near, sets, "tokens").where(shared * (w + p) >= (F.col("na") + F.col("nb")) * p).select("a", "b")
 
 
 def _common(keyed: DataFrame, params: SimilarParams) -> np.ndarray:
@@ -203,27 +236,14 @@ def _meeting(keyed: DataFrame, roots: DataFrame, params: SimilarParams) -> DataF
     return met.select(F.least("keyx", "keyy").alias("a"), F.greatest("keyx", "keyy").alias("b")).distinct()
 
 
-@contextmanager
-def _small_batches(spark: SparkSession, rows: int = 500):
-    """Jobs inside hand whole texts and their shingles to Python in batches of so many rows, which bounds the buffers of both sides."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def similar_links(keyed: DataFrame, params: SimilarParams = SimilarParams()) -> DataFrame:
     """(node, root) of every key of (key, body) that has a near duplicate."""
-    with _small_batches(keyed.sparkSession):
-        classes = simhash_dedup(keyed, "key", "body", SimhashParams(radius=params.radius, shingle=params.shingle))
-        stars = staged(classes.where("key <> component_id").select(F.col("key").alias("a"), F.col("component_id").alias("b")).distinct(), "stars")
-        near = staged(_verified(stars, keyed, params), "star-links")
-        roots = staged(connected_components(near), "star-roots")
-        pairs = staged(_meeting(keyed, roots, params), "meeting-pairs")
-        return connected_components(near.union(_verified(pairs, keyed, params)))
+    classes = simhash_dedup(keyed, "key", "body", SimhashParams(radius=params.radius, shingle=params.shingle))
+    stars = staged(classes.where("key <> component_id").select(F.col("key").alias("a"), F.col("component_id").alias("b")).distinct(), "stars")
+    near = staged(_verified(stars, keyed, params), "star-links")
+    roots = staged(connected_components(near), "star-roots")
+    pairs = staged(_meeting(keyed, roots, params), "meeting-pairs")
+    return connected_components(near.union(_verified(pairs, keyed, params)))
 
 
 def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: SimilarParams = SimilarParams()) -> DataFrame:

@@ -11,15 +11,24 @@ from pyspark.sql import functions as F
 from strandwise.llm import exact_dedup, language, mixing, packing, similar
 from strandwise.session import staged
 
+#: Rows of whole texts that go to Python at once; it bounds the buffers on both sides and has no part in the results.
+BATCH_ROWS = 500
+
 #: A text stays whose language is known with this score at least; sure predictions score far above it.
 LEAST_SCORE = 0.4
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session's Arrow batches; a plan reads the setting when it runs, after its stage has returned."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts that are `und`, as null ones and those without a letter are, or whose language is uncertain.
 
     Each row is judged by its text alone, so repeated rows fare alike; no labelled rows leave nothing to keep.
     """
+    small_batches(spark)
     net = language.learn(docs.where(language.fold("doc_id", 4) != 2), order=F.col("doc_id"))
     found = language.identify(docs, net, lang_name="_lang", score_name="_score")
     return found.where((F.col("_lang") != language.UNDETERMINED) & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
@@ -36,6 +45,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows are told apart by id and text, so an id with two texts is two documents; a null id is kept only if a class has
     no other, and rows that repeat both stay or go together.
     """
+    small_batches(spark)
     return similar.drop_similar(docs)
 
 
@@ -46,6 +56,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places all documents in sequences; null and empty texts as their end token alone."""
+    small_batches(spark)
     return packing.pack(docs)
 
 

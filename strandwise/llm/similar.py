@@ -137,11 +137,12 @@ def _common(keyed: DataFrame, params: SimilarParams) -> np.ndarray:
     return np.array([r["token"] for r in reversed(top)], np.int64)
 
 
-def _dealt(common: np.ndarray, shards: int):
-    """Over (key, n, tokens, label): packed slices of the tokens, one for each shard that a token's hash names.
+def _dealt(params: SimilarParams, common: np.ndarray, shards: int):
+    """Over (key, body, label): packed slices of the tokens that must meet, one for each shard that a token's hash names.
 
     A task's common tokens, which many documents may have, are a shard of its own, numbered below zero.
     """
+    sets = _sets(params.shingle, params.part, params.whole, common)
     common = np.sort(common)
 
     def packed(held: list[pa.RecordBatch], own: int) -> pa.RecordBatch:
@@ -169,10 +170,10 @@ def _dealt(common: np.ndarray, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, held, size = -1 - TaskContext.get().partitionId(), [], 0
         for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-                size += len(batch.column("tokens").flatten())
-            if size >= 1 << 20:
+            for made in sets([batch.select(["key", "body"])]) if batch.num_rows else ():
+                held.append(made.append_column("label", batch.column("label")))
+                size += len(made.column("tokens").flatten())
+            if size >= 1 << 18:
                 yield packed(held, own)
                 held, size = [], 0
         if held:
@@ -215,12 +216,11 @@ def _meeting(keyed: DataFrame, roots: DataFrame, params: SimilarParams) -> DataF
     and its shard is that much larger.
     """
     common = _common(keyed, params)
-    sets = keyed.mapInArrow(_sets(params.shingle, params.part, params.whole, common), _SET)
-    labelled = sets.join(_side(roots, params), F.col("key") == F.col("node"), "left").select("key", "n", "tokens", F.coalesce("root", "key").alias("label"))
+    labelled = keyed.join(_side(roots, params), F.col("key") == F.col("node"), "left").select("key", "body", F.coalesce("root", "key").alias("label"))
     total = keyed.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     words = total // 6  # of six bytes each, the space included; a corpus of other words has other shards
     shards = 1 + words * (params.whole - params.part) // (params.whole * params.slice)
-    slices = labelled.mapInArrow(_dealt(common, shards), "shard long, docs int, size int, body binary")
+    slices = labelled.mapInArrow(_dealt(params, common, shards), "shard long, docs int, size int, body binary")
     rows = slices.groupBy("shard").applyInArrow(_shared_tokens, "key long, n int, label long, at int, token long")
     of = Window.partitionBy("token")
     rows = rows.withColumn("lo", F.min("label").over(of)).withColumn("hi", F.max("label").over(of)).where("lo <> hi").drop("lo", "hi")

@@ -31,23 +31,37 @@ def joined(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner")
     return a.join(other, on, how).drop(*["_other_" + k for k in keys])
 
 
-def running(blocks: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, name: str, how: str = "sum", backwards: bool = False, inclusive: bool = True) -> DataFrame:
-    """`name`: the sum, least or largest (`how`) `value` of a group's rows up to each row, or from it on (`backwards`).
+_FOLDS = {"sum": F.sum, "min": F.min, "max": F.max, "xor": F.bit_xor}
 
-    `blocks` comes from `in_blocks` with the same keys and order. Exclusive sums begin with 0.
-    """
-    fold = {"sum": F.sum, "min": F.min, "max": F.max}[how]
+
+def _folded(how: str, a: Column, b: Column) -> Column:
+    if how in ("min", "max"):
+        return (F.least if how == "min" else F.greatest)(a, b)
+    a, b = F.coalesce(a, F.lit(0)), F.coalesce(b, F.lit(0))
+    return a + b if how == "sum" else a.bitwiseXOR(b)
+
+
+def running_all(blocks: DataFrame, keys: Sequence[str], order: Sequence[str | Column], values: dict[str, tuple[str, str]], backwards: bool = False, inclusive: bool = True) -> DataFrame:
+    """`running` for several {name: (value, how)} in one pass."""
     turn = lambda c: (F.col(c) if isinstance(c, str) else c).desc() if backwards else c
     inside = Window.partitionBy(*keys, "_block").orderBy(*[turn(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    totals = blocks.groupBy(*keys, "_block").agg(fold(value).alias("_total"))
+    totals = blocks.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_rows"), *[_FOLDS[how](value).alias(f"_total_{n}") for n, (value, how) in enumerate(values.values())])
     over = Window.partitionBy(*keys).orderBy(turn("_block")).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*keys, "_block", fold("_total").over(over).alias("_carried"))  # one row a block and key
-    out = joined(blocks.withColumn(name, fold(value).over(inside)), carried, [*keys, "_block"])
-    if how == "sum":
-        whole = F.coalesce(name, F.lit(0)) + F.coalesce("_carried", F.lit(0))
-    else:
-        whole = (F.least if how == "min" else F.greatest)(name, "_carried")
-    return out.withColumn(name, whole).drop("_carried")
+    carried = totals.select(*keys, "_block", F.sum("_rows").over(over).alias("_rows"), *[_FOLDS[how](f"_total_{n}").over(over).alias(f"_carried_{n}") for n, (_, how) in enumerate(values.values())])
+    # only the first key of a block can go on from another one: a row for each block at most
+    carried = F.broadcast(carried.where(F.col("_rows").isNotNull()).drop("_rows"))
+    here = blocks.withColumns({name: _FOLDS[how](value).over(inside) for name, (value, how) in values.items()})
+    out = joined(here, carried, [*keys, "_block"], "left")
+    whole = {name: _folded(how, F.col(name), F.col(f"_carried_{n}")) for n, (name, (_, how)) in enumerate(values.items())}
+    return out.withColumns(whole).drop(*[f"_carried_{n}" for n in range(len(values))])
+
+
+def running(blocks: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, name: str, how: str = "sum", backwards: bool = False, inclusive: bool = True) -> DataFrame:
+    """`name`: the sum, least, largest or exclusive or (`how`) of a group's `value` up to each row, or from it on (`backwards`).
+
+    `blocks` comes from `in_blocks` with the same keys and order. Exclusive sums begin with 0.
+    """
+    return running_all(blocks, keys, order, {name: (value, how)}, backwards, inclusive)
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

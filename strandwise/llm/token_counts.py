@@ -83,39 +83,77 @@ def version(path: str) -> str:
         return hashlib.sha256(f.read() + f"\n{library.__version__}\n{folds(path)}".encode()).hexdigest()
 
 
+#: ASCII marks that end a word; the tokenizer keeps a run of them apart from the letters before it
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _byte_letters() -> dict[int, int]:
+    """Byte-level BPE's letter for each byte: itself if it prints, else the next free one from 256."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + n for n, b in enumerate(hidden)}
+
+
 class Counter:
-    """Counts of one tokenizer; `count` gives those of a list of normalised texts."""
+    """Counts of one tokenizer; `count` gives those of a list of normalised texts.
+
+    Of a tokenizer that `folds`, counts are remembered by word. A word of letters and marks after them is cut there,
+    and its parts go straight to the merges, as the tokenizer does it; any other word goes to it as a whole.
+    """
 
     def __init__(self, path: str, params: CountParams = CountParams()):
-        self.fold, self.known, self.params = folds(path), {}, params
+        self.fold, self.params = folds(path), params
+        self.known: dict[str, int] = {}  # words
+        self.parts: dict[str, int] = {}  # letters alone, and marks alone
+        self.letters = _byte_letters()
         if path.endswith(".json"):
             from tokenizers import Tokenizer
 
             inner = Tokenizer.from_file(path)
             inner.no_truncation()
             inner.no_padding()
-            self.encode = lambda texts: [len(e.ids) for e in inner.encode_batch(texts, add_special_tokens=False)]
+            self.encode = lambda text: len(inner.encode(text, add_special_tokens=False).ids)
+            self.merge, self.fit = inner.model.tokenize, inner.normalizer.normalize_str if self.fold else None
         else:
             import sentencepiece
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
-            self.encode = lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
+            self.encode = lambda text: len(model.encode(text))
+
+    def _part(self, part: str) -> int:
+        if (n := self.parts.get(part)) is None:
+            if len(self.parts) >= self.params.cache_words:
+                self.parts.clear()
+            spelt = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+            n = len(self.merge(spelt))
+            if len(part) <= self.params.word_chars:
+                self.parts[part] = n
+        return n
+
+    def _word(self, word: str) -> int:
+        core = word.rstrip(_MARKS)
+        tail = word[len(core) :]
+        if core and not core.isascii():
+            core = self.fit(core)
+        if not core.isalpha() or "<|" in tail:
+            return self.encode(word)
+        return self._part(core.lower() if core.isascii() else core) + (self._part(tail) if tail else 0)
+
+    def _text(self, text: str) -> int:
+        total, known = 0, self.known
+        words = text.split(" ")
+        for w in words:
+            if (n := known.get(w)) is None:
+                n = self._word(w)
+                if len(w) <= self.params.word_chars:
+                    if len(known) >= self.params.cache_words:
+                        known.clear()
+                    known[w] = n
+            total += n
+        return total
 
     def count(self, texts: list[str]) -> list[int]:
-        if not self.fold:
-            return self.encode(texts)
-        words = [t.split(" ") for t in texts]
-        new = {w for own in words for w in own if w not in self.known}
-        if len(self.known) + len(new) > self.params.cache_words:
-            self.known.clear()
-            new = {w for own in words for w in own}
-        new = list(new)
-        self.known.update(zip(new, self.encode(new), strict=True))
-        out = [sum(map(self.known.__getitem__, own)) for own in words]
-        for w in new:
-            if len(w) > self.params.word_chars:
-                del self.known[w]
-        return out
+        return [self._text(t) for t in texts] if self.fold else [self.encode(t) for t in texts]
 
 
 class TokenCache:
@@ -149,9 +187,7 @@ def encoded(texts: DataFrame, path: str, params: CountParams) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(path, params)
         for batch in batches:
-            n: list[int] = []
-            for at in range(0, batch.num_rows, 256):
-                n += counter.count(batch.column(1).slice(at, 256).to_pylist())
+            n = [counter.count([t.as_py()])[0] for t in batch.column(1)]  # one text at a time is a Python string
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64())], names=["digest", "n_tokens"])
 
     return texts.mapInArrow(run, "digest binary, n_tokens long")

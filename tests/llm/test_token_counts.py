@@ -60,14 +60,14 @@ def test_empty(spark, none):
 
 def test_normalising_keeps_the_counts(spark):
     rng = random.Random(3)
-    odd = ["H̱ ẖ", "<|EndOfText|> <|endoftext|>a", "a<|endoftext|>", "<|start\noftext|>", "ΑΣ ΑΣ.", "İI ı", "́a ́", "a b c\x0bd\x0ce\x85f\x1cg", "DON'T we'LL 'S", "ﬁ ½ x²", "日本 語", "​ zero", "A" * 200 + " " + "x1" * 90]
+    odd = ["H̱ ẖ", "<|EndOfText|> <|endoftext|>a", "a<|endoftext|>", "<|start\noftext|>", "ΑΣ ΑΣ.", "İI ı", "́a ́", "a b c\x0bd\x0ce\x85f\x1cg", "DON'T we'LL 'S", "ﬁ ½ x²", "日本 語", "​ zero", "A" * 200 + " " + "x1" * 90, "é.É, naïve’s d'accord' l'été!! ß. ǅ. İ. a<| a.<|endoftext|> <| o'", "ﬀ ª º."]
     letters = "aB é́Éß.,'<|>_ \n\t1²日Σ̱H"
     odd += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 50))) for _ in range(400)]
     df = spark.createDataFrame([(t,) for t in odd], "t string")
     got = [r[0] for r in df.select(normalised(df.t, folds(PATH))).collect()]
     count, counter = plain(PATH), Counter(PATH, CountParams(cache_words=50))
     assert counter.count(got) == [count(t) for t in odd]
-    assert len(counter.known) <= 50 or len(got) == len(odd)
+    assert len(counter.known) <= 50
 
 
 def test_only_distinct_misses_are_encoded(spark, tmp_path, monkeypatch):

@@ -167,69 +167,85 @@ class AlignParams:
     gap_open: int = -6
     gap_extend: int = -1
     band: int = 64  #: beside the difference of the lengths
+    most_cells: int = 50_000_000  #: of a band, a byte each; beyond there is no alignment
 
 
-def affine(a: str, b: str, p: AlignParams = AlignParams()) -> tuple[float, str]:
-    """Score and CIGAR of a global alignment with affine gaps inside a band; a gap of n costs open + n x extend."""
+def affine_columns(a: str, b: str, p: AlignParams = AlignParams()) -> tuple[float, np.ndarray, np.ndarray] | None:
+    """Score and columns of a global alignment with affine gaps: for each column the places in a and b, -1 in a gap.
+
+    Only cells of the band are kept; None if they are more than `most_cells`. Of equal ways the last steps are pairs, so a
+    gap in a repeat lies as far left as the scores allow. N pairs with nothing.
+    """
     n, m = len(a), len(b)
-    if not n or not m:
-        k = n or m
-        return (p.gap_open + k * p.gap_extend if k else 0), f"{k}{'D' if n else 'I'}" if k else ""
+    low, high = min(0, m - n) - p.band, max(0, m - n) + p.band
+    width = high - low + 1
+    if (n + 1) * width > p.most_cells:
+        return None
     x, y = np.frombuffer(a.encode("utf-32-le"), np.uint32), np.frombuffer(b.encode("utf-32-le"), np.uint32)
-    low = -1e9
-    j = np.arange(m + 1)
-    h = p.gap_open + p.gap_extend * j.astype(float)
-    h[0] = 0
-    up = np.full(m + 1, low)
-    came = np.zeros((n + 1, m + 1), np.uint8)  # bits 0-1: from diagonal, above, left; 4: above went on; 8: left went on
-    came[0, 1:] = 2 | 8
-    slack = abs(n - m) + p.band
+    # row i has cell c for the first i letters of a and i + low + c of b
+    none, c = -1e9, np.arange(width)
+    padded = np.concatenate([np.full(max(0, -low), 1 << 30, np.int64), y.astype(np.int64), np.full(n + width, 1 << 30, np.int64)])
+    first = low + c
+    h = np.where((first >= 0) & (first <= m), np.where(first > 0, p.gap_open + p.gap_extend * first.astype(float), 0.0), none)
+    up = np.full(width, none)
+    came = np.zeros((n + 1, width), np.uint8)  # bits 0-1: a pair, a gap in b, a gap in a; 4, 8: that gap goes on
+    came[0] = np.where(first > 0, 2, 0) | np.where(first > 1, 8, 0)
     for i in range(1, n + 1):
-        stay = up + p.gap_extend
-        fresh = h + p.gap_open + p.gap_extend
-        up = np.maximum(stay, fresh)
-        diag = np.full(m + 1, low)
-        diag[1:] = h[:-1] + np.where(y == x[i - 1], p.match, p.mismatch)
-        best = np.maximum(diag, up)
-        best[np.abs(j - i * m / n) > slack] = low
-        # a gap to the left: the best start before, by a running maximum
-        start = np.maximum.accumulate(best - p.gap_extend * j)
-        side = np.full(m + 1, low)
-        side[1:] = start[:-1] + p.gap_open + p.gap_extend * j[1:]
-        new = np.maximum(best, side)
-        where = np.where(side > best, 2, np.where(up > diag, 1, 0)).astype(np.uint8)
-        where |= (stay >= fresh).astype(np.uint8) << 2
-        on = np.zeros(m + 1, bool)
-        on[1:] = np.isclose(side[1:], np.concatenate(([low], side[1:-1])) + p.gap_extend)
-        came[i] = where | on.astype(np.uint8) << 3
-        h = new
-    ops, i, k, state = [], n, m, 0
+        j = i + low + c
+        fits = (j >= 0) & (j <= m)
+        above = np.append(h[1:], none) + (p.gap_open + p.gap_extend)
+        on = np.append(up[1:], none) + p.gap_extend
+        up = np.where(fits, np.maximum(above, on), none)
+        at = i + low - 1 + max(0, -low)  # where b's letter of cell 0 lies in `padded`
+        other = padded[max(at, 0) : max(at, 0) + width]
+        if at < 0:
+            other = np.concatenate([np.full(-at, 1 << 30, np.int64), padded[: width + at]])
+        pair = h + np.where((other == x[i - 1]) & (x[i - 1] != 78), p.match, p.mismatch)
+        pair = np.where(fits & (j > 0), pair, none)
+        best = np.maximum(pair, up)
+        # a gap in a: the best start before it, by a running maximum
+        start = np.maximum.accumulate(best - p.gap_extend * c)
+        side = np.full(width, none)
+        side[1:] = start[:-1] + p.gap_open + p.gap_extend * c[1:]
+        side = np.where(fits & (j > 0), side, none)
+        h = np.maximum(best, side)
+        longer = np.zeros(width, bool)
+        longer[1:] = side[1:] <= side[:-1] + p.gap_extend + 1e-6
+        came[i] = np.where(side > best, 2, np.where(up > pair, 1, 0)) | (on >= above).astype(np.uint8) << 2 | longer.astype(np.uint8) << 3
+    i, k, state = n, m, 0
+    left, right = [], []
     while i or k:
+        code = int(came[i, k - i - low])
         if state == 0:
-            state = int(came[i, k] & 3) if i and k else 1 if i else 2
+            state = code & 3
             if state == 0:
-                ops.append("M")
                 i, k = i - 1, k - 1
+                left.append(i)
+                right.append(k)
                 continue
         if state == 1:
-            ops.append("D")
-            state = 1 if k and i > 1 and came[i, k] & 4 else 0 if k else 1
             i -= 1
+            left.append(i)
+            right.append(-1)
+            state = 1 if code & 4 else 0
         else:
-            ops.append("I")
-            state = 2 if i and k > 1 and came[i, k] & 8 else 0 if i else 2
             k -= 1
-        if not (i or k):
-            break
-    ops.reverse()
-    out, at = [], 0
-    while at < len(ops):
-        end = at
-        while end < len(ops) and ops[end] == ops[at]:
-            end += 1
-        out.append(f"{end - at}{ops[at]}")
-        at = end
-    return float(h[m]), "".join(out)
+            left.append(-1)
+            right.append(k)
+            state = 2 if code & 8 else 0
+    return float(h[m - n - low]), np.array(left[::-1], np.int64), np.array(right[::-1], np.int64)
+
+
+def affine(a: str, b: str, p: AlignParams = AlignParams()) -> tuple[float, str] | None:
+    """Score and CIGAR of `affine_columns`; a gap of n costs open + n x extend."""
+    got = affine_columns(a, b, p)
+    if got is None:
+        return None
+    score, i, j = got
+    ops = np.where(i < 0, "I", np.where(j < 0, "D", "M"))
+    cuts = np.flatnonzero(ops[1:] != ops[:-1]) + 1
+    starts, ends = np.concatenate([[0], cuts]).astype(int), np.concatenate([cuts, [len(ops)]]).astype(int)
+    return score, "".join(f"{e - s}{ops[s]}" for s, e in zip(starts, ends, strict=True) if e > s)
 
 
 def cigar_score(a: str, b: str, cigar: str, p: AlignParams = AlignParams()) -> float:
@@ -251,11 +267,11 @@ def cigar_score(a: str, b: str, cigar: str, p: AlignParams = AlignParams()) -> f
 
 
 def align(df: DataFrame, id_col: str, a: str, b: str, params: AlignParams = AlignParams()) -> DataFrame:
-    """(id, score, cigar) of each row's two texts."""
+    """(id, score, cigar) of each row's two texts; null where the band would have too many cells."""
 
     def run(parts):
         for g in parts:
-            got = [affine(x or "", y or "", params) for x, y in zip(g[a], g[b], strict=True)]
+            got = [affine(x or "", y or "", params) or (None, None) for x, y in zip(g[a], g[b], strict=True)]
             yield pd.DataFrame({id_col: g[id_col], "score": [s for s, _ in got], "cigar": [c for _, c in got]})
 
     return df.select(id_col, a, b).mapInPandas(run, f"{_kinds(df, [id_col])}, score double, cigar string")

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandwise.functions.genomics import revcomp
-from strandwise.operators.kernels import longest_increasing
+from strandwise.operators.intervals import interval_join
+from strandwise.operators.kernels import AlignParams, affine_columns, longest_increasing
 
 
 @dataclass(frozen=True)
@@ -22,11 +24,20 @@ class LiftParams:
     density: float = 0.2  #: anchors per anchor place of a reverse chain
     identity: float = 0.9  #: on each side of a lifted place
     max_gap: int | None = None  #: between the anchors of a bracket; None: 2 k + 2 sample + 2
+    lost: int = 50  #: bases that the target lacks between two anchors of the backbone make a lost region
+    align: bool = False  #: align the gaps that can't be interpolated
+    align_identity: float = 0.9
+    align_gap: int = 20_000  #: longer gaps aren't aligned
+    align_cells: int = 20_000_000  #: of a band
 
     @property
     def gap(self) -> int:
         return self.max_gap if self.max_gap is not None else 2 * self.k + 2 * self.sample + 2
 
+    @property
+    def half(self) -> int:
+        return self.k // 2
+
 
 def kmers(seqs: DataFrame, k: int, sample: int = 1, piece: int = 100_000) -> DataFrame:
     """(contig, pos, kmer) from (contig, seq), positions from 1; k-mers with other letters than bases are left out.
@@ -42,93 +53,230 @@ def kmers(seqs: DataFrame, k: int, sample: int = 1, piece: int = 100_000) -> Dat
 
 
 def unique_anchors(source: DataFrame, target: DataFrame, p: LiftParams = LiftParams()) -> DataFrame:
-    """(src_contig, src_pos, tgt_contig, tgt_pos, strand): k-mers that each side has once; places on both strands are left out."""
-    once = lambda df: df.groupBy("kmer").agg(F.count(F.lit(1)).alias("n"), F.first("contig").alias("contig"), F.first("pos").alias("pos")).where("n = 1").drop("n")
+    """(src_contig, src_pos, tgt_contig, tgt_pos, strand): k-mers that each side has once; places on both strands are left out.
+
+    Places are those of a k-mer's middle base, of an even k the one before the middle; on the other strand that is one on.
+    """
+    middle = p.k - 1 - p.half
+    once = lambda df: df.groupBy("kmer").agg(F.count(F.lit(1)).alias("n"), F.first("contig").alias("contig"), (F.first("pos") + middle).alias("pos")).where("n = 1").drop("n")
     s, t = once(kmers(source, p.k, p.sample)), once(kmers(target, p.k, p.sample))
-    side = lambda a, strand: a.select(F.col("contig").alias("src_contig"), F.col("pos").alias("src_pos"), "kmer").join(t, "kmer").select("src_contig", "src_pos", F.col("contig").alias("tgt_contig"), F.col("pos").alias("tgt_pos"), F.lit(strand).alias("strand"))
-    plus, minus = side(s, "+"), side(s.withColumn("kmer", revcomp(F.col("kmer"))), "-")
+    side = lambda a, strand, on: a.select(F.col("contig").alias("src_contig"), F.col("pos").alias("src_pos"), "kmer").join(t, "kmer").select("src_contig", "src_pos", F.col("contig").alias("tgt_contig"), (F.col("pos") + on).alias("tgt_pos"), F.lit(strand).alias("strand"))
+    plus, minus = side(s, "+", 0), side(s.withColumn("kmer", revcomp(F.col("kmer"))), "-", 1 - p.k % 2)
     at = ["src_contig", "src_pos"]
     both = plus.select(*at).intersect(minus.select(*at))
     return plus.unionByName(minus).join(both, at, "left_anti")
 
 
-def chain_anchors(anchors: DataFrame, p: LiftParams = LiftParams(), most: int = 1024) -> DataFrame:
-    """`anchors` that lie on a chain, with its number: one increasing chain, then decreasing ones while they hold enough."""
+_LINKS = "src_contig string, chain long, strand string, src_pos long, tgt_contig string, tgt_pos long, next_src long, next_contig string, next_tgt long, clean boolean"
+
+
+def chain_links(anchors: DataFrame, p: LiftParams = LiftParams()) -> DataFrame:
+    """Each anchor on a chain of its source contig with the chain's next one: columns as in `_LINKS`.
+
+    Chain 0 is the longest increasing one, the backbone. The others are longest decreasing ones, each of the anchors that
+    those before it left, as long as they hold `min_chain` (two at least); sparse ones are left out. Target contigs follow
+    each other by name. `clean`: no other anchor of any strand, on a chain or not, lies between the two. A chain's last
+    anchor has no next one. A contig's anchors must fit a task.
+    """
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("src_pos", kind="stable")
+        a, b = g["src_pos"].to_numpy(), g["tgt_pos"].to_numpy()
+        contigs, order = np.unique(g["tgt_contig"].to_numpy().astype(str), return_inverse=True)
+        value = (order.astype(np.int64) << 40) + b
+        forward, backward = np.flatnonzero(g["strand"] == "+"), np.flatnonzero(g["strand"] == "-")
+        found = [("+", forward[longest_increasing(value[forward].tolist())])] if len(forward) else []
+        while len(backward) >= max(2, p.min_chain):
+            picked = longest_increasing((-value[backward]).tolist())
+            if len(picked) < max(2, p.min_chain):
+                break
+            own = backward[picked]
+            if len(own) * p.sample >= p.density * (a[own[-1]] - a[own[0]] + 1):
+                found.append(("-", own))
+            backward = np.delete(backward, picked)
         out = []
-        for (tgt, strand), own in g.groupby(["tgt_contig", "strand"], sort=True):
-            own = own.sort_values(["src_pos", "tgt_pos"], kind="stable")
-            sign, n = (1 if strand == "+" else -1), 0
-            while len(own) >= p.min_chain and n < most:
-                picked = longest_increasing((sign * own["tgt_pos"].to_numpy()).tolist())
-                span = own["src_pos"].iloc[picked[-1]] - own["src_pos"].iloc[picked[0]] + 1 if picked else 0
-                if len(picked) < p.min_chain or (strand == "-" and len(picked) * p.sample / span < p.density):
-                    break
-                out.append(own.iloc[picked].assign(chain=f"{tgt}{strand}{n}"))
-                own = own.drop(own.index[picked])
-                n += 1
-                if strand == "+":
-                    break
-        return pd.concat(out) if out else g.head(0).assign(chain=pd.Series(dtype=str))
-
-    return anchors.groupBy("src_contig").applyInPandas(run, "src_contig string, src_pos long, tgt_contig string, tgt_pos long, strand string, chain string")
-
-
-def place(positions: DataFrame, anchors: DataFrame, p: LiftParams = LiftParams()) -> DataFrame:
-    """(contig, pos, tgt_contig, tgt_pos, strand): places between two anchors of one chain whose gaps agree.
-
-    Positions and anchors are merged in one sort per contig; an anchor's last base closes it on its strand. Of several
-    brackets the tightest counts; what has none is left out.
+        for n, (strand, own) in enumerate(found):
+            after = np.append(own[1:], -1)
+            some = after >= 0
+            out.append(
+                pd.DataFrame(
+                    {
+                        "src_contig": g["src_contig"].iloc[0], "chain": n, "strand": strand, "src_pos": a[own], "tgt_contig": contigs[order[own]], "tgt_pos": b[own],
+                        "next_src": pd.array(np.where(some, a[after], 0), "Int64"), "next_contig": np.where(some, contigs[order[after]], None), "next_tgt": pd.array(np.where(some, b[after], 0), "Int64"),
+                        "clean": after - own == 1,
+                    }
+                )
+            )
+            out[-1].loc[~some, ["next_src", "next_tgt"]] = pd.NA
+        return pd.concat(out) if out else pd.DataFrame(columns=[c.split()[0] for c in _LINKS.split(", ")])
+
+    return anchors.groupBy("src_contig").applyInPandas(run, _LINKS)
+
+
+def lost_regions(links: DataFrame, p: LiftParams = LiftParams()) -> DataFrame:
+    """(contig, left, right): neighbouring anchors of the backbone between which the target lacks `lost` bases and more."""
+    less = (F.col("next_src") - F.col("src_pos")) - (F.col("next_tgt") - F.col("tgt_pos"))
+    rows = links.where((F.col("chain") == 0) & (F.col("tgt_contig") == F.col("next_contig")) & (less >= p.lost))
+    return rows.select(F.col("src_contig").alias("contig"), F.col("src_pos").alias("left"), F.col("next_src").alias("right"))
+
+
+def _wanted(positions: DataFrame) -> DataFrame:
+    return positions.select(F.col("contig").alias("src_contig"), F.col("pos").alias("p")).where(F.col("p").isNotNull()).distinct()
+
+
+def place(positions: DataFrame, links: DataFrame, p: LiftParams = LiftParams()) -> DataFrame:
+    """(contig, pos, tgt_contig, tgt_pos, strand, exact): places on an anchor of a chain, or between two whose gaps agree.
+
+    A gap that holds another anchor crosses a rearrangement and places nothing, so a bracket is a pair of neighbours among
+    all anchors: brackets don't overlap, and a place has one at most. Places outside of the chains are left out.
     """
-    from pyspark.sql import Window
+    q = _wanted(positions)
+    exact = q.join(links.withColumnRenamed("src_pos", "p"), ["src_contig", "p"]).select(F.col("src_contig").alias("contig"), F.col("p").alias("pos"), "tgt_contig", "tgt_pos", "strand", F.lit(True).alias("exact"))
+    run, step = F.col("next_src") - F.col("src_pos"), F.col("next_tgt") - F.col("tgt_pos")
+    along = F.when(F.col("strand") == "+", step).otherwise(-step)
+    spans = links.where(F.col("clean") & (run > 1) & (run <= p.gap) & (F.abs(run - along) <= p.tolerance) & (F.col("tgt_contig") == F.col("next_contig")))
+    spans = spans.withColumns({"first": F.col("src_pos") + 1, "last": F.col("next_src") - 1})
+    met = interval_join(q, spans, ["src_contig"], ("p", "p"), ("first", "last"), max(64, p.gap))
+    at = F.rint(F.col("tgt_pos") + (F.col("p") - F.col("src_pos")) * step / run).cast("bigint")
+    return exact.unionByName(met.select(F.col("src_contig").alias("contig"), F.col("p").alias("pos"), "tgt_contig", at.alias("tgt_pos"), "strand", F.lit(False).alias("exact")))
+
+
+def windows(rows: DataFrame, seqs: DataFrame, contig: str, first: Column, length: Column, name: str, most: int, step: int = 1 << 14) -> DataFrame:
+    """`rows` with `name`: `length` letters, `most` at most, of its contig from place `first` on; blanks where there are none.
+
+    Contigs are cut into overlapping pieces, so that a row meets one piece and not a whole contig.
+    """
+    n = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("seq") - 1) / step).cast("int"))))
+    pieces = seqs.select(F.col("contig").alias(contig), n.alias("_piece"), "seq").select(contig, "_piece", F.substring(F.col("seq"), F.col("_piece") * step + 1, F.lit(step + most)).alias("_part"))
+    own = rows.withColumns({"_from": F.greatest(first, F.lit(1)), "_first": first, "_length": length}).withColumn("_piece", F.floor((F.col("_from") - 1) / step).cast("int"))
+    met = own.join(pieces, [contig, "_piece"], "left")
+    lead = F.least(F.col("_from") - F.col("_first"), F.col("_length")).cast("int")
+    inner = F.substring(F.coalesce("_part", F.lit("")), (F.col("_from") - F.col("_piece").cast("bigint") * step).cast("int"), (F.col("_length") - lead).cast("int"))
+    return met.withColumn(name, F.rpad(F.concat(F.repeat(F.lit(" "), lead), inner), F.col("_length").cast("int"), " ")).drop("_from", "_first", "_length", "_piece", "_part")
+
+
+def identity_gate(placed: DataFrame, source: DataFrame, target: DataFrame, p: LiftParams = LiftParams()) -> DataFrame:
+    """Placed rows whose k // 2 bases before and after agree well enough on each side by itself, and the exact ones.
+
+    Bases that either contig lacks don't count; those that count must be k // 2 at least.
+    """
+    h = p.half
+    both = windows(placed, source, "contig", F.col("pos") - h, F.lit(2 * h + 1), "_s", 2 * h + 1)
+    both = windows(both, target, "tgt_contig", F.col("tgt_pos") - h, F.lit(2 * h + 1), "_t", 2 * h + 1)
+    other = F.when(F.col("strand") == "+", F.col("_t")).otherwise(revcomp(F.col("_t")))
+    pairs = F.zip_with(F.split("_s", ""), F.split(other, ""), lambda a, b: F.when((a == " ") | (b == " "), 0).when(a == b, 1).otherwise(-1))
+    both = both.withColumns({"_before": F.slice(pairs, 1, h), "_after": F.slice(pairs, h + 2, h)})
+    counted, fine = F.lit(0), F.col("exact")
+    sides = F.lit(True)
+    for side in ("_before", "_after"):
+        n, same = F.size(F.filter(side, lambda x: x != 0)), F.size(F.filter(side, lambda x: x == 1))
+        counted, sides = counted + n, sides & ((n == 0) | (same >= p.identity * n))
+    return both.where(fine | (sides & (counted >= h))).drop("_s", "_t", "_before", "_after")
+
+
+def between(s: str, t: str, clean: bool, p: LiftParams = LiftParams()) -> dict[int, int | None]:
+    """Places in t of the places in s, from 0, by aligning the stretch between two anchors; None: t has no counterpart.
+
+    A place is carried by an anchor if no gap and enough matches lie between them, so that what gap there is lies beyond
+    it; between two gaps it could be either one's and is left out. The bases beside it must agree as well, or a short gap
+    begins there, or a long one where the bases on its other side occur only once in t. What t lacks is known only where
+    that is the one gap, the bases beside it agree and no other anchor lies in the stretch.
+    """
+    got = affine_columns(s, t, AlignParams(band=16, most_cells=p.align_cells))
+    if got is None:
+        return {}
+    _, i, j = got
+    x, y = np.frombuffer(s.encode("utf-32-le"), np.uint32), np.frombuffer(t.encode("utf-32-le"), np.uint32)
+    paired = (i >= 0) & (j >= 0)
+    same = paired & (x[np.maximum(i, 0)] == y[np.maximum(j, 0)]) & (x[np.maximum(i, 0)] != 78)
+    breaks = np.flatnonzero(~paired)
+    first, last = (int(breaks[0]), int(breaks[-1])) if len(breaks) else (len(i), -1)
+    at, good, seen = np.arange(len(i)), np.cumsum(same), np.cumsum(paired)
+    left = (at < first) & (good - same >= p.align_identity * (seen - paired))
+    right = (at > last) & (good[-1] - good >= p.align_identity * (seen[-1] - seen))
+
+    def agrees(c: int, step: int, w: int = 10) -> bool:
+        a, b = int(i[c]) + step * np.arange(1, w + 1), int(j[c]) + step * np.arange(1, w + 1)
+        inside = (a >= 0) & (a < len(x)) & (b >= 0) & (b < len(y))
+        if inside.all() and ((x[a] == y[b]) & (x[a] != 78)).sum() >= p.align_identity * w:
+            return True
+        near = c + step  # the nearest gap with fewer than w pairs before it
+        pairs = 0
+        while 0 <= near < len(i) and pairs < w and paired[near]:
+            near, pairs = near + step, pairs + 1
+        if pairs == w or not 0 <= near < len(i):
+            return False
+        run = 0
+        while 0 <= near < len(i) and not paired[near]:
+            near, run = near + step, run + 1
+        return run <= 20 or alone(int(i[c]), -step)
+
+    def alone(a: int, step: int, w: int = 20) -> bool:
+        low, high = (max(0, a - w), a) if step < 0 else (a, min(len(x) - 1, a + w))
+        n = high - low + 1
+        if n < 11 or len(y) < n:
+            return False
+        views = np.lib.stride_tricks.sliding_window_view(y, n)
+        return int(((views == x[low : high + 1]).sum(1) >= p.align_identity * n).sum()) == 1
+
+    out: dict[int, int | None] = {int(i[c]): int(j[c]) for c in np.flatnonzero(left | right) if agrees(int(c), -1) and agrees(int(c), 1)}
+    lacking = len(breaks) and last - first + 1 == len(breaks) and (j[breaks] < 0).all()
+    if lacking and clean and first >= 10 and last + 10 < len(i) and same[first - 10 : first].sum() >= 9 and same[last + 1 : last + 11].sum() >= 9:
+        out |= {int(i[c]): None for c in breaks}
+    return out
+
 
-    q = positions.select(F.col("contig").alias("src_contig"), F.col("pos").alias("src_pos")).distinct()
-    chains = anchors.select("src_contig", "chain").distinct()
-    # per chain, so that another chain's anchors don't hide a bracket
-    every = anchors.select("src_contig", "chain", "src_pos", F.lit(True).alias("is_anchor"), F.struct("src_pos", "tgt_contig", "tgt_pos", "strand").alias("a")).unionByName(q.join(chains, "src_contig").select("src_contig", "chain", "src_pos", F.lit(False).alias("is_anchor")), allowMissingColumns=True)
-    by = Window.partitionBy("src_contig", "chain").orderBy("src_pos", F.desc("is_anchor"))
-    left = F.last("a", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, 0))
-    right = F.first("a", ignorenulls=True).over(by.rowsBetween(0, Window.unboundedFollowing))
-    b = every.withColumn("l", left).withColumn("r", right).where(~F.col("is_anchor") & F.col("l").isNotNull())
-    r = F.coalesce("r", "l")
-    plus = F.col("l.strand") == "+"
-    gap_s, gap_t = r["src_pos"] - F.col("l.src_pos"), F.when(plus, r["tgt_pos"] - F.col("l.tgt_pos")).otherwise(F.col("l.tgt_pos") - r["tgt_pos"])
-    d = F.col("src_pos") - F.col("l.src_pos")
-    fine = (r["tgt_contig"] == F.col("l.tgt_contig")) & (F.abs(gap_s - gap_t) <= p.tolerance) & F.when(gap_s == 0, d < p.k).otherwise(gap_s <= p.gap)
-    at = F.when(plus, F.col("l.tgt_pos") + d).otherwise(F.col("l.tgt_pos") + p.k - 1 - d)
-    ok = b.where(fine).select(F.col("src_contig").alias("contig"), F.col("src_pos").alias("pos"), F.col("l.tgt_contig").alias("tgt_contig"), at.alias("tgt_pos"), F.col("l.strand").alias("strand"), gap_s.alias("gap"))
-    best = Window.partitionBy("contig", "pos").orderBy("gap", "tgt_contig", "tgt_pos")
-    return ok.withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n", "gap")
-
-
-def identity_gate(lifted: DataFrame, source: DataFrame, target: DataFrame, p: LiftParams = LiftParams()) -> DataFrame:
-    """Lifted places whose k // 2 bases before and after agree well enough on each side by itself."""
-    h = p.k // 2
-    s = source.select("contig", F.col("seq").alias("_s"))
-    t = target.select(F.col("contig").alias("tgt_contig"), F.col("seq").alias("_t"))
-
-    def side(seq: str, at, low: int, high: int):
-        a = F.greatest(F.lit(1), at + low)
-        return F.when(at + high >= 1, F.substring(F.col(seq), a.cast("int"), F.greatest(F.lit(0), at + high - a + 1).cast("int"))).otherwise(F.lit(""))
-
-    both = lifted.join(s, "contig").join(t, "tgt_contig")
-    plus = F.col("strand") == "+"
-    x, y = F.col("pos"), F.col("tgt_pos")
-    sides = []
-    for lo, hi in ((-h, -1), (1, h)):
-        own = side("_s", x, lo, hi)
-        other = F.when(plus, side("_t", y, lo, hi)).otherwise(revcomp(side("_t", y, -hi, -lo)))
-        n = F.least(F.length(own), F.length(other))
-        same = F.size(F.filter(F.zip_with(F.split(F.substring(own, F.lit(1), n), ""), F.split(F.substring(other, F.lit(1), n), ""), lambda a, b: a == b), lambda e: e))
-        sides.append((n > 0) & (same / F.when(n > 0, n) >= p.identity))
-    return both.where(sides[0] & sides[1]).drop("_s", "_t")
-
-
-def lift_positions(positions: DataFrame, source: DataFrame, target: DataFrame, p: LiftParams = LiftParams()) -> DataFrame:
-    """Anchors, chains, brackets and gate in one: (contig, pos, tgt_contig, tgt_pos, strand)."""
-    anchors = chain_anchors(unique_anchors(source, target, p), p)
-    return identity_gate(place(positions, anchors, p), source, target, p).select("contig", "pos", "tgt_contig", "tgt_pos", "strand")
+def align_gaps(positions: DataFrame, links: DataFrame, source: DataFrame, target: DataFrame, p: LiftParams = LiftParams()) -> DataFrame:
+    """(contig, pos, tgt_contig, tgt_pos, strand) of places between two anchors of a chain, by aligning what lies between them.
+
+    Each gap that holds a place is aligned once, in the task of its row. Of several chains the tightest gap that places
+    counts; a place that none gives and that some gap's target lacks has nulls. `align_gap` bounds a gap on both sides.
+    """
+    run, step = F.col("next_src") - F.col("src_pos"), F.abs(F.col("next_tgt") - F.col("tgt_pos"))
+    spans = links.where((run > 1) & (run <= p.align_gap) & (step <= p.align_gap) & (F.col("tgt_contig") == F.col("next_contig")))
+    spans = spans.withColumns({"first": F.col("src_pos") + 1, "last": F.col("next_src") - 1})
+    own = ["src_contig", "chain", "strand", "src_pos", "next_src", "tgt_contig", "tgt_pos", "next_tgt", "clean"]
+    met = interval_join(_wanted(positions), spans, ["src_contig"], ("p", "p"), ("first", "last"), 1024)
+    gaps = met.groupBy(*own).agg(F.collect_list("p").alias("places"))  # `align_gap` places at most
+    h = p.half
+    low, high = F.least("tgt_pos", "next_tgt") - h, F.greatest("tgt_pos", "next_tgt") + h
+    gaps = gaps.withColumns({"low": low, "high": high})
+    most = p.align_gap + 2 * h + 1
+    gaps = windows(gaps, source, "src_contig", F.col("src_pos") - h, F.col("next_src") - F.col("src_pos") + 2 * h + 1, "s", most)
+    gaps = windows(gaps, target, "tgt_contig", F.col("low"), F.col("high") - F.col("low") + 1, "t", most)
+    gaps = gaps.withColumn("t", F.when(F.col("strand") == "+", F.col("t")).otherwise(revcomp(F.col("t"))))
+
+    def aligned(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in parts:
+            rows = []
+            for r in g.itertuples(index=False):
+                if " " in r.s or " " in r.t:
+                    continue
+                found, s0 = between(r.s, r.t, bool(r.clean), p), r.src_pos - h
+                for x in r.places:
+                    if x - s0 in found:
+                        y = found[x - s0]
+                        there = None if y is None else r.low + y if r.strand == "+" else r.high - y
+                        rows.append((r.src_contig, x, r.tgt_contig if there is not None else None, there, r.strand if there is not None else None, r.next_src - r.src_pos, r.chain))
+            yield pd.DataFrame(rows, columns=["contig", "pos", "tgt_contig", "tgt_pos", "strand", "gap", "chain"]).astype({"tgt_pos": "Int64"})
+
+    got = gaps.select("src_contig", "chain", "strand", "src_pos", "next_src", "tgt_contig", "clean", "places", "low", "high", "s", "t").mapInPandas(aligned, "contig string, pos long, tgt_contig string, tgt_pos long, strand string, gap long, chain long")
+    best = F.min_by(F.struct("tgt_contig", "tgt_pos", "strand"), F.struct(F.col("tgt_pos").isNull(), "gap", "chain"))
+    return got.groupBy("contig", "pos").agg(best.alias("b")).select("contig", "pos", "b.*")
+
+
+def lift_positions(positions: DataFrame, source: DataFrame, target: DataFrame, p: LiftParams = LiftParams(), links: DataFrame | None = None) -> DataFrame:
+    """Anchors, chains, brackets, gate and, with `align`, alignments in one: (contig, pos, tgt_contig, tgt_pos, strand).
+
+    Positions without an answer are left out; those that the target lacks have null in the target's columns.
+    """
+    columns = ["contig", "pos", "tgt_contig", "tgt_pos", "strand"]
+    links = chain_links(unique_anchors(source, target, p), p) if links is None else links
+    sure = identity_gate(place(positions, links, p), source, target, p).select(*columns)
+    if not p.align:
+        return sure
+    open_ = positions.join(sure, ["contig", "pos"], "left_anti")
+    return sure.unionByName(align_gaps(open_, links, source, target, p).select(*columns))
 
 
 def spacer_offsets(contigs: Sequence[tuple[str, int]], spacer: int = 100) -> list[tuple[str, int, int]]:
@@ -142,8 +290,6 @@ def spacer_offsets(contigs: Sequence[tuple[str, int]], spacer: int = 100) -> lis
 
 def to_local(positions: DataFrame, layout: DataFrame, pos: str = "pos", bucket: int = 100_000) -> DataFrame:
     """(pos, contig, local) of global places; those in a spacer are left out."""
-    from strandwise.operators.intervals import interval_join
-
     both = interval_join(positions, layout, [], (pos, pos), ("first", "last"), bucket)
     return both.select(pos, "contig", (F.col(pos) - F.col("first") + 1).alias("local"))
 

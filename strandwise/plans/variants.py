@@ -197,3 +197,33 @@ def copy_number(t: Tables) -> DataFrame:
     sites = depth.join(t.part.select("p_partkey", "p_brand"), F.col("p_partkey") == F.col("l_partkey"))
     c = V.copy_number(sites, genome, ["p_brand"], "dp", ["l_linestatus"], 8)
     return c.select("l_linestatus", "p_brand", S.q6("ratio").alias("ratio"), "copies", S.q6("expected_af").alias("expected_af"))
+
+
+def _assemblies(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Two assemblies with a contig for each region, and the middle of each customer's stretch on the first one.
+
+    A customer has 64 bases. The second assembly lacks some customers and eight bases of others, and some lie reversed.
+    """
+    dna = lambda c: F.translate(F.sha2(c, 256), "0123456789abcdef", "ACGTACGTACGTACGT")
+    own = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 nations by the schema
+    own = own.select(F.concat(F.lit("r"), "n_regionkey").alias("contig"), F.col("c_custkey").alias("id"), dna(F.col("c_name")).alias("bases"))
+    whole = lambda df, bases: df.groupBy("contig").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", bases.alias("b")))), lambda x: x["b"]), "").alias("seq"))
+    second = F.when(F.col("id") % 7 == 1, F.substring("bases", 1, 56)).when(F.col("id") % 11 == 4, G.revcomp(F.col("bases"))).otherwise(F.col("bases"))
+    starts = own.groupBy("contig").agg(F.sort_array(F.collect_list("id")).alias("ids")).select("contig", F.posexplode("ids").alias("n", "id"))
+    return whole(own, F.col("bases")), whole(own.where("id % 50 <> 3"), second), starts.select("contig", (F.col("n") * 64 + 32).cast("bigint").alias("pos"))
+
+
+@query()
+def anchor_lift(t: Tables) -> DataFrame:
+    from strandwise.operators.lift import LiftParams, lift_positions
+
+    source, target, places = _assemblies(t)
+    return lift_positions(places, source, target, LiftParams(align=True))
+
+
+@query()
+def lost_regions(t: Tables) -> DataFrame:
+    from strandwise.operators import lift as L
+
+    source, target, _ = _assemblies(t)
+    return L.lost_regions(L.chain_links(L.unique_anchors(source, target)))

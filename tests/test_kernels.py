@@ -51,6 +51,16 @@ def test_affine_alignment():
         assert K.cigar_score(a, b, cigar) == pytest.approx(score), (a, b, cigar)
 
 
+def test_alignment_bands():
+    assert K.affine("ACGTAAAATGCA", "ACGTAAATGCA")[1] == "4M1D7M"
+    assert K.affine("ACGTCCGGTTAACCGGTTAAGGCA", "ACGTGGCA")[1].count("16D") == 1 and K.affine("NNNN", "NNNN")[0] == -16
+    assert K.affine("A" * 400, "C" * 5, K.AlignParams(band=16, most_cells=100)) is None
+    rng = random.Random(5)
+    long = "".join(rng.choice("ACGT") for _ in range(20_000))
+    cut = long[:9000] + long[9100:]
+    assert K.affine(long, cut, K.AlignParams(band=16))[1] in {f"{at}M100D{19900 - at}M" for at in range(8990, 9011)}
+
+
 def test_regions_are_headed_by_their_first_stretch():
     s, e = np.array([1, 1, 50, 60, 300]), np.array([100, 90, 149, 160, 400])
     assert K.regions_of(s, e).tolist() == [0, 0, 0, 1, 2]  # 60..160 has 41 of 101 positions in common with 1..100

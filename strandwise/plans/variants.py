@@ -227,3 +227,26 @@ def lost_regions(t: Tables) -> DataFrame:
 
     source, target, _ = _assemblies(t)
     return L.lost_regions(L.chain_links(L.unique_anchors(source, target)))
+
+
+#: CIGARs of 12 bases, by line number
+_CIGARS = ("12M", "4M2D8M", "3M1I8M", "5M4N7M", "2S10M", "6M1D2M1I3M", "12M")
+
+
+@query("""WITH r AS (SELECT 'c' || (l_suppkey % 3) AS contig, (l_partkey * 3)::BIGINT AS pos, l_linenumber AS k, translate(substr(sha256(l_orderkey || '-' || l_linenumber), 1, 12), '0123456789abcdef', 'ACGTACGTACGTACGN') AS seq, substr(sha256(l_orderkey || '+' || l_linenumber), 1, 12) AS qual FROM lineitem),
+m AS (SELECT * FROM (VALUES (1, 0, 0, 12, 'M'), (2, 0, 0, 4, 'M'), (2, 4, 4, 2, 'D'), (2, 6, 4, 8, 'M'), (3, 0, 0, 3, 'M'), (3, 3, 4, 8, 'M'), (4, 0, 0, 5, 'M'), (4, 5, 5, 4, 'N'), (4, 9, 5, 7, 'M'), (5, 0, 2, 10, 'M'),
+  (6, 0, 0, 6, 'M'), (6, 6, 6, 1, 'D'), (6, 7, 6, 2, 'M'), (6, 9, 9, 3, 'M'), (7, 0, 0, 12, 'M')) AS v(k, r, q, n, op)),
+b AS (SELECT contig, pos + m.r + i AS pos, CASE WHEN op = 'M' THEN substr(seq, (m.q + i + 1)::INT, 1) ELSE op END AS base, substr(qual, (m.q + CASE WHEN op = 'M' THEN i ELSE 0 END + 1)::INT, 1) AS q, op FROM r JOIN m USING (k), unnest(range(m.n)) AS u(i)),
+f AS (SELECT contig, pos, base, op, count(*) AS n FROM b WHERE ascii(q) - 33 >= 20 GROUP BY ALL),
+axis AS (SELECT 'c' || c AS contig, unnest(range(1, (SELECT max(p_partkey) * 3 + 1 FROM part))) AS pos FROM range(4) AS t(c))
+SELECT a.contig, a.pos, """ + ", ".join(f"coalesce(sum(n) FILTER (op = 'M' AND base = '{x.upper()}'), 0)::BIGINT AS {x}" for x in "acgtn") + """, coalesce(sum(n) FILTER (op = 'D'), 0)::BIGINT AS deleted, coalesce(sum(n) FILTER (op = 'N'), 0)::BIGINT AS skipped, coalesce(sum(n), 0)::BIGINT AS depth
+FROM axis a LEFT JOIN f USING (contig, pos) GROUP BY 1, 2""")
+def dense_pileup(t: Tables) -> DataFrame:
+    from strandwise.operators.pileup import PileupParams, dense_pileup as run
+
+    digest = lambda mark: F.substring(F.sha2(F.concat("l_orderkey", F.lit(mark), "l_linenumber"), 256), 1, 12)
+    cigar = F.element_at(F.array(*[F.lit(c) for c in _CIGARS]), F.col("l_linenumber").cast("int"))
+    reads = t.lineitem.select(F.concat(F.lit("c"), F.col("l_suppkey") % 3).alias("rname"), (F.col("l_partkey") * 3).cast("bigint").alias("pos"), cigar.alias("cigar"), F.translate(digest("-"), "0123456789abcdef", "ACGTACGTACGTACGN").alias("seq"), digest("+").alias("qual"))
+    length = t.part.agg((F.max("p_partkey") * 3).alias("length"))  # one row; contig c3 has no reads
+    axis = length.select(F.explode(F.array(*[F.lit(f"c{c}") for c in range(4)])).alias("contig"), "length")
+    return run(reads, axis, (), PileupParams(min_qual=20))

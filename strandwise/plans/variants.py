@@ -250,3 +250,18 @@ def dense_pileup(t: Tables) -> DataFrame:
     length = t.part.agg((F.max("p_partkey") * 3).alias("length"))  # one row; contig c3 has no reads
     axis = length.select(F.explode(F.array(*[F.lit(f"c{c}") for c in range(4)])).alias("contig"), "length")
     return run(reads, axis, (), PileupParams(min_qual=20))
+
+
+@query("""WITH b AS (SELECT s_nationkey % 5 AS c, s_suppkey AS id, translate(sha256(CASE WHEN s_suppkey % 4 = 1 THEN 'n' || (s_suppkey % 60) ELSE s_name END), '0123456789abcdef', 'ACGTACGTACGTACGT') AS bases FROM supplier),
+g AS (SELECT 'n' || c AS contig, string_agg(bases, '' ORDER BY id) AS seq FROM b GROUP BY c), w AS (SELECT contig, seq, unnest(range(1, length(seq) + 1)) AS pos FROM g),
+k AS (SELECT contig, pos, k, substr(seq, pos, k) AS w FROM w, unnest(range(1, 101)) AS u(k) WHERE pos + k - 1 <= length(seq)), c AS (SELECT *, least(w, reverse(translate(w, 'ACGT', 'TGCA'))) AS canon FROM k),
+u AS (SELECT min(contig) AS contig, min(pos) AS pos, k FROM c WHERE w <> reverse(translate(w, 'ACGT', 'TGCA')) GROUP BY canon, k HAVING count(*) = 1)
+SELECT w.contig, w.pos::BIGINT AS pos, min(k)::INT AS mul FROM w LEFT JOIN u ON u.contig = w.contig AND u.pos = w.pos GROUP BY 1, 2""")
+def least_unique_length(t: Tables) -> DataFrame:
+    """Assemblies made of suppliers: a quarter of their stretches comes again."""
+    from strandwise.operators.uniqueness import UniqueParams, least_unique_lengths
+
+    name = F.when(F.col("s_suppkey") % 4 == 1, F.concat(F.lit("n"), F.col("s_suppkey") % 60)).otherwise(F.col("s_name"))
+    own = t.supplier.select(F.concat(F.lit("n"), F.col("s_nationkey") % 5).alias("contig"), F.struct(F.col("s_suppkey").alias("id"), F.translate(F.sha2(name, 256), "0123456789abcdef", "ACGTACGTACGTACGT").alias("b")).alias("x"))
+    seqs = own.groupBy("contig").agg(F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["b"]), "").alias("seq"))
+    return least_unique_lengths(seqs, UniqueParams(longest=100)).select("contig", "pos", "mul")

@@ -241,17 +241,6 @@ def series_gains(states: DataFrame, group: str, site: str, time: str, state: str
     return later.withColumn("change", change).where("change IS NOT NULL").select(group, site, time, "change")
 
 
-def trajectories(df: DataFrame, keys: Sequence[str], time: str, af: str, move: float = 0.15) -> DataFrame:
-    """Ordered trajectories that move, with their flags and class."""
-    t = df.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col(af).alias("af")))), lambda x: x["af"]).alias("traj"))
-    first, last = F.element_at("traj", 1), F.element_at("traj", -1)
-    top, low = F.array_max("traj"), F.array_min("traj")
-    out = t.where(top - low >= move)
-    emergence, fixation, loss = (first <= 0.10) & (top >= 0.25), (last >= 0.90) & (first < 0.90), (first >= 0.25) & (last <= 0.10)
-    label = F.when(emergence & fixation, "sweep").when(emergence, "emerge").when(loss, "lost").when(last > first, "rising").when(last < first, "declining").otherwise("stable")
-    return out.select(*keys, first.alias("first"), last.alias("last"), emergence.alias("emergence"), fixation.alias("fixation"), loss.alias("loss"), label.alias("label"))
-
-
 def rank_donors(df: DataFrame, event: Sequence[str], donor: str, score: str) -> DataFrame:
     """Per event and donor the best score, its rank, the margin to the next, and whether the first is resolved."""
     best = df.groupBy(*event, donor).agg(F.max(score).alias("score"))
@@ -324,13 +313,3 @@ def group_mismatch(pairs: DataFrame, member: str, group: str, distance_in: str,
     g = pairs.groupBy(group).agg(F.count(distance_in).alias("_n"), F.get(v, (F.size(v) / 2).cast("int")).alias("_m"))
     tight = g.where((F.col("_n") >= least) & (F.col("_m") <= limit)).select(group)
     return pairs.join(tight, group, "left_semi").where(F.col(distance_in) > limit)
-
-
-def epistasis(df: DataFrame, series: str, site: str, time: str, af: str, strong: float = 0.8) -> DataFrame:
-    """(a, b, r, series): mean correlation of two sites' trajectories over the series that have both on three times."""
-    a = df.select(series, time, F.col(site).alias("a"), F.col(af).alias("x"))
-    b = df.select(series, time, F.col(site).alias("b"), F.col(af).alias("y"))
-    from strandwise.operators.stats import pearson
-
-    r = a.join(b, [series, time]).where("a < b").groupBy("a", "b", series).agg(pearson("x", "y").alias("r")).where("r IS NOT NULL")
-    return r.groupBy("a", "b").agg(F.avg("r").alias("r"), F.count(F.lit(1)).alias("n_series")).where(F.abs("r") >= strong)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandwise.functions import scalars as S
 from strandwise.operators import cohort as C
+from strandwise.operators import dynamics as D
 from strandwise.operators import intervals as I
 from strandwise.operators import relational as R
 from strandwise.plans.base import MINUTE_SQL, Tables, long, minute_of_month, query, sql_q6
@@ -163,14 +164,51 @@ def series_gains(t: Tables) -> DataFrame:
     return C.series_gains(g.withColumn("state", C.series_states(af, F.col("dp"), 2)), "user_id", "site", "w", "state")
 
 
-@query(f"""WITH w AS (SELECT user_id, event_type, (day(ts) // 10)::BIGINT AS w, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY user_id, day(ts) // 10) AS af FROM events GROUP BY user_id, event_type, day(ts) // 10),
-t AS (SELECT user_id, event_type, arg_min(af, w) AS f, arg_max(af, w) AS l, max(af) AS hi, min(af) AS lo FROM w GROUP BY ALL)
-SELECT user_id, event_type, {sql_q6('f')} AS first, {sql_q6('l')} AS last, f <= 0.10 AND hi >= 0.25 AS emergence, l >= 0.90 AND f < 0.90 AS fixation, f >= 0.25 AND l <= 0.10 AS loss,
- CASE WHEN f <= 0.10 AND hi >= 0.25 AND l >= 0.90 AND f < 0.90 THEN 'sweep' WHEN f <= 0.10 AND hi >= 0.25 THEN 'emerge' WHEN f >= 0.25 AND l <= 0.10 THEN 'lost' WHEN l > f THEN 'rising' WHEN l < f THEN 'declining' ELSE 'stable' END AS label FROM t WHERE hi - lo >= 0.15""")
+_EFFECTS = "CASE event_type WHEN 'click' THEN 'missense_variant' WHEN 'error' THEN 'stop_gained' ELSE 'synonymous_variant' END"
+
+
+@query(f"""WITH c AS (SELECT user_id, event_type, (day(ts) // 10)::BIGINT AS w, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY user_id, day(ts) // 10) AS af FROM events GROUP BY user_id, event_type, day(ts) // 10),
+s AS (SELECT DISTINCT user_id, w FROM c), g AS (SELECT user_id FROM s GROUP BY 1 HAVING count(*) >= 2), k AS (SELECT DISTINCT user_id, event_type FROM c),
+w AS (SELECT s.user_id, k.event_type, s.w, coalesce(c.af, 0.0) AS af FROM s JOIN g USING (user_id) JOIN k USING (user_id) LEFT JOIN c ON c.user_id = s.user_id AND c.w = s.w AND c.event_type = k.event_type),
+t AS (SELECT user_id, event_type, list(round(af, 4) ORDER BY w) AS traj, arg_min(af, w) AS f, arg_max(af, w) AS l, max(af) AS hi, min(af) AS lo FROM w GROUP BY ALL),
+x AS (SELECT *, f <= 0.10 AND hi >= 0.25 AS e, l >= 0.90 AND f < 0.90 AS x, f >= 0.25 AND l <= 0.10 AS o FROM t WHERE hi - lo >= 0.15),
+y AS (SELECT *, list_filter([CASE WHEN e THEN 'emergence' END, CASE WHEN x THEN 'fixation' END, CASE WHEN o THEN 'loss' END, CASE WHEN event_type IN ('click', 'error') THEN 'nonsyn' END, CASE WHEN event_type = 'error' THEN 'high_impact' END], lambda v: v IS NOT NULL) AS flags FROM x)
+SELECT user_id, event_type, traj, array_to_string(flags, ',') AS flags, CASE WHEN e AND x THEN 'sweep' WHEN e THEN 'emerge' WHEN o THEN 'lost' WHEN l > f THEN 'rising' WHEN l < f THEN 'declining' ELSE 'stable' END AS label,
+  row_number() OVER (PARTITION BY user_id ORDER BY list_max(traj) - list_min(traj) DESC, len(flags) DESC, event_type)::BIGINT AS nth FROM y""")
 def dynamics_flags(t: Tables) -> DataFrame:
-    n = t.events.groupBy("user_id", "event_type", F.floor(F.day("ts") / 10).alias("w")).agg(F.count(F.lit(1)).alias("n"))
-    af = n.withColumn("af", F.col("n") / F.sum("n").over(Window.partitionBy("user_id", "w")))
-    return C.trajectories(af, ["user_id", "event_type"], "w", "af").select("user_id", "event_type", S.q6("first").alias("first"), S.q6("last").alias("last"), "emergence", "fixation", "loss", "label")
+    """A user's ten-day spans are samples; a kind of event that a span lacks counts as absent there."""
+    span = F.floor(F.day("ts") / 10)
+    n = t.events.groupBy("user_id", "event_type", span.alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    sample = F.concat_ws("/", "user_id", "w")
+    calls = D.share_calls(n, F.col("user_id"), sample, F.col("event_type"), "n").drop("group", "depth")
+    calls = calls.withColumns({"effect": F.expr(_EFFECTS.replace("event_type", "site")), "impact": F.when(F.col("site") == "error", "HIGH")})
+    samples = n.select(F.col("user_id").alias("group"), sample.alias("sample"), F.col("w").alias("time")).distinct()
+    return D.trajectories(samples, calls).select(F.col("group").alias("user_id"), F.col("site").alias("event_type"), "traj", F.array_join("flags", ",").alias("flags"), "label", "nth")
+
+
+def _nation_series(t: Tables) -> DataFrame:
+    """Trajectories of nations' shares in the orders of each market segment, month by month."""
+    own = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    n = own.groupBy("c_mktsegment", F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.format_string("n%02d", "c_nationkey").alias("site")).agg(F.count(F.lit(1)).alias("n"))
+    sample = F.concat_ws("/", "c_mktsegment", "month")
+    calls = D.share_calls(n, F.col("c_mktsegment"), sample, F.col("site"), "n", 5.0)
+    return D.trajectories(n.select(F.col("c_mktsegment").alias("group"), sample.alias("sample"), F.col("month").alias("time")).distinct(), calls.drop("group"))
+
+
+@query(f"""WITH n AS (SELECT c_mktsegment AS g, strftime(o_orderdate, '%Y-%m') AS m, printf('n%02d', c_nationkey) AS site, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
+c AS (SELECT g, m, site, least(1.0, 5.0 * n / sum(n) OVER (PARTITION BY g, m)) AS af FROM n), w AS (SELECT s.g, s.m, k.site, coalesce(c.af, 0.0) AS af FROM (SELECT DISTINCT g, m FROM n) s JOIN (SELECT DISTINCT g, site FROM n) k USING (g) LEFT JOIN c ON c.g = s.g AND c.m = s.m AND c.site = k.site),
+v AS (SELECT g, site FROM w GROUP BY ALL HAVING max(af) - min(af) >= 0.15), x AS (SELECT w.g, w.m, w.site, round(w.af, 4) AS af FROM w JOIN v USING (g, site)),
+r AS (SELECT a.g, a.site AS a, b.site AS b, corr(a.af, b.af) AS r FROM x a JOIN x b ON a.g = b.g AND a.m = b.m AND a.site < b.site GROUP BY ALL)
+SELECT a, b, {sql_q6('avg(r)')} AS r, count(*) AS n_series, {sql_q6('min(r)')} AS r_min, {sql_q6('max(r)')} AS r_max FROM r GROUP BY a, b""")
+def co_dynamics(t: Tables) -> DataFrame:
+    each = D.pair_correlations(_nation_series(t), D.EpistasisParams(tile=10))
+    means = each.groupBy("a", "b").agg(F.avg("r").alias("m"), F.count(F.lit(1)).alias("n_series"), F.min("r").alias("lo"), F.max("r").alias("hi"))
+    return means.select("a", "b", S.q6("m").alias("r"), "n_series", S.q6("lo").alias("r_min"), S.q6("hi").alias("r_max"))
+
+
+@query()
+def epistasis(t: Tables) -> DataFrame:
+    return D.epistasis(_nation_series(t), D.EpistasisParams(least_r=0.1, top=None, sites=None, tested=None)).pairs
 
 
 @query(f"""WITH g AS (SELECT s_suppkey, (s_suppkey * 31 % 900)::BIGINT AS s, (s_suppkey * 31 % 900 + 60)::BIGINT AS e FROM supplier), b AS (SELECT l_partkey // 20 AS bin, count(*) AS n FROM lineitem GROUP BY 1),

@@ -45,13 +45,7 @@ def test_small_reports(spark):
     assert got == {"t": ("g1,g2", 1, 1, "x,y"), "u": ("", 0, 0, "")}
 
 
-def test_series_and_epistasis(spark):
-    rows = [(s, site, t, af) for s in (1, 2) for t in range(5) for site, af in ((10, t / 5), (20, 1 - t / 5), (30, 0.3))]
-    df = spark.createDataFrame(rows, "series int, site int, t int, af double")
-    e = C.epistasis(df, "series", "site", "t", "af").collect()
-    assert [(r["a"], r["b"], round(r["r"], 6), r["n_series"]) for r in e] == [(10, 20, -1.0, 2)]
-    tr = {r["site"]: r for r in C.trajectories(df, ["series", "site"], "t", "af").where("series = 1").collect()}
-    assert tr[10]["emergence"] and not tr[10]["fixation"] and 30 not in tr and tr[20]["label"] == "declining"
+def test_group_mismatch(spark):
     pairs = spark.createDataFrame([("g", "a", 3.0), ("g", "b", 4.0), ("g", "c", 30.0), ("h", "d", 90.0)], "grp string, m string, d double")
     assert [r["m"] for r in C.group_mismatch(pairs, "m", "grp", "d").collect()] == ["c"]
 

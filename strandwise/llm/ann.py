@@ -1,10 +1,11 @@
 """Approximate nearest neighbours by a hash-prefix forest.
 
-A tree gives each vector a string of symbols. A symbol names the nearest of several random directions and their
-opposites: 1,024 for the first, 32 for each one after it. The tree is the sorted array of its strings. A query descends
-every tree to its longest matching prefix. Then all trees ascend together, symbol by symbol and within a symbol tree by
-tree, and stop as soon as their ranges hold as many candidates as asked for. Only these candidates are scored, exactly and in double
-precision.
+A tree gives each vector a long string of symbols. A symbol names the nearest of several random directions and their
+opposites: 1,024 for the first, 16 for each of the eleven after it. The tree is the sorted array of its strings. A query
+descends every tree to its longest matching prefix. Then all trees ascend together, symbol by symbol and within a symbol
+tree by tree, and stop as soon as their ranges hold as many different candidates as asked for: vectors that several trees
+meet count once, so that near copies, which all trees meet, never end the ascent early. Only the candidates are scored,
+exactly and in double precision.
 
 The index is cut into shards by a hash of the vector. A vector lies in one shard and is never copied; queries stream
 past the shards, each task holding one shard and one block of queries. How many candidates a query meets grows slower
@@ -28,16 +29,18 @@ from strandwise.session import staged
 class ForestParams:
     k: int = 20
     trees: int = 320
-    directions: tuple[int, ...] = (512, 16, 16)  #: by symbol; a symbol is a direction or its opposite
-    rate: float = 1.6  #: a query meets rate * n ** (1 - shrink) of n vectors, repeats in several trees counted
+    directions: tuple[int, ...] = (512, *(8,) * 11)  #: by symbol; a symbol is a direction or its opposite
+    rate: float = 1.4  #: a query meets rate * n ** (1 - shrink) of n vectors, each counted once
     shrink: float = 0.25
+    least: int = 250  #: different candidates that a query meets in any case, if there are so many
     shard_rows: int = 16384
-    block_rows: int = 2048  #: queries held at once
+    block_rows: int = 512  #: queries held at once
     seed: int = 3
 
-    def need(self, held: int, n: int) -> float:
-        """Candidates to ask of a shard that holds `held` of `n` vectors."""
-        return min(1.0, self.rate * max(1, n) ** -self.shrink) * held
+    def need(self, held: int, n: int) -> int:
+        """Different candidates to ask of a shard that holds `held` of `n` vectors."""
+        share = max(self.rate * max(1, n) ** -self.shrink, self.least / max(1, n))
+        return min(held, max(2 * self.k, int(np.ceil(share * held))))
 
 
 class Forest:
@@ -56,6 +59,7 @@ class Forest:
             self.order.append(order)
             self.keys.append(codes[order])
         self.sizes = [2 * m for m in params.directions]
+        self.flat = np.concatenate(self.order)
 
     def codes(self, points: np.ndarray) -> Iterator[np.ndarray]:
         """Tree by tree the strings of all points, a number each, first symbol foremost."""
@@ -90,26 +94,38 @@ class Forest:
                 span *= size
         return low, high
 
-    def candidates(self, queries: np.ndarray, need: float) -> Iterator[np.ndarray]:
-        """For each query the vectors that it meets: the ascent ends once the trees' ranges hold `need` of them."""
+    def candidates(self, queries: np.ndarray, need: int) -> Iterator[np.ndarray]:
+        """For each query the different vectors that it meets: `need` of them at least, all if there are fewer."""
         low, high = self.ranges(queries)
         trees, levels, _ = low.shape
-        size = (high - low).astype(np.int64)
-        more = size.copy()
-        more[:, 1:] -= size[:, :-1]  # what a step up adds
-        more[:, 0] = 0  # whole strings in common, as copies have in all trees, are met in any case and not counted
-        steps = more.transpose(1, 0, 2).reshape(levels * trees, -1)
-        taken = (np.cumsum(steps, axis=0) - steps < need).reshape(levels, trees, -1)
-        depth = taken.sum(axis=0) - 1  # of each tree and query: the last level it ascended to
+        totals = (high - low).sum(axis=0, dtype=np.int64)
+        first = np.empty(self.n, np.int64)  # where a query's sequence has a vector first; only what was written is read
         for q in range(len(queries)):
-            used = np.flatnonzero(depth[:, q] >= 0)
-            if depth[used, q].max() == levels - 1:
-                yield np.arange(self.n)
-                continue
-            met = np.zeros(self.n, bool)
-            for t in used.tolist():
-                met[self.order[t][low[t, depth[t, q], q] : high[t, depth[t, q], q]]] = True
-            yield np.flatnonzero(met)
+            # ranges of one level hold no more different vectors than rows
+            for level in range(int(np.argmax(totals[:, q] >= need)), levels):
+                if level == levels - 1:
+                    yield np.arange(self.n)
+                    break
+                whole = self._gathered(low[:, level, q], high[:, level, q])
+                under = self._gathered(low[:, level - 1, q], high[:, level - 1, q]) if level else whole[:0]
+                met = np.concatenate([under, whole])  # what a level up adds comes after, tree by tree
+                at = np.arange(len(met))
+                first[met[::-1]] = at[::-1]
+                new = first[met] == at
+                count = np.cumsum(new)
+                if count[-1] >= need:
+                    last = max(int(np.searchsorted(count, need)) - len(under), 0)
+                    ends = np.cumsum(high[:, level, q] - low[:, level, q])
+                    end = len(under) + int(ends[np.searchsorted(ends, last, "right")])  # the tree is ascended in full
+                    yield np.sort(met[:end][new[:end]])
+                    break
+
+    def _gathered(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The vectors of a range of each tree, tree by tree."""
+        size = (high - low).astype(np.int64)
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1]) + np.repeat(low - (ends - size) + np.arange(len(low)) * self.n, size)
+        return self.flat[at]
 
 
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,8 +218,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
         return own.where(F.col("id").isNotNull() & fine)
 
     # of equal vectors the k + 1 smallest ids can be among the k nearest of a query: one of them may be its own
-    by = Window.partitionBy("vec").orderBy("id")
-    least = clean(vectors).withColumn("nth", F.dense_rank().over(by)).where(F.col("nth") <= params.k + 1)
+    # a much repeated vector's ids are ranked by parts first
+    own = clean(vectors).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(256)))
+    for by in (Window.partitionBy("vec", "part").orderBy("id"), Window.partitionBy("vec").orderBy("id")):
+        own = own.withColumn("nth", F.dense_rank().over(by)).where(F.col("nth") <= params.k + 1)
+    least = own.select("vec", "id")
     base = staged(least.groupBy("vec").agg(F.array_sort(F.collect_set("id")).alias("ids")), "vectors")
     asked = clean(queries)
     firsts = asked.groupBy("vec").agg(F.min("id").alias("id"))  # equal queries are asked once

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from strandwise.llm.ann import Forest, ForestParams, nearest
 
@@ -67,7 +68,37 @@ def test_work_and_order_of_the_ascent():
                 assert want == set(order[low[t, level, q] : high[t, level, q]].tolist())
     met = [set(c.tolist()) for c in forest.candidates(vectors[:5], 300)]
     more = [set(c.tolist()) for c in forest.candidates(vectors[:5], 600)]
-    assert all(q in m and m < n and len(m) < 600 for q, (m, n) in enumerate(zip(met, more, strict=True)))
+    assert all(q in m and m < n and 300 <= len(m) < 600 <= len(n) < 900 for q, (m, n) in enumerate(zip(met, more, strict=True)))
+    for q, own in enumerate(met):  # the whole of a level, or of a tree's range of it, and nothing beside
+        assert own == set().union(*[set(order[low[t, k, q] : high[t, k, q]].tolist()) for t, order in enumerate(forest.order) for k in range(3) if set(order[low[t, k, q] : high[t, k, q]].tolist()) <= own])
+
+
+def clustered(n, size, noise, seed=0, d=64):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(-(-n // size), d))
+    return np.repeat(centres, size, 0)[:n] + noise * rng.normal(size=(n, d))
+
+
+@pytest.mark.parametrize("n, size, noise", [(60, 4, 0.05), (100, 10, 0.05), (400, 10, 0.05), (1000, 10, 0.1), (2000, 10, 0.3), (2000, 1, 1.0), (6000, 10, 0.05), (6000, 6000, 0.02)])
+def test_recall_by_density(n, size, noise):
+    """Near vectors that all trees meet together count once, so queries go on to 20 others and to the right ones."""
+    v = clustered(n, size, noise)
+    params, queries = ForestParams(), np.arange(0, n, max(20, n // 60))
+    hit = 0
+    for q, own in zip(queries, Forest(v, params).candidates(v[queries], params.need(n, n)), strict=True):
+        score = v @ v[q]
+        score[q] = -np.inf
+        own = own[own != q]
+        assert len(set(own.tolist())) == len(own) >= min(20, n - 1)
+        hit += len(set(np.argsort(-score, kind="stable")[:20].tolist()) & set(own.tolist())) / 20
+    assert hit / len(queries) >= 0.9
+
+
+def test_twenty_rows_for_each_query(spark):
+    for n, size in ((60, 4), (100, 10), (400, 10)):
+        df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(clustered(n, size, 0.05))], SCHEMA)
+        got = nearest(df, df.where("vec_id % 20 = 0"), params=ForestParams(trees=80)).groupBy("query_id").count().collect()
+        assert len(got) == n // 20 and all(r["count"] == 20 for r in got)
 
 
 def test_repeats_lengths_and_overflow(spark):

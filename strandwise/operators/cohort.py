@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from strandwise.operators.ordered import joined
+
 
 def parents_by_depth(df: DataFrame, keys: Sequence[str], order: str, depth: str, node: str) -> DataFrame:
     """`parent`: the node of the nearest row before that is shallower; null where there is none.
@@ -262,13 +264,43 @@ def revise(df: DataFrame, n_cohort: Column, fraction: Column, others: Column, ve
     return df.withColumn("revised", out)
 
 
-def depleted_runs(df: DataFrame, keys: Sequence[str], pos: str, value: str, share: float = 0.5, least: int = 3) -> DataFrame:
-    """Runs of consecutive rows under `share` of the key's median, of `least` rows and more; other rows end a run."""
-    med = df.groupBy(*keys).agg(F.median(value).alias("_med"))
-    by = Window.partitionBy(*keys).orderBy(pos)
-    low = df.join(med, list(keys)).withColumn("_i", F.row_number().over(by)).where(F.col(value) < share * F.col("_med"))
-    runs = low.withColumn("_k", F.col("_i") - F.row_number().over(by)).groupBy(*keys, "_k").agg(F.min(pos).alias("start"), F.max(pos).alias("end"), F.count(F.lit(1)).alias("n"))
-    return runs.where(F.col("n") >= least).drop("_k")
+@dataclass(frozen=True)
+class DepletionParams:
+    min_depth: int = 5  #: the acceptor's, from which a site is covered
+    max_ratio: float = 0.4  #: the acceptor's share of a lopsided site's reads
+    least: int = 3  #: sites of a run
+    max_local: float = 0.6  #: of the acceptor's depth elsewhere
+    enrichment: float = 1.25  #: of the donor's depth elsewhere
+
+
+def depleted_runs(sites: DataFrame, keys: Sequence[str], pos: str, acceptor: str, donor: str, excluded: str | None = None, p: DepletionParams = DepletionParams()) -> DataFrame:
+    """(keys, start, end, n, acceptor_level, donor_here, donor_elsewhere): runs of sites whose reads went to the donor.
+
+    A site is lopsided if the acceptor has fewer reads than `min_depth` and at most `max_ratio` of both sides' reads, of
+    which there are twice `min_depth` at least. A run is made of consecutive lopsided sites that also have at most
+    `max_local` of the acceptor's level: the median of the sites that are not lopsided, if there are two. Over a run the
+    donor's median must be `enrichment` times that of the locus' other sites. Excluded sites end a run and count nowhere.
+    Null depths are 0. A locus' medians gather its sites, so these must fit a task.
+    """
+    k = list(keys)
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double")
+    use = ~F.coalesce(F.col(excluded), F.lit(False)) if excluded else F.lit(True)
+    rows = sites.where(F.col(pos).isNotNull()).select(*k, F.col(pos).alias("_pos"), zero(acceptor).alias("_acc"), zero(donor).alias("_don"), use.alias("_use"))
+    both = F.col("_acc") + F.col("_don")
+    rows = rows.withColumn("_lop", F.col("_use") & (F.col("_acc") < p.min_depth) & (both >= 2 * p.min_depth) & (F.col("_acc") <= p.max_ratio * both))
+    healthy = F.col("_use") & ~F.col("_lop")
+    level = rows.groupBy(*k).agg(F.when(F.count_if(healthy) >= 2, F.median(F.when(healthy, F.col("_acc")))).alias("_level"), F.count_if("_use").alias("_usable")).where(F.col("_usable") >= p.least)
+    known = joined(rows, level, k)
+    by = Window.partitionBy(*k).orderBy("_pos")
+    low = F.col("_lop") & (F.col("_level").isNull() | (F.col("_acc") <= p.max_local * F.col("_level")))
+    marked = known.withColumns({"_i": F.row_number().over(by), "_low": low})
+    own = marked.where("_low").withColumn("_run", F.col("_i") - F.row_number().over(by))
+    runs = own.groupBy(*k, "_run").agg(F.min("_pos").alias("start"), F.max("_pos").alias("end"), F.count(F.lit(1)).alias("n"), F.first("_level").alias("acceptor_level"), F.median("_don").alias("donor_here")).where(F.col("n") >= p.least)
+    # the other sites of each run's locus
+    rest = joined(rows.where("_use").select(*k, "_pos", "_don"), runs.select(*k, "_run", "start", "end"), k).where(~F.col("_pos").between(F.col("start"), F.col("end")))
+    elsewhere = rest.groupBy(*k, "_run").agg(F.median("_don").alias("donor_elsewhere"))
+    found = joined(runs, elsewhere, [*k, "_run"])
+    return found.where((F.col("donor_elsewhere") > 0) & (F.col("donor_here") >= p.enrichment * F.col("donor_elsewhere"))).drop("_run")
 
 
 def inside_outside(df: DataFrame, keys: Sequence[str], inside: Column, value: str, least: int = 2) -> DataFrame:

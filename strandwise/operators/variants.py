@@ -188,13 +188,11 @@ def snp_cells(calls: DataFrame, depth: DataFrame, samples: DataFrame) -> DataFra
 def pairwise_snps(bases: DataFrame) -> DataFrame:
     """(a, b, snps, compared) over variable positions: those where two samples call different bases of A, C, G, T.
 
-    Pairs come from a join on the position; a position's samples are the cohort, whose square the result has anyway.
+    bases: (sample, pos, base), pos from 0. See `distances`: the pairs meet as bit planes, not by position.
     """
-    called = bases.where(F.col("base").isin("A", "C", "G", "T")).select("sample", "pos", "base")
-    variable = called.groupBy("pos").agg(F.count_distinct("base").alias("k")).where("k > 1").select("pos")
-    own = called.join(variable, "pos", "left_semi")
-    a, b = own.select("pos", F.col("sample").alias("a"), F.col("base").alias("x")), own.select("pos", F.col("sample").alias("b"), F.col("base").alias("y"))
-    return a.join(b, "pos").where("a < b").groupBy("a", "b").agg(F.count_if(F.col("x") != F.col("y")).alias("snps"), F.count(F.lit(1)).alias("compared"))
+    from strandwise.operators.distances import plane_distances, planes_of_bases
+
+    return plane_distances(planes_of_bases(bases))
 
 
 def codon_change(sites: DataFrame) -> DataFrame:

@@ -295,12 +295,29 @@ def cohort_revision(t: Tables) -> DataFrame:
     return C.revise(both, F.col("cohort"), F.col("callers") / F.col("cohort"), F.col("callers") - F.col("called").cast("int"), F.col("v"), F.col("bf"), F.col("l_suppkey") % 17 == 0, F.col("l_suppkey") == 13).select("l_partkey", "l_suppkey", "revised")
 
 
-@query("""WITH d AS (SELECT user_id, day(ts) AS d, count(*) AS n FROM events GROUP BY ALL), m AS (SELECT user_id, median(n) AS med FROM d GROUP BY 1), i AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY d) AS i FROM d),
-l AS (SELECT i.user_id, d, i FROM i JOIN m ON i.user_id = m.user_id AND n < 0.75 * med)
-SELECT user_id, min(d) AS start, max(d) AS "end", count(*) AS n FROM (SELECT *, i - row_number() OVER (PARTITION BY user_id ORDER BY d) AS g FROM l) GROUP BY user_id, g HAVING count(*) >= 2""")
+@query("""WITH d AS (SELECT l_suppkey AS k, l_partkey % 30 AS pos, count(*) FILTER (l_quantity > CASE WHEN l_suppkey % 5 = 1 AND l_partkey % 30 BETWEEN 10 AND 14 THEN 45 ELSE 25 END) AS acc, count(*) FILTER (l_quantity <= CASE WHEN l_suppkey % 5 = 1 AND l_partkey % 30 BETWEEN 10 AND 14 THEN 45 ELSE 25 END) AS don, l_suppkey % 10 = 1 AND l_partkey % 30 = 12 AS ex FROM lineitem GROUP BY ALL),
+l AS (SELECT *, NOT ex AND acc < 5 AND acc + don >= 10 AND acc <= 0.4 * (acc + don) AS lop FROM d), m AS (SELECT k, CASE WHEN count(*) FILTER (NOT ex AND NOT lop) >= 2 THEN median(acc) FILTER (NOT ex AND NOT lop) END AS level FROM l GROUP BY 1 HAVING count(*) FILTER (NOT ex) >= 3),
+i AS (SELECT l.*, level, row_number() OVER (PARTITION BY l.k ORDER BY pos) AS i FROM l JOIN m ON m.k = l.k), r AS (SELECT *, i - row_number() OVER (PARTITION BY k ORDER BY pos) AS g FROM i WHERE lop AND (level IS NULL OR acc <= 0.6 * level)),
+u AS (SELECT k, g, min(pos) AS s, max(pos) AS e, count(*) AS n, any_value(level)::DOUBLE AS level, median(don)::DOUBLE AS here FROM r GROUP BY k, g HAVING count(*) >= 3),
+o AS (SELECT u.*, (SELECT median(don) FROM l WHERE l.k = u.k AND NOT ex AND NOT pos BETWEEN s AND e)::DOUBLE AS other FROM u)
+SELECT k AS l_suppkey, s AS start, e AS "end", n, level AS acceptor_level, here AS donor_here, other AS donor_elsewhere FROM o WHERE other > 0 AND here >= 1.25 * other""")
 def depleted_runs(t: Tables) -> DataFrame:
-    d = t.events.groupBy("user_id", long(F.day("ts")).alias("d")).agg(F.count(F.lit(1)).alias("n"))
-    return C.depleted_runs(d, ["user_id"], "d", "n", 0.75, 2)
+    pos = F.col("l_partkey") % 30
+    least = F.when((F.col("l_suppkey") % 5 == 1) & pos.between(10, 14), 45).otherwise(25)
+    sites = t.lineitem.groupBy("l_suppkey", pos.alias("pos")).agg(F.count_if(F.col("l_quantity") > least).alias("acceptor"), F.count_if(F.col("l_quantity") <= least).alias("donor"))
+    return C.depleted_runs(sites.withColumn("called", (F.col("l_suppkey") % 10 == 1) & (F.col("pos") == 12)), ["l_suppkey"], "pos", "acceptor", "donor", "called")
+
+
+@query("""WITH n AS (SELECT n_name || '/' || c_mktsegment AS sample, l_partkey AS pos, max(l_orderkey) % 6 AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL),
+c AS (SELECT sample, pos, substr('ACGT', b::INT + 1, 1) AS base FROM n WHERE b < 4), v AS (SELECT pos FROM c GROUP BY 1 HAVING count(DISTINCT base) > 1), o AS (SELECT c.* FROM c JOIN v USING (pos))
+SELECT x.sample AS a, y.sample AS b, count(*) FILTER (x.base <> y.base) AS snps, count(*) AS compared FROM o x JOIN o y ON x.pos = y.pos AND x.sample < y.sample GROUP BY ALL""")
+def sequence_distances(t: Tables) -> DataFrame:
+    from strandwise.operators.distances import DistanceParams, plane_distances, planes_of_bases
+
+    own = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 nations by the schema
+    bases = own.groupBy(F.concat_ws("/", "n_name", "c_mktsegment").alias("sample"), F.col("l_partkey").alias("pos")).agg((F.max("l_orderkey") % 6).cast("int").alias("b"))
+    p = DistanceParams(tile=4096, block=32)
+    return plane_distances(planes_of_bases(bases.select("sample", "pos", F.substring(F.lit("ACGTNN"), F.col("b") + 1, F.lit(1)).alias("base")), (), p), (), p)
 
 
 @query(f"""SELECT l_partkey, {sql_q6('CASE WHEN count(*) FILTER (l_linenumber <= 3) >= 2 THEN avg(l_discount) FILTER (l_linenumber <= 3) END')} AS inside, {sql_q6('CASE WHEN count(*) FILTER (l_linenumber > 3) >= 2 THEN avg(l_discount) FILTER (l_linenumber > 3) END')} AS outside FROM lineitem GROUP BY 1""")

@@ -23,7 +23,7 @@ def test_empty_frames(none):
     assert ST.robust_stats(none, ["k"], "v").count() == 0
     assert ST.bh_fdr(none, ["k"], "v", ["i"]).count() == 0
     assert ST.spearman(none, ["k"], "v", "w").count() == 0
-    assert C.depleted_runs(none, ["k"], "pos", "v").count() == 0
+    assert C.depleted_runs(none, ["k"], "pos", "v", "w").count() == 0
     assert K.founder_clusters(none, ["k"], "start", "end", "i").count() == 0
     assert K.chains(none, ["k"], "start", "end").count() == 0
     assert V.copy_number(none, none.selectExpr("v AS genome_depth"), ["k"], "v").count() == 0

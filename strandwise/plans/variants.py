@@ -265,3 +265,24 @@ def least_unique_length(t: Tables) -> DataFrame:
     own = t.supplier.select(F.concat(F.lit("n"), F.col("s_nationkey") % 5).alias("contig"), F.struct(F.col("s_suppkey").alias("id"), F.translate(F.sha2(name, 256), "0123456789abcdef", "ACGTACGTACGTACGT").alias("b")).alias("x"))
     seqs = own.groupBy("contig").agg(F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["b"]), "").alias("seq"))
     return least_unique_lengths(seqs, UniqueParams(longest=100)).select("contig", "pos", "mul")
+
+
+@query(f"""WITH o AS (SELECT 'g' || (l_orderkey % 40) AS gene, l_orderkey AS read, (l_orderkey % 40 * 10 + l_linenumber)::BIGINT AS pos, l_linenumber AS n, substr('ACGT', (l_partkey % 4)::INT + 1, 1) AS base FROM lineitem WHERE l_linenumber <= 6),
+h AS (SELECT DISTINCT gene, (n - 1) // 3 + 1 AS codon, (n - 1) % 3 + 1 AS place, pos, translate(substr(sha256(gene || '/' || ((n - 1) // 3 + 1)), 1, 3), '0123456789abcdef', 'ACGTACGTACGTACGT') AS ref_codon, substr(translate(substr(sha256(gene || '+' || n), 1, 1), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 1) AS alt FROM o),
+s AS (SELECT *, substr(ref_codon, place::INT, 1) AS ref FROM h WHERE alt <> substr(ref_codon, place::INT, 1)),
+c AS (SELECT gene, codon, any_value(ref_codon) AS ref_codon, string_agg(pos, ',' ORDER BY place) AS positions, list({{'p': place, 'a': alt}} ORDER BY place) AS x, count(*) AS k FROM s GROUP BY ALL HAVING count(*) >= 2),
+m AS (SELECT s.gene, s.codon, read, count(DISTINCT s.place) AS shows, count(DISTINCT CASE WHEN base = alt THEN s.place END) AS carries FROM o JOIN s ON o.gene = s.gene AND o.pos = s.pos GROUP BY ALL),
+r AS (SELECT c.gene, c.codon, count(*) FILTER (carries = k) AS mnv_reads, count(*) FILTER (carries BETWEEN 1 AND k - 1) AS partial_reads, count(*) AS total_reads FROM c JOIN m ON m.gene = c.gene AND m.codon = c.codon AND shows = k GROUP BY ALL)
+SELECT c.gene, c.codon::BIGINT AS codon, positions, ref_codon, list_reduce(list_concat([ref_codon], list_transform(x, lambda e: e.p || e.a)), lambda acc, e: substr(acc, 1, substr(e, 1, 1)::INT - 1) || substr(e, 2, 1) || substr(acc, substr(e, 1, 1)::INT + 1)) AS mnv_codon,
+  coalesce(mnv_reads, 0) AS mnv_reads, coalesce(partial_reads, 0) AS partial_reads, coalesce(total_reads, 0) AS total_reads, {sql_q6('mnv_reads::DOUBLE / total_reads')} AS mnv_frequency, CASE WHEN coalesce(mnv_reads, 0) < 2 THEN 'SNP' WHEN partial_reads > 0 THEN 'SNP/MNV' ELSE 'MNV' END AS kind
+FROM c LEFT JOIN r ON r.gene = c.gene AND r.codon = c.codon""")
+def phased_codon_changes(t: Tables) -> DataFrame:
+    from strandwise.operators.phasing import phased_codons
+
+    dna = lambda c, n: F.translate(F.substring(F.sha2(c, 256), 1, n), "0123456789abcdef", "ACGTACGTACGTACGT")
+    own = t.lineitem.where("l_linenumber <= 6").withColumn("gene", F.concat(F.lit("g"), F.col("l_orderkey") % 40))
+    obs = own.select(F.lit("c").alias("contig"), "gene", F.col("l_linenumber").alias("n"), F.col("l_orderkey").alias("read"), (F.col("l_orderkey") % 40 * 10 + F.col("l_linenumber")).cast("bigint").alias("pos"), F.substring(F.lit("ACGT"), (F.col("l_partkey") % 4).cast("int") + 1, F.lit(1)).alias("base"))
+    codon = (F.floor((F.col("n") - 1) / 3) + 1).cast("bigint")
+    sites = obs.select("contig", "gene", codon.alias("codon"), ((F.col("n") - 1) % 3 + 1).cast("int").alias("place"), "pos", F.lit("+").alias("strand"), dna(F.concat("gene", F.lit("/"), codon), 3).alias("ref_codon"), dna(F.concat("gene", F.lit("+"), "n"), 1).alias("alt")).distinct()
+    got = phased_codons(obs.select("contig", "read", "pos", "base"), sites, (), 2)
+    return got.select("gene", "codon", "positions", "ref_codon", "mnv_codon", "mnv_reads", "partial_reads", "total_reads", S.q6("mnv_frequency").alias("mnv_frequency"), "kind")

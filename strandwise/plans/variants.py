@@ -286,3 +286,27 @@ def phased_codon_changes(t: Tables) -> DataFrame:
     sites = obs.select("contig", "gene", codon.alias("codon"), ((F.col("n") - 1) % 3 + 1).cast("int").alias("place"), "pos", F.lit("+").alias("strand"), dna(F.concat("gene", F.lit("/"), codon), 3).alias("ref_codon"), dna(F.concat("gene", F.lit("+"), "n"), 1).alias("alt")).distinct()
     got = phased_codons(obs.select("contig", "read", "pos", "base"), sites, (), 2)
     return got.select("gene", "codon", "positions", "ref_codon", "mnv_codon", "mnv_reads", "partial_reads", "total_reads", S.q6("mnv_frequency").alias("mnv_frequency"), "kind")
+
+
+@query(f"""WITH o AS (SELECT l_orderkey // 40 AS locus, l_orderkey AS read, l_linenumber * 100 AS pos, CASE WHEN l_returnflag = 'A' THEN 'donor' WHEN l_returnflag = 'R' THEN 'acceptor' ELSE 'other' END AS call, l_linestatus = 'O' AS sw FROM lineitem),
+s AS (SELECT locus, pos, count(*) AS depth, count(*) FILTER (call = 'donor')::DOUBLE / nullif(count(*) FILTER (call <> 'other'), 0) AS af, avg(sw::INT) AS sw, CASE WHEN pos BETWEEN 300 AND 500 THEN 300 WHEN pos = 700 AND locus % 2 = 0 THEN 700 END AS t FROM o GROUP BY ALL),
+d AS (SELECT *, depth >= 5 AND af IS NOT NULL AS sure FROM s), i AS (SELECT locus, t, count(*) AS n_sites, count(*) FILTER (NOT sure) AS und, min(pos) AS a, max(pos) AS z, avg(af) AS af_in, min(depth) AS low, count(*) AS k, avg(sw) AS sw FROM d WHERE t IS NOT NULL GROUP BY ALL),
+f AS (SELECT locus, count(*) AS n, avg(af) AS af FROM d WHERE t IS NULL AND sure GROUP BY 1), x AS (SELECT i.locus, i.t, count(*) AS k, avg(d.sw) AS sw FROM i JOIN d ON d.locus = i.locus AND NOT d.pos BETWEEN i.t AND CASE i.t WHEN 300 THEN 500 ELSE 700 END GROUP BY ALL),
+m AS (SELECT DISTINCT o.locus, read, o.pos, call, t, sure FROM o JOIN d ON d.locus = o.locus AND d.pos = o.pos WHERE call <> 'other'),
+y AS (SELECT locus, read, bool_or(t IS NULL AND sure AND call = 'acceptor') AS acc, bool_or(t IS NULL AND sure AND call = 'donor') AS don FROM m GROUP BY ALL),
+r AS (SELECT q.locus, q.t, count(*) FILTER (n >= 2) AS cis, count(*) FILTER (acc) AS cut, count(*) FILTER (don AND NOT acc) AS only_ FROM (SELECT locus, read, t, count(*) AS n FROM m WHERE t IS NOT NULL AND call = 'donor' GROUP BY ALL) q JOIN y ON y.locus = q.locus AND y.read = q.read GROUP BY ALL)
+SELECT i.locus, a::BIGINT AS start, z::BIGINT AS "end", n_sites, und AS n_undetermined, coalesce(f.n, 0) AS n_sites_outside, {sql_q6('round(af_in, 4)')} AS donor_af_in, {sql_q6('round(f.af, 4)')} AS donor_af_outside, low AS lowest_depth,
+  coalesce(cis, 0) AS cis_reads, coalesce(cut, 0) AS breakpoint_reads, coalesce(only_, 0) AS donor_only_reads, {sql_q6('CASE WHEN i.k >= 2 AND x.k >= 2 THEN i.sw END')} AS swap_in, {sql_q6('CASE WHEN i.k >= 2 AND x.k >= 2 THEN x.sw END')} AS swap_out,
+  coalesce(i.k >= 2 AND x.k >= 2 AND i.sw >= 0.5 AND x.sw < 0.5, false) AS exchange, CASE WHEN 2 * und > n_sites THEN 'depth' WHEN round(af_in, 4) < 0.1 THEN 'trickle' END AS unreadable
+FROM i LEFT JOIN f ON f.locus = i.locus LEFT JOIN x ON x.locus = i.locus AND x.t = i.t LEFT JOIN r ON r.locus = i.locus AND r.t = i.t""")
+def tract_evidence(t: Tables) -> DataFrame:
+    from strandwise.operators.tracts import tract_evidence as run
+
+    call = F.when(F.col("l_returnflag") == "A", "donor").when(F.col("l_returnflag") == "R", "acceptor").otherwise("other")
+    obs = t.lineitem.select(F.floor(F.col("l_orderkey") / 40).alias("locus"), F.col("l_orderkey").alias("read"), (F.col("l_linenumber") * 100).cast("bigint").alias("pos"), call.alias("call"), (F.col("l_linestatus") == "O").cast("int").alias("sw"))
+    sites = obs.groupBy("locus", "pos").agg(F.count(F.lit(1)).alias("depth"), F.try_divide(F.count_if(F.col("call") == "donor"), F.count_if(F.col("call") != "other")).alias("donor_af"), F.avg("sw").alias("af"))
+    first, last = F.lit(300).cast("bigint"), F.lit(700).cast("bigint")
+    loci = obs.select("locus").distinct()
+    tracts = loci.select("locus", first.alias("start"), (first + 200).alias("end")).union(loci.where("locus % 2 = 0").select("locus", last, last))
+    out = run(tracts, sites.drop("af"), obs.drop("sw"), ["locus"], sites.select("locus", "pos", "af"))
+    return out.drop("span_bp").withColumns({c: S.q6(c) for c in ("donor_af_in", "donor_af_outside", "swap_in", "swap_out")})

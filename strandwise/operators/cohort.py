@@ -218,31 +218,6 @@ def reproducibility(pairs: DataFrame, af: str, dp: str, hit: str, min_dp: float
     return fair.groupBy(bands(F.col(af), (*MINORITY_EDGES, 1.0)).alias("band")).agg(F.count(F.lit(1)).alias("tested"), F.count_if(hit).alias("seen")).where("band IS NOT NULL")
 
 
-def series_states(af: Column, dp: Column, min_dp: float = 7, fixed: float = 0.9) -> Column:
-    """fixed, minority, absent, unread or unchecked."""
-    return F.when(af >= fixed, "fixed").when(af > 0, "minority").when(dp.isNull(), "unchecked").when(dp > min_dp, "absent").otherwise("unread")
-
-
-_RANK = ("fixed", "minority", "absent", "unread", "unchecked")
-
-
-def series_gains(states: DataFrame, group: str, site: str, time: str, state: str) -> DataFrame:
-    """Against the first time: `new`, `risen`, `unknown` for sites fixed later, `lost` for sites fixed at first and absent later."""
-    rank = F.array_position(F.array(*map(F.lit, _RANK)), F.col(state))
-    first = states.groupBy(group).agg(F.min(time).alias("_t0"))
-    s = states.join(first, group)
-    base = s.where(F.col(time) == F.col("_t0")).groupBy(group, site).agg(F.min(rank).alias("_r"))
-    later = s.where(F.col(time) > F.col("_t0")).join(base, [group, site], "left")
-    start = F.coalesce(F.element_at(F.array(*map(F.lit, _RANK)), F.col("_r").cast("int")), F.lit("unchecked"))
-    change = (
-        F.when((F.col(state) == "fixed") & (start == "absent"), "new")
-        .when((F.col(state) == "fixed") & (start == "minority"), "risen")
-        .when((F.col(state) == "fixed") & (start != "fixed"), "unknown")
-        .when((F.col(state) == "absent") & (start == "fixed"), "lost")
-    )
-    return later.withColumn("change", change).where("change IS NOT NULL").select(group, site, time, "change")
-
-
 def rank_donors(df: DataFrame, event: Sequence[str], donor: str, score: str) -> DataFrame:
     """Per event and donor the best score, its rank, the margin to the next, and whether the first is resolved."""
     best = df.groupBy(*event, donor).agg(F.max(score).alias("score"))

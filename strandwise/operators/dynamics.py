@@ -209,3 +209,67 @@ def share_calls(counts: DataFrame, group: Column, sample: Column, site: Column,
     rows = counts.select(group.alias("group"), sample.alias("sample"), site.alias("site"), F.col(n).alias("n"))
     all_ = F.sum("n").over(Window.partitionBy("sample"))
     return rows.select("group", "sample", "site", F.least(F.lit(1.0), times * F.col("n") / all_).alias("af"), F.col("n").alias("depth"))
+
+
+#: What a sample can show at a site, from the surest presence on; of several samples the first of these counts.
+STATES = ("fixed", "minority", "absent", "unread", "unchecked")
+
+
+@dataclass(frozen=True)
+class SeriesParams:
+    min_dp: int = 7  #: a site is read above it
+    fixed: float = 0.9
+    checked: bool = True  #: False: without cells, what the start doesn't call counts as new
+
+
+def series_members(samples: DataFrame) -> DataFrame:
+    """(group, sample, time, tnum, base): the samples of each series from its first time on, in `base` those of that time.
+
+    samples: (group, sample, time, tnum, excluded). Where some times of a group are numbers, samples without one are left
+    out. The start is the first time, by number and then by text, with a sample that isn't excluded; excluded samples of
+    that time are left out and later ones stay. Groups need two different times among the samples that aren't excluded.
+    """
+    whole = Window.partitionBy("group")
+    own = samples.where(F.col("group").isNotNull() & F.col("sample").isNotNull()).dropDuplicates(["group", "sample"])
+    own = own.withColumn("_timed", F.max(F.col("tnum").isNotNull()).over(whole)).where(F.col("tnum").isNotNull() | ~F.col("_timed"))
+    order = Window.partitionBy("group").orderBy(F.col("tnum").asc_nulls_last(), F.coalesce("time", F.lit("")), "sample")
+    kept = ~F.coalesce("excluded", F.lit(False))
+    text = F.coalesce("time", F.lit(""))
+    own = own.withColumns({"_i": F.row_number().over(order), "_kept": kept, "_text": text})
+    own = own.withColumns({"_start": F.min(F.when(F.col("_kept"), F.col("_i"))).over(whole), "_t0": F.min_by("_text", F.when(F.col("_kept"), F.col("_i"))).over(whole), "_times": F.size(F.collect_set(F.when(F.col("_kept"), F.col("_text"))).over(whole))})
+    base = F.col("_kept") & (F.col("_text") == F.col("_t0"))
+    out = own.where((F.col("_times") >= 2) & (F.col("_i") >= F.col("_start"))).withColumn("base", base)
+    return out.where(F.col("base") | (F.col("_text") != F.col("_t0"))).select("group", "sample", "time", "tnum", "base")
+
+
+def series_gains(samples: DataFrame, calls: DataFrame, cells: DataFrame | None = None, p: SeriesParams = SeriesParams()) -> DataFrame:
+    """(group, sample, time, site, change, checked): what later samples of a series have that its start had not.
+
+    samples: see `series_members`; calls: (sample, site, af); cells: (sample, site, af, dp, called), what a matrix says of
+    sites that a sample doesn't call, `called` marking a call of unknown fraction. A site that a later sample has fixed is
+    new if the start was read and lacks it, risen if it was a minority there, and unknown if the start wasn't read; fixed
+    there it is no change. Of the start's samples the surest presence counts. A site fixed at the start and read without
+    it later is lost. A call of unknown fraction is neither absent nor fixed.
+    """
+    member = staged(series_members(samples), "series")
+    own = calls.where(F.col("af").isNotNull()).groupBy("sample", "site").agg(F.max("af").alias("af"))
+    call = F.when(F.col("af") >= p.fixed, 0).when(F.col("af") > 0, 1).otherwise(2)
+    states = own.select("sample", "site", call.alias("call"), F.lit(None).cast("int").alias("cell"))
+    if cells is not None:
+        read = F.when(F.coalesce("called", F.lit(False)), 4).when(F.col("af") >= p.fixed, 0).when(F.col("af") > 0, 1).when(F.col("dp").isNull(), 4).when(F.col("dp") > p.min_dp, 2).otherwise(3)
+        states = states.union(cells.select("sample", "site", F.lit(None).cast("int"), read))
+    states = states.groupBy("sample", "site").agg(F.coalesce(F.min("call"), F.min("cell")).alias("state"))
+    base, later = member.where("base").select("group", "sample"), member.where(~F.col("base")).select("group", "sample", "time")
+    fixed = own.where(F.col("af") >= p.fixed).select("sample", "site")
+
+    gained = staged(later.join(fixed, "sample"), "gained")
+    asked = gained.select("group", "site").distinct().join(base, "group")
+    start = asked.join(states, ["sample", "site"], "left").groupBy("group", "site").agg(F.min(F.coalesce("state", F.lit(4))).alias("start"))
+    at = gained.join(start, ["group", "site"])
+    new = (F.col("start") == 2) | ((F.col("start") == 4) & F.lit(not p.checked))
+    change = F.when(F.col("start") == 0, None).when(new, "new").when(F.col("start") == 1, "risen").otherwise("unknown")
+    gains = at.select("group", "sample", "time", "site", change.alias("change")).where(F.col("change").isNotNull())
+
+    held = base.join(fixed, "sample").select("group", "site").distinct().join(later, "group")
+    lost = held.join(states.where("state = 2"), ["sample", "site"]).select("group", "sample", "time", "site", F.lit("lost").alias("change"))
+    return gains.union(lost).withColumn("checked", F.lit(p.checked))

@@ -155,13 +155,17 @@ def reproducibility(t: Tables) -> DataFrame:
 _STATES = """(SELECT user_id, event_type AS site, (day(ts) // 7)::BIGINT AS w, CASE WHEN max(value) >= 90 THEN 'fixed' WHEN max(value) > 60 THEN 'minority' WHEN count(*) > 2 THEN 'absent' ELSE 'unread' END AS state FROM events GROUP BY ALL)"""
 
 
-@query(f"""WITH b AS (SELECT user_id, min(w) AS t0 FROM {_STATES} GROUP BY 1), s0 AS (SELECT s.user_id, site, state FROM {_STATES} s JOIN b ON s.user_id = b.user_id AND w = t0),
-l AS (SELECT s.user_id, s.site, s.w, s.state, coalesce(s0.state, 'unchecked') AS st FROM {_STATES} s JOIN b ON s.user_id = b.user_id AND s.w > t0 LEFT JOIN s0 ON s0.user_id = s.user_id AND s0.site = s.site)
+@query(f"""WITH s AS (SELECT * FROM {_STATES}), m AS (SELECT DISTINCT user_id, w, user_id % 5 = 0 AND w <= 1 AS ex FROM s), b AS (SELECT user_id, min(w) AS t0 FROM m WHERE NOT ex GROUP BY 1 HAVING count(*) >= 2),
+s0 AS (SELECT s.user_id, site, state FROM s JOIN b ON s.user_id = b.user_id AND w = t0),
+l AS (SELECT s.user_id, s.site, s.w, s.state, coalesce(s0.state, 'unchecked') AS st FROM s JOIN b ON s.user_id = b.user_id AND s.w > t0 LEFT JOIN s0 ON s0.user_id = s.user_id AND s0.site = s.site)
 SELECT * FROM (SELECT user_id, site, w, CASE WHEN state = 'fixed' AND st = 'absent' THEN 'new' WHEN state = 'fixed' AND st = 'minority' THEN 'risen' WHEN state = 'fixed' AND st <> 'fixed' THEN 'unknown' WHEN state = 'absent' AND st = 'fixed' THEN 'lost' END AS change FROM l) WHERE change IS NOT NULL""")
 def series_gains(t: Tables) -> DataFrame:
-    g = t.events.groupBy("user_id", F.col("event_type").alias("site"), F.floor(F.day("ts") / 7).alias("w")).agg(F.max("value").alias("v"), F.count(F.lit(1)).alias("dp"))
-    af = F.when(F.col("v") >= 90, 0.95).when(F.col("v") > 60, 0.5).otherwise(0.0)
-    return C.series_gains(g.withColumn("state", C.series_states(af, F.col("dp"), 2)), "user_id", "site", "w", "state")
+    """Users' weeks; the first two weeks of every fifth user can't be a start."""
+    g = t.events.groupBy("user_id", F.col("event_type").alias("site"), F.floor(F.day("ts") / 7).alias("w")).agg(F.max("value").alias("v"), F.count(F.lit(1)).alias("dp")).withColumn("sample", F.concat_ws("/", "user_id", "w"))
+    samples = g.select(F.col("user_id").alias("group"), "sample", F.col("w").cast("string").alias("time"), F.col("w").cast("double").alias("tnum"), ((F.col("user_id") % 5 == 0) & (F.col("w") <= 1)).alias("excluded")).distinct()
+    calls = g.where("v > 60").select("sample", "site", F.when(F.col("v") >= 90, 0.95).otherwise(0.5).alias("af"))
+    cells = g.where("v <= 60").select("sample", "site", F.lit(0.0).alias("af"), "dp", F.lit(False).alias("called"))
+    return D.series_gains(samples, calls, cells, D.SeriesParams(min_dp=2)).select(F.col("group").alias("user_id"), "site", F.col("time").cast("bigint").alias("w"), "change")
 
 
 _EFFECTS = "CASE event_type WHEN 'click' THEN 'missense_variant' WHEN 'error' THEN 'stop_gained' ELSE 'synonymous_variant' END"

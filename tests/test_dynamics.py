@@ -129,3 +129,40 @@ def test_empty(spark):
     assert t.count() == 0
     got = epistasis(t)
     assert got.pairs.count() == got.matrix.count() == 0 and got.summary.first()["n_series"] == 0
+
+
+def gains(spark, samples, calls, cells=None, **kw):
+    from strandwise.operators.dynamics import SeriesParams, series_gains
+
+    s = spark.createDataFrame(samples, "group string, sample string, time string, tnum double, excluded boolean")
+    c = spark.createDataFrame(calls, "sample string, site string, af double")
+    m = None if cells is None else spark.createDataFrame(cells, "sample string, site string, af double, dp int, called boolean")
+    return sorted((r["sample"], r["site"], r["change"]) for r in series_gains(s, c, m, SeriesParams(**kw)).collect())
+
+
+PAIR = [("g", "a", "0", 0.0, False), ("g", "b", "5", 5.0, False)]
+
+
+def test_series(spark):
+    calls = [("b", x, 0.95) for x in "npqruif"] + [("a", "p", 0.3), ("a", "i", 0.9), ("a", "l", 1.0), ("a", "m", 1.0), ("a", "k", 0.95), ("b", "k", 0.1)]
+    cells = [("a", "n", None, 20, False), ("a", "q", None, 7, False), ("a", "r", None, None, False), ("a", "u", None, 30, True), ("a", "f", 0.2, 9, False), ("b", "l", None, 8, False), ("b", "m", None, 7, False)]
+    assert gains(spark, PAIR, calls, cells) == [("b", "f", "risen"), ("b", "l", "lost"), ("b", "n", "new"), ("b", "p", "risen"), ("b", "q", "unknown"), ("b", "r", "unknown"), ("b", "u", "unknown")]
+
+
+def test_a_series_without_cells(spark):
+    calls = [("b", "n", 0.95), ("a", "p", 0.4), ("b", "p", 1.0), ("a", "l", 1.0)]
+    assert gains(spark, PAIR, calls) == [("b", "n", "unknown"), ("b", "p", "risen")]
+    assert gains(spark, PAIR, calls, checked=False) == [("b", "n", "new"), ("b", "p", "risen")]
+
+
+def test_the_start_of_a_series(spark):
+    calls, cells = [("b", "x", 1.0), ("c", "x", 1.0), ("c", "y", 1.0), ("d", "y", 1.0)], [(s, v, None, 50, False) for s in "abcd" for v in "xy"]
+    both = [("g", "a", "0", 0.0, False), ("g", "b", "0", 0.0, False), ("g", "c", "2", 2.0, False)]
+    assert gains(spark, both, calls, cells) == [("c", "y", "new")]  # every sample of the first time is the start
+    assert gains(spark, both[:2], calls, cells) == []
+    failed = [("g", "a", "0", 0.0, True), ("g", "b", "1", 1.0, False), ("g", "c", "2", 2.0, True), ("g", "d", "3", 3.0, False)]
+    assert gains(spark, failed, calls, cells) == [("c", "y", "new"), ("d", "x", "lost"), ("d", "y", "new")]
+    odd = [*PAIR, ("g", "c", "soon", None, False)]
+    assert {s for s, *_ in gains(spark, odd, calls, cells)} == {"b"}  # a time that is no number has no place
+    text = [("g", "a", "early", None, False), ("g", "c", "late", None, False)]
+    assert gains(spark, text, calls, cells) == [("c", "x", "new"), ("c", "y", "new")]

@@ -10,9 +10,10 @@ os.environ.setdefault("TZ", "UTC")
 
 @pytest.fixture(scope="session")
 def spark():
-    from strandwise.session import local_session
+    from strandwise.session import drop_staged, local_session
 
     s = local_session(4, 4)
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    drop_staged(s)
     s.stop()

@@ -16,6 +16,14 @@ def test_distributions_against_tables():
     assert ST.chi2_tail(3.841459, 1) == pytest.approx(0.05, abs=1e-6)
     assert ST.chi2_tail(18.307038, 10) == pytest.approx(0.05, abs=1e-6)
     assert ST.chi2_tail(2 * math.log(10), 2) == pytest.approx(0.1, abs=1e-12)
+    # known quantiles, closed forms, and far tails
+    assert ST.student_p(4.587, 10) == pytest.approx(0.001, rel=1e-3) and ST.student_p(2.5758293, 1e7) == pytest.approx(0.01, rel=1e-5)
+    for t in (0.3, 1.0, 7.0, 200.0):
+        assert ST.student_p(t, 1) == pytest.approx(2 / math.pi * math.atan2(1, t), rel=1e-12) == ST.student_p(-t, 1)
+        assert ST.student_p(t, 2) == pytest.approx(1 - t / math.sqrt(2 + t * t) if t < 10 else 2 / (t * t + 2 + t * math.sqrt(t * t + 2)), rel=1e-9)
+    assert ST.student_p(60.0, 40) == pytest.approx(8.310990424e-41, rel=1e-6) and 0 <= ST.student_p(40.0, 5000) < 1e-300
+    assert ST.chi2_tail(0.0, 3) == 1.0 and ST.chi2_tail(10.827566, 1) == pytest.approx(0.001, rel=1e-6) and ST.chi2_tail(124.342113, 100) == pytest.approx(0.05, rel=1e-6)
+    assert ST.chi2_tail(400.0, 2) == pytest.approx(math.exp(-200), rel=1e-9) and ST.chi2_tail(2000.0, 2001) == pytest.approx(0.5, abs=0.02)
     assert ST.chi2_quantile_975(2) == pytest.approx(7.378, rel=0.01)
 
 

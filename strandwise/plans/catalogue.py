@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strandwise.plans import cohort, relational, statistics, variants  # noqa: F401  they register themselves
+from strandwise.plans import cohort, relational, reports, statistics, variants  # noqa: F401  they register themselves
 from strandwise.plans.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

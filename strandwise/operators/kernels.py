@@ -93,7 +93,7 @@ def longest_increasing(values: Sequence[float]) -> list[int]:
     return out[::-1]
 
 
-def chains(df: DataFrame, keys: Sequence[str], a: str, b: str, least: int = 10, density: float = 0.0, most: int = 1024) -> DataFrame:
+def chains(df: DataFrame, keys: Sequence[str], a: str, b: str, least: int = 10, density: float = 0.0) -> DataFrame:
     """(keys, chain, strand, n, a_start, a_end): one increasing chain and decreasing ones while they have `least` anchors."""
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
@@ -118,7 +118,7 @@ def chains(df: DataFrame, keys: Sequence[str], a: str, b: str, least: int = 10,
             return True
 
         take("+", 1)
-        while len(rows) < most and take("-", -1):
+        while take("-", -1):
             pass
         return pd.DataFrame(rows, columns=[*keys, "chain", "strand", "n", "a_start", "a_end"])
 

@@ -218,13 +218,30 @@ def reproducibility(pairs: DataFrame, af: str, dp: str, hit: str, min_dp: float
     return fair.groupBy(bands(F.col(af), (*MINORITY_EDGES, 1.0)).alias("band")).agg(F.count(F.lit(1)).alias("tested"), F.count_if(hit).alias("seen")).where("band IS NOT NULL")
 
 
-def rank_donors(df: DataFrame, event: Sequence[str], donor: str, score: str) -> DataFrame:
-    """Per event and donor the best score, its rank, the margin to the next, and whether the first is resolved."""
-    best = df.groupBy(*event, donor).agg(F.max(score).alias("score"))
-    by = Window.partitionBy(*event).orderBy(F.desc("score"), donor)
-    out = best.withColumn("rank", F.row_number().over(by)).withColumn("margin", F.col("score") - F.lead("score").over(by))
-    only = F.count(F.lit(1)).over(Window.partitionBy(*event)) == 1
-    return out.withColumn("status", F.when((F.col("rank") == 1) & only, "only candidate").when((F.col("rank") == 1) & (F.col("margin") >= 1), "resolved").otherwise("open"))
+def rank_donors(rows: DataFrame, event: Sequence[str], span: tuple[str, str], score: str, markers: str, margin: float = 1.0, ties: Sequence[str] = ()) -> DataFrame:
+    """`rows` with donor_rank, n_donors, margin, is_representative and donor_call: where an event's stretch came from.
+
+    Rows of an event whose donor spans overlap name the same stretch and are one candidate; a row without a span is one of
+    its own. A candidate is worth its best score per marker, null without either; candidates rank by it, nulls last, ties
+    by place. margin: of the first to the second, null unless both have a worth. The first candidate is resolved from a
+    margin of `margin` on; a single one is the only candidate, all others are ambiguous. The first candidate's row with
+    the best score represents it, the earliest span of equal ones. Rows alike in span, score and markers come in the order of
+    `ties`.
+    """
+    k, (a, b) = list(event), span
+    own = rows.withColumns({"_a": F.when(F.col(b).isNotNull(), F.col(a)), "_b": F.when(F.col(a).isNotNull(), F.col(b)), "_each": F.try_divide(F.col(score), F.col(markers))})
+    by = Window.partitionBy(*k).orderBy(F.col("_a").asc_nulls_last(), "_b", F.desc_nulls_last(score), markers, *ties)
+    before = F.max("_b").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    own = own.withColumn("_n", F.row_number().over(by)).withColumn("_new", F.when(F.col("_a").isNull() | before.isNull() | (F.col("_a") > before), 1).otherwise(0))
+    own = own.withColumn("_candidate", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    best = own.groupBy(*k, "_candidate").agg(F.max("_each").alias("_worth"), F.min_by("_n", F.struct(F.col(score).isNull(), -F.col(score), "_n")).alias("_first"))
+    whole = Window.partitionBy(*k)
+    order = whole.orderBy(F.desc_nulls_last("_worth"), "_candidate")
+    ranked = best.withColumns({"donor_rank": F.row_number().over(order), "n_donors": F.count(F.lit(1)).over(whole), "_next": F.lead("_worth").over(order)})
+    ranked = ranked.withColumn("margin", F.max(F.when(F.col("donor_rank") == 1, F.col("_worth") - F.col("_next"))).over(whole))
+    call = F.when((F.col("donor_rank") == 1) & (F.col("margin") >= margin), "resolved").when(F.col("n_donors") == 1, "only candidate").otherwise("ambiguous")
+    out = joined(own, ranked.select(*k, "_candidate", "_first", "donor_rank", "n_donors", "margin", call.alias("donor_call")), [*k, "_candidate"])
+    return out.withColumn("is_representative", (F.col("donor_rank") == 1) & (F.col("_n") == F.col("_first"))).drop("_a", "_b", "_each", "_n", "_new", "_candidate", "_first")
 
 
 def revise(df: DataFrame, n_cohort: Column, fraction: Column, others: Column, verdict_col: Column, bf: Column, unreadable: Column, divergent: Column, least: int = 5, ubiquitous: float = 0.9, strong: float = 2.0) -> DataFrame:

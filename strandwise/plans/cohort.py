@@ -283,11 +283,17 @@ def lost_features(t: Tables) -> DataFrame:
     return g.where("lost_in > 0 AND w * 2 >= n").select("p_brand", "lost_in", "kept_in")
 
 
-@query(f"""WITH b AS (SELECT l_partkey, l_suppkey, max(l_quantity) AS score FROM lineitem GROUP BY ALL), r AS (SELECT *, row_number() OVER w AS rank, score - lead(score) OVER w AS margin, count(*) OVER (PARTITION BY l_partkey) AS c FROM b WINDOW w AS (PARTITION BY l_partkey ORDER BY score DESC, l_suppkey))
-SELECT l_partkey, l_suppkey, rank::INT AS rank, {sql_q6('margin')} AS margin, CASE WHEN rank = 1 AND c = 1 THEN 'only candidate' WHEN rank = 1 AND margin >= 1 THEN 'resolved' ELSE 'open' END AS status FROM r""")
+@query(f"""WITH r AS (SELECT l_partkey, l_orderkey, l_linenumber, CASE WHEN l_suppkey % 9 > 0 THEN l_suppkey * 7 % 900 END AS a, CASE WHEN l_suppkey % 9 > 0 THEN l_suppkey * 7 % 900 + 25 END AS z, l_quantity AS bf, CASE WHEN l_linenumber < 7 THEN l_linenumber END AS m FROM lineitem),
+i AS (SELECT *, row_number() OVER w AS i, max(z) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS was FROM r WINDOW w AS (PARTITION BY l_partkey ORDER BY a NULLS LAST, z NULLS FIRST, bf DESC, m NULLS FIRST, l_orderkey, l_linenumber)),
+c AS (SELECT *, sum(CASE WHEN a IS NULL OR was IS NULL OR a > was THEN 1 ELSE 0 END) OVER (PARTITION BY l_partkey ORDER BY i) AS c FROM i),
+g AS (SELECT l_partkey, c, max(bf / m) AS worth FROM c GROUP BY ALL), k AS (SELECT *, row_number() OVER w AS rank, lead(worth) OVER w AS next, count(*) OVER (PARTITION BY l_partkey) AS n FROM g WINDOW w AS (PARTITION BY l_partkey ORDER BY worth DESC NULLS LAST, c)),
+x AS (SELECT *, max(CASE WHEN rank = 1 THEN worth - next END) OVER (PARTITION BY l_partkey) AS margin FROM k)
+SELECT c.l_partkey, l_orderkey, l_linenumber, rank::INT AS donor_rank, n AS n_donors, {sql_q6('margin')} AS margin, CASE WHEN rank = 1 AND margin >= 1 THEN 'resolved' WHEN n = 1 THEN 'only candidate' ELSE 'ambiguous' END AS donor_call FROM c JOIN x ON x.l_partkey = c.l_partkey AND x.c = c.c""")
 def rank_donors(t: Tables) -> DataFrame:
-    r = C.rank_donors(t.lineitem, ["l_partkey"], "l_suppkey", "l_quantity")
-    return r.select("l_partkey", "l_suppkey", "rank", S.q6("margin").alias("margin"), "status")
+    known = F.col("l_suppkey") % 9 > 0
+    rows = t.lineitem.select("l_partkey", "l_orderkey", "l_linenumber", F.when(known, F.col("l_suppkey") * 7 % 900).alias("start"), F.when(known, F.col("l_suppkey") * 7 % 900 + 25).alias("end"), "l_quantity", F.when(F.col("l_linenumber") < 7, F.col("l_linenumber")).alias("markers"))
+    r = C.rank_donors(rows, ["l_partkey"], ("start", "end"), "l_quantity", "markers", ties=["l_orderkey", "l_linenumber"])
+    return r.select("l_partkey", "l_orderkey", "l_linenumber", "donor_rank", "n_donors", S.q6("margin").alias("margin"), "donor_call")
 
 
 @query("""WITH c AS (SELECT l_partkey, l_suppkey, max(l_quantity) / 10 AS bf, bool_or(l_returnflag = 'A') AS called FROM lineitem GROUP BY ALL), n AS (SELECT l_partkey, count(DISTINCT l_suppkey) AS cohort, count(*) FILTER (called) AS callers FROM c GROUP BY 1)

@@ -43,7 +43,7 @@ def test_order_and_partitions_do_not_matter(spark):
     for f in (
         lambda d: ST.robust_z(d, ["k"], "v").select("i", F.round("z", 9).alias("z")),
         lambda d: ST.rank_avg(d, ["k"], "w").select("i", "rank"),
-        lambda d: C.rank_donors(d, ["k"], "w", "v"),
+        lambda d: C.rank_donors(d, ["k"], ("w", "v"), "v", "i"),
         lambda d: ST.mode_with_tie(d, ["k"], "w"),
     ):
         assert sorted(map(tuple, f(a).collect()), key=str) == sorted(map(tuple, f(b).collect()), key=str)

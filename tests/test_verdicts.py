@@ -60,3 +60,15 @@ def test_copies_over_the_genome(spark):
     genome = spark.createDataFrame([("s", 16.0), ("t", 0.0)], "sample string, genome_depth double")
     got = {(r["sample"], r["locus"]): (r["ratio"], r["copies"], r["expected_af"]) for r in V.copy_number(sites, genome, ["locus"], "dp", ["sample"]).collect()}
     assert got == {("s", "l"): (2.0, 2, 0.5), ("s", "m"): (None, None, None), ("t", "l"): (None, None, None)}
+
+
+def test_rank_donors(spark):
+    """Spans that overlap are one candidate; the best score per marker decides."""
+    rows = [("e", "a", 10, 20, 40.0, 4), ("e", "b", 18, 30, 60.0, 4), ("e", "c", 50, 60, 20.0, 2), ("e", "d", None, None, None, 3), ("f", "x", 1, 5, 9.0, 3), ("f", "y", 7, 9, 8.0, 3), ("g", "s", 1, 2, 5.0, 1), ("h", "n", None, 7, 5.0, 0), ("h", "m", 1, 3, None, 2)]
+    df = spark.createDataFrame(rows, "event string, row string, s int, z int, bf double, n int").repartition(3)
+    got = {r["row"]: (r["donor_rank"], r["n_donors"], r["margin"], r["is_representative"], r["donor_call"]) for r in C.rank_donors(df, ["event"], ("s", "z"), "bf", "n").collect()}
+    assert got["a"] == (1, 3, 5.0, False, "resolved") and got["b"] == (1, 3, 5.0, True, "resolved")
+    assert got["c"] == (2, 3, 5.0, False, "ambiguous") and got["d"] == (3, 3, 5.0, False, "ambiguous")
+    assert got["x"][0] == 1 and got["x"][4] == got["y"][4] == "ambiguous" and abs(got["x"][2] - 1 / 3) < 1e-12
+    assert got["s"] == (1, 1, None, True, "only candidate")
+    assert got["m"][1:3] == (2, None) and {got["m"][0], got["n"][0]} == {1, 2}

@@ -34,7 +34,7 @@ class SimilarParams:
     radius: int = 4  #: of the SimHash classes; speed only
     sample: int = 4000  #: documents from which the common shingles are learnt; speed only
     common: int = 1 << 16  #: of these the most that are ordered last; speed only
-    slice: int = 1 << 21  #: shingles of a shard, about; memory only
+    slice: int = 1 << 19  #: shingles of a shard, about; memory only
     broadcast_rows: int = 1 << 21  #: keys of linked or met documents are broadcast up to so many and joined by sorting beyond
 
 

@@ -196,12 +196,20 @@ def site_attachment(changes: DataFrame) -> DataFrame:
 
 
 def tract_annotation(tracts: DataFrame, features: DataFrame, changes: DataFrame, bucket: int = 10_000) -> DataFrame:
-    """Genes under each tract in order, and its synonymous and nonsynonymous counts. tracts: tract, contig, start, end."""
+    """Genes under each tract in order, and its synonymous and nonsynonymous counts. tracts: tract, contig, start, end.
+
+    Equal features are one, equal changes one with their number; what a tract meets is added up by name or label before
+    any list is made, so lists are as long as a tract has genes or labels.
+    """
     from strandwise.operators.intervals import interval_join
 
-    g = interval_join(tracts, features.select("contig", F.col("start").alias("f_start"), F.col("end").alias("f_end"), "name"), ["contig"], ("start", "end"), ("f_start", "f_end"), bucket)
-    genes = g.groupBy("tract").agg(F.array_join(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("f_start", "name"))), lambda x: x["name"])), ",").alias("genes"))
-    c = interval_join(tracts, changes.select("contig", "pos", "change", "label"), ["contig"], ("start", "end"), ("pos", "pos"), bucket)
+    spots = features.select("contig", F.col("start").alias("f_start"), F.col("end").alias("f_end"), "name").distinct()
+    g = interval_join(tracts, spots, ["contig"], ("start", "end"), ("f_start", "f_end"), bucket)
+    firsts = g.groupBy("tract", "name").agg(F.min("f_start").alias("f_start"))
+    genes = firsts.groupBy("tract").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("f_start", "name"))), lambda x: x["name"]), ",").alias("genes"))
     n = lambda v: F.count_if(F.col("change") == v)
-    counts = c.groupBy("tract").agg(n("synonymous").alias("n_syn"), n("nonsynonymous").alias("n_nonsyn"), F.array_join(F.array_sort(F.collect_set("label")), ",").alias("changes"))
+    alike = changes.groupBy("contig", "pos", "label").agg(n("synonymous").alias("syn"), n("nonsynonymous").alias("nonsyn"))
+    c = interval_join(tracts, alike, ["contig"], ("start", "end"), ("pos", "pos"), bucket)
+    labels = c.groupBy("tract", "label").agg(F.sum("syn").alias("syn"), F.sum("nonsyn").alias("nonsyn"))
+    counts = labels.groupBy("tract").agg(F.sum("syn").alias("n_syn"), F.sum("nonsyn").alias("n_nonsyn"), F.array_join(F.array_sort(F.collect_list("label")), ",").alias("changes"))
     return tracts.join(genes, "tract", "left").join(counts, "tract", "left").fillna(0, ["n_syn", "n_nonsyn"]).fillna("", ["genes", "changes"])

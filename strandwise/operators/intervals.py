@@ -73,14 +73,32 @@ def point_in_interval(points: DataFrame, intervals: DataFrame, keys: Sequence[st
     return p.join(spare, on, how).drop("_b0")
 
 
-def bucket_argmin(left: DataFrame, right: DataFrame, keys: Sequence[str], pos: str, right_range: tuple[str, str], bucket: int, cost: Column, unique: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Of the right ranges around each left position the one of least `cost`, ties by `order`; one row per `unique`."""
-    a = left.withColumn("_bucket", F.floor(F.col(pos) / bucket))
+def bucket_argmin(left: DataFrame, right: DataFrame, keys: Sequence[str], pos: str, right_range: tuple[str, str], bucket: int, cost: Column, unique: Sequence[str], order: Sequence[str], reads: Sequence[str] | None = None) -> DataFrame:
+    """Of the right ranges around each left position the one of least `cost`, ties by `order`; one row per `unique`.
+
+    `reads` are the left columns that the cost reads besides keys and position, all if None: left rows that agree in them
+    are searched for once. `order` tells right rows apart. The least cost is a hash aggregation that begins before the
+    shuffle and keeps no pairs; then the pairs are met again and only those of least cost go on.
+    """
     rs, re_ = right_range
-    b = right.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col(rs) / bucket), F.floor(F.col(re_) / bucket))))
-    both = a.join(b, [*keys, "_bucket"]).where((F.col(pos) >= F.col(rs)) & (F.col(pos) <= F.col(re_))).drop("_bucket").withColumn("_cost", cost)
-    best = Window.partitionBy(*unique).orderBy("_cost", *order)
-    return both.withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n", "_cost")
+    same = list(dict.fromkeys([*keys, pos, *(left.columns if reads is None else reads)]))
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes and much work: tasks aren't merged
+    a = left.select(*same).distinct().withColumn("_bucket", F.floor(F.col(pos) / bucket)).repartition(n, *keys, "_bucket")
+    b = right.where(F.col(rs) <= F.col(re_)).withColumn("_bucket", F.explode(F.sequence(F.floor(F.col(rs) / bucket), F.floor(F.col(re_) / bucket))))
+    both = a.join(b, [*keys, "_bucket"]).where((F.col(pos) >= F.col(rs)) & (F.col(pos) <= F.col(re_))).withColumn("_cost", cost)
+    others = [c for c in right.columns if c not in keys]
+    least = both.groupBy(*same).agg(F.min("_cost").alias("_least"), F.bool_or(F.col("_cost").isNull()).alias("_null"))
+    least = least.select(*[F.col(c).alias("_k_" + c) for c in same], F.when(~F.col("_null"), F.col("_least")).alias("_least"))  # nulls come first
+    on = F.lit(True)
+    for c in same:
+        on = on & (F.col(c) == F.col("_k_" + c) if c in (*keys, pos) else F.col(c).eqNullSafe(F.col("_k_" + c)))
+    near = both.join(least, on).where(F.col("_cost").eqNullSafe(F.col("_least")))
+    # order first: of equal costs the least struct is the best row
+    best = near.groupBy(*same).agg(F.first("_cost").alias("_cost"), F.min(F.struct(*order, F.struct(*others).alias("_row"))).alias("_best"))
+    best = best.select(*same, "_cost", "_best._row.*")
+    met = left.join(best.withColumnsRenamed({c: "_k_" + c for c in same}), on).drop(*["_k_" + c for c in same])
+    first = Window.partitionBy(*unique).orderBy("_cost", *order)
+    return met.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n", "_cost")
 
 
 def bracket(df: DataFrame, keys: Sequence[str], order: Sequence[str], is_anchor: Column, value: Column) -> DataFrame:

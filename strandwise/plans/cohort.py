@@ -299,9 +299,12 @@ def rank_donors(t: Tables) -> DataFrame:
 @query("""WITH c AS (SELECT l_partkey, l_suppkey, max(l_quantity) / 10 AS bf, bool_or(l_returnflag = 'A') AS called FROM lineitem GROUP BY ALL), n AS (SELECT l_partkey, count(DISTINCT l_suppkey) AS cohort, count(*) FILTER (called) AS callers FROM c GROUP BY 1)
 SELECT c.l_partkey, l_suppkey, CASE WHEN l_suppkey = 13 THEN 'divergent_sample' WHEN cohort >= 5 AND callers::DOUBLE / cohort >= 0.9 THEN 'reference_artifact' WHEN l_suppkey % 17 = 0 THEN 'ambiguous' WHEN NOT called AND bf >= 2 AND callers - called::INT >= 1 THEN 'gene_conversion' WHEN called THEN 'gene_conversion' ELSE 'ambiguous' END AS revised FROM c JOIN n USING (l_partkey)""")
 def cohort_revision(t: Tables) -> DataFrame:
-    c = t.lineitem.groupBy("l_partkey", "l_suppkey").agg((F.max("l_quantity") / 10).alias("bf"), F.bool_or(F.col("l_returnflag") == "A").alias("called"))
-    n = c.groupBy("l_partkey").agg(F.count_distinct("l_suppkey").alias("cohort"), F.count_if("called").alias("callers"))
-    both = c.join(n, "l_partkey").withColumn("v", F.when(F.col("called"), "gene_conversion").otherwise("ambiguous"))
+    # one exchange by part: aggregations and join follow inside its tasks; a part's suppliers are different by then
+    n = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    own = t.lineitem.select("l_partkey", "l_suppkey", "l_quantity", "l_returnflag").repartition(n, "l_partkey")
+    c = own.groupBy("l_partkey", "l_suppkey").agg((F.max("l_quantity") / 10).alias("bf"), F.bool_or(F.col("l_returnflag") == "A").alias("called"))
+    whole = c.groupBy("l_partkey").agg(F.count("l_suppkey").alias("cohort"), F.count_if("called").alias("callers"))
+    both = c.join(whole, "l_partkey").withColumn("v", F.when(F.col("called"), "gene_conversion").otherwise("ambiguous"))
     return C.revise(both, F.col("cohort"), F.col("callers") / F.col("cohort"), F.col("callers") - F.col("called").cast("int"), F.col("v"), F.col("bf"), F.col("l_suppkey") % 17 == 0, F.col("l_suppkey") == 13).select("l_partkey", "l_suppkey", "revised")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandwise.operators.ordered import joined
@@ -19,6 +19,18 @@ class EvidenceParams:
     swap_af: float = 0.5  #: of the acceptor's bases at the donor, from which it has swapped
 
 
+def _mean(value: str, where: Column | None = None) -> Column:
+    """Mean of a locus' values, added up by place: fractions are often halfway between two rounded ones, where the order counts."""
+    x = F.struct("pos", F.col(value).cast("double").alias("v"))
+    own = F.array_sort(F.collect_list(F.when(F.col(value).isNotNull() & (F.lit(True) if where is None else where), x)))
+    return F.try_divide(F.aggregate(own, F.lit(0.0), lambda s, e: s + e["v"]), F.size(own))
+
+
+def _round4(x: Column) -> Column:
+    """Four places of the double itself, not of its shortest decimals."""
+    return F.floor(x * 1e4 + 0.5) / 1e4
+
+
 def tract_evidence(tracts: DataFrame, sites: DataFrame, observations: DataFrame, keys: Sequence[str], swapped: DataFrame | None = None, p: EvidenceParams = EvidenceParams()) -> DataFrame:
     """One row per tract (keys, start, end) with what its locus' sites and molecules show of it.
 
@@ -43,10 +55,10 @@ def tract_evidence(tracts: DataFrame, sites: DataFrame, observations: DataFrame,
     placed = joined(sites, lists, k).select(*k, "pos", "depth", "donor_af", hit("pos").alias("_t"), sure.alias("_sure"))
     inner = placed.where(F.col("_t").isNotNull()).groupBy(*k, F.col("_t.s").alias("_start")).agg(
         F.count(F.lit(1)).alias("n_sites"), F.count_if(~F.col("_sure")).alias("n_undetermined"), F.min("pos").alias("start"), F.max("pos").alias("end"),
-        F.round(F.avg("donor_af"), 4).alias("donor_af_in"), F.min(F.coalesce("depth", F.lit(0))).alias("lowest_depth"),
+        _round4(_mean("donor_af")).alias("donor_af_in"), F.min(F.coalesce("depth", F.lit(0))).alias("lowest_depth"),
     )
     far = placed.where(F.col("_t").isNull() & F.col("_sure"))
-    outer = far.groupBy(*k).agg(F.count(F.lit(1)).alias("n_sites_outside"), F.round(F.avg("donor_af"), 4).alias("donor_af_outside"))
+    outer = far.groupBy(*k).agg(F.count(F.lit(1)).alias("n_sites_outside"), _round4(_mean("donor_af")).alias("donor_af_outside"))
 
     # of each molecule: the donor's sites in each tract, and what it shows at determined sites outside
     seen = observations.where(F.col("call").isin("acceptor", "donor")).select(*k, "read", "pos", "call").distinct()
@@ -64,7 +76,7 @@ def tract_evidence(tracts: DataFrame, sites: DataFrame, observations: DataFrame,
     if swapped is not None:
         own = joined(joined(swapped.where(F.col("af").isNotNull()).select(*k, "pos", "af"), placed.select(*k, "pos"), [*k, "pos"]), spans, k)
         inside = F.col("pos").between(F.col("_start"), F.col("_end"))
-        both = own.groupBy(*k, "_start").agg(F.count_if(inside).alias("_in"), F.count_if(~inside).alias("_out"), F.avg(F.when(inside, F.col("af"))).alias("swap_in"), F.avg(F.when(~inside, F.col("af"))).alias("swap_out"))
+        both = own.groupBy(*k, "_start").agg(F.count_if(inside).alias("_in"), F.count_if(~inside).alias("_out"), _mean("af", inside).alias("swap_in"), _mean("af", ~inside).alias("swap_out"))
         enough = (F.col("_in") >= p.swap_sites) & (F.col("_out") >= p.swap_sites)
         both = both.select(*k, "_start", *[F.when(enough, F.col(c)).alias(c) for c in ("swap_in", "swap_out")])
         out = joined(out, both, [*k, "_start"], "left")

@@ -12,9 +12,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandwise.operators.ordered import joined
+from strandwise.session import staged
+
 
 def _kinds(df: DataFrame, cols: Sequence[str]) -> str:
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cols)
@@ -134,27 +137,50 @@ def _r(x: np.ndarray, y: np.ndarray) -> float | None:
     return float(np.corrcoef(x, y)[0, 1])
 
 
-def permutation_p(df: DataFrame, pair: str, series: str, time: str, x: str, y: str, rounds: int = 2000) -> DataFrame:
-    """(pair, r, n_series, p): the mean correlation over series against shuffles of x within series, seeded by the pair's name."""
+def permutation_p(df: DataFrame, pair: str, series: str, time: str, x: str, y: str, rounds: int = 2000, block: int = 512) -> DataFrame:
+    """(pair, r, n_series, p): the mean correlation over series against shuffles of x within series, seeded by the pair's name.
+
+    A task shuffles `block` of a pair's series in all rounds and returns the sums of their correlations; a round's mean is
+    the sum over blocks. The first block's generator is seeded by the name alone, a later one's by its number as well.
+    """
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        name = str(g[pair].iloc[0])
-        rng = np.random.default_rng(zlib.crc32(name.encode()))
+        name, number = str(g[pair].iloc[0]), int(g["_block"].iloc[0])
+        seed = zlib.crc32(name.encode())
+        rng = np.random.default_rng([seed, number] if number else seed)
         own = [(s[x].to_numpy(float), s[y].to_numpy(float)) for _, s in g.sort_values([series, time], kind="stable").groupby(series, sort=True)]
-        rs = [r for a, b in own if (r := _r(a, b)) is not None]
-        if not rs:
-            return pd.DataFrame([{pair: g[pair].iloc[0], "r": None, "n_series": 0, "p": None}])
-        seen = abs(np.mean(rs))
+        rs = [_r(a, b) for a, b in own]
         # shuffles change neither mean nor deviation: a correlation is one product of unit vectors; flat series only use the generator
         unit = lambda v: (v - v.mean()) / np.linalg.norm(v - v.mean())
-        units = [(a, None) if _r(a, b) is None else (unit(a), unit(b)) for a, b in own]
-        hits = 0
-        for _ in range(rounds):
-            mixed = [float(m @ b) for a, b in units if (m := rng.permutation(a)) is not None and b is not None]
-            hits += abs(sum(mixed) / len(mixed)) >= seen - 1e-12
-        return pd.DataFrame([{pair: g[pair].iloc[0], "r": float(np.mean(rs)), "n_series": len(rs), "p": (1 + hits) / (rounds + 1)}])
-
-    return df.groupBy(pair).applyInPandas(run, f"{_kinds(df, [pair])}, r double, n_series long, p double")
+        units = [(a, None) if r is None else (unit(a), unit(b)) for (a, b), r in zip(own, rs, strict=True)]
+        sums = np.zeros(rounds)
+        if number:
+            alike: dict[int, list] = {}  # series of one length are shuffled as rows of a matrix
+            for a, b in units:
+                if b is not None:
+                    alike.setdefault(len(a), []).append((a, b))
+            for _, members in sorted(alike.items()):
+                left, right = np.array([a for a, _ in members]), np.array([b for _, b in members])
+                for i in range(rounds):
+                    sums[i] += np.einsum("ij,ij->", rng.permuted(left, axis=1), right)
+        elif any(r is not None for r in rs):
+            for i in range(rounds):
+                sums[i] = sum(float(m @ b) for a, b in units if (m := rng.permutation(a)) is not None and b is not None)
+        some = [r for r in rs if r is not None]
+        return pd.DataFrame([{pair: g[pair].iloc[0], "_block": number, "_r": float(np.sum(some)), "_n": len(some), "_sums": sums.tolist()}])
+
+    nth = F.row_number().over(Window.partitionBy(pair).orderBy(series))
+    placed = df.select(pair, series).distinct().withColumn("_block", F.floor((nth - 1) / block).cast("int"))
+    own = joined(df.select(pair, series, time, x, y), placed, [pair, series])
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = own.repartition(n, pair, "_block").groupBy(pair, "_block").applyInPandas(run, f"{_kinds(df, [pair])}, _block int, _r double, _n long, _sums array<double>")
+    parts = staged(parts, "shuffles")
+    seen = parts.groupBy(pair).agg((F.sum("_r") / F.sum("_n")).alias("r"), F.sum("_n").alias("n_series"))
+    mixed = parts.select(pair, F.posexplode("_sums").alias("_round", "_s")).groupBy(pair, "_round").agg(F.sum("_s").alias("_s"))
+    both = joined(mixed, seen, [pair])
+    hit = F.abs(F.col("_s") / F.col("n_series")) >= F.abs("r") - 1e-12
+    out = both.groupBy(pair).agg(F.first("r").alias("r"), F.first("n_series").alias("n_series"), F.count_if(hit).alias("_hits"))
+    return out.select(pair, "r", "n_series", F.when(F.col("n_series") > 0, (1 + F.col("_hits")) / F.lit(rounds + 1)).alias("p"))
 
 
 # -- alignment ------------------------------------------------------------------------------------------------------------
@@ -398,7 +424,7 @@ def search_tract(delta: np.ndarray, sites: np.ndarray, marker: np.ndarray, free:
     span = -(sites[cand[:, 1]] - sites[cand[:, 0]]) / p.mean_span
     span = span - _lse(span)
     best = int((_lse(score.reshape(len(cand), -1), axis=1) + span).argmax())
-    sums = delta.sum(axis=0)
+    sums = times @ delta
     outside = np.ones(len(sites), bool)
     outside[cand[best, 0] : cand[best, 1] + 1] = False
     measured = np.abs(sums) > p.measured

@@ -302,8 +302,8 @@ def align(df: DataFrame, id_col: str, a: str, b: str, params: AlignParams = Alig
 
     def run(parts):
         for g in parts:
-            got = [affine(x or "", y or "", params) or (None, None) for x, y in zip(g[a], g[b], strict=True)]
-            yield pd.DataFrame({id_col: g[id_col], "score": [s for s, _ in got], "cigar": [c for _, c in got]})
+            got = [affine(x, y, params) or (None, None) for x, y in zip(g["_a"], g["_b"], strict=True)]
+            yield pd.DataFrame({"_a": g["_a"], "_b": g["_b"], "score": [s for s, _ in got], "cigar": [c for _, c in got]})
 
     pairs = own.select("_a", "_b").distinct().repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_a", "_b")
     return own.join(pairs.mapInPandas(run, "_a string, _b string, score double, cigar string"), ["_a", "_b"]).select(id_col, "score", "cigar")
@@ -349,6 +349,12 @@ def evidence_matrix(g: pd.DataFrame, p: TractParams) -> tuple[np.ndarray, np.nda
 
     g: read, pos, allele (D, A, anything else for neither), qual, and maybe is_del.
     """
+    out, sites, marker = _every_read(g, p)
+    return out[np.abs(out).sum(axis=1) > 0], sites, marker
+
+
+def _every_read(g: pd.DataFrame, p: TractParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`evidence_matrix` with the reads that say nothing, in the order in which they come."""
     g = g[g["qual"] >= p.min_qual]
     sites = np.sort(g["pos"].unique())
     reads = g["read"].unique()
@@ -363,7 +369,7 @@ def evidence_matrix(g: pd.DataFrame, p: TractParams) -> tuple[np.ndarray, np.nda
     out[r, s] = sign * size
     marker = np.zeros(len(sites), bool)
     marker[s[is_del]] = True
-    return out[np.abs(out).sum(axis=1) > 0], sites, marker
+    return out, sites, marker
 
 
 def candidate_intervals(sites: np.ndarray, free: np.ndarray, p: TractParams) -> np.ndarray:
@@ -386,15 +392,15 @@ def candidate_intervals(sites: np.ndarray, free: np.ndarray, p: TractParams) ->
     return every[sites[every[:, 1]] - sites[every[:, 0]] + 1 <= p.max_span]
 
 
-def _scores(delta: np.ndarray, cand: np.ndarray, p: TractParams) -> tuple[np.ndarray, np.ndarray]:
-    """Candidates x mismaps x fractions of weighted log evidence, and the null's by mismap."""
+def _scores(delta: np.ndarray, cand: np.ndarray, p: TractParams, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates x mismaps x fractions of weighted log evidence, and the null's by mismap; a row of delta counts `times`."""
     total = delta.sum(axis=1)
     prefix = np.concatenate([np.zeros((len(delta), 1)), np.cumsum(delta, axis=1)], axis=1)
     ms, fs = np.array(p.mismaps), np.array(p.fractions)
     wm = np.full(len(ms), -np.log(len(ms)))
     wf = -(1 - fs) / p.fraction_scale
     wf = wf - _lse(wf)
-    null = np.array([np.logaddexp(np.log(m) + total, np.log1p(-m)).sum() for m in ms]) + wm
+    null = np.array([np.logaddexp(np.log(m) + total, np.log1p(-m)) @ times for m in ms]) + wm
     out = np.empty((len(cand), len(ms), len(fs)))
     step = max(1, p.chunk // max(1, len(delta)))
     for at in range(0, len(cand), step):
@@ -403,7 +409,7 @@ def _scores(delta: np.ndarray, cand: np.ndarray, p: TractParams) -> tuple[np.nda
         for b, f in enumerate(fs):
             inner = gain if f >= 1 else np.logaddexp(np.log(f) + gain, np.log1p(-f))
             for a, m in enumerate(ms):
-                out[at : at + step, a, b] = np.logaddexp(np.log(m) + total, np.log1p(-m) + inner).sum(axis=1) + wm[a] + wf[b]
+                out[at : at + step, a, b] = np.logaddexp(np.log(m) + total, np.log1p(-m) + inner) @ times + wm[a] + wf[b]
     return out, null
 
 
@@ -415,12 +421,13 @@ def _interval(weights: np.ndarray, values: np.ndarray, must: int, mass: float =
     return int(own.min()), int(own.max())
 
 
-def search_tract(delta: np.ndarray, sites: np.ndarray, marker: np.ndarray, free: np.ndarray, p: TractParams) -> dict | None:
-    """The best interval with its Bayes factors against no tract and against independent mutations."""
+def search_tract(delta: np.ndarray, sites: np.ndarray, marker: np.ndarray, free: np.ndarray, p: TractParams, times: np.ndarray | None = None) -> dict | None:
+    """The best interval with its Bayes factors against no tract and against independent mutations; see `segment` for `times`."""
+    times = np.ones(len(delta)) if times is None else times
     cand = candidate_intervals(sites, free, p)
     if not len(cand) or not len(delta):
         return None
-    score, null = _scores(delta, cand, p)
+    score, null = _scores(delta, cand, p, times)
     span = -(sites[cand[:, 1]] - sites[cand[:, 0]]) / p.mean_span
     span = span - _lse(span)
     best = int((_lse(score.reshape(len(cand), -1), axis=1) + span).argmax())
@@ -465,11 +472,14 @@ def tract_verdict(t: dict, n_sites: int, p: TractParams) -> str:
     return "mismapping" if t["mismap"] >= p.mismap else "ambiguous"
 
 
-def segment(delta: np.ndarray, sites: np.ndarray, marker: np.ndarray, p: TractParams) -> list[dict]:
-    """Tracts one after the other: an accepted one's sites no longer speak, and the rest is searched again."""
+def segment(delta: np.ndarray, sites: np.ndarray, marker: np.ndarray, p: TractParams, times: np.ndarray | None = None) -> list[dict]:
+    """Tracts one after the other: an accepted one's sites no longer speak, and the rest is searched again.
+
+    `times`: how many reads a row of delta stands for, one if None.
+    """
     free, out, delta = np.ones(len(sites), bool), [], delta.copy()
     for _ in range(p.tracts):
-        t = search_tract(delta, sites, marker, free, p)
+        t = search_tract(delta, sites, marker, free, p, times)
         if t is None or t["log10_bf"] < p.report_bf:
             break
         out.append(t | {"verdict": tract_verdict(t, len(sites), p)})
@@ -479,16 +489,25 @@ def segment(delta: np.ndarray, sites: np.ndarray, marker: np.ndarray, p: TractPa
 
 
 def conversion_tracts(obs: DataFrame, keys: Sequence[str], params: TractParams = TractParams()) -> DataFrame:
-    """(keys, start, end, their intervals, Bayes factors, posterior, mismap, fraction, verdict, n_sites, n_reads)."""
+    """(keys, start, end, their intervals, Bayes factors, posterior, mismap, fraction, verdict, n_sites, n_reads).
+
+    A group's reads that show the same are one row that counts as often; they are counted before the group is one task's.
+    """
     cols = ["start", "end", "start_lo", "start_hi", "end_lo", "end_hi", "log10_bf", "bf_null", "bf_mut", "posterior", "mismap", "fraction", "verdict"]
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        delta, sites, marker = evidence_matrix(g, params)
-        rows = [_values(g, keys) | {c: t[c] for c in cols} | {"n_sites": len(sites), "n_reads": len(delta)} for t in segment(delta, sites, marker, params)] if len(delta) else []
+        delta, sites, marker = _every_read(g, params)
+        times = g.drop_duplicates("read")["_times"].to_numpy(float)
+        some = np.abs(delta).sum(axis=1) > 0
+        delta, times = delta[some], times[some]
+        rows = [_values(g, keys) | {c: t[c] for c in cols} | {"n_sites": len(sites), "n_reads": int(times.sum())} for t in segment(delta, sites, marker, params, times)] if len(delta) else []
         return pd.DataFrame(rows, columns=[*keys, *cols, "n_sites", "n_reads"])
 
     kinds = ", ".join(f"`{c}` long" for c in cols[:6]) + ", " + ", ".join(f"{c} double" for c in cols[6:12])
-    return obs.groupBy(*keys).applyInPandas(run, f"{_kinds(obs, keys)}, {kinds}, verdict string, n_sites long, n_reads long")
+    shows = ["pos", "allele", "qual", *(["is_del"] if "is_del" in obs.columns else [])]
+    reads = obs.where(F.col("qual") >= params.min_qual).groupBy(*keys, "read").agg(F.array_sort(F.collect_list(F.struct(*shows))).alias("_shows"))
+    alike = reads.groupBy(*keys, "_shows").agg(F.count(F.lit(1)).alias("_times")).withColumn("read", F.monotonically_increasing_id())
+    return alike.select(*keys, "read", "_times", F.inline("_shows")).groupBy(*keys).applyInPandas(run, f"{_kinds(obs, keys)}, {kinds}, verdict string, n_sites long, n_reads long")
 
 
 # -- molecules --------------------------------------------------------------------------------------------------------------

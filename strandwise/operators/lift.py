@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -39,14 +40,34 @@ class LiftParams:
         return self.k // 2
 
 
-def kmers(seqs: DataFrame, k: int, sample: int = 1, piece: int = 100_000) -> DataFrame:
+def cut(seqs: DataFrame, step: int, more: int) -> DataFrame:
+    """(contig, at, part) from (contig, seq): pieces of `step` letters, with `more` from the next ones, that begin after `at` letters.
+
+    A substring is sought from its text's start on, so a contig is cut by levels and no text is gone through for each of
+    very many pieces; the pieces are dealt to tasks before they get short.
+    """
+    own = seqs.where(F.length("seq") > 0).select("contig", F.lit(0).cast("bigint").alias("at"), F.col("seq").alias("part"))
+    n = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    levels = sorted({max(1 << size, step) for size in (22, 16, 11)} | {step}, reverse=True)
+    for size in levels:
+        last = size == step
+        # the letters beyond a piece's own stretch begin no piece: they are those that all later levels may add
+        reach = F.least(F.length("part"), F.coalesce(F.col("own"), F.length("part"))) if "own" in own.columns else F.length("part")
+        starts = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), reach - 1), F.lit(size)))
+        got = own.select("contig", "at", "part", reach.alias("reach"), starts.alias("i"))
+        own = got.select("contig", (F.col("at") + F.col("i")).alias("at"), F.substring(F.col("part"), F.col("i") + 1, F.lit(size + more)).alias("part"), F.least(F.lit(size), F.col("reach") - F.col("i")).alias("own"))
+        if size >= 1 << 16 and not last and max((s for s in levels if s < size), default=0) < 1 << 16:
+            own = own.repartition(n, "contig", "at")
+    return own.select("contig", "at", "part")
+
+
+def kmers(seqs: DataFrame, k: int, sample: int = 1, piece: int = 128) -> DataFrame:
     """(contig, pos, kmer) from (contig, seq), positions from 1; k-mers with other letters than bases are left out.
 
-    Long contigs are cut into overlapping pieces first, so that no row makes an array as long as a contig. A sampled
+    Contigs are cut into short overlapping pieces first: finding a place costs as many steps as letters before it. A sampled
     k-mer is chosen by the hash of the lesser of it and its reverse complement: both strands agree.
     """
-    starts = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.length("seq") - k), F.lit(piece)))
-    p = seqs.where(F.length("seq") >= k).select("contig", starts.alias("at"), "seq").select("contig", "at", F.substring(F.col("seq"), F.col("at") + 1, F.lit(piece + k - 1)).alias("part"))
+    p = cut(seqs, piece, k - 1).where(F.length("part") >= k)
     rows = p.select("contig", "at", F.posexplode(F.transform(F.sequence(F.lit(1), F.length("part") - k + 1), lambda i: F.substring(F.col("part"), i, F.lit(k)))).alias("i", "kmer"))
     out = rows.where(~F.col("kmer").rlike("[^ACGT]")).select("contig", (F.col("at") + F.col("i") + 1).cast("bigint").alias("pos"), "kmer")
     return out if sample <= 1 else out.where(F.pmod(F.xxhash64(F.least("kmer", revcomp(F.col("kmer")))), F.lit(sample)) == 0)
@@ -67,16 +88,52 @@ def unique_anchors(source: DataFrame, target: DataFrame, p: LiftParams = LiftPar
     return plus.unionByName(minus).join(both, at, "left_anti")
 
 
+def _apart(v: np.ndarray) -> list[np.ndarray]:
+    """Places of the stretches of v such that all values of one are less than all of the next: the fewest inversions can't leave one."""
+    if not len(v):
+        return []
+    cuts = np.flatnonzero(np.maximum.accumulate(v)[:-1] < np.minimum.accumulate(v[::-1])[::-1][1:]) + 1
+    return np.split(np.arange(len(v)), cuts)
+
+
+def increasing(v: np.ndarray) -> np.ndarray:
+    """`longest_increasing` by stretches, one after the other: only those of more than one value are walked."""
+    return np.concatenate([s if len(s) == 1 else s[longest_increasing(v[s].tolist())] for s in _apart(v)]) if len(v) else np.empty(0, np.int64)
+
+
+def decreasing_chains(v: np.ndarray, least: int) -> Iterator[np.ndarray]:
+    """Places of a longest decreasing subsequence, then of one of what is left and so on, while they have `least` values.
+
+    A decreasing subsequence lies in one stretch of `_apart`, so each removal looks at what its stretch keeps, not at all
+    values. Of equally long ones that in the last stretch comes first, as it does in one walk over everything.
+    """
+    heap: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+
+    def put(own: np.ndarray) -> None:
+        for s in _apart(v[own]):
+            if len(s) >= least:
+                part = own[s]
+                picked = np.array(longest_increasing((-v[part]).tolist()), np.int64)
+                if len(picked) >= least:
+                    heappush(heap, (-len(picked), -int(part[0]), part, picked))
+
+    put(np.arange(len(v)))
+    while heap:
+        _, _, part, picked = heappop(heap)
+        yield part[picked]
+        put(np.delete(part, picked))
+
+
 _LINKS = "src_contig string, chain long, strand string, src_pos long, tgt_contig string, tgt_pos long, next_src long, next_contig string, next_tgt long, clean boolean"
 
 
-def chain_links(anchors: DataFrame, p: LiftParams = LiftParams()) -> DataFrame:
+def chain_links(anchors: DataFrame, p: LiftParams = LiftParams(), backbone: bool = False) -> DataFrame:
     """Each anchor on a chain of its source contig with the chain's next one: columns as in `_LINKS`.
 
     Chain 0 is the longest increasing one, the backbone. The others are longest decreasing ones, each of the anchors that
     those before it left, as long as they hold `min_chain` (two at least); sparse ones are left out. Target contigs follow
     each other by name. `clean`: no other anchor of any strand, on a chain or not, lies between the two. A chain's last
-    anchor has no next one. A contig's anchors must fit a task.
+    anchor has no next one. A contig's anchors must fit a task. With `backbone` chain 0 is the only one.
     """
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
@@ -85,15 +142,11 @@ def chain_links(anchors: DataFrame, p: LiftParams = LiftParams()) -> DataFrame:
         contigs, order = np.unique(g["tgt_contig"].to_numpy().astype(str), return_inverse=True)
         value = (order.astype(np.int64) << 40) + b
         forward, backward = np.flatnonzero(g["strand"] == "+"), np.flatnonzero(g["strand"] == "-")
-        found = [("+", forward[longest_increasing(value[forward].tolist())])] if len(forward) else []
-        while len(backward) >= max(2, p.min_chain):
-            picked = longest_increasing((-value[backward]).tolist())
-            if len(picked) < max(2, p.min_chain):
-                break
+        found = [("+", forward[increasing(value[forward])])] if len(forward) else []
+        for picked in () if backbone else decreasing_chains(value[backward], max(2, p.min_chain)):
             own = backward[picked]
             if len(own) * p.sample >= p.density * (a[own[-1]] - a[own[0]] + 1):
                 found.append(("-", own))
-            backward = np.delete(backward, picked)
         out = []
         for n, (strand, own) in enumerate(found):
             after = np.append(own[1:], -1)
@@ -146,8 +199,7 @@ def windows(rows: DataFrame, seqs: DataFrame, contig: str, first: Column, length
 
     Contigs are cut into overlapping pieces, so that a row meets one piece and not a whole contig.
     """
-    n = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("seq") - 1) / step).cast("int"))))
-    pieces = seqs.select(F.col("contig").alias(contig), n.alias("_piece"), "seq").select(contig, "_piece", F.substring(F.col("seq"), F.col("_piece") * step + 1, F.lit(step + most)).alias("_part"))
+    pieces = cut(seqs, step, most).select(F.col("contig").alias(contig), F.floor(F.col("at") / step).cast("int").alias("_piece"), F.col("part").alias("_part"))
     own = rows.withColumns({"_from": F.greatest(first, F.lit(1)), "_first": first, "_length": length}).withColumn("_piece", F.floor((F.col("_from") - 1) / step).cast("int"))
     met = own.join(pieces, [contig, "_piece"], "left")
     lead = F.least(F.col("_from") - F.col("_first"), F.col("_length")).cast("int")

@@ -226,7 +226,7 @@ def lost_regions(t: Tables) -> DataFrame:
     from strandwise.operators import lift as L
 
     source, target, _ = _assemblies(t)
-    return L.lost_regions(L.chain_links(L.unique_anchors(source, target)))
+    return L.lost_regions(L.chain_links(L.unique_anchors(source, target), backbone=True))
 
 
 #: CIGARs of 12 bases, by line number

@@ -175,10 +175,10 @@ def permutation_p(df: DataFrame, pair: str, series: str, time: str, x: str, y: s
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = own.repartition(n, pair, "_block").groupBy(pair, "_block").applyInPandas(run, f"{_kinds(df, [pair])}, _block int, _r double, _n long, _sums array<double>")
     parts = staged(parts, "shuffles")
-    seen = parts.groupBy(pair).agg((F.sum("_r") / F.sum("_n")).alias("r"), F.sum("_n").alias("n_series"))
+    seen = parts.groupBy(pair).agg(F.try_divide(F.sum("_r"), F.sum("_n")).alias("r"), F.sum("_n").alias("n_series"))
     mixed = parts.select(pair, F.posexplode("_sums").alias("_round", "_s")).groupBy(pair, "_round").agg(F.sum("_s").alias("_s"))
     both = joined(mixed, seen, [pair])
-    hit = F.abs(F.col("_s") / F.col("n_series")) >= F.abs("r") - 1e-12
+    hit = F.abs(F.try_divide("_s", "n_series")) >= F.abs("r") - 1e-12
     out = both.groupBy(pair).agg(F.first("r").alias("r"), F.first("n_series").alias("n_series"), F.count_if(hit).alias("_hits"))
     return out.select(pair, "r", "n_series", F.when(F.col("n_series") > 0, (1 + F.col("_hits")) / F.lit(rounds + 1)).alias("p"))
 

@@ -84,3 +84,25 @@ def test_the_whole_query_against_a_plain_one(spark, sf):
     assert len(got) == len(rows)
     for r in got:
         assert abs(r["score"] - want[r["doc_id"]]) < 1e-6 and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
+def test_every_labelled_row_is_learnt_from(spark):
+    """A sign that one labelled row alone has moves the score, however many rows there are, and blocks rank as one fit does."""
+    rows = [(i, junk(i) if i % 4 == 0 else text("en", 30, i)) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(400)], "doc_id long, quality int")
+    params = QualityParams(block_docs=50, least_docs=20, pairs=500, steps=100)
+    for odd in (21, 140, 399):
+        docs = spark.createDataFrame([(i, t + " ~~~~" * 9 if i == odd else t) for i, t in rows], "doc_id long, text string")
+        model = learn(docs, labels, params=params)
+        sign = model.weights[np.flatnonzero(features(b"~~~~"))[0]]
+        assert sign > 0 if odd % 4 else sign < 0
+    got = rate(docs, model, ["doc_id"]).collect()
+    assert np.mean([r["predicted"] == int(r["doc_id"] % 4 != 0) for r in got]) > 0.97
+
+
+def test_few_labels_of_a_kind_reach_every_block(spark):
+    rows = [(i, junk(i) if i < 3 else text("en", 30, i)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = learn(docs, spark.createDataFrame([(i, int(i >= 3)) for i in range(300)], "doc_id long, quality int"), params=QualityParams(block_docs=50, least_docs=3, pairs=500, steps=100))
+    bad = [r["doc_id"] for r in rate(docs, model, ["doc_id"]).where("predicted = 0").collect()]
+    assert sorted(bad) == [0, 1, 2]

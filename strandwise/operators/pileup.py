@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ COUNTS = ("a", "c", "g", "t", "n", "deleted", "skipped")
 class PileupParams:
     tile: int = 4096  #: places in a tile
     min_qual: int = 13  #: of a base; of a gap's next base
-    held: int = 1 << 20  #: bases that wait to be counted
+    held: int = 1 << 20  #: bases that are counted at once
 
 
 @lru_cache(maxsize=4096)
@@ -43,6 +44,37 @@ for _i, _b in enumerate("ACGT"):
     _CODES[[ord(_b), ord(_b.lower())]] = _i
 
 
+class _Texts:
+    """Sequences or qualities of a batch's reads, a byte for each character; null, empty and * are not given."""
+
+    def __init__(self, texts: pa.Array):
+        raw = _single_bytes(texts)
+        ends = np.frombuffer(raw.buffers()[1], np.int32, len(raw) + raw.offset + 1)[raw.offset :].astype(np.int64)
+        self.data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)
+        self.start, self.size = ends[:-1], np.diff(ends)
+        star = np.zeros(len(raw), bool)
+        one = np.flatnonzero(self.size == 1)
+        star[one] = self.data[self.start[one]] == ord("*")
+        self.given = (self.size > 0) & ~star
+        self.size = np.where(self.given, self.size, 0)
+
+    def of(self, own: np.ndarray, first: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(reads x n) bytes from `first` on, and which of them are there."""
+        at = first + np.arange(n)
+        there = at[None, :] < self.size[own, None]
+        if not len(self.data):
+            return np.zeros(there.shape, np.uint8), there
+        return self.data[np.where(there, self.start[own, None] + at, 0)], there
+
+
+def _single_bytes(texts: pa.Array) -> pa.Array:
+    """Texts as bytes; those with other characters than ASCII by latin-1, with ? for what that lacks, so that a character is a byte."""
+    texts = pc.fill_null(texts, "")
+    if pc.all(pc.string_is_ascii(texts)).as_py() is not False:
+        return texts.cast(pa.binary())
+    return pa.array([x.encode("latin-1", "replace") for x in texts.to_pylist()], pa.binary())
+
+
 class _Tile:
     """Counts of one tile, from the reads of a partition that touch it."""
 
@@ -50,43 +82,61 @@ class _Tile:
         self.first, self.p = first, p
         self.counts = np.zeros((5, p.tile), np.int64)
         self.steps = np.zeros((2, p.tile + 1), np.int64)  # where gaps and skips begin and end
-        self.waiting: list[np.ndarray] = []
-        self.size = 0
-
-    def add(self, pos: int, cigar: str, seq: str, qual: str | None) -> None:
-        codes = _CODES[np.frombuffer(seq.encode("latin-1", "replace"), np.uint8)] if seq and seq != "*" else None
-        good = None if not qual or qual == "*" else np.frombuffer(qual.encode("latin-1", "replace"), np.uint8) >= 33 + self.p.min_qual
-        for op, r, q, n in blocks(cigar):
-            low = max(0, pos + r - self.first)
-            high = min(self.p.tile, pos + r + n - self.first)
-            if low >= high:
-                continue
-            if op != "M":
-                if good is None or (q < len(good) and good[q]):
-                    self.steps[int(op == "N"), low] += 1
-                    self.steps[int(op == "N"), high] -= 1
-                continue
-            a, b = q + low - (pos + r - self.first), q + high - (pos + r - self.first)
-            own = np.full(b - a, 4, np.uint8) if codes is None else codes[a:b]
-            at = np.arange(low, low + len(own))
-            if good is not None:
-                keep = good[a : a + len(own)]
-                own, at = own[: len(keep)][keep], at[: len(keep)][keep]
-            self.waiting.append(own.astype(np.int64) * self.p.tile + at)
-            self.size += len(at)
-        if self.size > self.p.held:
-            self.settle()
-
-    def settle(self) -> None:
-        if self.waiting:
-            self.counts += np.bincount(np.concatenate(self.waiting), minlength=5 * self.p.tile).reshape(5, -1)
-            self.waiting, self.size = [], 0
+
+    def add(self, pos: np.ndarray, cigars: pa.Array, seqs: _Texts, quals: _Texts) -> None:
+        """Counts reads, those of one CIGAR at once."""
+        kinds = cigars.dictionary_encode()
+        kind = kinds.indices.to_numpy()
+        order = np.argsort(kind, kind="stable")
+        ends = np.cumsum(np.bincount(kind, minlength=len(kinds.dictionary)))
+        for k, cigar in enumerate(kinds.dictionary.to_pylist()):
+            own = order[ends[k - 1] if k else 0 : ends[k]]
+            for op, r, q, n in blocks(cigar):
+                for low in range(0, n, self.p.tile):
+                    width = min(n - low, self.p.tile)
+                    some = max(1, self.p.held // width)
+                    for at in range(0, len(own), some):
+                        self._block(own[at : at + some], op, pos, r + low, q + low if op == "M" else q, width, r, n, low, seqs, quals)
+
+    def _block(self, own: np.ndarray, op: str, pos: np.ndarray, r: int, q: int, n: int, whole_r: int, whole_n: int, low: int, seqs: _Texts, quals: _Texts) -> None:
+        tile, least = self.p.tile, 33 + self.p.min_qual
+        if op != "M":
+            if low:
+                return  # a gap is taken whole
+            lows = np.maximum(0, pos[own] + whole_r - self.first)
+            highs = np.minimum(tile, pos[own] + whole_r + whole_n - self.first)
+            qual, there = quals.of(own, q, 1)
+            keep = (lows < highs) & (~quals.given[own] | (there & (qual >= least))[:, 0])
+            steps = self.steps[int(op == "N")]
+            steps += np.bincount(lows[keep], minlength=tile + 1) - np.bincount(highs[keep], minlength=tile + 1)
+            return
+        places = (pos[own] + r - self.first)[:, None] + np.arange(n)
+        keep = (places >= 0) & (places < tile)
+        if not keep.any():
+            return
+        base, there = seqs.of(own, q, n)
+        qual, good = quals.of(own, q, n)
+        keep &= there | ~seqs.given[own, None]
+        keep &= (good & (qual >= least)) | ~quals.given[own, None]
+        codes = np.where(there, _CODES[base], 4)[keep].astype(np.int64)
+        self.counts += np.bincount(codes * tile + places[keep], minlength=5 * tile).reshape(5, tile)
 
     def all(self) -> np.ndarray:
-        self.settle()
         return np.concatenate([self.counts, np.cumsum(self.steps, 1)[:, :-1]])
 
 
+def _runs(batch: pa.RecordBatch, keys: int) -> Iterator[tuple[int, int]]:
+    """(first row, number) of the runs of rows whose first `keys` columns are alike."""
+    n = batch.num_rows
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for c in batch.columns[:keys]:
+        ids = c.dictionary_encode(null_encoding="encode").indices.to_numpy()
+        new[1:] |= ids[1:] != ids[:-1]
+    first = np.flatnonzero(new)
+    return zip(first.tolist(), np.diff(np.append(first, n)).tolist(), strict=True)
+
+
 def dense_pileup(reads: DataFrame, axis: DataFrame, keys: Sequence[str] = (), p: PileupParams = PileupParams()) -> DataFrame:
     """(keys, contig, pos, a, c, g, t, n, deleted, skipped, depth) for every place of `axis` (keys, contig, length).
 
@@ -115,12 +165,15 @@ def dense_pileup(reads: DataFrame, axis: DataFrame, keys: Sequence[str] = (), p:
         for batch in batches:
             kinds = [batch.schema.field(i).type for i in range(k + 2)]
             done = []
-            for *at, pos, cigar, seq, qual in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for first, size in _runs(batch, k + 2):
+                part = batch.slice(first, size)
+                at = [c[0].as_py() for c in part.columns[: k + 2]]
                 if at != spot:
                     if now is not None:
                         done.append((spot, now.all()))
                     spot, now = at, _Tile(at[-1] * tile + 1, p)
-                now.add(pos, cigar, seq, qual)
+                pos, cigars, seqs, quals = part.columns[k + 2 :]
+                now.add(pos.to_numpy(), cigars, _Texts(seqs), _Texts(quals))
                 if len(done) == 64:
                     yield rows(done, kinds)
                     done = []

@@ -57,3 +57,18 @@ def test_empty(spark):
     axis = spark.createDataFrame([("c", 3)], "contig string, length long")
     got = dense_pileup(spark.createDataFrame([], READS.replace("sample string, ", "")), axis)
     assert sorted(tuple(r) for r in got.collect()) == [("c", i, *[0] * 8) for i in (1, 2, 3)]
+
+
+def test_reads_of_a_cigar_are_counted_at_once(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from strandwise.operators import pileup
+
+    looked = []
+    monkeypatch.setattr(pileup, "blocks", lambda cigar: looked.append(cigar) or blocks(cigar))
+    tile = pileup._Tile(1, PileupParams(tile=100, held=50))
+    texts = lambda x: pileup._Texts(pa.array([x] * 1000, pa.string()))
+    tile.add(np.arange(1000) % 80 + 1, pa.array(["20M"] * 1000), texts("é" * 10 + "c" * 10), texts(None))
+    assert looked == ["20M"]
+    assert tile.all().sum(1).tolist() == [0, 10000, 0, 0, 10000, 0, 0]

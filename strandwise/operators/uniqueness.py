@@ -78,18 +78,10 @@ def least_unique_lengths(seqs: DataFrame, p: UniqueParams = UniqueParams()) -> D
     are tested at doubling lengths, each time only those that are not unique yet, and then by halving the bracket of
     lengths between two tests. A test counts the names of the stretches of all places that the bracket's lower end leaves
     alike; all tests of a round are one aggregation. In all, a place has one row for each length tested up to its repeat's.
+    Between rounds the brackets of a piece are one row beside its text; what is unique comes back to it as a list.
     """
-    pieces = staged(_pieces(seqs, p), "pieces")
-
-    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for contig, piece, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                room = np.minimum(Names(part).room[: p.piece], p.longest)
-                n = len(room)
-                yield pa.record_batch([pa.array([contig] * n, pa.string()), pa.array(np.full(n, piece, np.int32)), pa.array(np.arange(n) + piece * p.piece + 1), pa.array(room.astype(np.int32))], names=["contig", "piece", "pos", "room"])
-
-    state = pieces.mapInArrow(opened, "contig string, piece int, pos long, room int")
-    state = staged(state.withColumns({"lo": F.lit(0), "hi": F.lit(None).cast("int")}), "places")
+    state = _pieces(seqs, p).select(F.monotonically_increasing_id().alias("id"), "contig", "piece", "part")
+    state = staged(state.withColumns({"lo": F.lit(None).cast("binary"), "hi": F.lit(None).cast("binary")}), "places")
     steps = []
     k = min(p.first, p.longest)
     while True:
@@ -98,49 +90,100 @@ def least_unique_lengths(seqs: DataFrame, p: UniqueParams = UniqueParams()) -> D
             break
         k = min(2 * k, p.longest)
     for before, k in zip([0, *steps], steps, strict=False):
-        alike = (F.col("lo") == before) & F.col("hi").isNull()
-        state = _tested(state, pieces, alike, [(before, k)], F.when(alike, k), p)
+        state = _tested(state, [(before, k)], lambda lo, hi, before=before, k=k: np.where((lo == before) & (hi == 0), k, 0), p)
     while True:
-        open_ = F.col("hi").isNotNull() & (F.col("hi") - F.col("lo") > 1)
-        spans = [(r["lo"], r["hi"]) for r in state.where(open_ & (F.col("room") > F.col("lo"))).select("lo", "hi").distinct().collect()]  # `longest` at most
+        spans = state.select("part", "lo", "hi").mapInArrow(_spans(p), "lo int, hi int").distinct().collect()  # `longest` at most
         if not spans:
             break
-        middle = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
-        state = _tested(state, pieces, F.lit(True), [(lo, (lo + hi) // 2) for lo, hi in sorted(spans)], F.when(open_, middle), p)
-    return state.select("contig", "pos", F.when(F.col("hi") <= F.col("room"), F.col("hi")).alias("mul"), "room")
+        state = _tested(state, [(r["lo"], (r["lo"] + r["hi"]) // 2) for r in spans], lambda lo, hi: np.where(hi - lo > 1, (lo + hi) // 2, 0), p)
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for contig, piece, part, lo, hi in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                room = _room(Names(part), p)
+                n = len(room)
+                _, least = _bracket(lo, hi, n)
+                found = (least > 0) & (least <= room)
+                yield pa.record_batch([pa.array([contig] * n, pa.string()), pa.array(np.arange(n) + piece * p.piece + 1), pa.array(least, mask=~found), pa.array(room)], names=["contig", "pos", "mul", "room"])
+
+    return _spread(state.select("contig", "piece", "part", "lo", "hi")).mapInArrow(opened, "contig string, pos long, mul int, room int")
+
 
+def _spread(pieces: DataFrame) -> DataFrame:
+    """Pieces are few and small rows with much work each, which a reader would put into a single task."""
+    return pieces.repartition(int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-def _tested(state: DataFrame, pieces: DataFrame, who, tests: list[tuple[int, int]], own, p: UniqueParams) -> DataFrame:
-    """`state` after one round: (lower end, length) are the tests, `own` a place's own length or null.
+
+def _room(names: Names, p: UniqueParams) -> np.ndarray:
+    return np.minimum(names.room[: p.piece], p.longest).astype(np.int32)
+
+
+def _bracket(lo: bytes | None, hi: bytes | None, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The longest length at which each place is known not to be unique, and the least at which it is or is out of reach; 0: none yet."""
+    return tuple(np.zeros(n, np.int32) if x is None else np.frombuffer(x, np.int32).copy() for x in (lo, hi))
+
+
+def _spans(p: UniqueParams):
+    """The different brackets of a task's pieces that are still to be halved."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, *ends in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                room = _room(Names(part), p)
+                lo, hi = _bracket(*ends, len(room))
+                both = np.unique(np.stack([lo, hi])[:, (hi - lo > 1) & (room > lo)], axis=1)
+                yield pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["lo", "hi"])
+
+    return run
+
+
+def _tested(state: DataFrame, tests: list[tuple[int, int]], own_of, p: UniqueParams) -> DataFrame:
+    """`state` after one round: (lower end, length) are the tests, `own_of` brackets gives each place's own length or 0.
 
     Only places with as many letters as a test's length can take it; for the others that length is out of reach, as a
     unique one is, and their bracket closes towards their room.
     """
-    floor, lows, lengths = min(lo for lo, _ in tests), np.array([lo for lo, _ in tests]), [k for _, k in tests]
+    least: dict[int, int] = {}
+    for low, k in tests:
+        least[k] = min(low, least.get(k, low))
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                contig, piece, part = (batch.column(i)[row].as_py() for i in range(3))
-                pos, room, lo = (batch.column(i)[row].values.to_numpy() for i in (3, 4, 5))
-                names, at = Names(part), pos - piece * p.piece - 1
-                for low, k in zip(lows, lengths, strict=True):
-                    take = (lo >= low) & (room >= k)
-                    n = int(take.sum())
-                    if n:
-                        a, b, times = names.of(at[take], k)
-                        yield pa.record_batch([pa.array([contig] * n, pa.string()), pa.array(pos[take]), pa.array(np.full(n, k, np.int32)), pa.array(a), pa.array(b), pa.array(times)], names=["contig", "pos", "k", "a", "b", "times"])
-
-    alike = state.where(who & (F.col("lo") >= floor) & (F.col("room") >= min(lengths)))
-    lists = alike.groupBy("contig", "piece").agg(F.collect_list(F.struct("pos", "room", "lo")).alias("x"))  # a piece's places at most
-    met = pieces.join(lists, ["contig", "piece"]).select("contig", "piece", "part", "x.pos", "x.room", "x.lo")
-    rows = met.mapInArrow(named, "contig string, pos long, k int, a long, b long, times int")
-    once = rows.groupBy("k", "a", "b").agg(F.sum("times").alias("n"), F.first("contig").alias("contig"), F.first("pos").alias("pos")).where("n = 1")
-    once = once.select("contig", "pos", F.col("k").alias("own"), F.lit(True).alias("unique"))
-    both = state.withColumn("own", own).join(once, ["contig", "pos", "own"], "left")
-    above = F.coalesce("unique", F.lit(False)) | (F.col("own") > F.col("room"))
-    out = both.withColumns({"hi": F.when(F.col("own").isNotNull() & above, F.col("own")).otherwise(F.col("hi")), "lo": F.when(F.col("own").isNotNull() & ~above, F.col("own")).otherwise(F.col("lo"))})
-    return staged(out.select("contig", "piece", "pos", "room", "lo", "hi"), "places")
+            for key, part, *ends in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                names = Names(part)
+                room = _room(names, p)
+                lo, hi = _bracket(*ends, len(room))
+                own = own_of(lo, hi)
+                for k in sorted(least):
+                    at = np.flatnonzero((lo >= least[k]) & (room >= k))
+                    if len(at):
+                        a, b, times = names.of(at, k)
+                        yield pa.record_batch([pa.array(np.full(len(at), key)), pa.array(at.astype(np.int32)), pa.array(np.full(len(at), k, np.int32)), pa.array(a), pa.array(b), pa.array(times), pa.array(own[at] == k)], names=["id", "at", "k", "a", "b", "times", "own"])
+
+    rows = _spread(state.select("id", "part", "lo", "hi")).mapInArrow(named, "id long, at int, k int, a long, b long, times int, own boolean")
+    once = rows.groupBy("k", "a", "b").agg(F.sum("times").alias("n"), F.min("id").alias("id"), F.min("at").alias("at"), F.min("own").alias("own")).where("n = 1 AND own")
+    lists = once.groupBy("id").agg(F.collect_list("at").alias("unique"))  # a piece's places at most
+
+    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            los, his = [], []
+            ends = zip(*(batch.column(c).to_pylist() for c in ("part", "lo", "hi")), strict=True)
+            for row, (part, *bracket) in enumerate(ends):
+                room = _room(Names(part), p)
+                lo, hi = _bracket(*bracket, len(room))
+                own = own_of(lo, hi)
+                above = own > room
+                at = batch.column("unique")[row]
+                if at.is_valid:
+                    above[at.values.to_numpy()] = True
+                hi = np.where((own > 0) & above, own, hi)
+                lo = np.where((own > 0) & ~above, own, lo)
+                los.append(lo.astype(np.int32).tobytes())
+                his.append(hi.astype(np.int32).tobytes())
+            yield pa.record_batch([*batch.columns[:4], pa.array(los, pa.binary()), pa.array(his, pa.binary())], names=["id", "contig", "piece", "part", "lo", "hi"])
+
+    met = state.join(lists, "id", "left").select("id", "contig", "piece", "part", "lo", "hi", "unique")
+    return staged(met.mapInArrow(moved, "id long, contig string, piece int, part string, lo binary, hi binary"), "places")
 
 
 def unique_track(lengths: DataFrame, shortest: int, keep_ends: bool = True) -> DataFrame:

@@ -66,3 +66,15 @@ def test_track(spark):
 
 def test_empty(spark):
     assert least_unique_lengths(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_pieces_are_tested_in_several_tasks(spark):
+    """Brackets stay beside their piece's text, so that a round's join has a row for each piece, and pieces spread over tasks."""
+    from pyspark.sql import functions as F
+
+    from strandwise.operators.uniqueness import _spread
+
+    few = spark.range(16).coalesce(1)
+    assert _spread(few).select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    got = least_unique_lengths(spark.createDataFrame(genome(1), SCHEMA), UniqueParams(70, 16, 64))
+    assert "Join" not in got._jdf.queryExecution().toString() and got.count() == sum(len(s) for _, s in genome(1))

@@ -47,6 +47,7 @@ class QualityParams:
     ridge: float = 1e-3
     cut_score: float = 0.3  #: where the quantile cut comes to lie on the scale from 0 to 1
     seed: int = 9
+    broadcast_rows: int = 1 << 21  #: labels are broadcast up to so many and joined by sorting beyond
 
 
 def features(body: bytes) -> np.ndarray:
@@ -185,24 +186,26 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     documents that share an id one is learnt from. Null and empty texts have no features. Ties are ties; other columns may
     have any names. No labels, or one kind only: see `fit`; up to one and a half blocks give the same as `fit`.
 
-    The features of the labelled rows are written once. Their moments and their scores' quantiles are those of all rows;
-    a task of the fit holds one block. What reaches the driver is a row for each task and for each block.
+    Labels come to the texts, which lie where they are; what is shuffled are features of labelled rows, which are written
+    once. Their moments and their scores' quantiles are those of all rows; a task of the fit holds one block. What reaches
+    the driver is a row for each task and for each block.
     """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
     counts = {r["_y"]: r["n"] for r in known.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
     if not total:
         return fit(np.empty((0, FEATURES)), np.empty(0), 0.0, params)
-    bodies = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_body")).join(known.select("_id").distinct(), "_id", "left_semi")
-    one = bodies.groupBy("_id").agg(F.min_by("_body", F.xxhash64("_body")).alias("_body"))
+    given = known.distinct()
+    bodies = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_body"))
+    bodies = bodies.join(F.broadcast(given) if total <= params.broadcast_rows else given, "_id").select("_id", "_y", F.xxhash64("_body").alias("_hash"), "_body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = [v.tobytes() for v in _table(batch.column("_body")).astype(np.float32)]
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_y"), pa.array(x, pa.binary())], names=["_id", "_y", "x"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("_id", "_y", "_hash")), pa.array(x, pa.binary())], names=["_id", "_y", "_hash", "x"])
 
-    labelled = one.join(known.distinct(), "_id").select("_id", "_y", "_body")
-    rows = staged(labelled.mapInArrow(run, f"_id {known.schema['_id'].dataType.simpleString()}, _y int, x binary"), "labelled-features")
+    found = bodies.mapInArrow(run, f"_id {bodies.schema['_id'].dataType.simpleString()}, _y int, _hash long, x binary")
+    rows = staged(found.groupBy("_id", "_y").agg(F.min_by("x", "_hash").alias("x")), "labelled-features")
 
     parts = [(r["n"], np.frombuffer(r["mean"]), np.frombuffer(r["squares"])) for r in rows.select("x").mapInArrow(_moments, "n long, mean binary, squares binary").collect()]
     if not parts:

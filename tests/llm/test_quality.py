@@ -106,3 +106,30 @@ def test_few_labels_of_a_kind_reach_every_block(spark):
     model = learn(docs, spark.createDataFrame([(i, int(i >= 3)) for i in range(300)], "doc_id long, quality int"), params=QualityParams(block_docs=50, least_docs=3, pairs=500, steps=100))
     bad = [r["doc_id"] for r in rate(docs, model, ["doc_id"]).where("predicted = 0").collect()]
     assert sorted(bad) == [0, 1, 2]
+
+
+def test_texts_are_not_shuffled(spark, monkeypatch):
+    """Labels of any size come to the texts; joined by sorting, beyond the bound, they give the same."""
+    from strandwise.llm import quality
+
+    rows = [(i, junk(i) if i % 4 == 0 else text("en", 30, i)) for i in range(200)] + [(3, "another text of 3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(200)] + [(4, 1), (5, 1)], "doc_id long, quality int")
+    plans = {}
+
+    def kept(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, label)
+
+    staged = quality.staged
+    monkeypatch.setattr(quality, "staged", kept)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        model = learn(docs, labels)
+        assert "SortMergeJoin" not in plans["labelled-features"] and "BroadcastHashJoin" in plans["labelled-features"]
+        other = learn(docs, labels, params=QualityParams(broadcast_rows=0))
+        assert "SortMergeJoin" in plans["labelled-features"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert np.allclose(model.weights, other.weights) and abs(model.cut - other.cut) < 1e-6

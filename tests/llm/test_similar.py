@@ -3,6 +3,7 @@ from itertools import combinations
 
 import pytest
 
+from strandwise.llm import similar
 from strandwise.llm.similar import SimilarParams, drop_similar, key_of, similar_classes
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
@@ -54,3 +55,34 @@ def test_nulls_and_empty(spark, none):
     got = similar_classes(docs).join(docs.withColumn("key", key_of("doc_id", "text")), "key").collect()
     assert len({r["root"] for r in got if r["text"] != "alone"}) == 1
     assert sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near(spark, docs, "").collect()), key=str) == [(3, "a b c d e f"), (None, "alone")]
+
+
+@pytest.fixture(scope="module")
+def crowd():
+    """Copies of two texts with one to four words changed: each near its text or not, and most of them far from each other."""
+    rng, out = random.Random(5), []
+    for _ in range(2):
+        words = [f"w{rng.randrange(3000)}" for _ in range(90)]
+        out.append(words)
+        for i in range(90):
+            copy = list(words)
+            for at in rng.sample(range(90), 1 + i % 4):
+                copy[at] = f"x{rng.randrange(10**9)}"
+            out.append(copy)
+    return [(i, " ".join(w)) for i, w in enumerate(out)]
+
+
+def test_pairs_of_a_crowd_grow_with_its_texts(spark, crowd, monkeypatch):
+    met = []
+    verified = similar._verified
+    monkeypatch.setattr(similar, "_verified", lambda pairs, *rest: met.append(pairs.count()) or verified(pairs, *rest))
+    kept = drop_similar(spark.createDataFrame(crowd, "doc_id long, text string"), params=SimilarParams(radius=1))
+    assert sorted(r["doc_id"] for r in kept.collect()) == survivors(crowd)
+    assert sum(met) <= 4 * len(crowd)
+
+
+@pytest.mark.parametrize("params", [SimilarParams(radius=1, rounds=0), SimilarParams(radius=1, rounds=1, extra=2, slice=300), SimilarParams(radius=1, extra=1000, sample=1)])
+def test_rounds_and_longer_prefixes_lose_nothing(spark, crowd, texts, params):
+    rows = texts + [(1000 + i, t) for i, t in crowd] + texts[:9]  # some rows repeat
+    kept = drop_similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), params=params)
+    assert sorted({r["doc_id"] for r in kept.collect()}) == survivors(list(dict(rows).items()))

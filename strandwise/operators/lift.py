@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandwise.functions.genomics import revcomp
 from strandwise.operators.intervals import interval_join
-from strandwise.operators.kernels import AlignParams, affine_columns, longest_increasing
+from strandwise.operators.kernels import AlignParams, affine_columns
+from strandwise.operators.ordered import joined
+from strandwise.session import staged
 
 
 @dataclass(frozen=True)
@@ -77,15 +80,35 @@ def unique_anchors(source: DataFrame, target: DataFrame, p: LiftParams = LiftPar
     """(src_contig, src_pos, tgt_contig, tgt_pos, strand): k-mers that each side has once; places on both strands are left out.
 
     Places are those of a k-mer's middle base, of an even k the one before the middle; on the other strand that is one on.
+    A k-mer and its reverse complement are one key with a count and a place for each side and strand, so both sides meet
+    in one aggregation that begins before the shuffle. Keys are numbers, 31 letters each; a place is its contig's number
+    and 31 bits, as many as a text's length has.
     """
+    names = source.select("contig").union(target.select("contig")).distinct()
+    names = staged(names.select("contig", F.row_number().over(Window.orderBy("contig")).cast("bigint").alias("_id")), "contigs")
     middle = p.k - 1 - p.half
-    once = lambda df: df.groupBy("kmer").agg(F.count(F.lit(1)).alias("n"), F.first("contig").alias("contig"), (F.first("pos") + middle).alias("pos")).where("n = 1").drop("n")
-    s, t = once(kmers(source, p.k, p.sample)), once(kmers(target, p.k, p.sample))
-    side = lambda a, strand, on: a.select(F.col("contig").alias("src_contig"), F.col("pos").alias("src_pos"), "kmer").join(t, "kmer").select("src_contig", "src_pos", F.col("contig").alias("tgt_contig"), (F.col("pos") + on).alias("tgt_pos"), F.lit(strand).alias("strand"))
-    plus, minus = side(s, "+", 0), side(s.withColumn("kmer", revcomp(F.col("kmer"))), "-", 1 - p.k % 2)
-    at = ["src_contig", "src_pos"]
-    both = plus.select(*at).intersect(minus.select(*at))
-    return plus.unionByName(minus).join(both, at, "left_anti")
+
+    def keyed(seqs: DataFrame, side: str) -> DataFrame:
+        own = kmers(joined(seqs.select("contig", "seq"), names, ["contig"]).select(F.col("_id").alias("contig"), "seq"), p.k, p.sample)
+        own = own.withColumn("back", revcomp(F.col("kmer"))).where("kmer <> back")  # one that is its own reverse complement lies on both strands
+        key = F.least("kmer", "back")
+        words = [F.conv(F.translate(F.substring(key, i + 1, 31), "ACGT", "0123"), 4, 10).cast("bigint").alias(f"k{i // 31}") for i in range(0, p.k, 31)]
+        strand = F.when(F.col("kmer") < F.col("back"), side + "+").otherwise(side + "-")
+        return own.select(*words, strand.alias("on"), F.shiftleft("contig", 31).bitwiseOR(F.col("pos")).alias("at"))
+
+    both = keyed(source, "s").unionByName(keyed(target, "t"))
+    sides = [side + strand for side in "st" for strand in "+-"]
+    counted = [F.count_if(F.col("on") == x).alias("n" + x) for x in sides] + [F.min(F.when(F.col("on") == x, F.col("at"))).alias("at" + x) for x in sides]
+    found = both.groupBy(*[c for c in both.columns if c not in ("on", "at")]).agg(*counted)
+    once = lambda x: F.col("n" + x) == 1
+    met = [F.when(once("s" + a) & once("t" + b) & ~once("t" + other), F.struct(F.col("at" + "s" + a).alias("s"), F.col("at" + "t" + b).alias("t"), F.lit("+" if a == b else "-").alias("strand"))) for a in "+-" for b, other in ("+-", "-+")]
+    rows = found.select(F.explode(F.array_compact(F.array(*met))).alias("x"))
+    number, pos = (lambda c: F.shiftright(c, 31)), (lambda c: c.bitwiseAND(F.lit((1 << 31) - 1)) + middle)
+    on = F.when(F.col("x.strand") == "-", 1 - p.k % 2).otherwise(0)
+    rows = rows.select(number(F.col("x.s")).alias("_s"), pos(F.col("x.s")).alias("src_pos"), number(F.col("x.t")).alias("_t"), (pos(F.col("x.t")) + on).alias("tgt_pos"), F.col("x.strand").alias("strand"))
+    for side, name in (("_s", "src_contig"), ("_t", "tgt_contig")):
+        rows = rows.join(names.select(F.col("_id").alias(side), F.col("contig").alias(name)), side)
+    return rows.select("src_contig", "src_pos", "tgt_contig", "tgt_pos", "strand")
 
 
 def _apart(v: np.ndarray) -> list[np.ndarray]:
@@ -96,26 +119,54 @@ def _apart(v: np.ndarray) -> list[np.ndarray]:
     return np.split(np.arange(len(v)), cuts)
 
 
-def increasing(v: np.ndarray) -> np.ndarray:
-    """`longest_increasing` by stretches, one after the other: only those of more than one value are walked."""
-    return np.concatenate([s if len(s) == 1 else s[longest_increasing(v[s].tolist())] for s in _apart(v)]) if len(v) else np.empty(0, np.int64)
+def _longest(v: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Places of the runs that `longest_increasing` takes of the values v[i], v[i] + 1 and so on, n[i] of them, of all i.
+
+    Values come once, or all n are 1. A run's values lie on piles that follow each other, and whatever is put on the
+    first of them takes as many off as it has values; so a run is taken as a whole or not at all.
+    """
+    tops: list[int] = []  # a value, the run and the number of piles up to it of each run that still has some
+    runs: list[int] = []
+    ends: list[int] = []
+    back = [-1] * len(v)
+    for i, (x, m) in enumerate(zip(v.tolist(), n.tolist(), strict=True)):
+        k = bisect_left(tops, x)
+        back[i], end = (runs[k - 1], ends[k - 1] + m) if k else (-1, m)
+        j = bisect_right(ends, end, k)
+        tops[k:j], runs[k:j], ends[k:j] = [x], [i], [end]
+    out, i = [], runs[-1] if runs else -1
+    while i >= 0:
+        out.append(i)
+        i = back[i]
+    return np.array(out[::-1], np.int64)
+
+
+def increasing(v: np.ndarray, n: np.ndarray | None = None) -> np.ndarray:
+    """`longest_increasing` by stretches, one after the other: only those of more than one value are walked.
+
+    With n each v is a run that begins with it and ascends by one, as for `_longest`.
+    """
+    n = np.ones(len(v), np.int64) if n is None else n
+    return np.concatenate([s if len(s) == 1 else s[_longest(v[s], n[s])] for s in _apart(v)]) if len(v) else np.empty(0, np.int64)
 
 
-def decreasing_chains(v: np.ndarray, least: int) -> Iterator[np.ndarray]:
+def decreasing_chains(v: np.ndarray, least: int, n: np.ndarray | None = None) -> Iterator[np.ndarray]:
     """Places of a longest decreasing subsequence, then of one of what is left and so on, while they have `least` values.
 
     A decreasing subsequence lies in one stretch of `_apart`, so each removal looks at what its stretch keeps, not at all
-    values. Of equally long ones that in the last stretch comes first, as it does in one walk over everything.
+    values. Of equally long ones that in the last stretch comes first, as it does in one walk over everything. With n each
+    v is a run that begins with it and descends by one.
     """
+    n = np.ones(len(v), np.int64) if n is None else n
     heap: list[tuple[int, int, np.ndarray, np.ndarray]] = []
 
     def put(own: np.ndarray) -> None:
         for s in _apart(v[own]):
-            if len(s) >= least:
-                part = own[s]
-                picked = np.array(longest_increasing((-v[part]).tolist()), np.int64)
-                if len(picked) >= least:
-                    heappush(heap, (-len(picked), -int(part[0]), part, picked))
+            part = own[s]
+            if n[part].sum() >= least:
+                picked = _longest(-v[part], n[part])
+                if (size := int(n[part[picked]].sum())) >= least:
+                    heappush(heap, (-size, -int(part[0]), part, picked))
 
     put(np.arange(len(v)))
     while heap:
@@ -124,50 +175,92 @@ def decreasing_chains(v: np.ndarray, least: int) -> Iterator[np.ndarray]:
         put(np.delete(part, picked))
 
 
-_LINKS = "src_contig string, chain long, strand string, src_pos long, tgt_contig string, tgt_pos long, next_src long, next_contig string, next_tgt long, clean boolean"
+_LINKS = "src_contig string, chain long, strand string, src_pos long, tgt_contig string, tgt_pos long, next_src long, next_contig string, next_tgt long, clean boolean, n long"
+
+
+def anchor_runs(anchors: DataFrame, block: int = 1 << 12) -> DataFrame:
+    """(src_contig, src_pos, tgt_contig, tgt_pos, strand, n): n anchors, the first one given, of which each is one place on from the last.
+
+    No other anchor lies between them on the source. Runs end with blocks of the source contig, so that tasks share a contig.
+    """
+    own = anchors.withColumn("_block", F.floor(F.col("src_pos") / block))
+    at = Window.partitionBy("src_contig", "_block").orderBy("src_pos", "tgt_contig", "tgt_pos", "strand")
+    before = lambda c: F.lag(c).over(at)
+    step = F.when(F.col("strand") == "+", 1).otherwise(-1)
+    on = (before("src_pos") + 1 == F.col("src_pos")) & before("strand").eqNullSafe(F.col("strand")) & before("tgt_contig").eqNullSafe(F.col("tgt_contig")) & (before("tgt_pos") + step == F.col("tgt_pos"))
+    own = own.withColumn("_new", F.when(F.coalesce(on, F.lit(False)), 0).otherwise(1))
+    own = own.withColumn("_run", F.sum("_new").over(at.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = own.groupBy("src_contig", "_block", "_run", "tgt_contig", "strand").agg(F.min("src_pos").alias("src_pos"), F.min("tgt_pos").alias("_low"), F.max("tgt_pos").alias("_high"), F.count(F.lit(1)).alias("n"))
+    return runs.select("src_contig", "src_pos", "tgt_contig", F.when(F.col("strand") == "+", F.col("_low")).otherwise(F.col("_high")).alias("tgt_pos"), "strand", "n")
+
+
+def _single(v: np.ndarray, n: np.ndarray) -> bool:
+    """Whether values of runs v, v + 1 and so on come once."""
+    order = np.argsort(v, kind="stable")
+    return bool((v[order][1:] >= (v + n)[order][:-1]).all())
 
 
 def chain_links(anchors: DataFrame, p: LiftParams = LiftParams(), backbone: bool = False) -> DataFrame:
-    """Each anchor on a chain of its source contig with the chain's next one: columns as in `_LINKS`.
+    """Each run of anchors on a chain of its source contig with the chain's next one: columns as in `_LINKS`.
+
+    A row has the last of `n` anchors that follow each other place by place on both contigs, and the chain's next anchor.
 
     Chain 0 is the longest increasing one, the backbone. The others are longest decreasing ones, each of the anchors that
     those before it left, as long as they hold `min_chain` (two at least); sparse ones are left out. Target contigs follow
     each other by name. `clean`: no other anchor of any strand, on a chain or not, lies between the two. A chain's last
-    anchor has no next one. A contig's anchors must fit a task. With `backbone` chain 0 is the only one.
+    anchor has no next one. A contig's runs must fit a task. With `backbone` chain 0 is the only one.
     """
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("src_pos", kind="stable")
+        g = g.sort_values(["src_pos", "tgt_contig", "tgt_pos", "strand"], kind="stable")
+        n = g["n"].to_numpy()
+        names, order = np.unique(g["tgt_contig"].to_numpy().astype(str), return_inverse=True)
+        sign = np.where(g["strand"] == "+", 1, -1)
+        value = (order.astype(np.int64) << 40) + g["tgt_pos"].to_numpy()
+        low = np.where(sign > 0, value, value - n + 1)
+        if not all(_single(low[sign == x], n[sign == x]) for x in (1, -1)):  # some place of the target comes again: anchor by anchor
+            i, m = np.repeat(np.arange(len(n)), n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            g, sign, order, n = g.iloc[i], sign[i], order[i], np.ones(len(i), np.int64)
+            g = g.assign(src_pos=g["src_pos"].to_numpy() + m, tgt_pos=g["tgt_pos"].to_numpy() + sign * m)
+            value = (order.astype(np.int64) << 40) + g["tgt_pos"].to_numpy()
         a, b = g["src_pos"].to_numpy(), g["tgt_pos"].to_numpy()
-        contigs, order = np.unique(g["tgt_contig"].to_numpy().astype(str), return_inverse=True)
-        value = (order.astype(np.int64) << 40) + b
-        forward, backward = np.flatnonzero(g["strand"] == "+"), np.flatnonzero(g["strand"] == "-")
-        found = [("+", forward[increasing(value[forward])])] if len(forward) else []
-        for picked in () if backbone else decreasing_chains(value[backward], max(2, p.min_chain)):
+        forward, backward = np.flatnonzero(sign > 0), np.flatnonzero(sign < 0)
+        found = [("+", forward[increasing(value[forward], n[forward])])] if len(forward) else []
+        for picked in () if backbone else decreasing_chains(value[backward], max(2, p.min_chain), n[backward]):
             own = backward[picked]
-            if len(own) * p.sample >= p.density * (a[own[-1]] - a[own[0]] + 1):
+            if n[own].sum() * p.sample >= p.density * (a[own[-1]] + n[own[-1]] - a[own[0]]):
                 found.append(("-", own))
         out = []
-        for n, (strand, own) in enumerate(found):
+        for c, (strand, own) in enumerate(found):
             after = np.append(own[1:], -1)
             some = after >= 0
             out.append(
                 pd.DataFrame(
                     {
-                        "src_contig": g["src_contig"].iloc[0], "chain": n, "strand": strand, "src_pos": a[own], "tgt_contig": contigs[order[own]], "tgt_pos": b[own],
-                        "next_src": pd.array(np.where(some, a[after], 0), "Int64"), "next_contig": np.where(some, contigs[order[after]], None), "next_tgt": pd.array(np.where(some, b[after], 0), "Int64"),
-                        "clean": after - own == 1,
+                        "src_contig": g["src_contig"].iloc[0], "chain": c, "strand": strand, "src_pos": a[own] + n[own] - 1, "tgt_contig": names[order[own]], "tgt_pos": b[own] + sign[own] * (n[own] - 1),
+                        "next_src": pd.array(np.where(some, a[after], 0), "Int64"), "next_contig": np.where(some, names[order[after]], None), "next_tgt": pd.array(np.where(some, b[after], 0), "Int64"),
+                        "clean": after - own == 1, "n": n[own],
                     }
                 )
             )
             out[-1].loc[~some, ["next_src", "next_tgt"]] = pd.NA
         return pd.concat(out) if out else pd.DataFrame(columns=[c.split()[0] for c in _LINKS.split(", ")])
 
-    return anchors.groupBy("src_contig").applyInPandas(run, _LINKS)
+    return anchor_runs(anchors).groupBy("src_contig").applyInPandas(run, _LINKS)
+
+
+def each_anchor(links: DataFrame) -> DataFrame:
+    """Links with a row for each anchor of a run; `n` is 1."""
+    own = links.withColumn("_back", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)))
+    last, step = F.col("_back") == 0, F.when(F.col("strand") == "+", 1).otherwise(-1)
+    src, tgt = F.col("src_pos") - F.col("_back"), F.col("tgt_pos") - step * F.col("_back")
+    after = {"next_src": F.when(last, F.col("next_src")).otherwise(src + 1), "next_contig": F.when(last, F.col("next_contig")).otherwise(F.col("tgt_contig")), "next_tgt": F.when(last, F.col("next_tgt")).otherwise(tgt + step)}
+    return own.withColumns(after | {"src_pos": src, "tgt_pos": tgt, "clean": F.col("clean") | ~last, "n": F.lit(1).cast("bigint")}).drop("_back")
 
 
 def lost_regions(links: DataFrame, p: LiftParams = LiftParams()) -> DataFrame:
     """(contig, left, right): neighbouring anchors of the backbone between which the target lacks `lost` bases and more."""
+    links = links if p.lost > 2 else each_anchor(links)  # inside a run the target lacks two places at most, of a reverse one
     less = (F.col("next_src") - F.col("src_pos")) - (F.col("next_tgt") - F.col("tgt_pos"))
     rows = links.where((F.col("chain") == 0) & (F.col("tgt_contig") == F.col("next_contig")) & (less >= p.lost))
     return rows.select(F.col("src_contig").alias("contig"), F.col("src_pos").alias("left"), F.col("next_src").alias("right"))
@@ -184,7 +277,9 @@ def place(positions: DataFrame, links: DataFrame, p: LiftParams = LiftParams())
     all anchors: brackets don't overlap, and a place has one at most. Places outside of the chains are left out.
     """
     q = _wanted(positions)
-    exact = q.join(links.withColumnRenamed("src_pos", "p"), ["src_contig", "p"]).select(F.col("src_contig").alias("contig"), F.col("p").alias("pos"), "tgt_contig", "tgt_pos", "strand", F.lit(True).alias("exact"))
+    back = F.col("src_pos") - F.col("p")
+    own = interval_join(q, links.withColumns({"first": F.col("src_pos") - F.col("n") + 1, "last": F.col("src_pos")}), ["src_contig"], ("p", "p"), ("first", "last"), 64)
+    exact = own.select(F.col("src_contig").alias("contig"), F.col("p").alias("pos"), "tgt_contig", (F.col("tgt_pos") - F.when(F.col("strand") == "+", back).otherwise(-back)).alias("tgt_pos"), "strand", F.lit(True).alias("exact"))
     run, step = F.col("next_src") - F.col("src_pos"), F.col("next_tgt") - F.col("tgt_pos")
     along = F.when(F.col("strand") == "+", step).otherwise(-step)
     spans = links.where(F.col("clean") & (run > 1) & (run <= p.gap) & (F.abs(run - along) <= p.tolerance) & (F.col("tgt_contig") == F.col("next_contig")))
@@ -320,13 +415,17 @@ def align_gaps(positions: DataFrame, links: DataFrame, source: DataFrame, target
 def lift_positions(positions: DataFrame, source: DataFrame, target: DataFrame, p: LiftParams = LiftParams(), links: DataFrame | None = None) -> DataFrame:
     """Anchors, chains, brackets, gate and, with `align`, alignments in one: (contig, pos, tgt_contig, tgt_pos, strand).
 
+    Links, and with `align` the places that need none, are written to the shared folder: what reads them several times
+    would be one plan of many stages, which the driver keeps whole while it runs.
+
     Positions without an answer are left out; those that the target lacks have null in the target's columns.
     """
     columns = ["contig", "pos", "tgt_contig", "tgt_pos", "strand"]
-    links = chain_links(unique_anchors(source, target, p), p) if links is None else links
+    links = staged(chain_links(unique_anchors(source, target, p), p), "links") if links is None else links
     sure = identity_gate(place(positions, links, p), source, target, p).select(*columns)
     if not p.align:
         return sure
+    sure = staged(sure, "sure")
     open_ = positions.join(sure, ["contig", "pos"], "left_anti")
     return sure.unionByName(align_gaps(open_, links, source, target, p).select(*columns))
 
